@@ -39,11 +39,15 @@ def field_count_verdict(actual: Column, expected: int) -> Column:
 def looks_like_header(line: Column, delimiter: str) -> Column:
     """True when the leading fields look more like column names than like data.
 
-    A field with a letter counts for a header; a field of digits counts for data, twice when it
-    is long.  Purely alphabetic names count for a header too.
+    A field with a letter that is more than plain words counts for a header; a field of digits
+    counts for data, twice when it is long.  Plain words are header names when nothing else is there.
     """
     fields = F.transform(F.slice(split_fields(line, delimiter), 1, HEADER_FIELDS), lambda f: F.btrim(f, F.lit(WHITESPACE)))
-    names = F.size(F.filter(fields, lambda f: f.rlike(r"\p{L}")))
-    numbers = F.size(F.filter(fields, lambda f: f.rlike(r"^\d+$")))
-    long_numbers = F.size(F.filter(fields, lambda f: f.rlike(r"^\d{%d,}$" % (LONG_NUMBER + 1))))
-    return names > numbers + long_numbers
+
+    def how_many(pattern: str) -> Column:
+        return F.size(F.filter(fields, lambda f: f.rlike(pattern)))
+
+    with_letter, plain_words = how_many(r"\p{L}"), how_many(r"^[_ ]*\p{L}[\p{L}_ ]*$")
+    numbers, long_numbers = how_many(r"^\d+$"), how_many(r"^\d{%d,}$" % (LONG_NUMBER + 1))
+    for_header, for_data = with_letter - plain_words, numbers + long_numbers
+    return (for_header > for_data) | ((for_data == 0) & (plain_words > 0))

@@ -144,7 +144,7 @@ def run_transfer(spark: SparkSession, plan: TransferPlan) -> DataFrame:
     names = plan.table_names(spark)
     if plan.parallel_tables > 1:
         with ThreadPoolExecutor(plan.parallel_tables) as pool:
-            jobs = list(pool.map(inheritable_thread_target(one), names))
+            jobs = list(pool.map(inheritable_thread_target(spark)(one), names))
     else:
         jobs = [one(name) for name in names]
     columns = [c.split()[0] for c in JOB_SCHEMA.split(", ")]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import replace
 from pathlib import PurePosixPath
 
 from pyspark.errors import AnalysisException
@@ -83,10 +84,15 @@ def scan_manifest(
 
 def scan_lines(spark: SparkSession, path: str | list[str], encoding: str = "utf-8") -> DataFrame:
     """Physical lines with the file they are in: (file, value).  Only a line feed ends a line."""
-    reader = spark.read.option("lineSep", "\n")
-    if encoding.lower() not in ("utf-8", "utf8"):
-        reader = reader.option("encoding", encoding)
-    return reader.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    fmt = FlatFormat(encoding=encoding)
+    line = F.col("value")
+    if fmt.file_encoding == "iso-8859-1":
+        # The reader hands over the bytes as they are.
+        line = F.decode(line.cast("binary"), "iso-8859-1")
+    if fmt.is_cp1252:
+        line = latin1_to_cp1252(line)
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.select(F.col("_metadata.file_path").alias("file"), line.alias("value"))
 
 
 def _minus_header(rows: Column, header: bool) -> Column:
@@ -165,14 +171,15 @@ def encoding_detect(spark: SparkSession, path: str | list[str]) -> DataFrame:
     UTF-8 when every line is valid UTF-8, else cp1252, else (a byte cp1252 does not use) latin1.
     Lines are tested one by one, so files of any size stay splittable.
     """
-    lines = scan_lines(spark, path, encoding="iso-8859-1")
-    valid = F.is_valid_utf8(F.encode(F.col("value"), "iso-8859-1"))
+    lines = scan_lines(spark, path)
+    valid = F.is_valid_utf8("value")
+    unused = F.when(~valid, F.decode(F.col("value").cast("binary"), "iso-8859-1").rlike(_UNUSED_IN_CP1252))
     return (
         lines.groupBy("file")
         .agg(
             F.count("*").alias("lines"),
             F.count_if(~valid).alias("bad_utf8_lines"),
-            F.max(F.col("value").rlike(_UNUSED_IN_CP1252)).alias("unused_bytes"),
+            F.coalesce(F.max(unused), F.lit(False)).alias("unused_bytes"),
         )
         .select(
             "file",
@@ -188,8 +195,6 @@ def encoding_detect(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def detected_format(spark: SparkSession, path: str | list[str], fmt: FlatFormat) -> FlatFormat:
     """``fmt`` with the encoding the files have; files of one table must agree."""
-    from dataclasses import replace
-
     # Pure ASCII files pass as UTF-8, so only the files with other bytes decide.
     found = encoding_detect(spark, path).select("encoding").distinct().collect()
     names = {r.encoding for r in found}
