@@ -15,14 +15,18 @@ WHITESPACE = " \t\n\r\x0b\x0c"
 # Windows-1252 differs from latin-1 only in the bytes 80..9F; five of those are unused.
 _C1 = [chr(b) for b in range(0x80, 0xA0)]
 _C1_IN_CP1252 = [bytes([b]).decode("cp1252", errors="replace") for b in range(0x80, 0xA0)]
-_CP1252_SPECIALS = "".join(c for c in _C1_IN_CP1252 if c != "�")
-
-# Characters each one-byte charset can hold, as the inside of a regex class.
-_REPERTOIRE = {
-    "ascii": "\x00-\x7f",
-    "latin1": "\x00-\xff",
-    "cp1252": "\x00-\x7f\xa0-\xff" + _CP1252_SPECIALS,
+_REPLACEMENT = "\ufffd"
+_CP1252_SPECIALS = "".join(c for c in _C1_IN_CP1252 if c != _REPLACEMENT)
+
+# One character a charset cannot hold.  The cheap range test comes first: nearly every character
+# of a text fails it, so the short list of special characters is hardly ever looked at.
+_UNMAPPABLE = {
+    "ascii": r"[^\x00-\x7f]",
+    "latin1": r"[^\x00-\xff]",
+    "cp1252": r"[\x80-\x9f\x{100}-\x{10ffff}&&[^" + _CP1252_SPECIALS + "]]",
 }
+_HAS_CP1252_SPECIAL = r"[\x{100}-\x{ffff}&&[" + _CP1252_SPECIALS + "]]"
+_HAS_C1 = r"[\x80-\x9f]"
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -37,7 +41,9 @@ def map_strings(df: DataFrame, change, columns: list[str] | None = None) -> Data
 
 def strip_control(column: Column) -> Column:
     """Remove NUL and SUB characters."""
-    return F.translate(column, CONTROL_CHARACTERS, "")
+    for character in CONTROL_CHARACTERS:
+        column = F.replace(column, F.lit(character), F.lit(""))
+    return column
 
 
 def strip_control_all(df: DataFrame) -> DataFrame:
@@ -62,7 +68,7 @@ def charset_key(charset: str) -> str:
 
 def unmappable(charset: str) -> str:
     """Regex for one character that ``charset`` cannot hold."""
-    return f"[^{_REPERTOIRE[charset_key(charset)]}]"
+    return _UNMAPPABLE[charset_key(charset)]
 
 
 def to_charset(column: Column, charset: str = "cp1252", replacement: str = "?") -> Column:
@@ -77,12 +83,13 @@ def charset_loses(column: Column, charset: str = "cp1252") -> Column:
 
 def cp1252_to_latin1(column: Column) -> Column:
     """Text whose latin-1 bytes are the cp1252 bytes of the input (used just before a write)."""
-    return F.translate(column, _CP1252_SPECIALS, "".join(c for c, s in zip(_C1, _C1_IN_CP1252) if s != "�"))
+    specials = "".join(c for c, s in zip(_C1, _C1_IN_CP1252) if s != _REPLACEMENT)
+    return F.when(column.rlike(_HAS_CP1252_SPECIAL), F.translate(column, _CP1252_SPECIALS, specials)).otherwise(column)
 
 
 def latin1_to_cp1252(column: Column) -> Column:
     """Undo a latin-1 read of cp1252 bytes; unused bytes become the replacement character."""
-    return F.translate(column, "".join(_C1), "".join(_C1_IN_CP1252))
+    return F.when(column.rlike(_HAS_C1), F.translate(column, "".join(_C1), "".join(_C1_IN_CP1252))).otherwise(column)
 
 
 def is_blank(column: Column) -> Column:

@@ -148,7 +148,7 @@ def reconcile_summary(spark, sf_dir):
     target = lines.where("NOT (l_returnflag = 'R' AND l_linenumber = 3)").withColumn(
         "l_tax", F.when(F.col("l_linenumber") == 5, F.col("l_tax") + 1).otherwise(F.col("l_tax"))
     )
-    found = reconcile.reconcile_rows(lines, target, ["l_orderkey", "l_linenumber"], method="md5")
+    found = reconcile.reconcile_rows(lines, target, ["l_orderkey", "l_linenumber"])
     return reconcile.difference_summary(found)
 
 

@@ -105,7 +105,7 @@ def field_count_check(spark, sf_dir):
 
 def header_detect(spark, sf_dir):
     found = None
-    for name, key, size in (("customer", "c_custkey", 100), ("orders", "o_orderkey", 1000)):
+    for name, key, size in (("customer", "c_custkey", 500), ("orders", "o_orderkey", 5000)):
         for header in (True, False):
             path = new_staging_dir(spark, "header")
             write_chunked(table(spark, sf_dir, name), path, size, [key], FlatFormat(header=header), unique=True)
@@ -186,8 +186,8 @@ ORACLES = {
         GROUP BY n""",
     "header_detect": """
         WITH n AS (
-            SELECT 'customer' AS table_name, (count(*) + 99) // 100 AS files FROM customer
-            UNION ALL SELECT 'orders', (count(*) + 999) // 1000 FROM orders)
+            SELECT 'customer' AS table_name, (count(*) + 499) // 500 AS files FROM customer
+            UNION ALL SELECT 'orders', (count(*) + 4999) // 5000 FROM orders)
         SELECT table_name, written, written AS has_header, CAST(files AS BIGINT) AS files
         FROM n CROSS JOIN (VALUES (true), (false)) AS w(written)""",
     "count_records": "SELECT count(*) AS rows FROM documents",

@@ -25,9 +25,9 @@ def transfer_run(spark, sf_dir):
         keys={"documents": ["doc_id"], "orders": ["o_orderkey"], "customer": ["c_custkey"], "lineitem": ["l_orderkey"]},
         fmt=FlatFormat(collapse_empty=False),
         chunk_threshold=10_000,
-        chunk_rows=5_000,
+        chunk_rows=25_000,
         verify="rows",
-        parallel_tables=2,
+        parallel_tables=4,
     )
     jobs = _run_transfer(spark, plan)
     return jobs.select("table_name", "input_count", "flatfile_count", "output_count", "status")

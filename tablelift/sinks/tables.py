@@ -62,27 +62,27 @@ def column_stats(df: DataFrame, approximate: bool = False) -> DataFrame:
     ``approximate`` uses sketches and needs a single pass with one row per task.
     """
     fields = [f for f in df.schema.fields if _comparable(f.dataType)]
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    aggregates = [F.count("*").alias("rows")]
-    for i, f in enumerate(fields):
-        column = F.col(f"`{f.name}`")
-        aggregates += [
-            F.count_if(column.isNull()).alias(f"n{i}"),
-            distinct(column).alias(f"d{i}"),
-            F.min(column).alias(f"lo{i}"),
-            F.max(column).alias(f"hi{i}"),
-        ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.col("rows"),
-                F.col(f"n{i}").alias("nulls"),
-                F.col(f"d{i}").alias("distinct_values"),
-                F.col(f"lo{i}").cast("string").alias("min_value"),
-                F.col(f"hi{i}").cast("string").alias("max_value"),
-            )
-            for i, f in enumerate(fields)
-        ]
+    columns = [F.col(f"`{f.name}`") for f in fields]
+    plain = [F.count("*").alias("rows")]
+    for i, column in enumerate(columns):
+        plain += [F.count_if(column.isNull()).alias(f"n{i}"), F.min(column).alias(f"lo{i}"), F.max(column).alias(f"hi{i}")]
+    sketches = [F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]
+
+    def per_column(one_row: DataFrame, *values) -> DataFrame:
+        rows = [F.struct(F.lit(f.name).alias("column_name"), *[v(i) for v in values]) for i, f in enumerate(fields)]
+        return one_row.select(F.inline(F.array(*rows)))
+
+    basic = (
+        lambda i: F.col("rows"),
+        lambda i: F.col(f"n{i}").alias("nulls"),
+        lambda i: F.col(f"lo{i}").cast("string").alias("min_value"),
+        lambda i: F.col(f"hi{i}").cast("string").alias("max_value"),
     )
-    return df.agg(*aggregates).select(F.inline(rows))
+    number = (lambda i: F.col(f"d{i}").alias("distinct_values"),)
+    if approximate:
+        stats = per_column(df.agg(*plain, *sketches), *basic, *number)
+    else:
+        # Apart from min and max, the distinct counts can use hash aggregation throughout.
+        counted = df.agg(*[F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)])
+        stats = per_column(df.agg(*plain), *basic).join(per_column(counted, *number), "column_name")
+    return stats.select("column_name", "rows", "nulls", "distinct_values", "min_value", "max_value")
