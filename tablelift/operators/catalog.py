@@ -30,16 +30,15 @@ def catalog_primary_key(constraints: DataFrame, key_usage: DataFrame) -> DataFra
 
 
 def catalog_columns(columns: DataFrame, constraints: DataFrame, key_usage: DataFrame) -> DataFrame:
-    """Columns of every table with ``is_primary_key``.
+    """Columns of every table with ``is_primary_key`` and the position in that key.
 
     ``columns``: table_schema, table_name, column_name, ordinal, data_type, max_length,
     num_precision, num_scale, is_nullable ('YES'/'NO'), column_default.
     """
     keys = (
         catalog_primary_key(constraints, key_usage)
-        .select(*_TABLE, "column_name")
-        .distinct()
-        .withColumn("__is_key", F.lit(True))
+        .groupBy(*_TABLE, "column_name")
+        .agg(F.min("ordinal").alias("key_ordinal"))
     )
     return columns.join(keys, [*_TABLE, "column_name"], "left").select(
         *_TABLE,
@@ -51,7 +50,8 @@ def catalog_columns(columns: DataFrame, constraints: DataFrame, key_usage: DataF
         "num_scale",
         (F.col("is_nullable") == "YES").alias("is_nullable"),
         "column_default",
-        F.coalesce("__is_key", F.lit(False)).alias("is_primary_key"),
+        F.col("key_ordinal").isNotNull().alias("is_primary_key"),
+        "key_ordinal",
     )
 
 
@@ -149,7 +149,7 @@ def column_clauses(columns: DataFrame, overrides: Mapping[str, str] | None = Non
 def catalog_spec(columns: DataFrame, overrides: Mapping[str, str] | None = None) -> DataFrame:
     """One target spec per table: (table_schema, table_name, n_columns, spec).
 
-    ``spec`` lists the column clauses in ordinal order and ends with the primary key, if any.
+    ``spec`` lists the column clauses in ordinal order and ends with the primary key in key order, if any.
     """
     clauses = column_clauses(columns, overrides).withColumn(
         "__key", F.when(F.col("is_primary_key"), F.col("column_name"))
@@ -157,7 +157,7 @@ def catalog_spec(columns: DataFrame, overrides: Mapping[str, str] | None = None)
     grouped = clauses.groupBy(*_TABLE).agg(
         F.count("*").alias("n_columns"),
         _ordered_list("clause", "ordinal", "column_name").alias("__columns"),
-        _ordered_list("__key", "ordinal", "column_name").alias("__keys"),
+        _ordered_list("__key", "key_ordinal", "column_name").alias("__keys"),
     )
     key = F.when(
         F.length("__keys") > 0, F.concat(F.lit(", CONSTRAINT "), F.col("table_name"), F.lit("_pkey PRIMARY KEY ("), F.col("__keys"), F.lit(")"))

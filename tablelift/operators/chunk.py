@@ -124,12 +124,13 @@ def merge_chunks(
     keep_chunk: bool = False,
 ) -> DataFrame:
     """All chunks of an export as one table; ``keep_chunk`` keeps the number that restores order."""
-    chunk = T.StructField("chunk", T.LongType())
     if schema is None:
-        merged = spark.read.options(**fmt.read_options()).csv(path)
-        names = [c for c in merged.columns if c != "chunk"]
-        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        schema = text
+        found = spark.read.options(**fmt.read_options()).csv(path).columns
+        names = [c for c in found if c != "chunk"]
+        if not fmt.header:
+            names = [f"column_{i}" for i in range(1, len(names) + 1)]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    chunk = T.StructField("chunk", T.LongType())
     merged = scan_delimited(spark, path, fmt, T.StructType(schema.fields + [chunk]))
     return merged if keep_chunk else merged.drop("chunk")
 

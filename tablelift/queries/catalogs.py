@@ -121,11 +121,13 @@ def _with(*names):
 _COLUMNS = """
     SELECT c.table_schema, c.table_name, c.ordinal, c.column_name, lower(c.data_type) AS data_type, c.max_length,
            c.num_precision, c.num_scale, c.is_nullable = 'YES' AS is_nullable, c.column_default,
-           EXISTS (SELECT 1 FROM m_constraints k JOIN m_key_usage u ON k.constraint_name = u.constraint_name
-                   AND k.table_schema = u.table_schema AND k.table_name = u.table_name
-                   WHERE k.constraint_type = 'PRIMARY KEY' AND u.table_schema = c.table_schema
-                   AND u.table_name = c.table_name AND u.column_name = c.column_name) AS is_primary_key
-    FROM m_columns c"""
+           k.key_ordinal IS NOT NULL AS is_primary_key, k.key_ordinal
+    FROM m_columns c LEFT JOIN (
+        SELECT u.table_schema, u.table_name, u.column_name, min(u.ordinal) AS key_ordinal
+        FROM m_constraints p JOIN m_key_usage u ON p.constraint_name = u.constraint_name
+        AND p.table_schema = u.table_schema AND p.table_name = u.table_name
+        WHERE p.constraint_type = 'PRIMARY KEY' GROUP BY ALL) k
+    ON c.table_schema = k.table_schema AND c.table_name = k.table_name AND c.column_name = k.column_name"""
 
 _TYPE = """CASE data_type WHEN 'decimal' THEN 'DECIMAL(' || num_precision || ',' || num_scale || ')'
     WHEN 'nvarchar' THEN CASE WHEN max_length > 0 THEN 'VARCHAR(' || max_length || ')' ELSE 'TEXT' END
@@ -179,7 +181,7 @@ ORACLES = {
         SELECT table_schema, table_name, count(*) AS n_columns,
                string_agg(clause, ', ' ORDER BY ordinal, column_name) ||
                coalesce(', CONSTRAINT ' || table_name || '_pkey PRIMARY KEY (' ||
-                   string_agg(column_name, ', ' ORDER BY ordinal, column_name) FILTER (is_primary_key) || ')', '') AS spec
+                   string_agg(column_name, ', ' ORDER BY key_ordinal, column_name) FILTER (is_primary_key) || ')', '') AS spec
         FROM d GROUP BY table_schema, table_name""",
     "column_clauses": _with("columns", "constraints", "key_usage")
     + f""", c AS ({_COLUMNS})
