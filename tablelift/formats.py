@@ -64,6 +64,7 @@ class FlatFormat:
         }
         if self.escape:
             options["escape"] = self.escape
+        if self.escape == self.quote:
             options["charToEscapeQuoteEscaping"] = _NO_CHARACTER
         return options
 

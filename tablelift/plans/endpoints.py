@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tablelift.formats import FlatFormat
 from tablelift.sinks.delimited import flat_file_path, write_delimited
 from tablelift.sinks.tables import load_gpkg, load_parquet, load_table
-from tablelift.sources.delimited import path_exists, scan_delimited, scan_manifest
+from tablelift.sources.delimited import manifest_tables, path_exists, scan_delimited, scan_manifest
 from tablelift.sources.jdbc import (
     JdbcEndpoint,
     jdbc_table_exists,
@@ -25,6 +25,7 @@ from tablelift.sources.jdbc import (
     scan_jdbc_query,
 )
 from tablelift.sources.listing import list_catalog, list_files, list_tables
+from tablelift.sources.records import scan_delimited_parallel
 
 
 class Source:
@@ -80,15 +81,21 @@ class FrameSource(Source):
 
 @dataclass(frozen=True)
 class ManifestSource(Source):
-    """Delimited files, each named as a table or by its stem; a missing file rejects the set."""
+    """Delimited files, each named as a table or by its stem; a missing file rejects the set.
+
+    ``large_files`` reads a file with quoted line breaks in parallel instead of in one task.
+    """
 
     entries: tuple[tuple[str, str | None], ...]
     fmt: FlatFormat = FlatFormat()
+    large_files: bool = False
 
     def tables(self, spark: SparkSession) -> list[str]:
         return list(scan_manifest(spark, self.entries, self.fmt))
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
+        if self.large_files:
+            return scan_delimited_parallel(spark, dict(manifest_tables(self.entries))[table], self.fmt)
         return scan_manifest(spark, self.entries, self.fmt)[table]
 
 

@@ -9,6 +9,7 @@ from tablelift.session import new_staging_dir
 from tablelift.sinks.delimited import flat_file_path, write_delimited
 from tablelift.sources import delimited
 from tablelift.sources.delimited import scan_delimited
+from tablelift.sources.records import scan_delimited_parallel
 
 EXACT = FlatFormat(collapse_empty=False)
 
@@ -35,6 +36,13 @@ def scan_pipe(spark, sf_dir):
     return _round_trip(spark, table(spark, sf_dir, "customer"), "customer", FlatFormat("pipe"))
 
 
+def scan_parallel(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    path = new_staging_dir(spark, "documents")
+    write_delimited(docs, path, EXACT)
+    return scan_delimited_parallel(spark, path, EXACT, docs.schema)
+
+
 def scan_cp1252(spark, sf_dir):
     return _round_trip(spark, table(spark, sf_dir, "documents"), "documents", FlatFormat(encoding="cp1252"))
 
@@ -144,7 +152,7 @@ def count_nonblank_lines(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_csv, export_csv_roundtrip, scan_tsv, scan_pipe, scan_cp1252, scan_headerless, scan_manifest, scan_raw_split,
+        scan_csv, export_csv_roundtrip, scan_tsv, scan_pipe, scan_parallel, scan_cp1252, scan_headerless, scan_manifest, scan_raw_split,
         encoding_detect, truncate_fields, field_count_check, header_detect, count_records, count_lines,
         count_nonblank_lines,
     )
@@ -158,6 +166,7 @@ ORACLES = {
     "export_csv_roundtrip": "SELECT * FROM events",
     "scan_tsv": "SELECT * FROM part",
     "scan_pipe": "SELECT * FROM customer",
+    "scan_parallel": "SELECT * FROM documents",
     "scan_cp1252": f"""
         SELECT doc_id, regexp_replace(text, '{_CP1252}', '?', 'g') AS text, lang, source, n_chars FROM documents""",
     "scan_headerless": """

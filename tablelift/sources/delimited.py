@@ -62,21 +62,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def manifest_tables(entries: Iterable[tuple[str, str | None]]) -> list[tuple[str, str]]:
+    """(table, path) of every entry; a table without a name takes the file's stem."""
+    tables = [(table or PurePosixPath(path).stem, path) for path, table in entries]
+    names = [t for t, _ in tables]
+    repeated = sorted({t for t in names if names.count(t) > 1})
+    if repeated:
+        raise ValueError(f"tables named twice in the manifest: {repeated}")
+    return tables
+
+
 def scan_manifest(
     spark: SparkSession, entries: Iterable[tuple[str, str | None]], fmt: FlatFormat = FlatFormat()
 ) -> dict[str, DataFrame]:
-    """Files to tables; a table without a name takes the file's stem.
-
-    The whole set is rejected before anything is read when a file is missing.
-    """
-    named = [(path, table or PurePosixPath(path).stem) for path, table in entries]
-    missing = [path for path, _ in named if not path_exists(spark, path)]
+    """Files to tables.  The whole set is rejected before anything is read when a file is missing."""
+    tables = manifest_tables(entries)
+    missing = [path for _, path in tables if not path_exists(spark, path)]
     if missing:
         raise FileNotFoundError(f"files missing from the manifest: {missing}")
-    repeated = {t for i, (_, t) in enumerate(named) if t in [x for _, x in named[:i]]}
-    if repeated:
-        raise ValueError(f"tables named twice in the manifest: {sorted(repeated)}")
-    return {table: scan_delimited(spark, path, fmt) for path, table in named}
+    return {table: scan_delimited(spark, path, fmt) for table, path in tables}
 
 
 # --------------------------------------------------------------------------- physical lines

@@ -50,6 +50,9 @@ CREATE TABLE gpkg_contents (
 """
 TABLE_KINDS = ("features", "attributes")
 
+# Rows that go to Spark at a time.
+BATCH_ROWS = 10_000
+
 GEOMETRY_KINDS = (
     "GEOMETRY", "POINT", "LINESTRING", "POLYGON", "MULTIPOINT", "MULTILINESTRING", "MULTIPOLYGON",
 )
@@ -146,22 +149,27 @@ class RowRange(InputPartition):
     last: int | None
 
 
-def _converter(data_type: DataType):
+def _column(values: tuple, data_type: DataType):
+    """One column of a batch as an Arrow array of the Spark type."""
+    import pyarrow as pa
     from datetime import date, datetime
 
+    def each(change):
+        return [None if v is None else change(v) for v in values]
+
+    if isinstance(data_type, LongType):
+        return pa.array(each(int), pa.int64())
+    if isinstance(data_type, DoubleType):
+        return pa.array(each(float), pa.float64())
     if isinstance(data_type, BooleanType):
-        return bool
+        return pa.array(each(bool), pa.bool_())
     if isinstance(data_type, DateType):
-        return date.fromisoformat
+        return pa.array(each(date.fromisoformat), pa.date32())
     if isinstance(data_type, TimestampNTZType):
-        return lambda text: datetime.fromisoformat(text.replace("Z", ""))
-    if isinstance(data_type, LongType):
-        return int
-    if isinstance(data_type, DoubleType):
-        return float
+        return pa.array(each(lambda v: datetime.fromisoformat(v.replace("Z", ""))), pa.timestamp("us"))
     if isinstance(data_type, BinaryType):
-        return lambda v: v if isinstance(v, bytes) else str(v).encode()
-    return lambda v: v if isinstance(v, str) else str(v)
+        return pa.array(each(lambda v: v if isinstance(v, bytes) else str(v).encode()), pa.binary())
+    return pa.array(each(lambda v: v if isinstance(v, str) else str(v)), pa.string())
 
 
 class GpkgReader(DataSourceReader):
@@ -190,18 +198,27 @@ class GpkgReader(DataSourceReader):
         return ranges
 
     def read(self, partition: RowRange):
+        import pyarrow as pa
+
         stored = [f for f in self.fields.fields if f.name != self.file_column]
-        convert = [_converter(f.dataType) for f in stored]
         table = _table_of(partition.file, partition.table)
         query = f"SELECT {', '.join(_quote(f.name) for f in stored)} FROM {_quote(table)}"
         bounds: tuple = ()
         if partition.first is not None:
             query += " WHERE rowid BETWEEN ? AND ?"
             bounds = (partition.first, partition.last)
-        origin = (os.path.splitext(os.path.basename(partition.file))[0],) if self.file_column else ()
+        stem = os.path.splitext(os.path.basename(partition.file))[0]
         with _open(partition.file) as connection:
-            for row in connection.execute(query, bounds):
-                yield tuple(None if v is None else c(v) for v, c in zip(row, convert)) + origin
+            cursor = connection.execute(query, bounds)
+            while rows := cursor.fetchmany(BATCH_ROWS):
+                columns = dict(zip((f.name for f in stored), zip(*rows)))
+                arrays = [
+                    pa.array([stem] * len(rows), pa.string())
+                    if f.name == self.file_column
+                    else _column(columns[f.name], f.dataType)
+                    for f in self.fields.fields
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=self.fields.names)
 
 
 @dataclass

@@ -6,6 +6,7 @@ from tablelift.formats import FlatFormat
 from tablelift.sinks.delimited import flat_file_path, staging_path, write_delimited
 from tablelift.sources import delimited
 from tablelift.sources.delimited import scan_delimited
+from tablelift.sources.records import has_quoted_line_breaks, scan_delimited_parallel
 
 
 def by_file(df):
@@ -134,3 +135,37 @@ def test_rows_per_file(spark, tmp_path):
     write_delimited(spark.range(25).coalesce(1), str(tmp_path / "t"), max_rows_per_file=10)
     assert len(list((tmp_path / "t").glob("*.csv"))) == 3
     assert scan_delimited(spark, str(tmp_path / "t")).count() == 25
+
+
+TANGLED = [None, "", "a,b", 'q"q', "l1\nl2", "x\r\ny", "\r", " pad ", "\n\n\n", "é€漢", "z" * 50 + "\n" + "w" * 80, '"\n"'] * 3
+
+
+@pytest.mark.parametrize("split_bytes", [16, 37, 100, 100_000])
+def test_parallel_scan_at_any_split(spark, tmp_path, split_bytes):
+    df = spark.createDataFrame(list(enumerate(TANGLED)), "id int, v string")
+    fmt = FlatFormat(collapse_empty=False)
+    write_delimited(df.coalesce(2), str(tmp_path / "t"), fmt)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = scan_delimited_parallel(spark, str(tmp_path / "t"), fmt, df.schema).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted((r.id, r.v) for r in got) == list(enumerate(TANGLED))
+
+
+def test_parallel_scan_of_other_files(spark, tmp_path):
+    (tmp_path / "crlf.csv").write_bytes(b'a,b\r\n1,"x\r\ny"\r\n\r\n2,z\r\n')
+    got = scan_delimited_parallel(spark, str(tmp_path / "crlf.csv")).collect()
+    assert sorted(map(tuple, got)) == [("1", "x\r\ny"), ("2", "z")]
+    (tmp_path / "slash.csv").write_text('1|"x\\"\ny"\n2|"\\\\"\n')
+    fmt = FlatFormat("pipe", escape="\\", header=False)
+    got = scan_delimited_parallel(spark, str(tmp_path / "slash.csv"), fmt).collect()
+    assert sorted(map(tuple, got)) == [("1", 'x"\ny'), ("2", "\\")]
+    (tmp_path / "plain.csv").write_text("a,b\n1,2\n")
+    assert not has_quoted_line_breaks(spark, str(tmp_path / "plain.csv"))
+    assert [tuple(r) for r in scan_delimited_parallel(spark, str(tmp_path / "plain.csv")).collect()] == [("1", "2")]
+    (tmp_path / "cp.csv").write_bytes('a\n"é\n€"\n'.encode("cp1252"))
+    got = scan_delimited_parallel(spark, str(tmp_path / "cp.csv"), FlatFormat(encoding="cp1252")).collect()
+    assert [r.a for r in got] == ["é\n€"]
