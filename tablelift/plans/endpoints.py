@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -158,6 +159,37 @@ class GpkgSource(Source):
         return spark.read.format("gpkg").option("table", table).load(self.path)
 
 
+@dataclass(frozen=True)
+class GpkgFolderSource(Source):
+    """A folder of GeoPackage files, each a table named by its stem.
+
+    A file with several layers gives one table ``<stem>.<layer>`` for each of them.
+    """
+
+    path: str
+
+    def _layers(self) -> dict[str, tuple[str, str]]:
+        from tablelift.sources.gpkg import gpkg_files, gpkg_tables
+
+        found = {}
+        for file in gpkg_files(self.path):
+            stem = PurePosixPath(file).stem
+            layers = gpkg_tables(file)
+            for layer in layers:
+                found[stem if len(layers) == 1 else f"{stem}.{layer}"] = (file, layer)
+        return found
+
+    def tables(self, spark: SparkSession) -> list[str]:
+        return sorted(self._layers())
+
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        from tablelift.sources.gpkg import register_gpkg
+
+        register_gpkg(spark)
+        file, layer = self._layers()[table]
+        return spark.read.format("gpkg").option("table", layer).load(file)
+
+
 @dataclass(frozen=True)
 class ParquetTarget(Target):
     path: str
@@ -180,7 +212,7 @@ class DelimitedTarget(Target):
     """A folder ``<schema>.<table>.<format>`` per table."""
 
     path: str
-    schema: str = "public"
+    schema: str | None = "public"
     fmt: FlatFormat = FlatFormat()
 
     def exists(self, spark: SparkSession, table: str) -> bool:

@@ -3,11 +3,10 @@
 from pyspark.sql import functions as F
 
 from tablelift.formats import FlatFormat
-from tablelift.operators.chunk import write_chunked
 from tablelift.queries.common import table
 from tablelift.session import new_staging_dir
 from tablelift.sinks.delimited import flat_file_path, write_delimited
-from tablelift.sources import delimited
+from tablelift.sources import delimited, records
 from tablelift.sources.delimited import scan_delimited
 from tablelift.sources.records import scan_delimited_parallel
 
@@ -113,15 +112,20 @@ def field_count_check(spark, sf_dir):
 
 def header_detect(spark, sf_dir):
     found = None
-    for name, key, size in (("customer", "c_custkey", 500), ("orders", "o_orderkey", 5000)):
+    for name, column in (("customer", "c_mktsegment"), ("orders", "o_orderpriority")):
+        df = table(spark, sf_dir, name).withColumn("part", F.regexp_replace(column, "[^A-Za-z0-9]", "_"))
         for header in (True, False):
             path = new_staging_dir(spark, "header")
-            write_chunked(table(spark, sf_dir, name), path, size, [key], FlatFormat(header=header), unique=True)
+            # One file per part: the shuffle brings all its rows into one task.
+            write_delimited(df.repartition("part"), path, FlatFormat(header=header), partition_by=["part"])
             verdicts = delimited.header_detect(spark, path, ",").select(
-                F.lit(name).alias("table_name"), F.lit(header).alias("written"), "has_header"
+                F.lit(name).alias("table_name"),
+                F.regexp_extract("file", "/part=([^/]+)/", 1).alias("part"),
+                F.lit(header).alias("written"),
+                "has_header",
             )
             found = verdicts if found is None else found.union(verdicts)
-    return found.groupBy("table_name", "written", "has_header").agg(F.count("*").alias("files"))
+    return found
 
 
 # Documents with blank lines inside the text, so that the three counts differ.
@@ -141,6 +145,10 @@ def count_records(spark, sf_dir):
     return _total(delimited.count_records(spark, _blank_line_documents(spark, sf_dir)))
 
 
+def count_records_parallel(spark, sf_dir):
+    return _total(records.count_records_parallel(spark, _blank_line_documents(spark, sf_dir)))
+
+
 def count_lines(spark, sf_dir):
     return _total(delimited.count_lines(spark, _blank_line_documents(spark, sf_dir)))
 
@@ -153,7 +161,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_csv, export_csv_roundtrip, scan_tsv, scan_pipe, scan_parallel, scan_cp1252, scan_headerless, scan_manifest, scan_raw_split,
-        encoding_detect, truncate_fields, field_count_check, header_detect, count_records, count_lines,
+        encoding_detect, truncate_fields, field_count_check, header_detect, count_records, count_records_parallel,
+        count_lines,
         count_nonblank_lines,
     )
 }
@@ -194,12 +203,13 @@ ORACLES = {
         FROM (SELECT CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 7 ELSE 6 END AS n FROM orders)
         GROUP BY n""",
     "header_detect": """
-        WITH n AS (
-            SELECT 'customer' AS table_name, (count(*) + 499) // 500 AS files FROM customer
-            UNION ALL SELECT 'orders', (count(*) + 4999) // 5000 FROM orders)
-        SELECT table_name, written, written AS has_header, CAST(files AS BIGINT) AS files
-        FROM n CROSS JOIN (VALUES (true), (false)) AS w(written)""",
+        SELECT table_name, part, written, written AS has_header
+        FROM (SELECT DISTINCT 'customer' AS table_name, regexp_replace(c_mktsegment, '[^A-Za-z0-9]', '_', 'g') AS part FROM customer
+              UNION ALL
+              SELECT DISTINCT 'orders', regexp_replace(o_orderpriority, '[^A-Za-z0-9]', '_', 'g') FROM orders)
+        CROSS JOIN (VALUES (true), (false)) AS w(written)""",
     "count_records": "SELECT count(*) AS rows FROM documents",
+    "count_records_parallel": "SELECT count(*) AS rows FROM documents",
     "count_lines": f"""
         SELECT CAST(sum(1 + length(t) - length(replace(t, chr(10), ''))) AS BIGINT) AS rows
         FROM (SELECT {_SPACED} AS t FROM documents)""",

@@ -18,9 +18,10 @@ def save_mode(if_exists: str) -> str:
     return SAVE_MODES[if_exists]
 
 
-def flat_file_path(root: str, schema: str, table: str, fmt: FlatFormat) -> str:
-    """``<root>/<schema>.<table>.<format>``: where a table's files go in a flat-file target."""
-    return f"{root.rstrip('/')}/{schema}.{table}.{fmt.format_type}"
+def flat_file_path(root: str, schema: str | None, table: str, fmt: FlatFormat) -> str:
+    """``<root>/[<schema>.]<table>.<format>``: where a table's files go in a flat-file target."""
+    name = f"{schema}.{table}" if schema else table
+    return f"{root.rstrip('/')}/{name}.{fmt.format_type}"
 
 
 def staging_path(root: str, database: str, schema: str, table: str) -> str:

@@ -50,34 +50,48 @@ def has_quoted_line_breaks(spark: SparkSession, path: str | list[str], fmt: Flat
     return not _placed_lines(spark, path, fmt).where("toggles = 1").isEmpty()
 
 
-def scan_records(spark: SparkSession, path: str | list[str], fmt: FlatFormat = FlatFormat()) -> DataFrame:
-    """One row per record, whole text: (file, split, record, value).  A header is a record too.
+def _in_split(lines: DataFrame) -> DataFrame:
+    """Add ``before`` (quoting toggled before the line) and the records started so far in the split.
 
-    ``record`` counts from 1 in the split the record starts in.
+    Both possible states at the start of the split are followed; which one holds is known later.
     """
-    in_split = Window.partitionBy("file", "split").orderBy("position")
-    so_far = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lines = _placed_lines(spark, path, fmt).withColumn(
-        "before", (F.sum("toggles").over(so_far) - F.col("toggles")) % 2
+    so_far = (
+        Window.partitionBy("file", "split").orderBy("position").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # How many records have started, when the split starts outside of quotes or inside.
-    lines = lines.withColumns(
+    lines = lines.withColumn("before", (F.sum("toggles").over(so_far) - F.col("toggles")) % 2)
+    return lines.withColumns(
         {
             "if_outside": F.sum(F.when(F.col("before") == 0, 1).otherwise(0)).over(so_far),
             "if_inside": F.sum(F.when(F.col("before") == 1, 1).otherwise(0)).over(so_far),
         }
     )
-    in_file = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _splits_before() -> Window:
+    return Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _starts_inside() -> Column:
+    """1 when the split starts inside of quotes: an odd number of toggles in the splits before."""
+    return F.coalesce(F.sum("toggles").over(_splits_before()), F.lit(0)) % 2
+
+
+def scan_records(spark: SparkSession, path: str | list[str], fmt: FlatFormat = FlatFormat()) -> DataFrame:
+    """One row per record, whole text: (file, split, record, value).  A header is a record too.
+
+    ``record`` counts from 1 in the split the record starts in.
+    """
+    lines = _in_split(_placed_lines(spark, path, fmt))
     splits = (
         lines.groupBy("file", "split")
         .agg(F.sum("toggles").alias("toggles"), F.max("if_outside").alias("if_outside"), F.max("if_inside").alias("if_inside"))
-        .withColumn("inside", F.coalesce(F.sum("toggles").over(in_file), F.lit(0)) % 2)
+        .withColumn("inside", _starts_inside())
         .withColumn("started", F.when(F.col("inside") == 0, F.col("if_outside")).otherwise(F.col("if_inside")))
     )
     # The record a split's first lines continue: the last one that started before the split.
     last_started = F.when(F.col("started") > 0, F.struct(F.col("split"), F.col("started").alias("record")))
     splits = splits.select(
-        "file", "split", "inside", F.last(last_started, ignorenulls=True).over(in_file).alias("open_record")
+        "file", "split", "inside", F.last(last_started, ignorenulls=True).over(_splits_before()).alias("open_record")
     )
     number = F.when(F.col("inside") == 0, F.col("if_outside")).otherwise(F.col("if_inside"))
     own = F.struct(F.col("split"), number.alias("record"))
@@ -92,6 +106,24 @@ def scan_records(spark: SparkSession, path: str | list[str], fmt: FlatFormat = F
     )
 
 
+def count_records_parallel(spark: SparkSession, path: str | list[str], fmt: FlatFormat = FlatFormat()) -> DataFrame:
+    """Records per file without its header: (file, rows).  No record is put together or parsed."""
+    lines = _placed_lines(spark, path, fmt)
+    blank = is_blank(F.col("value")) & (F.col("toggles") == 0)
+    lines = _in_split(lines.select("file", "split", "position", "toggles", blank.alias("blank")))
+
+    def started(state: int) -> Column:
+        return F.count_if((F.col("before") == state) & ~F.col("blank"))
+
+    splits = (
+        lines.groupBy("file", "split")
+        .agg(F.sum("toggles").alias("toggles"), started(0).alias("outside"), started(1).alias("inside"))
+        .withColumn("started", F.when(_starts_inside() == 0, F.col("outside")).otherwise(F.col("inside")))
+    )
+    header = 1 if fmt.header else 0
+    return splits.groupBy("file").agg(F.greatest(F.sum("started") - header, F.lit(0)).cast("bigint").alias("rows"))
+
+
 def scan_delimited_parallel(
     spark: SparkSession,
     path: str | list[str],

@@ -7,7 +7,7 @@ import sqlite3
 import pytest
 
 from tablelift import TransferPlan, run_transfer
-from tablelift.plans.endpoints import FrameSource, JdbcSource, JdbcTarget
+from tablelift.plans.endpoints import FrameSource, GpkgFolderSource, JdbcSource, JdbcTarget, ParquetTarget
 from tablelift.queries.databases import _database
 from tablelift.sinks.tables import load_gpkg
 from tablelift.sources import gpkg, jdbc
@@ -133,6 +133,22 @@ def test_gpkg_folder_and_ranges(spark, tmp_path):
     assert ranged.select("fid").distinct().count() == 200
 
 
+def test_gpkg_folder_as_tables(spark, tmp_path):
+    package(str(tmp_path / "north.gpkg"), [ROW])
+    package(str(tmp_path / "south.gpkg"), [ROW, (2, *ROW[1:])])
+    package(str(tmp_path / "two.gpkg"), [ROW], "roads")
+    with sqlite3.connect(str(tmp_path / "two.gpkg")) as connection:
+        connection.execute("CREATE TABLE rail (a INTEGER)")
+        connection.execute("INSERT INTO gpkg_contents (table_name, data_type, last_change) VALUES ('rail', 'attributes', '')")
+    connection.close()
+    source = GpkgFolderSource(str(tmp_path))
+    assert source.tables(spark) == ["north", "south", "two.rail", "two.roads"]
+    jobs = run_transfer(spark, TransferPlan(source, ParquetTarget(str(tmp_path / "out")), parallel_tables=2))
+    assert {r.table_name: (r.status, r.output_count) for r in jobs.collect()} == {
+        "north": ("SUCCESS", 1), "south": ("SUCCESS", 2), "two.rail": ("SUCCESS", 0), "two.roads": ("SUCCESS", 1),
+    }
+
+
 def test_gpkg_write(spark, tmp_path):
     row = (1, "x", 2.5, bytearray(b"\x01"), True, dt.date(2020, 1, 2), dt.datetime(2020, 1, 2, 3, 4, 5, 6), decimal.Decimal("1.50"))
     kinds = "a int, b string, c double, d binary, e boolean, f date, g timestamp_ntz, h decimal(5,2)"

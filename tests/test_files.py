@@ -6,7 +6,7 @@ from tablelift.formats import FlatFormat
 from tablelift.sinks.delimited import flat_file_path, staging_path, write_delimited
 from tablelift.sources import delimited
 from tablelift.sources.delimited import scan_delimited
-from tablelift.sources.records import has_quoted_line_breaks, scan_delimited_parallel
+from tablelift.sources.records import count_records_parallel, has_quoted_line_breaks, scan_delimited_parallel
 
 
 def by_file(df):
@@ -149,16 +149,19 @@ def test_parallel_scan_at_any_split(spark, tmp_path, split_bytes):
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
         got = scan_delimited_parallel(spark, str(tmp_path / "t"), fmt, df.schema).collect()
+        counted = count_records_parallel(spark, str(tmp_path / "t"), fmt).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert sorted((r.id, r.v) for r in got) == list(enumerate(TANGLED))
+    assert sum(r.rows for r in counted) == len(TANGLED)
 
 
 def test_parallel_scan_of_other_files(spark, tmp_path):
     (tmp_path / "crlf.csv").write_bytes(b'a,b\r\n1,"x\r\ny"\r\n\r\n2,z\r\n')
     got = scan_delimited_parallel(spark, str(tmp_path / "crlf.csv")).collect()
     assert sorted(map(tuple, got)) == [("1", "x\r\ny"), ("2", "z")]
+    assert count_records_parallel(spark, str(tmp_path / "crlf.csv")).first().rows == 2
     (tmp_path / "slash.csv").write_text('1|"x\\"\ny"\n2|"\\\\"\n')
     fmt = FlatFormat("pipe", escape="\\", header=False)
     got = scan_delimited_parallel(spark, str(tmp_path / "slash.csv"), fmt).collect()

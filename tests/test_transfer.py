@@ -17,6 +17,8 @@ from tablelift.plans.endpoints import (
     ParquetTarget,
 )
 
+from tablelift.sinks.tables import analyze_table, load_table
+
 
 def jobs_by_table(jobs):
     return {r.table_name: r for r in jobs.collect()}
@@ -137,6 +139,9 @@ def test_catalog_and_parquet_sources(spark, tmp_path, people):
     jobs = run_transfer(spark, TransferPlan(frames(people=people), CatalogTarget("lift")))
     assert jobs.first().status == "SUCCESS"
     assert CatalogSource("lift").tables(spark) == ["people"]
+    assert analyze_table(spark, "lift.people") and not analyze_table(spark, "lift.nobody")
+    assert load_table(people.limit(1), "lift.people", "skip") == "SKIPPED"
+    assert load_table(people, "lift.people", "replace") == "LOADED"
     jobs = run_transfer(spark, TransferPlan(CatalogSource("lift"), ParquetTarget(str(tmp_path / "out"))))
     assert jobs.first().status == "SUCCESS"
     assert ParquetSource(str(tmp_path / "out")).read(spark, "people").count() == 3
