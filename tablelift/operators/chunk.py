@@ -13,36 +13,56 @@ from tablelift.sources.delimited import scan_delimited
 DEFAULT_CHUNK_ROWS = 5_000_000
 DEFAULT_CHUNK_THRESHOLD = 50_000_000
 
-# Identical rows beyond this many are spread over several tasks.
+# Fewer equal rows than this never need to be spread over several tasks.
 _COPIES_PER_TASK = 100_000
+# Share of the rows looked at to find such rows.
+_SAMPLED = 0.01
 
-_PARTITION, _POSITION, _COPIES, _COPY = "__partition", "__position", "__copies", "__copy"
+_PARTITION, _POSITION, _COPIES, _COPY, _HASH = "__partition", "__position", "__copies", "__copy", "__hash"
 
 
 def _columns(names) -> list[Column]:
     return [F.col(f"`{n}`") for n in names]
 
 
-def _spread_copies(df: DataFrame) -> DataFrame:
-    """Give equal rows a copy number, so that even a table of one repeated row can be split.
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*_columns(df.columns))
 
-    Equal rows are counted with map-side combine; counts beyond ``_COPIES_PER_TASK`` are cut into
-    blocks and the blocks are shuffled before they are expanded, so no task expands them alone.
+
+def _hot_hashes(df: DataFrame, limit: int, ranges: int) -> list[int]:
+    """Hashes of rows repeated so often that they could fill a range of their own.
+
+    Looks at a sample, which only decides how the work is laid out: rows found here or missed are
+    numbered just the same.  A row that has more than ``1 / ranges`` of all rows is one of the
+    ``ranges`` most frequent ones, so no more than these are returned.
     """
-    counted = df.groupBy(*_columns(df.columns)).agg(F.count("*").alias(_COPIES))
-    few = counted.where(F.col(_COPIES) <= _COPIES_PER_TASK).withColumn(
-        _COPY, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(_COPIES)))
-    )
-    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({_COPIES} - 1) div {_COPIES_PER_TASK}")))
+    seen = df.select(_row_hash(df).alias(_HASH)).sample(fraction=_SAMPLED, seed=1)
+    counts = seen.groupBy(_HASH).agg(F.count("*").alias(_COPIES)).where(F.col(_COPIES) > limit * _SAMPLED / 2)
+    return [r[_HASH] for r in counts.orderBy(F.col(_COPIES).desc(), _HASH).limit(ranges).collect()]
+
+
+def _spread_copies(df: DataFrame, ranges: int) -> DataFrame:
+    """Add a hash of the row, and a copy number that tells the copies of very frequent rows apart.
+
+    Those rows are counted with map-side combine, the counts are cut into blocks, and the blocks
+    are shuffled before they are expanded, so no task expands one row's copies alone.
+    """
+    hashed = df.withColumn(_HASH, _row_hash(df))
+    one = F.lit(1).cast("bigint")
+    hot = _hot_hashes(df, _COPIES_PER_TASK, ranges)
+    if not hot:
+        return hashed.withColumn(_COPY, one)
     start = F.col("__block") * _COPIES_PER_TASK
-    many = (
-        counted.where(F.col(_COPIES) > _COPIES_PER_TASK)
-        .withColumn("__block", block)
-        .repartition(F.xxhash64(*_columns(df.columns), F.col("__block")))
-        .withColumn(_COPY, F.explode(F.sequence(start + 1, F.least(start + _COPIES_PER_TASK, F.col(_COPIES)))))
-        .drop("__block")
+    copies = (
+        hashed.where(F.col(_HASH).isin(hot))
+        .groupBy(*_columns(df.columns), _HASH)
+        .agg(F.count("*").alias(_COPIES))
+        .withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({_COPIES} - 1) div {_COPIES_PER_TASK}"))))
+        .repartition(ranges, _HASH, "__block")
+        .withColumn(_COPY, F.explode(F.sequence(start + one, F.least(start + _COPIES_PER_TASK, F.col(_COPIES)))))
+        .select(*_columns(df.columns), _HASH, _COPY)
     )
-    return few.unionByName(many).drop(_COPIES)
+    return hashed.where(~F.col(_HASH).isin(hot)).withColumn(_COPY, one).unionByName(copies)
 
 
 def number_rows(
@@ -54,15 +74,20 @@ def number_rows(
     (rows of the partitions before) + (position in the partition).  Writing fixes the placement:
     the counts and the numbers come from the same table, even if executors are lost.
 
-    Ties are broken by the remaining columns, so the numbers do not depend on the input's layout.
-    ``unique=True`` says that ``order_by`` is unique and saves the pass that spreads equal rows.
+    Ties are broken by a hash of the row, so the numbers do not depend on the input's layout and a
+    frequent key is spread over several ranges; the keys that Spark samples to find the ranges
+    stay small, however long the texts of a row are.  ``unique=True`` says that ``order_by`` is
+    unique and saves the pass that looks for rows repeated very often.
     """
     spark = df.sparkSession
-    rest = [c for c in df.columns if c not in order_by]
-    source = df if unique else _spread_copies(df)
-    keys = _columns(order_by) if unique else _columns(order_by) + _columns(rest) + [F.col(_COPY)]
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = source.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    keys = _columns(order_by)
+    if unique:
+        sorted_rows = df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    else:
+        keys = [*keys, F.col(_HASH), F.col(_COPY)]
+        rest = _columns(c for c in df.columns if c not in order_by)
+        sorted_rows = _spread_copies(df, ranges).repartitionByRange(ranges, *keys).sortWithinPartitions(*keys, *rest)
     # High bits of the id: partition; low 33 bits: position in it.
     row_id = F.monotonically_increasing_id()
     placed = sorted_rows.select(*_columns(df.columns), row_id.alias(_POSITION))

@@ -9,7 +9,7 @@ from tablelift.session import new_staging_dir
 
 def chunk_assign(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    return chunk.assign_chunks(orders, 1000, ["o_orderdate"]).select("o_orderkey", "chunk")
+    return chunk.assign_chunks(orders, 1000, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "chunk")
 
 
 def row_numbers(spark, sf_dir):
@@ -18,7 +18,7 @@ def row_numbers(spark, sf_dir):
 
 
 def chunk_counts(spark, sf_dir):
-    # Many equal rows: the copies are numbered as well.
+    # Many ties and many equal rows.
     lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity")
     chunked = chunk.assign_chunks(lines, 7000, ["l_returnflag"])
     return chunk.chunk_counts(chunked)

@@ -19,23 +19,49 @@ def test_numbers_follow_the_order(spark, ranges):
     rows = [(rng.randrange(20), rng.choice("abc")) for _ in range(500)] + [(None, "n"), (3, None)]
     got = chunk.number_rows(frame(spark, rows), ["k"], ranges=ranges).orderBy("rn").collect()
     assert [r.rn for r in got] == list(range(1, len(rows) + 1))
-    key = lambda r: ((r[0] is not None, r[0]), (r[1] is not None, r[1]))
-    assert [(r.k, r.v) for r in got] == sorted(rows, key=key)
-
-
-def test_one_row_repeated(spark, monkeypatch):
-    monkeypatch.setattr(chunk, "_COPIES_PER_TASK", 7)
-    rows = [(1, "same")] * 100 + [(2, "x"), (0, "y"), (0, "y")]
+    assert [r.k for r in got] == sorted((k for k, _ in rows), key=lambda k: (k is not None, k))
+    assert sorted(((r.k, r.v) for r in got), key=repr) == sorted(rows, key=repr)
+    # Another layout of the same rows gives the same numbers.
+    again = chunk.number_rows(frame(spark, rows[::-1]).coalesce(2), ["k"], ranges=ranges).orderBy("rn").collect()
+    assert again == got
+
+
+@pytest.mark.parametrize("per_task", [7, 100_000])
+def test_one_row_repeated(spark, monkeypatch, per_task):
+    monkeypatch.setattr(chunk, "_COPIES_PER_TASK", per_task)
+    monkeypatch.setattr(chunk, "_SAMPLED", 1.0)
+    rows = [(1, "same")] * 100 + [(2, "x"), (0, "y"), (0, "y")] + [(4, "z")] * 9
     chunked = chunk.assign_chunks(frame(spark, rows), 10, ["k"], ranges=6)
     counts = {r.chunk: r.rows for r in chunk.chunk_counts(chunked).collect()}
-    assert counts == {**{i: 10 for i in range(10)}, 10: 3}
+    assert counts == {**{i: 10 for i in range(11)}, 11: 2}
     assert sorted((r.k, r.v) for r in chunked.drop("chunk").collect()) == sorted(rows)
 
 
 def test_copies_do_not_share_a_range(spark, monkeypatch):
     monkeypatch.setattr(chunk, "_COPIES_PER_TASK", 50)
-    spread = chunk._spread_copies(frame(spark, [(1, "same")] * 4000))
-    placed = spread.repartitionByRange(8, "k", "v", "__copy").groupBy(F.spark_partition_id()).count().collect()
+    monkeypatch.setattr(chunk, "_SAMPLED", 1.0)
+    df = frame(spark, [(1, "same")] * 4000 + [(k, "other") for k in range(500)])
+    assert len(chunk._hot_hashes(df, 50, 8)) == 1
+    spread = chunk._spread_copies(df, 8)
+    assert spread.select("k", "v", "__copy").distinct().count() == 4500
+    placed = spread.repartitionByRange(8, "k", "__hash", "__copy").groupBy(F.spark_partition_id()).count().collect()
+    assert len(placed) == 8 and max(r["count"] for r in placed) < 1500
+
+
+def test_the_sample_finds_hot_rows(spark, monkeypatch):
+    monkeypatch.setattr(chunk, "_COPIES_PER_TASK", 20_000)
+    df = spark.range(100_000).selectExpr("IF(id % 3 = 0, -1, id) AS k").repartition(4)
+    assert len(chunk._hot_hashes(df, 20_000, 8)) == 1
+    numbered = chunk.number_rows(df, ["k"], ranges=8)
+    assert tuple(numbered.selectExpr("count(*)", "count(DISTINCT rn)", "max(rn)").first()) == (100_000,) * 3
+    assert numbered.where("k = -1").selectExpr("max(rn)").first()[0] == 33_334
+
+
+def test_a_hot_key_is_split(spark):
+    df = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").cast("string").alias("v"))
+    assert chunk._hot_hashes(df, 50, 8) == []
+    spread = chunk._spread_copies(df, 8)
+    placed = spread.repartitionByRange(8, "k", "__hash", "__copy").groupBy(F.spark_partition_id()).count().collect()
     assert len(placed) == 8 and max(r["count"] for r in placed) < 1500
 
 
