@@ -159,6 +159,12 @@ def spark_schema(specs: Sequence[ColumnSpec], overrides: Mapping[str, str] | Non
     return T.StructType(fields)
 
 
+def sized_text_types(specs: Sequence[ColumnSpec], overrides: Mapping[str, str] | None = None) -> str:
+    """``name VARCHAR(n), ...``: the lengths a database writer would not know from Spark's types."""
+    named = [(s.name, target_type(s, overrides)) for s in specs if s.data_type.lower() in SIZED_TEXT]
+    return ", ".join(f"`{name}` {kind}" for name, kind in named if "(" in kind)
+
+
 def cast_to_schema(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
     """Cast text columns to the fields of ``schema``, by name, in schema order."""
     return df.select(*[from_text(F.col(f"`{f.name}`"), f.dataType, strict).alias(f.name) for f in schema.fields])

@@ -5,11 +5,11 @@ Each takes the catalog's own tables as DataFrames and answers for all tables at
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tablelift.functions.typemap import default_clause, target_type_column
+from tablelift.functions.typemap import default_clause, sqlite_target_type, target_type_column
 
 _TABLE = ["table_schema", "table_name"]
 
@@ -165,6 +165,33 @@ def catalog_spec(columns: DataFrame, overrides: Mapping[str, str] | None = None)
     return grouped.select(*_TABLE, "n_columns", F.concat("__columns", F.coalesce(key, F.lit(""))).alias("spec"))
 
 
+def schema_spec(schema: T.StructType, target_of: Callable[[T.StructField], str]) -> str:
+    """The target spec of one table from its Spark schema, as :func:`catalog_spec` writes it.
+
+    Defaults and key columns are those in the field metadata (see ``sources/gpkg``).
+    """
+    clauses = []
+    for f in schema.fields:
+        default = f.metadata.get("default")
+        clauses.append(
+            f"{f.name} {target_of(f)}{'' if f.nullable else ' NOT NULL'}{'' if default is None else f' DEFAULT {default}'}"
+        )
+    keys = [f.name for f in schema.fields if f.metadata.get("is_pk")]
+    if keys:
+        clauses.append(f"PRIMARY KEY ({', '.join(keys)})")
+    return ", ".join(clauses)
+
+
+def text_spec(schema: T.StructType, text_type: str = "TEXT") -> str:
+    """Target spec of a file table: every column is text."""
+    return schema_spec(schema, lambda f: text_type)
+
+
+def gpkg_spec(schema: T.StructType) -> str:
+    """Target spec of a GeoPackage table; geometry columns keep their kind."""
+    return schema_spec(schema, lambda f: sqlite_target_type(f.metadata["source_type"]))
+
+
 def index_clauses(indexes: DataFrame) -> DataFrame:
     """Target CREATE INDEX text of every index of :func:`catalog_indexes`."""
     unique = F.when(F.col("is_unique"), F.lit("UNIQUE ")).otherwise(F.lit(""))

@@ -131,10 +131,11 @@ def write_chunked(
 ) -> None:
     """Export in ``ceil(rows / chunk_rows)`` folders ``chunk=<n>``, each file with a header.
 
+    Without ``order_by`` rows go by their hash: any order, but the same for the same rows.
     ``one_file`` shuffles by chunk so that a chunk is exactly one file.  Without it the sorted
     rows are written where they are: no second shuffle, a chunk may be two or three files.
     """
-    chunked = assign_chunks(df, chunk_rows, order_by or df.columns, unique=unique)
+    chunked = assign_chunks(df, chunk_rows, order_by or [], unique=unique and bool(order_by))
     if one_file:
         chunked = chunked.repartition("chunk")
     chunked = chunked.sortWithinPartitions("chunk", *_columns(order_by or []))

@@ -174,7 +174,7 @@ def row_digest(spark, sf_dir):
 def column_stats(spark, sf_dir):
     stats = None
     for name in ("orders", "customer"):
-        one = sinks.column_stats(table(spark, sf_dir, name)).select(F.lit(name).alias("table_name"), "*")
+        one = sinks.column_stats(table(spark, sf_dir, name), approximate=False).select(F.lit(name).alias("table_name"), "*")
         stats = one if stats is None else stats.union(one)
     return stats
 

@@ -55,11 +55,11 @@ def _comparable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.ArrayType, T.StructType, T.BinaryType))
 
 
-def column_stats(df: DataFrame, approximate: bool = False) -> DataFrame:
+def column_stats(df: DataFrame, approximate: bool = True) -> DataFrame:
     """Per column: rows, nulls, distinct values, least and greatest value as text.
 
-    Exact distinct counts shuffle one row per (column, value) after map-side combine;
-    ``approximate`` uses sketches and needs a single pass with one row per task.
+    Distinct values are estimated by sketches in the same single pass, one row per task.  Exact
+    counts (``approximate=False``) shuffle one row per (column, value) after map-side combine.
     """
     fields = [f for f in df.schema.fields if _comparable(f.dataType)]
     columns = [F.col(f"`{f.name}`") for f in fields]

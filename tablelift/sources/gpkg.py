@@ -13,6 +13,7 @@ import os
 import sqlite3
 import sys
 from dataclasses import dataclass
+from urllib.parse import urlparse
 from uuid import uuid4
 
 from pyspark import cloudpickle
@@ -88,7 +89,7 @@ def _quote(name: str) -> str:
 
 
 def _local(path: str) -> str:
-    return path[len("file:"):].replace("//", "/", 1) if path.startswith("file:") else path
+    return urlparse(path).path if path.startswith("file:") else path
 
 
 def _open(path: str) -> sqlite3.Connection:

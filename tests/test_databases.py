@@ -6,7 +6,9 @@ import sqlite3
 
 import pytest
 
-from tablelift import TransferPlan, run_transfer
+from tablelift import ColumnSpec, TransferPlan, run_transfer
+from tablelift.functions.typemap import sized_text_types
+from tablelift.operators.catalog import gpkg_spec, text_spec
 from tablelift.plans.endpoints import FrameSource, GpkgFolderSource, JdbcSource, JdbcTarget, ParquetTarget
 from tablelift.queries.databases import _database
 from tablelift.sinks.tables import load_gpkg
@@ -64,6 +66,16 @@ def test_load_modes(spark, endpoint, people):
     assert jdbc.scan_jdbc(spark, endpoint, "PEOPLE").count() == 5
 
 
+def test_declared_lengths_reach_the_database(spark):
+    specs = [ColumnSpec("id", "int"), ColumnSpec("name", "nvarchar", max_length=3), ColumnSpec("note", "nvarchar", max_length=-1)]
+    assert sized_text_types(specs) == "`name` VARCHAR(3)"
+    where = _database()
+    jdbc.load_jdbc(spark.createDataFrame([(1, "abc")], "id int, name string"), where, "T", column_types=sized_text_types(specs))
+    too_long = spark.createDataFrame([(2, "abcd")], "id int, name string")
+    with pytest.raises(Exception, match="truncation"):
+        too_long.write.format("jdbc").options(**where.options()).option("dbtable", "T").mode("append").save()
+
+
 def test_empty_table(spark, people):
     where = _database()
     jdbc.load_jdbc(people.where("id < 0"), where, "NOBODY")
@@ -118,6 +130,11 @@ def test_gpkg_schema_and_rows(spark, tmp_path):
     assert tuple(first) == (1, "a", 1.5, b"GP\x00\x01", dt.datetime(2024, 5, 6, 7, 8, 9), dt.date(2024, 5, 6), True, "n")
     assert tuple(second) == (2, "b", None, None, None, None, False, None)
     assert gpkg.gpkg_tables(file) == ["places"]
+    assert gpkg_spec(schema) == (
+        "fid INTEGER, name TEXT NOT NULL, size DOUBLE PRECISION, geom GEOMETRY(POINT), seen TIMESTAMP, day DATE, "
+        "ok BOOLEAN DEFAULT 1, note VARCHAR(9), PRIMARY KEY (fid)"
+    )
+    assert text_spec(df.select("name", "day").schema, "VARCHAR(MAX)") == "name VARCHAR(MAX) NOT NULL, day VARCHAR(MAX)"
     with pytest.raises(Exception, match="registers no table hidden"):
         spark.read.format("gpkg").option("table", "hidden").load(file).collect()
 
