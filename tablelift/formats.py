@@ -21,7 +21,9 @@ class FlatFormat:
 
     ``quote=None`` switches quoting off: the quote character is then ordinary data.
     ``collapse_empty`` makes empty text and NULL the same on load (both NULL); switch it off to
-    get both back as written.
+    get both back as written.  ``null_text`` is a text that stands for NULL instead: it is written
+    for NULL, read as NULL, and empty fields are then empty text.
+    ``row_delimiter`` ends a record; by default any of the usual line ends.
     """
 
     format_type: str = "csv"
@@ -32,6 +34,8 @@ class FlatFormat:
     encoding: str = "utf-8"
     collapse_empty: bool = True
     multi_line: bool = True
+    null_text: str = ""
+    row_delimiter: str | None = None
 
     def __post_init__(self) -> None:
         if self.format_type not in DELIMITERS:
@@ -66,15 +70,20 @@ class FlatFormat:
             options["escape"] = self.escape
         if self.escape == self.quote:
             options["charToEscapeQuoteEscaping"] = _NO_CHARACTER
+        if self.row_delimiter:
+            options["lineSep"] = self.row_delimiter
         return options
 
     def write_options(self) -> dict[str, str]:
-        return self._shared_options()
+        options = self._shared_options()
+        if self.null_text:
+            options["nullValue"] = self.null_text
+        return options
 
     def read_options(self) -> dict[str, str]:
         options = self._shared_options()
         options["multiLine"] = str(self.multi_line).lower()
-        if not self.collapse_empty:
+        if self.null_text or not self.collapse_empty:
             options["nullValue"] = _NO_CHARACTER
             options["emptyValue"] = ""
         return options

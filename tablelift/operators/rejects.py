@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tablelift.formats import FlatFormat
 from tablelift.functions.render import from_text
-from tablelift.functions.text import latin1_to_cp1252
 from tablelift.functions.typemap import ColumnSpec, cast_to_schema, spark_schema
+from tablelift.sources.delimited import restore_text
 
 _RECORD = "__record"
 _MAX_LENGTH = 2_147_483_647
@@ -43,8 +43,8 @@ def classify_records(
         .schema(schema)
         .csv(path)
     )
-    if fmt.is_cp1252:
-        raw = raw.select(*[latin1_to_cp1252(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+    restored = restore_text(raw.select(*[F.col(f"`{n}`") for n in [*names, _RECORD]]), fmt)
+    raw = restored if not fmt.null_text else restored.withColumn(_RECORD, F.nullif(_RECORD, F.lit("")))
     types = spark_schema(specs)
 
     def failing(test) -> F.Column:

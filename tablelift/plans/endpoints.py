@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablelift.formats import FlatFormat
 from tablelift.sinks.delimited import flat_file_path, write_delimited
-from tablelift.sinks.tables import load_gpkg, load_parquet, load_table
+from tablelift.sinks.tables import analyze_table, load_gpkg, load_parquet, load_table
 from tablelift.sources.delimited import manifest_tables, path_exists, scan_delimited, scan_manifest
 from tablelift.sources.jdbc import (
     JdbcEndpoint,
@@ -53,6 +53,10 @@ class Target:
     def count(self, spark: SparkSession, table: str) -> int:
         return self.read(spark, table).count()
 
+    def analyze(self, spark: SparkSession, table: str) -> bool:
+        """Maintenance after a load; False when there is none or it did not work."""
+        return False
+
 
 @dataclass(frozen=True)
 class ParquetSource(Source):
@@ -238,6 +242,9 @@ class CatalogTarget(Target):
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.table(f"{self.database}.{table}")
 
+    def analyze(self, spark: SparkSession, table: str) -> bool:
+        return analyze_table(spark, f"{self.database}.{table}", columns=False)
+
 
 @dataclass(frozen=True)
 class JdbcTarget(Target):

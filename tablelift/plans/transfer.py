@@ -117,6 +117,7 @@ def _move(spark: SparkSession, plan: TransferPlan, table: str, previous: _Previo
 
     if job["input_count"] != job["output_count"]:
         return "WARNING", f"Row count mismatch: {job['input_count']} vs {job['output_count']}"
+    plan.target.analyze(spark, table)
     if plan.verify == "rows":
         keys = list(plan.keys.get(table, source.columns))
         found = difference_summary(reconcile_rows(source, plan.target.read(spark, table), keys)).first()

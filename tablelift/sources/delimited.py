@@ -16,7 +16,7 @@ from tablelift.functions.structure import (
     looks_like_header,
     truncate_fields as truncate_line,
 )
-from tablelift.functions.text import is_blank, latin1_to_cp1252, map_strings
+from tablelift.functions.text import is_blank, latin1_to_cp1252, map_strings, null_marker
 from tablelift.functions.typemap import cast_to_schema
 
 # Bytes windows-1252 leaves unused, as latin-1 characters.
@@ -27,6 +27,15 @@ def _text_schema(names: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def restore_text(df: DataFrame, fmt: FlatFormat) -> DataFrame:
+    """Texts as they were before the write: cp1252 characters, and NULL for the format's marker."""
+    if fmt.is_cp1252:
+        df = map_strings(df, latin1_to_cp1252)
+    if fmt.null_text:
+        df = map_strings(df, lambda c: null_marker(F.coalesce(c, F.lit("")), fmt.null_text))
+    return df
+
+
 def scan_delimited(
     spark: SparkSession,
     path: str | list[str],
@@ -46,8 +55,7 @@ def scan_delimited(
         df = reader.csv(path)
         if not fmt.header:
             df = df.toDF(*[f"column_{i}" for i in range(1, len(df.columns) + 1)])
-    if fmt.is_cp1252:
-        df = map_strings(df, latin1_to_cp1252)
+    df = restore_text(df, fmt)
     return df if schema is None else cast_to_schema(df, schema, strict)
 
 

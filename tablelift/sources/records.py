@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from tablelift.formats import FlatFormat
 from tablelift.functions.text import is_blank, latin1_to_cp1252
 from tablelift.functions.typemap import cast_to_schema
-from tablelift.sources.delimited import scan_delimited
+from tablelift.sources.delimited import restore_text, scan_delimited
 
 
 def _placed_lines(spark: SparkSession, path: str | list[str], fmt: FlatFormat) -> DataFrame:
@@ -25,7 +25,7 @@ def _placed_lines(spark: SparkSession, path: str | list[str], fmt: FlatFormat) -
         line = F.decode(line.cast("binary"), "iso-8859-1")
     if fmt.is_cp1252:
         line = latin1_to_cp1252(line)
-    lines = spark.read.option("lineSep", "\n").text(path)
+    lines = spark.read.option("lineSep", fmt.row_delimiter or "\n").text(path)
     return lines.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
@@ -102,7 +102,7 @@ def scan_records(spark: SparkSession, path: str | list[str], fmt: FlatFormat = F
         "value",
     )
     return placed.groupBy("file", F.col("home.split").alias("split"), F.col("home.record").alias("record")).agg(
-        F.expr(r"listagg(value, '\n') WITHIN GROUP (ORDER BY place)").alias("value")
+        F.expr(f"listagg(value, '{fmt.row_delimiter or chr(10)}') WITHIN GROUP (ORDER BY place)").alias("value")
     )
 
 
@@ -146,5 +146,6 @@ def scan_delimited_parallel(
     options = {k: v for k, v in fmt.read_options().items() if k not in ("header", "multiLine", "encoding")}
     record = F.regexp_replace("value", "\r$", "")
     parsed = records.select(F.from_csv(record, text_columns, options).alias("r"))
-    df = parsed.select("r.*")
+    # The lines have been decoded already.
+    df = restore_text(parsed.select("r.*"), replace(fmt, encoding="utf-8"))
     return df if schema is None else cast_to_schema(df, schema, strict)

@@ -60,6 +60,13 @@ def test_rejects(spark, tmp_path):
     assert counts == {"ok": 3, "conversion": 1, "syntax": 2, "length": 1, "null": 1}
 
 
+def test_rejects_with_a_null_text(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\nNULL,x\n1,\n2,NULL\n3\n")
+    split = rejects.split_rejects(spark, str(tmp_path), SPECS, FlatFormat(null_text="NULL"))
+    assert rows(split.good) == [(1, ""), (2, None)]
+    assert sorted(r.reason for r in split.rejects.collect()) == ["null", "syntax"]
+
+
 def test_rejects_of_an_all_text_table(spark, tmp_path):
     (tmp_path / "t.csv").write_text("1|x\n2|y|z\n")
     specs = [ColumnSpec("a", "ntext"), ColumnSpec("b", "ntext")]

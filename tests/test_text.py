@@ -12,6 +12,7 @@ from tablelift.functions.render import render_field, render_geom, render_lines
 from tablelift.functions.text import charset_loses, null_marker, strip_control, to_charset
 from tablelift.sinks.delimited import lossy_rows, write_delimited
 from tablelift.sources.delimited import scan_delimited
+from tablelift.sources.records import scan_delimited_parallel
 
 TRICKY = [
     None, "", "a,b", 'q"q', "l1\nl2", "x\r\ny", "\r", " pad ", "\\N", "\\", 'a\\"b', "#c", "é€漢", "nul\x00x\x1a", "a|b\tc", '"', '""',
@@ -86,6 +87,16 @@ def test_cp1252_file(spark, tmp_path):
     assert values(scan_delimited(spark, str(tmp_path / "t"), fmt, df.schema), "v") == ["é€", "?x", "plain", "“q”", "?"]
 
 
+def test_null_text_and_row_delimiter(spark, tmp_path):
+    df = one_column(spark, ["a", None, "", "x\ny"])
+    fmt = FlatFormat("pipe", null_text="NULL", row_delimiter="~")
+    write_delimited(df.coalesce(1), str(tmp_path / "t"), fmt)
+    (file,) = (tmp_path / "t").glob("*.csv")
+    assert file.read_text() == 'id|v~0|a~1|NULL~2|""~3|"x\ny"~'
+    assert values(scan_delimited(spark, str(tmp_path / "t"), fmt, df.schema), "v") == ["a", None, "", "x\ny"]
+    assert values(scan_delimited_parallel(spark, str(tmp_path / "t"), fmt, df.schema), "v") == ["a", None, "", "x\ny"]
+
+
 def test_typed_round_trip(spark, tmp_path):
     row = (
         1, True, 1.5e10, decimal.Decimal("12.340"), dt.date(2020, 2, 29), dt.datetime(2021, 1, 2, 3, 4, 5, 678901),
