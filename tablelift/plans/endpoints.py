@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tablelift.formats import FlatFormat
 from tablelift.sinks.delimited import flat_file_path, write_delimited
 from tablelift.sinks.tables import analyze_table, load_gpkg, load_parquet, load_table
-from tablelift.sources.delimited import manifest_tables, path_exists, scan_delimited, scan_manifest
+from tablelift.sources.delimited import detected_format, manifest_tables, path_exists, scan_delimited, scan_manifest
 from tablelift.sources.jdbc import (
     JdbcEndpoint,
     jdbc_table_exists,
@@ -89,19 +89,21 @@ class ManifestSource(Source):
     """Delimited files, each named as a table or by its stem; a missing file rejects the set.
 
     ``large_files`` reads a file with quoted line breaks in parallel instead of in one task.
+    ``detect_encoding`` goes by the bytes of each file instead of the format's encoding.
     """
 
     entries: tuple[tuple[str, str | None], ...]
     fmt: FlatFormat = FlatFormat()
     large_files: bool = False
+    detect_encoding: bool = False
 
     def tables(self, spark: SparkSession) -> list[str]:
         return list(scan_manifest(spark, self.entries, self.fmt))
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        if self.large_files:
-            return scan_delimited_parallel(spark, dict(manifest_tables(self.entries))[table], self.fmt)
-        return scan_manifest(spark, self.entries, self.fmt)[table]
+        path = dict(manifest_tables(self.entries))[table]
+        fmt = detected_format(spark, path, self.fmt) if self.detect_encoding else self.fmt
+        return scan_delimited_parallel(spark, path, fmt) if self.large_files else scan_delimited(spark, path, fmt)
 
 
 @dataclass(frozen=True)

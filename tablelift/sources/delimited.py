@@ -150,6 +150,16 @@ def field_count_check(spark: SparkSession, path: str | list[str], delimiter: str
     )
 
 
+def file_verdicts(checked: DataFrame) -> DataFrame:
+    """One verdict per file from :func:`field_count_check`: the worst of its lines."""
+    worst = (
+        F.when(F.bool_or(F.col("verdict") == "missing"), "missing")
+        .when(F.bool_or(F.col("verdict") == "extra"), "extra")
+        .otherwise("ok")
+    )
+    return checked.groupBy("file").agg(F.sum("lines").alias("lines"), worst.alias("verdict"))
+
+
 def truncate_fields(lines: DataFrame, delimiter: str, keep: int, column: str = "value") -> DataFrame:
     """Drop blank lines and keep the first ``keep`` fields of every other line."""
     kept = lines.where(~is_blank(F.col(column)))

@@ -66,6 +66,7 @@ def test_field_counts_and_truncation(spark, tmp_path):
     found = delimited.field_count_check(spark, str(tmp_path), "|", 2)
     rows = sorted((r.file.rsplit("/", 1)[1], r.n_fields, r.lines, r.verdict) for r in found.collect())
     assert rows == [("bad.txt", 1, 1, "missing"), ("bad.txt", 2, 1, "ok"), ("bad.txt", 3, 1, "extra"), ("ok.txt", 2, 2, "ok")]
+    assert by_file(delimited.file_verdicts(found)) == {"bad.txt": (3, "missing"), "ok.txt": (2, "ok")}
     lines = delimited.scan_lines(spark, str(tmp_path / "bad.txt"))
     assert sorted(r.value for r in delimited.truncate_fields(lines, "|", 2).collect()) == ["1", "1|2", "a|b"]
 

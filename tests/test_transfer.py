@@ -134,6 +134,20 @@ def test_batch_and_file_targets(spark, tmp_path, people):
     assert run_batch(spark, []).count() == 0
 
 
+def test_encodings_are_detected(spark, tmp_path):
+    (tmp_path / "one.csv").write_bytes('id,v\n1,"é\n€"\n'.encode("cp1252"))
+    (tmp_path / "two.csv").write_bytes("id,v\n1,漢\n".encode())
+    entries = ((str(tmp_path / "one.csv"), None), (str(tmp_path / "two.csv"), None))
+    target = ParquetTarget(str(tmp_path / "out"))
+    for large in (False, True):
+        jobs = run_transfer(spark, TransferPlan(ManifestSource(entries, detect_encoding=True, large_files=large), target))
+        assert {r.status for r in jobs.collect()} == {"SUCCESS"}
+        assert [target.read(spark, t).first().v for t in ("one", "two")] == ["é\n€", "漢"]
+    missing = ManifestSource((*entries, (str(tmp_path / "gone.csv"), None)))
+    with pytest.raises(FileNotFoundError):
+        run_transfer(spark, TransferPlan(missing, target))
+
+
 def test_catalog_and_parquet_sources(spark, tmp_path, people):
     spark.sql("CREATE DATABASE IF NOT EXISTS lift LOCATION '%s'" % (tmp_path / "lift"))
     jobs = run_transfer(spark, TransferPlan(frames(people=people), CatalogTarget("lift")))
