@@ -55,10 +55,11 @@ def scan_headerless(spark, sf_dir):
 
 def scan_manifest(spark, sf_dir):
     root = new_staging_dir(spark, "manifest")
+    fmt = FlatFormat(multi_line=False)  # no line breaks in these tables: large files can be split
     entries = [("customer", None), ("orders", "Orders"), ("lineitem", "lines")]
     for name, _ in entries:
-        write_delimited(table(spark, sf_dir, name), f"{root}/{name}.csv")
-    tables = delimited.scan_manifest(spark, [(f"{root}/{name}.csv", alias) for name, alias in entries])
+        write_delimited(table(spark, sf_dir, name), f"{root}/{name}.csv", fmt)
+    tables = delimited.scan_manifest(spark, [(f"{root}/{name}.csv", alias) for name, alias in entries], fmt)
     counts = [df.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows")) for name, df in tables.items()]
     return counts[0].union(counts[1]).union(counts[2])
 

@@ -72,8 +72,14 @@ def _splits_before() -> Window:
 
 
 def _starts_inside() -> Column:
-    """1 when the split starts inside of quotes: an odd number of toggles in the splits before."""
-    return F.coalesce(F.sum("toggles").over(_splits_before()), F.lit(0)) % 2
+    """1 when the split starts inside of quotes: an odd number of toggles in the splits before.
+
+    Raises for a file whose quotes do not pair up, before its rest is taken for one record.
+    """
+    inside = F.coalesce(F.sum("toggles").over(_splits_before()), F.lit(0)) % 2
+    unpaired = F.sum("toggles").over(Window.partitionBy("file")) % 2 == 1
+    message = F.concat(F.lit("unterminated quoted field in "), F.col("file"))
+    return F.when(unpaired, F.raise_error(message).cast("bigint")).otherwise(inside)
 
 
 def scan_records(spark: SparkSession, path: str | list[str], fmt: FlatFormat = FlatFormat()) -> DataFrame:

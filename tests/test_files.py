@@ -173,3 +173,11 @@ def test_parallel_scan_of_other_files(spark, tmp_path):
     (tmp_path / "cp.csv").write_bytes('a\n"é\n€"\n'.encode("cp1252"))
     got = scan_delimited_parallel(spark, str(tmp_path / "cp.csv"), FlatFormat(encoding="cp1252")).collect()
     assert [r.a for r in got] == ["é\n€"]
+
+
+def test_parallel_scan_refuses_unpaired_quotes(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n1,"x\n2,y\n')
+    with pytest.raises(Exception, match="unterminated quoted field in .*t.csv"):
+        scan_delimited_parallel(spark, str(tmp_path / "t.csv")).collect()
+    with pytest.raises(Exception, match="unterminated quoted field"):
+        count_records_parallel(spark, str(tmp_path / "t.csv")).collect()
