@@ -24,6 +24,7 @@ class FlatFormat:
     get both back as written.  ``null_text`` is a text that stands for NULL instead: it is written
     for NULL, read as NULL, and empty fields are then empty text.
     ``row_delimiter`` ends a record; by default any of the usual line ends.
+    ``compression`` is the codec of written files; readers go by the file name.
     """
 
     format_type: str = "csv"
@@ -36,6 +37,7 @@ class FlatFormat:
     multi_line: bool = True
     null_text: str = ""
     row_delimiter: str | None = None
+    compression: str | None = None
 
     def __post_init__(self) -> None:
         if self.format_type not in DELIMITERS:
@@ -78,6 +80,8 @@ class FlatFormat:
         options = self._shared_options()
         if self.null_text:
             options["nullValue"] = self.null_text
+        if self.compression:
+            options["compression"] = self.compression
         return options
 
     def read_options(self) -> dict[str, str]:

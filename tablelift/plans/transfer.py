@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
@@ -12,7 +12,7 @@ from pyspark.util import inheritable_thread_target
 
 from tablelift.formats import FlatFormat
 from tablelift.functions.text import strip_control_all
-from tablelift.functions.typemap import ColumnSpec, relaxed_schema, spark_schema
+from tablelift.functions.typemap import ColumnSpec, align_schema, relaxed_schema, spark_schema
 from tablelift.operators.chunk import DEFAULT_CHUNK_ROWS, DEFAULT_CHUNK_THRESHOLD
 from tablelift.operators.reconcile import difference_summary, reconcile_rows
 from tablelift.operators.status import append_status, read_status, status_latest
@@ -34,6 +34,8 @@ class TransferPlan:
 
     ``tables``: names to take, all of the source when empty; ``exclude`` is taken off.
     ``specs``: declared columns of a table; without them the source's own types are loaded.
+    ``staged``: go through delimited files, counted on the way.  ``False`` loads the source straight
+    into the target: half the work, and nothing is rendered as text; then ``flatfile_count`` is NULL.
     ``staging``: root of the staged files; by default a new folder in the shared location.
     ``if_exists``: ``replace``, ``skip`` (a SKIPPED job) or ``error`` (a FAILED job).
     ``chunk_threshold`` / ``chunk_rows``: larger tables are staged in files of that many rows.
@@ -52,6 +54,7 @@ class TransferPlan:
     specs: Mapping[str, Sequence[ColumnSpec]] = field(default_factory=dict)
     type_overrides: Mapping[str, str] = field(default_factory=dict)
     keys: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    staged: bool = True
     staging: str | None = None
     fmt: FlatFormat = FlatFormat()
     if_exists: str = "replace"
@@ -94,25 +97,11 @@ def _move(spark: SparkSession, plan: TransferPlan, table: str, previous: _Previo
     source = strip_control_all(plan.source.read(spark, table))
     job["input_count"] = plan.source.count(spark, table)
 
-    staged = staging_path(plan.staging, plan.database, plan.schema, table)
-    unchanged = (
-        previous.flatfile_count > 0 and previous.input_count == job["input_count"] and path_exists(spark, staged)
-    )
-    if not unchanged:
-        chunked = job["input_count"] > plan.chunk_threshold
-        write_delimited(source, staged, plan.fmt, "replace", max_rows_per_file=plan.chunk_rows if chunked else None)
-    text_schema = T.StructType([T.StructField(n, T.StringType()) for n in source.columns])
-    text = scan_delimited(spark, staged, plan.fmt, text_schema)
-    job["flatfile_count"] = text.count()
-
+    load = _staged_load if plan.staged else _direct_load
+    table_to_load = load(spark, plan, table, source, previous, job)
     if plan.if_exists != "replace" and plan.target.exists(spark, table):
-        if plan.if_exists == "skip":
-            return "SKIPPED", "Table already exists"
-        return "FAILED", "Table already exists"
-    schema = spark_schema(plan.specs[table], plan.type_overrides) if table in plan.specs else source.schema
-    if plan.on_error == "relax":
-        schema = relaxed_schema(text, schema)
-    plan.target.write(scan_delimited(spark, staged, plan.fmt, schema), table, plan.if_exists)
+        return ("SKIPPED" if plan.if_exists == "skip" else "FAILED"), "Table already exists"
+    plan.target.write(table_to_load(), table, plan.if_exists)
     job["output_count"] = plan.target.count(spark, table)
 
     if job["input_count"] != job["output_count"]:
@@ -126,12 +115,48 @@ def _move(spark: SparkSession, plan: TransferPlan, table: str, previous: _Previo
     return "SUCCESS", None
 
 
+def _staged_load(
+    spark: SparkSession, plan: TransferPlan, table: str, source: DataFrame, previous: _Previous, job: dict
+) -> Callable[[], DataFrame]:
+    """Export to the staged files, unless they are still right, and read them back typed."""
+    staged = staging_path(plan.staging, plan.database, plan.schema, table)
+    unchanged = (
+        previous.flatfile_count > 0 and previous.input_count == job["input_count"] and path_exists(spark, staged)
+    )
+    if not unchanged:
+        chunked = job["input_count"] > plan.chunk_threshold
+        write_delimited(source, staged, plan.fmt, "replace", max_rows_per_file=plan.chunk_rows if chunked else None)
+    text_schema = T.StructType([T.StructField(n, T.StringType()) for n in source.columns])
+    text = scan_delimited(spark, staged, plan.fmt, text_schema)
+    job["flatfile_count"] = text.count()
+
+    def typed() -> DataFrame:
+        schema = spark_schema(plan.specs[table], plan.type_overrides) if table in plan.specs else source.schema
+        if plan.on_error == "relax":
+            schema = relaxed_schema(text, schema)
+        return scan_delimited(spark, staged, plan.fmt, schema)
+
+    return typed
+
+
+def _direct_load(
+    spark: SparkSession, plan: TransferPlan, table: str, source: DataFrame, previous: _Previous, job: dict
+) -> Callable[[], DataFrame]:
+    """The source itself, brought to the declared columns if there are any."""
+    job["flatfile_count"] = None
+    if table not in plan.specs:
+        return lambda: source
+    return lambda: align_schema(source, plan.specs[table], plan.type_overrides)
+
+
 def run_transfer(spark: SparkSession, plan: TransferPlan) -> DataFrame:
     """Move all tables of the plan and return one row per table (``JOB_SCHEMA``).
 
     Tables are independent: one that fails is a FAILED row.  Only job rows pass the driver.
     """
     save_mode(plan.if_exists)
+    if plan.on_error == "relax" and not plan.staged:
+        raise ValueError("types are relaxed on staged text only")
     if plan.staging is None:
         plan = replace(plan, staging=new_staging_dir(spark, "staged"))
     before: dict[str, _Previous] = {}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablelift.formats import FlatFormat
 from tablelift.operators import status
 from tablelift.plans.endpoints import ParquetSource, ParquetTarget
-from tablelift.plans.transfer import TransferPlan, run_transfer as _run_transfer
+from tablelift.plans.transfer import TransferPlan, run_batch, run_transfer as _run_transfer
 from tablelift.queries.common import table
 from tablelift.session import new_staging_dir
 from tablelift.sinks.tables import load_parquet
@@ -33,6 +33,28 @@ def transfer_run(spark, sf_dir):
     return jobs.select("table_name", "input_count", "flatfile_count", "output_count", "status")
 
 
+def transfer_direct(spark, sf_dir):
+    plan = TransferPlan(
+        source=ParquetSource(sf_dir),
+        target=ParquetTarget(new_staging_dir(spark, "target")),
+        tables=TRANSFERRED,
+        staged=False,
+        parallel_tables=4,
+    )
+    jobs = _run_transfer(spark, plan)
+    return jobs.select("table_name", "input_count", "flatfile_count", "output_count", "status")
+
+
+def transfer_batch(spark, sf_dir):
+    source, target = ParquetSource(sf_dir), ParquetTarget(new_staging_dir(spark, "target"))
+    fmt = FlatFormat("pipe", multi_line=False)
+    plans = [
+        TransferPlan(source, target, database="sales", tables=("orders", "part"), fmt=fmt),
+        TransferPlan(source, target, database="staff", tables=("customer", "orders"), fmt=fmt, if_exists="skip"),
+    ]
+    return run_batch(spark, plans).select("database_name", "table_name", "status", "input_count", "output_count")
+
+
 def _load_twice(spark, sf_dir, if_exists):
     path = new_staging_dir(spark, "loaded")
     customers = table(spark, sf_dir, "customer")
@@ -138,7 +160,7 @@ def report_lines(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        transfer_run, load_mode_skip, load_mode_replace, list_tables, select_tables, validate_tables, status_latest,
+        transfer_run, transfer_direct, transfer_batch, load_mode_skip, load_mode_replace, list_tables, select_tables, validate_tables, status_latest,
         skip_unchanged, report_summary, report_lines,
     )
 }
@@ -164,6 +186,17 @@ ORACLES = {
         f"'SUCCESS' AS status FROM {t}"
         for t in TRANSFERRED
     ),
+    "transfer_direct": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS input_count, CAST(NULL AS BIGINT) AS flatfile_count, "
+        f"count(*) AS output_count, 'SUCCESS' AS status FROM {t}"
+        for t in TRANSFERRED
+    ),
+    "transfer_batch": """
+        SELECT 'sales' AS database_name, 'orders' AS table_name, 'SUCCESS' AS status, count(*) AS input_count,
+               count(*) AS output_count FROM orders
+        UNION ALL SELECT 'sales', 'part', 'SUCCESS', count(*), count(*) FROM part
+        UNION ALL SELECT 'staff', 'customer', 'SUCCESS', count(*), count(*) FROM customer
+        UNION ALL SELECT 'staff', 'orders', 'SKIPPED', count(*), 0 FROM orders""",
     "load_mode_skip": "SELECT *, 'SKIPPED' AS outcome FROM customer WHERE c_mktsegment = 'BUILDING'",
     "load_mode_replace": "SELECT *, 'LOADED' AS outcome FROM customer",
     "list_tables": """

@@ -43,6 +43,26 @@ def test_moves_and_cleans(spark, tmp_path, people):
     assert "source.dbo.people: SUCCESS (in:3 flat:3 out:3," in report_lines(jobs).first().line
 
 
+def test_direct_load(spark, tmp_path, people):
+    specs = {"t": [ColumnSpec("id", "bigint"), ColumnSpec("name", "nvarchar"), ColumnSpec("flag", "bit", default="((1))")]}
+    target = ParquetTarget(str(tmp_path / "out"))
+    plan = TransferPlan(frames(t=people, u=people), target, specs=specs, staged=False, staging=str(tmp_path / "s"), verify="rows")
+    jobs = run_transfer(spark, plan)
+    assert {(r.status, r.input_count, r.flatfile_count, r.output_count) for r in jobs.collect()} == {("SUCCESS", 3, None, 3)}
+    assert not (tmp_path / "s").exists()
+    assert sorted(tuple(r) for r in target.read(spark, "t").collect()) == [(1, "a,b", True), (2, None, True), (3, "l1\nl2", True)]
+    assert "flat:0" in report_lines(jobs).first().line
+    with pytest.raises(ValueError):
+        run_transfer(spark, TransferPlan(frames(t=people), target, staged=False, on_error="relax"))
+
+
+def test_compressed_staging(spark, tmp_path, people):
+    fmt = FlatFormat(compression="gzip")
+    plan = TransferPlan(frames(t=people), ParquetTarget(str(tmp_path / "o")), staging=str(tmp_path / "s"), fmt=fmt, verify="rows")
+    assert jobs_by_table(run_transfer(spark, plan))["t"].status == "SUCCESS"
+    assert list((tmp_path / "s/source/dbo/t").glob("*.csv.gz"))
+
+
 def test_failures_stay_with_their_table(spark, tmp_path, people):
     def broken(session):
         raise OSError("source is down")
