@@ -1,6 +1,6 @@
 """The registered queries of these operators, over whole tables with production parameters."""
 
-from tablelift.llm import packing, tokenfile
+from tablelift.llm import packing, simhash, tokenfile
 from tablelift.llm.common import table
 from tablelift.session import new_staging_dir
 
@@ -11,10 +11,14 @@ def op2_token_file(spark, sf_dir):
     return tokenfile.with_crc(tokenfile.read_tokens(spark, path))
 
 
+def op3_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_file, op7_packing)}
+QUERIES = {f.__name__: f for f in (op2_token_file, op3_simhash, op7_packing)}
 
 ORACLES: dict[str, str] = {}
