@@ -1,6 +1,6 @@
 """The registered queries of these operators, over whole tables with production parameters."""
 
-from tablelift.llm import packing, simhash, tokenfile
+from tablelift.llm import decontaminate, packing, simhash, tokenfile
 from tablelift.llm.common import table
 from tablelift.session import new_staging_dir
 
@@ -15,10 +15,14 @@ def op3_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_file, op3_simhash, op7_packing)}
+QUERIES = {f.__name__: f for f in (op2_token_file, op3_simhash, op4_decontamination, op7_packing)}
 
 ORACLES: dict[str, str] = {}
