@@ -1,6 +1,6 @@
 """The registered queries of these operators, over whole tables with production parameters."""
 
-from tablelift.llm import decontaminate, packing, simhash, tokenfile
+from tablelift.llm import decontaminate, packing, pii, secrets, simhash, tokenfile
 from tablelift.llm.common import table
 from tablelift.session import new_staging_dir
 
@@ -19,10 +19,18 @@ def op4_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_personal_data(spark, sf_dir):
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_file, op3_simhash, op4_decontamination, op7_packing)}
+def op8_secrets(spark, sf_dir):
+    return secrets.find(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_file, op3_simhash, op4_decontamination, op5_personal_data, op7_packing, op8_secrets)}
 
 ORACLES: dict[str, str] = {}
