@@ -1,6 +1,6 @@
 """The registered queries of these operators, over whole tables with production parameters."""
 
-from tablelift.llm import decontaminate, packing, pii, secrets, simhash, tokenfile
+from tablelift.llm import decontaminate, packing, pii, quality, secrets, simhash, tokenfile
 from tablelift.llm.common import table
 from tablelift.session import new_staging_dir
 
@@ -23,6 +23,10 @@ def op5_personal_data(spark, sf_dir):
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark, sf_dir):
+    return quality.rules(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,6 @@ def op8_secrets(spark, sf_dir):
     return secrets.find(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_file, op3_simhash, op4_decontamination, op5_personal_data, op7_packing, op8_secrets)}
+QUERIES = {f.__name__: f for f in (op2_token_file, op3_simhash, op4_decontamination, op5_personal_data, op6_quality, op7_packing, op8_secrets)}
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op6_quality": quality.ORACLE}
