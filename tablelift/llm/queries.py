@@ -1,6 +1,6 @@
 """The registered queries of these operators, over whole tables with production parameters."""
 
-from tablelift.llm import decontaminate, packing, pii, quality, secrets, simhash, tokenfile
+from tablelift.llm import decontaminate, licenses, packing, pii, quality, secrets, simhash, tokenfile
 from tablelift.llm.common import table
 from tablelift.session import new_staging_dir
 
@@ -35,6 +35,10 @@ def op8_secrets(spark, sf_dir):
     return secrets.find(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_file, op3_simhash, op4_decontamination, op5_personal_data, op6_quality, op7_packing, op8_secrets)}
+def op10_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
 
-ORACLES = {"op6_quality": quality.ORACLE}
+
+QUERIES = {f.__name__: f for f in (op2_token_file, op3_simhash, op4_decontamination, op5_personal_data, op6_quality, op7_packing, op8_secrets, op10_licenses)}
+
+ORACLES = {"op6_quality": quality.ORACLE, "op10_licenses": licenses.ORACLE}
