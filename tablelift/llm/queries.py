@@ -1,10 +1,14 @@
 """The registered queries of these operators, over whole tables with production parameters."""
 
-from tablelift.llm import decontaminate, licenses, packing, pii, quality, secrets, simhash, tokenfile
+from tablelift.llm import attribution, decontaminate, htmltext, licenses, packing, pii, quality, secrets, simhash, tokenfile
 from tablelift.llm.common import table
 from tablelift.session import new_staging_dir
 
 
+def op1_main_text(spark, sf_dir):
+    return htmltext.main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_token_file(spark, sf_dir):
     path = new_staging_dir(spark, "tokens")
     tokenfile.write_tokens(table(spark, sf_dir, "documents"), path)
@@ -35,10 +39,20 @@ def op8_secrets(spark, sf_dir):
     return secrets.find(table(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark, sf_dir):
+    return attribution.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op10_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_file, op3_simhash, op4_decontamination, op5_personal_data, op6_quality, op7_packing, op8_secrets, op10_licenses)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_main_text, op2_token_file, op3_simhash, op4_decontamination, op5_personal_data, op6_quality, op7_packing,
+        op8_secrets, op9_token_counts, op10_licenses,
+    )
+}
 
 ORACLES = {"op6_quality": quality.ORACLE, "op10_licenses": licenses.ORACLE}
