@@ -200,7 +200,8 @@ def keep_good(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     failed, kept = free_names(docs, "base_failed", "kept")
     few = docs.select("lang", "source", "text")
     own = {c: c for c in COUNTS}
-    sketch = materialize(sketches(measured(few, own), own), "sketches")
+    # Counts are written first: a filter on them would be pushed down and count anew for every word.
+    sketch = materialize(sketches(materialize(measured(few, own).drop("text"), "quality"), own), "sketches")
     return judged(measured(docs, names), names, sketch, failed, kept, min_group).where(F.col(kept)).select(*docs.columns)
 
 
