@@ -247,6 +247,8 @@ def _cut(text: bytes, spans: list[int]) -> bytes:
     for a, b in zip(spans[::2], spans[1::2]):
         parts.append(text[at : starts[a]].rstrip(b" "))
         at = stops[b - 1]
+        while at < len(text) and not ends[at] and not text[at : at + 1].isspace():
+            at += 1  # punctuation that closes the passage
     parts.append(text[at:].lstrip(b" "))
     return b" ".join(p for p in parts if p)
 

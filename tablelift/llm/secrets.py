@@ -135,24 +135,22 @@ class Automaton:
 
     @classmethod
     def infer(cls, strings, alpha: float = ALPHA) -> Automaton:
-        """Merge compatible states in breadth-first order: settled ones (red) take in their successors (blue)."""
+        """Merge compatible states: settled ones (red) take in their successors (blue), in order of settling."""
         self = cls.tree(sorted(strings))
-        red, blue = [0], sorted(self.step[0].items())
-        blue = [(0, c) for c, _ in blue]
-        while blue:
-            p, c = blue.pop(0)
-            q = self.step[p].get(c)
-            if q is None or q in red:
-                continue
+        red = [0]
+        while True:
+            settled = set(red)
+            blue = ((p, c) for p in red for c in sorted(self.step[p]) if self.step[p][c] not in settled)
+            p, c = next(blue, (None, None))
+            if p is None:
+                return self._compact(red)
+            q = self.step[p][c]
             into = next((r for r in red if self.compatible(r, q, alpha)), None)
             if into is None:
                 red.append(q)
-                blue += [(q, x) for x in sorted(self.step[q])]
             else:
                 self.step[p][c] = into
                 self.fold(into, q)
-                blue += [(into, x) for x in sorted(self.step[into]) if self.step[into][x] not in red and (into, x) not in blue]
-        return self._compact(red)
 
     def _compact(self, red: list[int]) -> Automaton:
         number = {q: i for i, q in enumerate(red)}
