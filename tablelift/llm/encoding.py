@@ -7,6 +7,7 @@ met.  The kept words are bounded: beyond ``MAX_WORDS`` all are forgotten, which
 
 from __future__ import annotations
 
+import operator
 import os
 import re
 from functools import lru_cache
@@ -94,30 +95,26 @@ class WordEncoder:
         else:  # a tokenizer of another kind: still right, only slow
             self.known.update((word, self._alone(word)) for word in words)
 
-    def _pieces(self, word: bytes) -> tuple[bytes, ...]:
-        """``word`` in lower case, its closing punctuation apart: the tokenizer separates both as well."""
-        if b"<|" in word:  # might be a special token, whose letters keep their case
-            return (word,)
-        low = word.lower()
-        stem = low.rstrip(CLOSING)
-        if len(stem) < len(low) and stem[-1:].isalpha():
-            return stem, low[len(stem):]
-        return (low,)
-
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text."""
         split = [t.split() for t in texts]  # white space of ASCII only, which every tokenizer agrees on
         if len(self.known) > MAX_WORDS:
             self.known = {}
         known = self.known
-        fresh = set().union(*split).difference(known)
-        pieces = {w: self._pieces(w) for w in fresh}
-        new = {p for own in pieces.values() for p in own}.difference(known)
+        fresh = list(set().union(*split).difference(known))
+        # In lower case, closing punctuation apart: the tokenizer separates both as well.  What might
+        # hold a special token, whose letters keep their case, stays as it is.
+        low = [w if b"<|" in w else w.lower() for w in fresh]
+        stems = [w.rstrip(CLOSING) for w in low]
+        stems = [s if len(s) < len(w) and s[-1:].isalpha() and b"<|" not in w else w for s, w in zip(stems, low)]
+        tails = [w[len(s) :] for s, w in zip(stems, low)]
+        new = {*stems, *tails}.difference(known)
+        new.discard(b"")
         self._learn(list(new))
-        for word, own in pieces.items():
-            known[word] = known[own[0]] if len(own) == 1 else known[own[0]] + known[own[1]]
+        known[b""] = b""
+        known.update(zip(fresh, map(operator.add, map(known.__getitem__, stems), map(known.__getitem__, tails))))
         out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for word in [w for w in fresh | new if len(w) > MAX_WORD_BYTES]:
+        for word in [w for w in new.union(fresh) if len(w) > MAX_WORD_BYTES]:
             del known[word]
         return out
 
