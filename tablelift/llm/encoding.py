@@ -16,7 +16,7 @@ from itertools import chain
 import numpy as np
 
 #: Kept words of one worker, about 200 bytes each, and the longest word that is kept.
-MAX_WORDS = 800_000
+MAX_WORDS = 500_000
 MAX_WORD_BYTES = 64
 #: ASCII punctuation that never joins a letter before it; no apostrophe, which starts endings like 's.
 CLOSING = b".,;:!?#%&*$|\")]"
@@ -26,6 +26,23 @@ CHUNK_WORDS = 1500
 PLAIN = re.compile("(?:[a-z]|\u00c3[\u009f-\u00b6\u00b8-\u00bf])+".encode("latin-1")).fullmatch
 
 
+#: Commas and full stops that follow neither white space nor what is surely a letter or digit.
+UNSURE = re.compile(b"(?:[^a-z0-9\\x20\\x09-\\x0d\x80-\xff]|\xc3[\x97\xb7]|(?<!\xc3)[\x80-\xff])[.,]").search
+
+
+def _prepared(text: bytes) -> bytes:
+    """``text`` with the same ids but fewer different words.
+
+    Lower case, and a blank before commas and full stops: a letter or digit before them is a word of its
+    own anyhow.  Texts that might hold special tokens, and those with other signs before commas or
+    full stops, stay as they are.
+    """
+    if b"<|" in text:
+        return text
+    text = text.lower()
+    return text if UNSURE(text) else text.replace(b",", b" ,").replace(b".", b" .")
+
+
 class WordEncoder:
     """Encodes UTF-8 texts; the ids come back as little-endian unsigned 32-bit integers.
 
@@ -97,7 +114,7 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text."""
-        split = [t.split() for t in texts]  # white space of ASCII only, which every tokenizer agrees on
+        split = [_prepared(t).split() for t in texts]  # white space of ASCII only, which every tokenizer agrees on
         if len(self.known) > MAX_WORDS:
             self.known = {}
         known = self.known

@@ -15,31 +15,41 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tablelift.llm import encoding
-from tablelift.llm.common import Rows, utf8
+from tablelift.llm.common import utf8
 
 END_ID = 1
+#: Ids of one batch that goes to the files.
+BATCH_BYTES = 8 << 20
 
 
 def _token_rows(tokenizer: str, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
+    def flush(part, doc_ids, id_type, starts, own):
+        """One batch; the ids of its rows are one buffer, not a value each."""
+        ends = np.cumsum([0, *(len(ids) // 4 for ids in own)])
+        values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(own))])
+        columns = [
+            pa.array([part] * len(own), pa.int32()), pa.array(starts, pa.int64()), pa.array(doc_ids, id_type),
+            pa.array(np.diff(ends), pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["part", "at", "doc_id", "n_tokens", "ids"])
+
     def task(batches):
-        part, at, rows = TaskContext.get().partitionId(), 0, None
+        part, at, size = TaskContext.get().partitionId(), 0, 0
+        doc_ids, starts, own, id_type = [], [], [], None
         for batch, k, ids in encoding.encoded(batches, tokenizer):
-            doc_id = batch.column("doc_id")
-            if rows is None:
-                rows = Rows(
-                    pa.schema(
-                        [("part", pa.int32()), ("at", pa.int64()), ("doc_id", doc_id.type), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))]
-                    )
-                )
-            values = np.frombuffer(ids + end, "<i4")
-            rows.add(part, at, doc_id[k].as_py(), len(values), values, size=values.nbytes)
-            at += len(values)
-            if rows.full():
-                yield from rows.take()
-        if rows is not None:
-            yield from rows.take()
+            id_type = batch.column("doc_id").type
+            doc_ids.append(batch.column("doc_id")[k].as_py())
+            starts.append(at)
+            own.append(ids + end)
+            at += len(own[-1]) // 4
+            size += len(own[-1])
+            if size >= BATCH_BYTES:
+                yield flush(part, doc_ids, id_type, starts, own)
+                doc_ids, starts, own, size = [], [], [], 0
+        if own:
+            yield flush(part, doc_ids, id_type, starts, own)
 
     return task
 

@@ -25,7 +25,7 @@ def crc(ids):
 
 PIECES = st.sampled_from(
     ["a", "B", "é", "é", "́", " ", "\n", " ", " ", "\x1c", "\x85", "'s", "'", "<|endoftext|>", "<|END|>", "<|", "1",
-     "½", "★", "漢", "İ", "ß", "Σ", "ς", "\x00", "-", "ﬁ", "K", "ñ", ",", ".", "the", "word,"]
+     "½", "★", "漢", "×", "÷,", "é.", "…,", "İ", "ß", "Σ", "ς", "\x00", "-", "ﬁ", "K", "ñ", ",", ".", "the", "word,"]
 )
 
 
