@@ -8,8 +8,6 @@ from pyspark.sql import Column, functions as F
 
 from tablelift.functions.text import WHITESPACE
 
-# Fixed value: how many leading fields the header test looks at.
-HEADER_FIELDS = 10
 # Fixed value: a number with more digits than this counts double as data.
 LONG_NUMBER = 10
 
@@ -36,13 +34,14 @@ def field_count_verdict(actual: Column, expected: int) -> Column:
     return F.when(actual == expected, "ok").when(actual > expected, "extra").otherwise("missing")
 
 
-def looks_like_header(line: Column, delimiter: str) -> Column:
-    """True when the leading fields look more like column names than like data.
+def looks_like_header(line: Column, delimiter: str, leading: int | None = None) -> Column:
+    """True when the fields (or only so many ``leading`` ones) look more like column names than like data.
 
     A field with a letter that is more than plain words counts for a header; a field of digits
     counts for data, twice when it is long.  Plain words are header names when nothing else is there.
     """
-    fields = F.transform(F.slice(split_fields(line, delimiter), 1, HEADER_FIELDS), lambda f: F.btrim(f, F.lit(WHITESPACE)))
+    every = split_fields(line, delimiter)
+    fields = F.transform(every if leading is None else F.slice(every, 1, leading), lambda f: F.btrim(f, F.lit(WHITESPACE)))
 
     def how_many(pattern: str) -> Column:
         return F.size(F.filter(fields, lambda f: f.rlike(pattern)))

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablelift.functions.render import from_text
+from tablelift.functions.text import WHITESPACE
 
 # Source type name -> target type name, as the transfer defines them.
 TARGET_TYPES = {
@@ -221,6 +222,10 @@ def relaxed_schema(df: DataFrame, schema: T.StructType) -> T.StructType:
     )
 
 
+# What catalogs call the current time.
+NOW_FUNCTIONS = ("getdate()", "sysdatetime()", "current_timestamp")
+
+
 def _outer_parentheses(text: str) -> bool:
     depth = 0
     for position, char in enumerate(text):
@@ -247,7 +252,7 @@ def default_expression(spec: ColumnSpec, overrides: Mapping[str, str] | None = N
     lowered = text.lower()
     if lowered == "null":
         return F.lit(None).cast(data_type)
-    if lowered in ("getdate()", "sysdatetime()", "current_timestamp"):
+    if lowered in NOW_FUNCTIONS:
         return F.current_timestamp().cast(data_type)
     if lowered == "newid()":
         return F.uuid()
@@ -262,14 +267,37 @@ def default_expression(spec: ColumnSpec, overrides: Mapping[str, str] | None = N
     raise ValueError(f"column {spec.name}: default {spec.default!r} is not a literal or a known function")
 
 
+def _peeled(default: Column) -> Column:
+    """:func:`peel_default` as one expression, at any depth.
+
+    The text is cut into its leading parentheses, a core and its closing ones.  As many pairs are
+    outer ones as both ends have and as the core never closes.
+    """
+    text = F.btrim(default, F.lit(WHITESPACE))
+    lead = F.regexp_extract(text, r"^[\s(]*", 0)
+    tail = F.regexp_extract(F.substring(text, F.length(lead) + 1, F.length(text)), r"[\s)]*$", 0)
+    core = F.substring(text, F.length(lead) + 1, F.length(text) - F.length(lead) - F.length(tail))
+    opened, closed = F.regexp_count(lead, F.lit(r"\(")), F.regexp_count(tail, F.lit(r"\)"))
+    start = F.struct(opened.alias("depth"), opened.alias("least"))
+
+    def walk(state, char):
+        depth = state["depth"] + F.when(char == "(", 1).when(char == ")", -1).otherwise(0)
+        return F.struct(depth.alias("depth"), F.least(state["least"], depth).alias("least"))
+
+    walked = F.aggregate(F.split(core, ""), start, walk)
+    pairs = F.when(walked["depth"] == closed, F.least(closed, walked["least"])).otherwise(0)  # nothing unless all pair up
+    pattern = F.concat(F.lit(r"^(?:\s*\("), F.lit("){"), pairs.cast("string"), F.lit(r"}\s*"))
+    ending = F.concat(F.lit(r"\s*(?:\)"), F.lit(r"\s*){"), pairs.cast("string"), F.lit("}$"))
+    inner = F.regexp_replace(F.regexp_replace(text, pattern, F.lit("")), ending, F.lit(""))
+    return F.when(pairs > 0, inner).otherwise(text)
+
+
 def default_clause(default: Column) -> Column:
     """Target DEFAULT text of a catalog default (NULL when there is none)."""
-    peeled = default
-    for _ in range(3):  # catalogs nest two deep at most
-        peeled = F.regexp_replace(peeled, r"^\s*\(((?:[^()]|\([^()]*\))*)\)\s*$", "$1")
+    peeled = _peeled(default)
     lowered = F.lower(peeled)
     return (
-        F.when(lowered == "getdate()", F.lit("CURRENT_TIMESTAMP"))
+        F.when(lowered.isin(*NOW_FUNCTIONS), F.lit("CURRENT_TIMESTAMP"))
         .when(lowered == "newid()", F.lit("gen_random_uuid()"))
         .otherwise(peeled)
     )

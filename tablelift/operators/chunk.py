@@ -13,56 +13,20 @@ from tablelift.sources.delimited import scan_delimited
 DEFAULT_CHUNK_ROWS = 5_000_000
 DEFAULT_CHUNK_THRESHOLD = 50_000_000
 
-# Fewer equal rows than this never need to be spread over several tasks.
-_COPIES_PER_TASK = 100_000
-# Share of the rows looked at to find such rows.
-_SAMPLED = 0.01
+# Rows that one task may hold to find a page.
+_TOP_K = 100_000
 
-_PARTITION, _POSITION, _COPIES, _COPY, _HASH = "__partition", "__position", "__copies", "__copy", "__hash"
+_PARTITION, _POSITION, _COPY, _HASH, _HASH2 = "__partition", "__position", "__copy", "__hash", "__hash2"
 
 
 def _columns(names) -> list[Column]:
     return [F.col(f"`{n}`") for n in names]
 
 
-def _row_hash(df: DataFrame) -> Column:
-    return F.xxhash64(*_columns(df.columns))
-
-
-def _hot_hashes(df: DataFrame, limit: int, ranges: int) -> list[int]:
-    """Hashes of rows repeated so often that they could fill a range of their own.
-
-    Looks at a sample, which only decides how the work is laid out: rows found here or missed are
-    numbered just the same.  A row that has more than ``1 / ranges`` of all rows is one of the
-    ``ranges`` most frequent ones, so no more than these are returned.
-    """
-    seen = df.select(_row_hash(df).alias(_HASH)).sample(fraction=_SAMPLED, seed=1)
-    counts = seen.groupBy(_HASH).agg(F.count("*").alias(_COPIES)).where(F.col(_COPIES) > limit * _SAMPLED / 2)
-    return [r[_HASH] for r in counts.orderBy(F.col(_COPIES).desc(), _HASH).limit(ranges).collect()]
-
-
-def _spread_copies(df: DataFrame, ranges: int) -> DataFrame:
-    """Add a hash of the row, and a copy number that tells the copies of very frequent rows apart.
-
-    Those rows are counted with map-side combine, the counts are cut into blocks, and the blocks
-    are shuffled before they are expanded, so no task expands one row's copies alone.
-    """
-    hashed = df.withColumn(_HASH, _row_hash(df))
-    one = F.lit(1).cast("bigint")
-    hot = _hot_hashes(df, _COPIES_PER_TASK, ranges)
-    if not hot:
-        return hashed.withColumn(_COPY, one)
-    start = F.col("__block") * _COPIES_PER_TASK
-    copies = (
-        hashed.where(F.col(_HASH).isin(hot))
-        .groupBy(*_columns(df.columns), _HASH)
-        .agg(F.count("*").alias(_COPIES))
-        .withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({_COPIES} - 1) div {_COPIES_PER_TASK}"))))
-        .repartition(ranges, _HASH, "__block")
-        .withColumn(_COPY, F.explode(F.sequence(start + one, F.least(start + _COPIES_PER_TASK, F.col(_COPIES)))))
-        .select(*_columns(df.columns), _HASH, _COPY)
-    )
-    return hashed.where(~F.col(_HASH).isin(hot)).withColumn(_COPY, one).unionByName(copies)
+def _row_hashes(df: DataFrame) -> list[Column]:
+    """Two hashes of the whole row: together they order rows that tie, and tell all different rows apart."""
+    rest = _columns(df.columns)
+    return [F.xxhash64(*rest), F.xxhash64(F.lit(1), *rest)]
 
 
 def number_rows(
@@ -74,20 +38,20 @@ def number_rows(
     (rows of the partitions before) + (position in the partition).  Writing fixes the placement:
     the counts and the numbers come from the same table, even if executors are lost.
 
-    Ties are broken by a hash of the row, so the numbers do not depend on the input's layout and a
+    Ties are broken by hashes of the row, so the numbers do not depend on the input's layout and a
     frequent key is spread over several ranges; the keys that Spark samples to find the ranges
-    stay small, however long the texts of a row are.  ``unique=True`` says that ``order_by`` is
-    unique and saves the pass that looks for rows repeated very often.
+    stay small, however long the texts of a row are.  Copies of one row are told apart by where they
+    are, so they too are spread, and every row comes out as it went in.  ``unique=True`` says that
+    ``order_by`` is unique, so nothing has to be hashed.
     """
     spark = df.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = _columns(order_by)
-    if unique:
-        sorted_rows = df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
-    else:
-        keys = [*keys, F.col(_HASH), F.col(_COPY)]
-        rest = _columns(c for c in df.columns if c not in order_by)
-        sorted_rows = _spread_copies(df, ranges).repartitionByRange(ranges, *keys).sortWithinPartitions(*keys, *rest)
+    keys, rows = _columns(order_by), df
+    if not unique:
+        first, second = _row_hashes(df)
+        rows = df.withColumns({_HASH: first, _HASH2: second, _COPY: F.monotonically_increasing_id()})
+        keys = [*keys, F.col(_HASH), F.col(_HASH2), F.col(_COPY)]
+    sorted_rows = rows.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
     # High bits of the id: partition; low 33 bits: position in it.
     row_id = F.monotonically_increasing_id()
     placed = sorted_rows.select(*_columns(df.columns), row_id.alias(_POSITION))
@@ -178,11 +142,12 @@ def plan_chunks(
 def page(df: DataFrame, order_by: list[str], offset: int, limit: int, unique: bool = False) -> DataFrame:
     """Rows ``offset .. offset+limit-1`` of the order.
 
-    A shallow page is a top-k; a deep one would keep offset+limit rows in one task, so it is cut
-    by row number instead.
+    Ties go by the hashes of the rows at every depth, as in :func:`number_rows`, so pages of any size
+    and offset fit together.  A shallow page is a top-k; a deep one would keep offset+limit rows in one
+    task, so it is cut by row number instead: another plan for the same order.
     """
-    if offset + limit <= 100_000:
-        rest = [] if unique else [c for c in df.columns if c not in order_by]
-        return df.orderBy(*_columns(order_by + rest)).offset(offset).limit(limit)
+    if offset + limit <= _TOP_K:
+        ties = [] if unique else _row_hashes(df)
+        return df.orderBy(*_columns(order_by), *ties).offset(offset).limit(limit)
     numbered = number_rows(df, order_by, name="__rn", unique=unique)
     return numbered.where(F.col("__rn").between(offset + 1, offset + limit)).drop("__rn")

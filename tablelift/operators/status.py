@@ -17,9 +17,14 @@ STATUS_SCHEMA = (
     "input_count bigint, flatfile_count bigint, output_count bigint"
 )
 
+# The store also tells databases apart.
+STORE_SCHEMA = "database_name string, " + STATUS_SCHEMA
+
 
 def status_latest(history: DataFrame, order: str | Sequence[str] = "run_at") -> DataFrame:
-    """Newest known value of every count per (schema_name, table_name); a count never set is 0.
+    """Newest known value of every count per table; a count never set is 0.
+
+    A table is (schema_name, table_name), and database_name where the history has it.
 
     ``order`` gives the column (or columns, most significant first) that tells the newer entry.
     """
@@ -29,20 +34,21 @@ def status_latest(history: DataFrame, order: str | Sequence[str] = "run_at") ->
         F.coalesce(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), newer)), F.lit(0).cast("bigint")).alias(c)
         for c in COUNTS
     ]
-    return history.groupBy("schema_name", "table_name").agg(*latest)
+    keys = [c for c in ("database_name", "schema_name", "table_name") if c in history.columns]
+    return history.groupBy(*keys).agg(*latest)
 
 
 def append_status(jobs: DataFrame, path: str) -> None:
-    """Add the counts of a run to the status store (columns of ``STATUS_SCHEMA``)."""
-    names = [c.split()[0] for c in STATUS_SCHEMA.split(", ")]
+    """Add the counts of a run to the status store (columns of ``STORE_SCHEMA``)."""
+    names = [c.split()[0] for c in STORE_SCHEMA.split(", ")]
     jobs.select(*names).write.mode("append").parquet(path)
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:
     """The whole history; empty when nothing was stored yet."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], STATUS_SCHEMA)
-    return spark.read.schema(STATUS_SCHEMA).parquet(path)
+        return spark.createDataFrame([], STORE_SCHEMA)
+    return spark.read.schema(STORE_SCHEMA).parquet(path)
 
 
 def needs_transfer(current: DataFrame, previous: DataFrame) -> DataFrame:

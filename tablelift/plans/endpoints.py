@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tablelift.formats import FlatFormat
 from tablelift.sinks.delimited import flat_file_path, write_delimited
 from tablelift.sinks.tables import analyze_table, load_gpkg, load_parquet, load_table
-from tablelift.sources.delimited import detected_format, manifest_tables, path_exists, scan_delimited, scan_manifest
+from tablelift.sources.delimited import manifest_tables, path_exists, scan_delimited, scan_detected, scan_manifest
 from tablelift.sources.jdbc import (
     JdbcEndpoint,
     jdbc_table_exists,
@@ -25,7 +25,7 @@ from tablelift.sources.jdbc import (
     scan_jdbc_partitioned,
     scan_jdbc_query,
 )
-from tablelift.sources.listing import list_catalog, list_files, list_tables
+from tablelift.sources.listing import list_catalog, list_parquet, list_tables
 from tablelift.sources.records import scan_delimited_parallel
 
 
@@ -65,7 +65,9 @@ class ParquetSource(Source):
     path: str
 
     def tables(self, spark: SparkSession) -> list[str]:
-        return [r.table_name for r in list_files(spark, self.path).collect()]
+        if not path_exists(spark, f"{self.path}/*.parquet"):
+            return []
+        return [r.table_name for r in list_parquet(spark, self.path).collect()]
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(f"{self.path}/{table}.parquet")
@@ -102,8 +104,8 @@ class ManifestSource(Source):
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         path = dict(manifest_tables(self.entries))[table]
-        fmt = detected_format(spark, path, self.fmt) if self.detect_encoding else self.fmt
-        return scan_delimited_parallel(spark, path, fmt) if self.large_files else scan_delimited(spark, path, fmt)
+        scan = scan_delimited_parallel if self.large_files else scan_delimited
+        return scan_detected(spark, path, self.fmt, scan=scan) if self.detect_encoding else scan(spark, path, self.fmt)
 
 
 @dataclass(frozen=True)

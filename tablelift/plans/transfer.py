@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.util import inheritable_thread_target
 
 from tablelift.formats import FlatFormat
-from tablelift.functions.text import strip_control_all
+from tablelift.functions.text import map_strings, null_marker, strip_control_all
 from tablelift.functions.typemap import ColumnSpec, align_schema, relaxed_schema, spark_schema
-from tablelift.operators.chunk import DEFAULT_CHUNK_ROWS, DEFAULT_CHUNK_THRESHOLD
+from tablelift.operators.chunk import DEFAULT_CHUNK_ROWS
 from tablelift.operators.reconcile import difference_summary, reconcile_rows
-from tablelift.operators.status import append_status, read_status, status_latest
+from tablelift.operators.status import append_status
 from tablelift.plans.endpoints import Source, Target
 from tablelift.session import new_staging_dir
 from tablelift.sinks.delimited import save_mode, staging_path, write_delimited
@@ -38,11 +39,11 @@ class TransferPlan:
     into the target: half the work, and nothing is rendered as text; then ``flatfile_count`` is NULL.
     ``staging``: root of the staged files; by default a new folder in the shared location.
     ``if_exists``: ``replace``, ``skip`` (a SKIPPED job) or ``error`` (a FAILED job).
-    ``chunk_threshold`` / ``chunk_rows``: larger tables are staged in files of that many rows.
+    ``chunk_rows``: staged files have this many rows at most.
     ``on_error``: ``relax`` loads columns with uncastable texts as text instead of failing.
     ``verify``: ``counts``, or ``rows`` to compare every row by ``keys`` as well.
-    ``status_path``: where counts are kept between runs; a table whose count has not changed and
-    whose staged files are there is not exported again (set ``staging`` as well).
+    ``status_path``: where counts are kept between runs; a table whose staged files were written from
+    the same rows in the same format is not exported again (set ``staging`` as well).
     """
 
     source: Source
@@ -58,7 +59,6 @@ class TransferPlan:
     staging: str | None = None
     fmt: FlatFormat = FlatFormat()
     if_exists: str = "replace"
-    chunk_threshold: int = DEFAULT_CHUNK_THRESHOLD
     chunk_rows: int = DEFAULT_CHUNK_ROWS
     on_error: str = "fail"
     verify: str = "counts"
@@ -70,38 +70,45 @@ class TransferPlan:
         return [n for n in names if n not in self.exclude]
 
 
-@dataclass(frozen=True)
-class _Previous:
-    """Counts of the last run by table."""
-
-    input_count: int = 0
-    flatfile_count: int = 0
-
-
-def transfer_table(spark: SparkSession, plan: TransferPlan, table: str, previous: _Previous = _Previous()) -> dict:
+def transfer_table(spark: SparkSession, plan: TransferPlan, table: str) -> dict:
     """Move one table; the outcome is a job row, whatever happens."""
     started = datetime.now(timezone.utc).replace(tzinfo=None)
-    job = {
-        "database_name": plan.database, "schema_name": plan.schema, "table_name": table, "status": "RUNNING",
-        "input_count": 0, "flatfile_count": 0, "output_count": 0, "run_at": started, "duration": 0.0, "error": None,
-    }
+    job = _job(plan, table, started)
     try:
-        job["status"], job["error"] = _move(spark, plan, table, previous, job)
+        job["status"], job["error"] = _move(spark, plan, table, job)
     except Exception as error:  # one table's failure must not stop the others
         job["status"], job["error"] = "FAILED", str(error)
     job["duration"] = (datetime.now(timezone.utc).replace(tzinfo=None) - started).total_seconds()
     return job
 
 
-def _move(spark: SparkSession, plan: TransferPlan, table: str, previous: _Previous, job: dict) -> tuple[str, str | None]:
-    source = strip_control_all(plan.source.read(spark, table))
-    job["input_count"] = plan.source.count(spark, table)
+def _job(plan: TransferPlan, table: str, started: datetime) -> dict:
+    return {
+        "database_name": plan.database, "schema_name": plan.schema, "table_name": table, "status": "RUNNING",
+        "input_count": 0, "flatfile_count": 0 if plan.staged else None, "output_count": 0, "run_at": started, "duration": 0.0, "error": None,
+    }
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """``df``, and its number of rows once it has been written: no pass of its own."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: seen.get["rows"]
+
 
-    load = _staged_load if plan.staged else _direct_load
-    table_to_load = load(spark, plan, table, source, previous, job)
-    if plan.if_exists != "replace" and plan.target.exists(spark, table):
+def _move(spark: SparkSession, plan: TransferPlan, table: str, job: dict) -> tuple[str, str | None]:
+    if plan.if_exists != "replace" and plan.target.exists(spark, table):  # before anything is exported
+        job["input_count"] = plan.source.count(spark, table)
         return ("SKIPPED" if plan.if_exists == "skip" else "FAILED"), "Table already exists"
-    plan.target.write(table_to_load(), table, plan.if_exists)
+    source = strip_control_all(plan.source.read(spark, table))
+    if plan.staged:
+        loaded, rows = _counted(_staged(spark, plan, table, source, job))
+        plan.target.write(loaded, table, plan.if_exists)
+        job["flatfile_count"] = rows()
+    else:
+        counted, rows = _counted(source)
+        typed = align_schema(counted, plan.specs[table], plan.type_overrides) if table in plan.specs else counted
+        plan.target.write(typed, table, plan.if_exists)
+        job["input_count"] = rows()
     job["output_count"] = plan.target.count(spark, table)
 
     if job["input_count"] != job["output_count"]:
@@ -109,65 +116,76 @@ def _move(spark: SparkSession, plan: TransferPlan, table: str, previous: _Previo
     plan.target.analyze(spark, table)
     if plan.verify == "rows":
         keys = list(plan.keys.get(table, source.columns))
-        found = difference_summary(reconcile_rows(source, plan.target.read(spark, table), keys)).first()
+        # An empty text that the files do not tell from NULL is loaded as NULL by design.
+        expected = map_strings(source, null_marker) if plan.staged and plan.fmt.collapse_empty else source
+        found = difference_summary(reconcile_rows(expected, plan.target.read(spark, table), keys)).first()
         if any(found):
             return "WARNING", f"Rows differ: missing {found.missing}, extra {found.extra}, changed {found.changed}"
     return "SUCCESS", None
 
 
-def _staged_load(
-    spark: SparkSession, plan: TransferPlan, table: str, source: DataFrame, previous: _Previous, job: dict
-) -> Callable[[], DataFrame]:
+def _fingerprint(plan: TransferPlan, source: DataFrame) -> tuple[int, str]:
+    """(rows, what the staged files depend on): the format, the columns and a digest of all rows."""
+    columns = [
+        F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType)) else F.col(f"`{f.name}`")
+        for f in source.schema.fields
+    ]
+    rows, total = source.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(20,0)")), F.lit(0))
+    ).first()
+    made_by = repr((plan.fmt, plan.chunk_rows, [(f.name, f.dataType.simpleString()) for f in source.schema.fields]))
+    return rows, f"{hashlib.sha256(made_by.encode()).hexdigest()}:{rows}:{total}"
+
+
+def _read_mark(spark: SparkSession, path: str) -> str | None:
+    return spark.read.text(path).first().value if path_exists(spark, path) else None
+
+
+def _write_mark(spark: SparkSession, path: str, mark: str) -> None:
+    spark.createDataFrame([(mark,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def _staged(spark: SparkSession, plan: TransferPlan, table: str, source: DataFrame, job: dict) -> DataFrame:
     """Export to the staged files, unless they are still right, and read them back typed."""
     staged = staging_path(plan.staging, plan.database, plan.schema, table)
-    unchanged = (
-        previous.flatfile_count > 0 and previous.input_count == job["input_count"] and path_exists(spark, staged)
-    )
-    if not unchanged:
-        chunked = job["input_count"] > plan.chunk_threshold
-        write_delimited(source, staged, plan.fmt, "replace", max_rows_per_file=plan.chunk_rows if chunked else None)
-    text_schema = T.StructType([T.StructField(n, T.StringType()) for n in source.columns])
-    text = scan_delimited(spark, staged, plan.fmt, text_schema)
-    job["flatfile_count"] = text.count()
-
-    def typed() -> DataFrame:
-        schema = spark_schema(plan.specs[table], plan.type_overrides) if table in plan.specs else source.schema
-        if plan.on_error == "relax":
-            schema = relaxed_schema(text, schema)
-        return scan_delimited(spark, staged, plan.fmt, schema)
-
-    return typed
-
-
-def _direct_load(
-    spark: SparkSession, plan: TransferPlan, table: str, source: DataFrame, previous: _Previous, job: dict
-) -> Callable[[], DataFrame]:
-    """The source itself, brought to the declared columns if there are any."""
-    job["flatfile_count"] = None
-    if table not in plan.specs:
-        return lambda: source
-    return lambda: align_schema(source, plan.specs[table], plan.type_overrides)
+    mark_path, mark = f"{staged}.fingerprint", None
+    if plan.status_path:
+        job["input_count"], mark = _fingerprint(plan, source)
+    if mark is None or not path_exists(spark, staged) or _read_mark(spark, mark_path) != mark:
+        if mark:
+            _write_mark(spark, mark_path, "being written")
+        counted, rows = _counted(source)
+        write_delimited(counted, staged, plan.fmt, "replace", max_rows_per_file=plan.chunk_rows)
+        job["input_count"] = rows()
+        if mark:
+            _write_mark(spark, mark_path, mark)
+    schema = spark_schema(plan.specs[table], plan.type_overrides) if table in plan.specs else source.schema
+    if plan.on_error == "relax":
+        text_schema = T.StructType([T.StructField(n, T.StringType()) for n in source.columns])
+        schema = relaxed_schema(scan_delimited(spark, staged, plan.fmt, text_schema), schema)
+    return scan_delimited(spark, staged, plan.fmt, schema)
 
 
 def run_transfer(spark: SparkSession, plan: TransferPlan) -> DataFrame:
     """Move all tables of the plan and return one row per table (``JOB_SCHEMA``).
 
-    Tables are independent: one that fails is a FAILED row.  Only job rows pass the driver.
+    Tables are independent: one that fails is a FAILED row, and so is one that the source does not
+    have, before anything is read.  A plan that selects nothing is an error.  Only job rows pass the driver.
     """
     save_mode(plan.if_exists)
     if plan.on_error == "relax" and not plan.staged:
         raise ValueError("types are relaxed on staged text only")
     if plan.staging is None:
         plan = replace(plan, staging=new_staging_dir(spark, "staged"))
-    before: dict[str, _Previous] = {}
-    if plan.status_path:
-        history = status_latest(read_status(spark, plan.status_path).where(F.col("schema_name") == plan.schema))
-        before = {r.table_name: _Previous(r.input_count, r.flatfile_count) for r in history.collect()}
+    names = plan.table_names(spark)
+    if not names:
+        raise ValueError("the plan selects no table")
+    known = set(plan.source.tables(spark)) if plan.tables else set(names)
+    missing = _job(plan, "", datetime.now(timezone.utc).replace(tzinfo=None)) | {"status": "FAILED", "error": "Table is not in the source"}
 
     def one(table: str) -> dict:
-        return transfer_table(spark, plan, table, before.get(table, _Previous()))
+        return transfer_table(spark, plan, table) if table in known else missing | {"table_name": table}
 
-    names = plan.table_names(spark)
     if plan.parallel_tables > 1:
         with ThreadPoolExecutor(plan.parallel_tables) as pool:
             jobs = list(pool.map(inheritable_thread_target(spark)(one), names))

@@ -55,8 +55,16 @@ def page(spark, sf_dir):
     return chunk.page(table(spark, sf_dir, "orders"), ["o_totalprice", "o_orderkey"], 100, 50, unique=True)
 
 
+def page_deep(spark, sf_dir):
+    # Two pages of a key with few values make up the table.
+    lines = table(spark, sf_dir, "lineitem")
+    half = lines.count() // 2
+    pages = [chunk.page(lines, ["l_returnflag"], start, half + 1) for start in (0, half + 1)]
+    return pages[0].union(pages[1])
+
+
 QUERIES = {
-    f.__name__: f for f in (chunk_assign, row_numbers, chunk_counts, chunk_export, chunk_merge, plan_chunks, page)
+    f.__name__: f for f in (chunk_assign, row_numbers, chunk_counts, chunk_export, chunk_merge, plan_chunks, page, page_deep)
 }
 
 ORACLES = {
@@ -79,5 +87,6 @@ ORACLES = {
                CAST(CASE WHEN rows > 600 THEN (rows + 249) // 250 ELSE 1 END AS BIGINT) AS chunks,
                CAST(CASE WHEN rows > 600 THEN 250 ELSE rows END AS BIGINT) AS rows_per_chunk
         FROM (SELECT 'supplier_' || l_suppkey AS table_name, count(*) AS rows FROM lineitem GROUP BY l_suppkey)""",
+    "page_deep": "SELECT * FROM lineitem",
     "page": "SELECT * FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 50 OFFSET 100",
 }

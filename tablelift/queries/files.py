@@ -88,6 +88,14 @@ def encoding_detect(spark, sf_dir):
     return parts[0].union(parts[1])
 
 
+def scan_mixed_encodings(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    root = new_staging_dir(spark, "mixed")
+    for encoding, test in (("utf-8", "lang = 'fr'"), ("cp1252", "lang = 'de'"), ("latin1", "lang NOT IN ('fr', 'de')")):
+        write_delimited(docs.where(test), f"{root}/{encoding}", FlatFormat(encoding=encoding))
+    return delimited.scan_detected(spark, f"{root}/*", FlatFormat(), docs.schema)
+
+
 # Orders as delimited lines, with a seventh field in some of them.
 def _order_lines(spark, sf_dir):
     extra = F.when((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT"), F.lit("surplus"))
@@ -162,7 +170,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_csv, export_csv_roundtrip, scan_tsv, scan_pipe, scan_parallel, scan_cp1252, scan_headerless, scan_manifest, scan_raw_split,
-        encoding_detect, truncate_fields, field_count_check, header_detect, count_records, count_records_parallel,
+        encoding_detect, scan_mixed_encodings, truncate_fields, field_count_check, header_detect, count_records, count_records_parallel,
         count_lines,
         count_nonblank_lines,
     )
@@ -195,6 +203,10 @@ ORACLES = {
                CASE WHEN bool_or(regexp_matches(text, '[\x{a0}-\x{ff}€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]'))
                     THEN 'cp1252' ELSE 'utf-8' END
         FROM documents GROUP BY lang""",
+    "scan_mixed_encodings": rf"""
+        SELECT doc_id, CASE lang WHEN 'fr' THEN text WHEN 'de' THEN regexp_replace(text, '{_CP1252}', '?', 'g')
+                       ELSE regexp_replace(text, '[^\x00-\xff]', '?', 'g') END AS text,
+               lang, source, n_chars FROM documents""",
     "truncate_fields": """
         SELECT o_orderkey || '|' || o_custkey || '|' || o_orderstatus || '|' || CAST(o_totalprice AS DECIMAL(15,2)) || '|' ||
                CAST(o_orderdate AS DATE) || '|' || o_orderpriority AS value

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablelift.formats import FlatFormat
 from tablelift.operators import status
-from tablelift.plans.endpoints import ParquetSource, ParquetTarget
+from tablelift.plans.endpoints import FrameSource, ParquetSource, ParquetTarget
 from tablelift.plans.transfer import TransferPlan, run_batch, run_transfer as _run_transfer
 from tablelift.queries.common import table
 from tablelift.session import new_staging_dir
@@ -24,7 +24,6 @@ def transfer_run(spark, sf_dir):
         tables=TRANSFERRED,
         keys={"documents": ["doc_id"], "orders": ["o_orderkey"], "customer": ["c_custkey"], "lineitem": ["l_orderkey"]},
         fmt=FlatFormat(collapse_empty=False),
-        chunk_threshold=10_000,
         chunk_rows=25_000,
         verify="rows",
         parallel_tables=4,
@@ -55,6 +54,18 @@ def transfer_batch(spark, sf_dir):
     return run_batch(spark, plans).select("database_name", "table_name", "status", "input_count", "output_count")
 
 
+def transfer_again(spark, sf_dir):
+    # As many rows as before, but other values: the staged files of the first run must not be loaded again.
+    orders = table(spark, sf_dir, "orders")
+    changed = orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    target = ParquetTarget(new_staging_dir(spark, "target"))
+    staging, store = new_staging_dir(spark, "staged"), new_staging_dir(spark, "status")
+    for df, staged in ((orders, True), (orders.limit(0), False), (changed, True), (changed, True)):
+        source = FrameSource({"orders": lambda _, df=df: df})
+        _run_transfer(spark, TransferPlan(source, target, staged=staged, staging=staging, status_path=store))
+    return target.read(spark, "orders")
+
+
 def _load_twice(spark, sf_dir, if_exists):
     path = new_staging_dir(spark, "loaded")
     customers = table(spark, sf_dir, "customer")
@@ -160,7 +171,7 @@ def report_lines(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        transfer_run, transfer_direct, transfer_batch, load_mode_skip, load_mode_replace, list_tables, select_tables, validate_tables, status_latest,
+        transfer_run, transfer_direct, transfer_batch, transfer_again, load_mode_skip, load_mode_replace, list_tables, select_tables, validate_tables, status_latest,
         skip_unchanged, report_summary, report_lines,
     )
 }
@@ -197,6 +208,7 @@ ORACLES = {
         UNION ALL SELECT 'sales', 'part', 'SUCCESS', count(*), count(*) FROM part
         UNION ALL SELECT 'staff', 'customer', 'SUCCESS', count(*), count(*) FROM customer
         UNION ALL SELECT 'staff', 'orders', 'SKIPPED', count(*), 0 FROM orders""",
+    "transfer_again": "SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders",
     "load_mode_skip": "SELECT *, 'SKIPPED' AS outcome FROM customer WHERE c_mktsegment = 'BUILDING'",
     "load_mode_replace": "SELECT *, 'LOADED' AS outcome FROM customer",
     "list_tables": """

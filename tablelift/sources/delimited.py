@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import replace
+from functools import reduce
 from pathlib import PurePosixPath
 
 from pyspark.errors import AnalysisException
@@ -107,6 +108,24 @@ def scan_lines(spark: SparkSession, path: str | list[str], encoding: str = "utf-
     return lines.select(F.col("_metadata.file_path").alias("file"), line.alias("value"))
 
 
+def per_file(spark: SparkSession, path: str | list[str], found: DataFrame, **missing) -> DataFrame:
+    """``found`` with a row for every file of ``path``; ``missing`` are the values of files it does not have.
+
+    Files without a line do not show up in a scan, and a scan skips empty files, so the names come from
+    the listing that the driver makes of any source.
+    """
+    names = spark.read.format("binaryFile").load(path).inputFiles()
+    # Local names come with one slash or three.
+    files = spark.createDataFrame([(n,) for n in names], "name string").distinct().withColumn("key", _one_slash("name"))
+    joined = files.join(found.withColumn("key", _one_slash("file")), "key", "left")
+    rest = [c for c in found.columns if c != "file"]
+    return joined.select(F.coalesce("file", "name").alias("file"), *rest).fillna(missing)
+
+
+def _one_slash(name: str) -> Column:
+    return F.regexp_replace(name, "^file:/+", "file:/")
+
+
 def _minus_header(rows: Column, header: bool) -> Column:
     return F.greatest(rows - F.lit(1 if header else 0), F.lit(0)).cast("bigint")
 
@@ -114,27 +133,30 @@ def _minus_header(rows: Column, header: bool) -> Column:
 def count_records(spark: SparkSession, path: str | list[str], fmt: FlatFormat = FlatFormat()) -> DataFrame:
     """Records per file: (file, rows).  A quoted line break does not end a record."""
     df = spark.read.options(**fmt.read_options()).csv(path)
-    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
+    counted = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
+    return per_file(spark, path, counted, rows=0)
 
 
 def count_lines(spark: SparkSession, path: str | list[str], header: bool = True) -> DataFrame:
     """Physical lines per file without the header line, blank lines included: (file, rows)."""
-    return (
+    counted = (
         scan_lines(spark, path)
         .groupBy("file")
         .agg(F.count("*").alias("lines"))
         .select("file", _minus_header(F.col("lines"), header).alias("rows"))
     )
+    return per_file(spark, path, counted, rows=0)
 
 
 def count_nonblank_lines(spark: SparkSession, path: str | list[str], header: bool = True) -> DataFrame:
     """Physical lines per file that hold more than white space, without the header line."""
-    return (
+    counted = (
         scan_lines(spark, path)
         .groupBy("file")
         .agg(F.count_if(~is_blank(F.col("value"))).alias("lines"))
         .select("file", _minus_header(F.col("lines"), header).alias("rows"))
     )
+    return per_file(spark, path, counted, rows=0)
 
 
 def field_count_check(spark: SparkSession, path: str | list[str], delimiter: str, expected: int) -> DataFrame:
@@ -184,7 +206,8 @@ def first_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def header_detect(spark: SparkSession, path: str | list[str], delimiter: str) -> DataFrame:
     """Does a file start with column names?  One row per file: (file, has_header)."""
     found = first_lines(spark, path)
-    return found.select("file", looks_like_header(F.col("value"), delimiter).alias("has_header"))
+    judged = found.select("file", looks_like_header(F.col("value"), delimiter).alias("has_header"))
+    return per_file(spark, path, judged, has_header=False)
 
 
 def encoding_detect(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -196,7 +219,7 @@ def encoding_detect(spark: SparkSession, path: str | list[str]) -> DataFrame:
     lines = scan_lines(spark, path)
     valid = F.is_valid_utf8("value")
     unused = F.when(~valid, F.decode(F.col("value").cast("binary"), "iso-8859-1").rlike(_UNUSED_IN_CP1252))
-    return (
+    found = (
         lines.groupBy("file")
         .agg(
             F.count("*").alias("lines"),
@@ -213,16 +236,37 @@ def encoding_detect(spark: SparkSession, path: str | list[str]) -> DataFrame:
             "bad_utf8_lines",
         )
     )
+    return per_file(spark, path, found, encoding="utf-8", lines=0, bad_utf8_lines=0)
+
+
+def files_by_encoding(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """The files of ``path`` by their encoding.  Only names come to the driver."""
+    plain = F.try_url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))
+    found = encoding_detect(spark, path).groupBy("encoding").agg(F.array_sort(F.collect_list(plain)).alias("files"))
+    return {r.encoding: r.files for r in found.orderBy("encoding").collect()}
 
 
 def detected_format(spark: SparkSession, path: str | list[str], fmt: FlatFormat) -> FlatFormat:
-    """``fmt`` with the encoding the files have; files of one table must agree."""
-    # Pure ASCII files pass as UTF-8, so only the files with other bytes decide.
-    found = encoding_detect(spark, path).select("encoding").distinct().collect()
-    names = {r.encoding for r in found}
-    if not names:
-        return fmt
-    one_byte = names - {"utf-8"}
-    if not one_byte:
-        return replace(fmt, encoding="utf-8")
-    return replace(fmt, encoding="latin1" if "latin1" in one_byte else "cp1252")
+    """``fmt`` with the encoding the files have; files that differ are an error (:func:`scan_detected` reads them).
+
+    Pure ASCII files pass as UTF-8.
+    """
+    names = list(files_by_encoding(spark, path))
+    if len(names) > 1:
+        raise ValueError(f"the files have different encodings: {names}")
+    return replace(fmt, encoding=names[0]) if names else fmt
+
+
+def scan_detected(
+    spark: SparkSession,
+    path: str | list[str],
+    fmt: FlatFormat = FlatFormat(),
+    schema: T.StructType | None = None,
+    strict: bool = True,
+    scan: Callable[..., DataFrame] = scan_delimited,
+) -> DataFrame:
+    """:func:`scan_delimited` (or another ``scan``) with every file read in the encoding that it has."""
+    parts = [scan(spark, files, replace(fmt, encoding=e), schema, strict) for e, files in files_by_encoding(spark, path).items()]
+    if not parts:
+        return scan(spark, path, fmt, schema, strict)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

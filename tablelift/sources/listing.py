@@ -11,11 +11,11 @@ def list_tables(catalog_tables: DataFrame, schema: str) -> DataFrame:
     return catalog_tables.where(wanted).select("table_name").orderBy("table_name")
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """File stems below a path, sorted: the tables of a folder of files.  No content is read."""
-    name = F.element_at(F.split("path", "/"), -1)
-    stem = F.regexp_replace(name, r"\.[^.]*$", "")
-    return spark.read.format("binaryFile").load(path).select(stem.alias("table_name")).distinct().orderBy("table_name")
+def list_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Names of ``<path>/<table>.parquet``, files or folders, sorted.  No content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path.rstrip('/')}/*.parquet")
+    stem = F.regexp_extract("path", r"/([^/]+)\.parquet(?:/|$)", 1)  # the first such level
+    return files.select(stem.alias("table_name")).distinct().orderBy("table_name")
 
 
 def list_catalog(spark: SparkSession, database: str | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ totals of the splits before.  Only those totals - one row per split - are looked
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from tablelift.formats import FlatFormat
 from tablelift.functions.text import is_blank, latin1_to_cp1252
 from tablelift.functions.typemap import cast_to_schema
-from tablelift.sources.delimited import restore_text, scan_delimited
+from tablelift.sources.delimited import count_records, per_file, restore_text, scan_delimited
 
 
 def _placed_lines(spark: SparkSession, path: str | list[str], fmt: FlatFormat) -> DataFrame:
@@ -45,6 +46,61 @@ def _toggles(line: Column, fmt: FlatFormat) -> Column:
     return quotes % 2
 
 
+def _complete_fields(line: Column, fmt: FlatFormat) -> Column:
+    """Whether a line that starts outside of quotes holds whole fields, the last of which may stay open.
+
+    Quotes stand around whole fields only, and are doubled inside.
+    """
+    q, d = re.escape(fmt.quote), re.escape(fmt.separator)
+    inner = f"[^{q}]*+(?:{q}{q}[^{q}]*+)*+"
+    rest = F.regexp_replace(line, rf"\G(?:[^{q}{d}]*+|{q}{inner}{q}){d}", "")
+    return rest.rlike(rf"^(?:[^{q}{d}]*+|{q}{inner}{q}?)$")
+
+
+def _closes_field(line: Column, fmt: FlatFormat) -> Column:
+    """The same for a line that starts inside of quotes."""
+    q, d = re.escape(fmt.quote), re.escape(fmt.separator)
+    rest = F.regexp_replace(line, rf"^[^{q}]*+(?:{q}{q}[^{q}]*+)*+", "")
+    after = F.regexp_replace(rest, rf"^{q}(?:{d}|$)", "")
+    return (rest == "") | (rest.rlike(rf"^{q}(?:{d}|$)") & _complete_fields(after, fmt))
+
+
+def plainly_quoted(spark: SparkSession, path: str | list[str], fmt: FlatFormat = FlatFormat()) -> bool:
+    """Whether counting quotes tells where records end, as the plain reader sees it.
+
+    It does where quotes stand around whole fields only, no carriage return stands alone or
+    ends a line of files with quoted line breaks, and no line is all white space.  The lines' texts
+    stay where they are: only flags of each line are brought into order.
+    """
+    if not fmt.quote or fmt.row_delimiter or len(fmt.separator) != 1 or fmt.escape not in (None, "", fmt.quote):
+        return False
+    line = F.regexp_replace("value", "\r$", "")
+    lines = _placed_lines(spark, path, fmt).select(
+        "file", "split", "position", "toggles", F.contains("value", F.lit("\r")).alias("ends_in_cr"),
+        (F.contains(line, F.lit("\r")) | (is_blank(line) & (line != ""))).alias("odd"),
+        _complete_fields(line, fmt).alias("outside_ok"), _closes_field(line, fmt).alias("inside_ok"),
+    )
+    found = lines.agg(
+        F.bool_or(F.col("odd") | ~(F.col("outside_ok") | F.col("inside_ok"))).alias("bad"),
+        F.bool_or("ends_in_cr").alias("cr"), F.bool_or(F.col("toggles") == 1).alias("breaks"),
+    ).first()
+    if found.bad or found.cr and found.breaks:
+        return False
+
+    def odd(state: int, flag: str) -> Column:
+        return F.count_if((F.col("before") == state) & ~F.col(flag))
+
+    # Of each split, the lines that are wrong if it starts outside, and if it starts inside.
+    splits = _in_split(lines).groupBy("file", "split").agg(
+        F.sum("toggles").alias("toggles"),
+        (odd(0, "outside_ok") + odd(1, "inside_ok")).alias("if_outside"),
+        (odd(1, "outside_ok") + odd(0, "inside_ok")).alias("if_inside"),
+    )
+    inside = F.coalesce(F.sum("toggles").over(_splits_before()), F.lit(0)) % 2
+    wrong = F.when(inside == 0, F.col("if_outside")).otherwise(F.col("if_inside"))
+    return splits.select((wrong > 0).alias("bad")).where("bad").isEmpty()
+
+
 def has_quoted_line_breaks(spark: SparkSession, path: str | list[str], fmt: FlatFormat = FlatFormat()) -> bool:
     """Does any record go over several lines?  Stops at the first line that shows it."""
     return not _placed_lines(spark, path, fmt).where("toggles = 1").isEmpty()
@@ -113,7 +169,12 @@ def scan_records(spark: SparkSession, path: str | list[str], fmt: FlatFormat = F
 
 
 def count_records_parallel(spark: SparkSession, path: str | list[str], fmt: FlatFormat = FlatFormat()) -> DataFrame:
-    """Records per file without its header: (file, rows).  No record is put together or parsed."""
+    """Records per file without its header: (file, rows).  No record is put together or parsed.
+
+    Files whose quoting is not plain are counted by the plain reader.
+    """
+    if not plainly_quoted(spark, path, fmt):
+        return count_records(spark, path, fmt)
     lines = _placed_lines(spark, path, fmt)
     blank = is_blank(F.col("value")) & (F.col("toggles") == 0)
     lines = _in_split(lines.select("file", "split", "position", "toggles", blank.alias("blank")))
@@ -127,7 +188,8 @@ def count_records_parallel(spark: SparkSession, path: str | list[str], fmt: Flat
         .withColumn("started", F.when(_starts_inside() == 0, F.col("outside")).otherwise(F.col("inside")))
     )
     header = 1 if fmt.header else 0
-    return splits.groupBy("file").agg(F.greatest(F.sum("started") - header, F.lit(0)).cast("bigint").alias("rows"))
+    counted = splits.groupBy("file").agg(F.greatest(F.sum("started") - header, F.lit(0)).cast("bigint").alias("rows"))
+    return per_file(spark, path, counted, rows=0)
 
 
 def scan_delimited_parallel(
@@ -139,15 +201,20 @@ def scan_delimited_parallel(
 ) -> DataFrame:
     """:func:`scan_delimited` for files too large for one task each.
 
-    Files without quoted line breaks are split by the plain reader; the others go through
-    :func:`scan_records`, which shuffles their lines twice.  A quote anywhere in a line counts.
+    The same rows as there.  Files without quoted line breaks are split by the plain reader; the others
+    go through :func:`scan_records`, which shuffles their lines twice.  Files whose quoting is not plain
+    (see :func:`plainly_quoted`) are left to the plain reader: what a stray quote means depends on all
+    that stands before it.  A last field that stays open is an error, not the rest of the file.
     """
+    if not plainly_quoted(spark, path, fmt):
+        return scan_delimited(spark, path, fmt, schema, strict)
     if not has_quoted_line_breaks(spark, path, fmt):
         return scan_delimited(spark, path, replace(fmt, multi_line=False), schema, strict)
     names = schema.names if schema is not None else scan_delimited(spark, path, fmt).columns
     records = scan_records(spark, path, fmt).where(~is_blank(F.col("value")))
     if fmt.header:
-        records = records.where("NOT (split = 0 AND record = 1)")
+        header = records.groupBy("file").agg(F.min(F.struct("split", "record")).alias("header"))
+        records = records.join(header, "file").where(F.struct("split", "record") != F.col("header"))
     text_columns = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in names)
     options = {k: v for k, v in fmt.read_options().items() if k not in ("header", "multiLine", "encoding")}
     record = F.regexp_replace("value", "\r$", "")

@@ -26,32 +26,28 @@ def test_numbers_follow_the_order(spark, ranges):
     assert again == got
 
 
-@pytest.mark.parametrize("per_task", [7, 100_000])
-def test_one_row_repeated(spark, monkeypatch, per_task):
-    monkeypatch.setattr(chunk, "_COPIES_PER_TASK", per_task)
-    monkeypatch.setattr(chunk, "_SAMPLED", 1.0)
+@pytest.mark.parametrize("ranges", [1, 6])
+def test_one_row_repeated(spark, ranges):
     rows = [(1, "same")] * 100 + [(2, "x"), (0, "y"), (0, "y")] + [(4, "z")] * 9
-    chunked = chunk.assign_chunks(frame(spark, rows), 10, ["k"], ranges=6)
+    chunked = chunk.assign_chunks(frame(spark, rows), 10, ["k"], ranges=ranges)
     counts = {r.chunk: r.rows for r in chunk.chunk_counts(chunked).collect()}
     assert counts == {**{i: 10 for i in range(11)}, 11: 2}
     assert sorted((r.k, r.v) for r in chunked.drop("chunk").collect()) == sorted(rows)
 
 
-def test_copies_do_not_share_a_range(spark, monkeypatch):
-    monkeypatch.setattr(chunk, "_COPIES_PER_TASK", 50)
-    monkeypatch.setattr(chunk, "_SAMPLED", 1.0)
+def written_parts(numbered):
+    """Rows of each range, which are written as a file each."""
+    return [numbered.sparkSession.read.parquet(f).count() for f in numbered.inputFiles()]
+
+
+def test_copies_do_not_share_a_range(spark):
     df = frame(spark, [(1, "same")] * 4000 + [(k, "other") for k in range(500)])
-    assert len(chunk._hot_hashes(df, 50, 8)) == 1
-    spread = chunk._spread_copies(df, 8)
-    assert spread.select("k", "v", "__copy").distinct().count() == 4500
-    placed = spread.repartitionByRange(8, "k", "__hash", "__copy").groupBy(F.spark_partition_id()).count().collect()
-    assert len(placed) == 8 and max(r["count"] for r in placed) < 1500
+    placed = written_parts(chunk.number_rows(df, ["k"], ranges=8))
+    assert len(placed) == 8 and max(placed) < 1500
 
 
-def test_the_sample_finds_hot_rows(spark, monkeypatch):
-    monkeypatch.setattr(chunk, "_COPIES_PER_TASK", 20_000)
+def test_a_frequent_key_among_others(spark):
     df = spark.range(100_000).selectExpr("IF(id % 3 = 0, -1, id) AS k").repartition(4)
-    assert len(chunk._hot_hashes(df, 20_000, 8)) == 1
     numbered = chunk.number_rows(df, ["k"], ranges=8)
     assert tuple(numbered.selectExpr("count(*)", "count(DISTINCT rn)", "max(rn)").first()) == (100_000,) * 3
     assert numbered.where("k = -1").selectExpr("max(rn)").first()[0] == 33_334
@@ -59,10 +55,8 @@ def test_the_sample_finds_hot_rows(spark, monkeypatch):
 
 def test_a_hot_key_is_split(spark):
     df = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").cast("string").alias("v"))
-    assert chunk._hot_hashes(df, 100_000, 8) == []
-    spread = chunk._spread_copies(df, 8)
-    placed = spread.repartitionByRange(8, "k", "__hash", "__copy").groupBy(F.spark_partition_id()).count().collect()
-    assert len(placed) == 8 and max(r["count"] for r in placed) < 1500
+    placed = written_parts(chunk.number_rows(df, ["k"], ranges=8))
+    assert len(placed) == 8 and max(placed) < 1500
 
 
 def test_unique_and_empty(spark):
@@ -107,3 +101,21 @@ def test_pages(spark):
     assert [r.id for r in chunk.page(df, ["id"], 3, 4, unique=True).collect()] == [3, 4, 5, 6]
     deep = chunk.page(df, ["id"], 199_998, 3, unique=True)
     assert sorted(r.id for r in deep.collect()) == [199_998, 199_999, 200_000]
+
+
+def test_rows_are_numbered_as_they_are(spark):
+    zeros = spark.range(400_000).select(((F.col("id") % 2 - 0.5) * 0.0).alias("x"))
+    numbered = chunk.number_rows(zeros, [])
+    signs = {r.s: r["count"] for r in numbered.groupBy(F.col("x").cast("string").alias("s")).count().collect()}
+    assert signs == {"0.0": 200_000, "-0.0": 200_000}
+    assert numbered.agg(F.min("rn"), F.max("rn"), F.count_distinct("rn")).first()[:] == (1, 400_000, 400_000)
+    spread = numbered.groupBy(F.spark_partition_id()).count().count()
+    assert spread > 1
+
+
+def test_pages_fit_together_at_every_depth(spark):
+    df = spark.range(0, 200_000, 1, 4).select(F.lit(1).alias("k"), "id")
+    shallow = chunk.page(df, ["k"], 0, 100_000)
+    deep = chunk.page(df, ["k"], 100_000, 100_000)
+    assert shallow.union(deep).distinct().count() == 200_000
+    assert [r.id for r in chunk.page(df, ["k"], 99_990, 10).collect()] == [r.id for r in chunk.page(df, ["k"], 99_990, 20).orderBy(F.xxhash64("k", "id")).limit(10).collect()]

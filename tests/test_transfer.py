@@ -136,7 +136,7 @@ def test_unchanged_tables_are_not_exported_again(spark, tmp_path, people):
 def test_chunked_staging(spark, tmp_path):
     plan = TransferPlan(
         frames(t=spark.range(95).coalesce(1)), ParquetTarget(str(tmp_path / "t")), staging=str(tmp_path / "s"),
-        chunk_threshold=50, chunk_rows=10,
+        chunk_rows=10,
     )
     assert jobs_by_table(run_transfer(spark, plan))["t"].status == "SUCCESS"
     assert len(list((tmp_path / "s/source/dbo/t").glob("*.csv"))) == 10
@@ -188,3 +188,49 @@ def test_geopackage_target(spark, tmp_path, people):
     source = GpkgSource(str(tmp_path / "g/people"))
     assert source.tables(spark) == ["people"]
     assert sorted(tuple(r) for r in source.read(spark, "people").collect())[0] == (1, "a,b")
+
+
+def test_staged_files_are_reused_only_for_the_same_rows_and_format(spark, tmp_path):
+    staging, store = str(tmp_path / "staging"), str(tmp_path / "status")
+
+    def run(rows, database="a", staged=True, fmt=FlatFormat()):
+        df = spark.createDataFrame([(i, f"{database}{v}") for i, v in rows], "id int, v string")
+        target = ParquetTarget(str(tmp_path / database))
+        plan = TransferPlan(frames(t=df), target, database=database, staged=staged, fmt=fmt, staging=staging, status_path=store)
+        assert run_transfer(spark, plan).first().status == "SUCCESS"
+        return sorted(r.v for r in target.read(spark, "t").collect())
+
+    first, more, changed = [(1, "x"), (2, "y")], [(1, "x"), (2, "y"), (3, "z")], [(1, "x"), (2, "changed")]
+    assert run(first) == ["ax", "ay"]
+    assert run(more, staged=False) == ["ax", "ay", "az"]
+    assert run(more) == ["ax", "ay", "az"]
+    assert run(first) == ["ax", "ay"]
+    assert run(changed) == ["achanged", "ax"]  # as many rows as before
+    assert run(changed, database="b") == ["bchanged", "bx"]
+    assert run(changed, fmt=FlatFormat("pipe")) == ["achanged", "ax"]
+
+
+def test_existing_target_is_seen_before_the_export(spark, tmp_path, people):
+    target = ParquetTarget(str(tmp_path / "out"))
+    run_transfer(spark, TransferPlan(frames(t=people), target))
+    plan = TransferPlan(frames(t=people), target, if_exists="skip", staging=str(tmp_path / "s"))
+    job = run_transfer(spark, plan).first()
+    assert (job.status, job.input_count) == ("SKIPPED", 3) and not (tmp_path / "s").exists()
+
+
+def test_selection_is_checked(spark, tmp_path, people):
+    run_transfer(spark, TransferPlan(frames(one=people, two=people), ParquetTarget(str(tmp_path / "in"))))
+    source = ParquetSource(str(tmp_path / "in"))
+    assert source.tables(spark) == ["one", "two"]
+    jobs = jobs_by_table(run_transfer(spark, TransferPlan(source, ParquetTarget(str(tmp_path / "out")), tables=("one", "gone"))))
+    assert jobs["one"].status == "SUCCESS" and (jobs["gone"].status, jobs["gone"].error) == ("FAILED", "Table is not in the source")
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(ValueError):
+        run_transfer(spark, TransferPlan(ParquetSource(str(tmp_path / "empty")), ParquetTarget(str(tmp_path / "out"))))
+
+
+def test_empty_text_that_the_format_drops_is_no_difference(spark, tmp_path):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "x")], "id int, v string")
+    for i, fmt in enumerate((FlatFormat(), FlatFormat(collapse_empty=False))):
+        plan = TransferPlan(frames(t=df), ParquetTarget(str(tmp_path / str(i))), fmt=fmt, verify="rows", keys={"t": ["id"]})
+        assert run_transfer(spark, plan).first().status == "SUCCESS"

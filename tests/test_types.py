@@ -127,3 +127,14 @@ def test_align_schema(spark):
     assert isinstance(row.when, dt.datetime) and len(row.uid) == 36
     with pytest.raises(ValueError, match="not a literal"):
         align_schema(spark.createDataFrame([Row(a="x")]), [ColumnSpec("z", "int", default="(dbo.f())")])
+
+
+def test_defaults_peel_at_any_depth(spark):
+    texts = [
+        "((((0))))", "(((getdate())))", "(dateadd(day,(1),getdate()))", "(1)+(2)", "((1)+(2))", "( ( (0) ) )", "('(x)')", "(')')", "()", "(())",
+        "", "x", "((a)", "(a))", "(sysdatetime())", "((newid()))", "(" * 40 + "7" + ")" * 40, "((a)(b))", " (N'it''s') ",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(len(texts), None)], "i int, d string")
+    got = [r[0] for r in df.orderBy("i").select(default_clause(F.col("d"))).collect()]
+    names = {"getdate()": "CURRENT_TIMESTAMP", "sysdatetime()": "CURRENT_TIMESTAMP", "newid()": "gen_random_uuid()"}
+    assert got == [names.get(peel_default(t), peel_default(t)) for t in texts] + [None]
