@@ -21,10 +21,19 @@ def from_text(column: Column, data_type: T.DataType, strict: bool = True) -> Col
     if isinstance(data_type, T.StringType):
         return column
     if isinstance(data_type, T.BinaryType):
-        return F.unhex(column)
+        return _strict(column, F.unhex(column), data_type) if strict else F.unhex(column)
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
         return F.from_json(column, data_type, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
-    return column.cast(data_type) if strict else lenient_cast(column, data_type)
+    if not strict:
+        return lenient_cast(column, data_type)
+    # Where casts raise by themselves the test never fires; elsewhere they would give NULL.
+    return _strict(column, column.cast(data_type), data_type)
+
+
+def _strict(text: Column, value: Column, data_type: T.DataType) -> Column:
+    """``value``, or an error where a text has none."""
+    message = F.concat(F.lit("CAST_INVALID_INPUT: "), text, F.lit(f" is no {data_type.simpleString()}"))
+    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message).cast(data_type)).otherwise(value)
 
 
 # Digits that always fit, and the least and greatest value, per integer type.

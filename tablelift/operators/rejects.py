@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablelift.formats import FlatFormat
 from tablelift.functions.render import from_text
@@ -75,14 +76,30 @@ def classify_records(
     return checked.select(*[F.col(f"`{c}`") for c in raw.columns], reason.alias("reason"), bad_columns.alias("bad_columns"))
 
 
+def _as_record(fields: list[Column], fmt: FlatFormat) -> Column:
+    """Fields as a record that reads back the same: quoted where the format needs it, NULL as its marker."""
+    special = [fmt.separator, "\n", "\r", *([fmt.quote] if fmt.quote else [])]
+
+    def shown(field: Column) -> Column:
+        if not fmt.quote:
+            return F.coalesce(field, F.lit(fmt.null_text))
+        needed = reduce(lambda a, b: a | b, [F.contains(field, F.lit(c)) for c in special])
+        if not fmt.collapse_empty or fmt.null_text:
+            needed = needed | (field == "")
+        inner = F.replace(field, F.lit(fmt.quote), F.lit((fmt.escape or "\\") + fmt.quote))
+        quoted = F.concat(F.lit(fmt.quote), inner, F.lit(fmt.quote))
+        return F.coalesce(F.when(needed, quoted).otherwise(field), F.lit(fmt.null_text))
+
+    return F.concat_ws(fmt.separator, *[shown(f) for f in fields])
+
+
 def split_rejects(
     spark: SparkSession, path: str | list[str], specs: Sequence[ColumnSpec], fmt: FlatFormat = FlatFormat()
 ) -> SplitLoad:
     """Typed good rows, and the rejected records with the reason and the columns at fault."""
     records = classify_records(spark, path, specs, fmt)
     good = cast_to_schema(records.where("reason IS NULL"), spark_schema(specs), strict=False)
-    names = [f"`{s.name}`" for s in specs]
-    whole = F.coalesce(F.col(_RECORD), F.concat_ws(fmt.separator, *[F.coalesce(F.col(n), F.lit("")) for n in names]))
+    whole = F.coalesce(F.col(_RECORD), _as_record([F.col(f"`{s.name}`") for s in specs], fmt))
     rejects = records.where("reason IS NOT NULL").select(whole.alias("record"), "reason", "bad_columns")
     return SplitLoad(good, rejects)
 

@@ -33,6 +33,9 @@ class Source:
     def tables(self, spark: SparkSession) -> list[str]:
         raise NotImplementedError
 
+    def has(self, spark: SparkSession, table: str) -> bool:
+        return table in self.tables(spark)
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         raise NotImplementedError
 
@@ -69,6 +72,9 @@ class ParquetSource(Source):
             return []
         return [r.table_name for r in list_parquet(spark, self.path).collect()]
 
+    def has(self, spark: SparkSession, table: str) -> bool:
+        return path_exists(spark, f"{self.path}/{table}.parquet")
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(f"{self.path}/{table}.parquet")
 
@@ -90,13 +96,13 @@ class FrameSource(Source):
 class ManifestSource(Source):
     """Delimited files, each named as a table or by its stem; a missing file rejects the set.
 
-    ``large_files`` reads a file with quoted line breaks in parallel instead of in one task.
+    ``large_files`` reads a file in parallel even where records have line breaks, instead of in one task.
     ``detect_encoding`` goes by the bytes of each file instead of the format's encoding.
     """
 
     entries: tuple[tuple[str, str | None], ...]
     fmt: FlatFormat = FlatFormat()
-    large_files: bool = False
+    large_files: bool = True
     detect_encoding: bool = False
 
     def tables(self, spark: SparkSession) -> list[str]:
@@ -123,6 +129,9 @@ class JdbcSource(Source):
     def tables(self, spark: SparkSession) -> list[str]:
         return [r.table_name for r in jdbc_tables(spark, self.endpoint, self.schema).collect()]
 
+    def has(self, spark: SparkSession, table: str) -> bool:
+        return jdbc_table_exists(spark, self.endpoint, self._name(table))
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         if table in self.partition_by:
             return scan_jdbc_partitioned(

@@ -180,7 +180,7 @@ def run_transfer(spark: SparkSession, plan: TransferPlan) -> DataFrame:
     names = plan.table_names(spark)
     if not names:
         raise ValueError("the plan selects no table")
-    known = set(plan.source.tables(spark)) if plan.tables else set(names)
+    known = {n for n in names if not plan.tables or plan.source.has(spark, n)}
     missing = _job(plan, "", datetime.now(timezone.utc).replace(tzinfo=None)) | {"status": "FAILED", "error": "Table is not in the source"}
 
     def one(table: str) -> dict:

@@ -58,15 +58,22 @@ def _comparable(data_type: T.DataType) -> bool:
 def column_stats(df: DataFrame, approximate: bool = True) -> DataFrame:
     """Per column: rows, nulls, distinct values, least and greatest value as text.
 
+    Binary and nested columns have no order and no cheap equality: of these only rows and nulls are told.
+
     Distinct values are estimated by sketches in the same single pass, one row per task.  Exact
     counts (``approximate=False``) shuffle one row per (column, value) after map-side combine.
     """
-    fields = [f for f in df.schema.fields if _comparable(f.dataType)]
+    fields = df.schema.fields
     columns = [F.col(f"`{f.name}`") for f in fields]
+    ordered = [_comparable(f.dataType) for f in fields]
+    nothing = F.max(F.lit(None).cast("string"))
     plain = [F.count("*").alias("rows")]
     for i, column in enumerate(columns):
-        plain += [F.count_if(column.isNull()).alias(f"n{i}"), F.min(column).alias(f"lo{i}"), F.max(column).alias(f"hi{i}")]
-    sketches = [F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]
+        low, high = (F.min(column), F.max(column)) if ordered[i] else (nothing, nothing)
+        plain += [F.count_if(column.isNull()).alias(f"n{i}"), low.alias(f"lo{i}"), high.alias(f"hi{i}")]
+
+    def distinct(count):
+        return [(count(c) if o else F.max(F.lit(None).cast("bigint"))).alias(f"d{i}") for i, (c, o) in enumerate(zip(columns, ordered))]
 
     def per_column(one_row: DataFrame, *values) -> DataFrame:
         rows = [F.struct(F.lit(f.name).alias("column_name"), *[v(i) for v in values]) for i, f in enumerate(fields)]
@@ -80,9 +87,9 @@ def column_stats(df: DataFrame, approximate: bool = True) -> DataFrame:
     )
     number = (lambda i: F.col(f"d{i}").alias("distinct_values"),)
     if approximate:
-        stats = per_column(df.agg(*plain, *sketches), *basic, *number)
+        stats = per_column(df.agg(*plain, *distinct(F.approx_count_distinct)), *basic, *number)
     else:
         # Apart from min and max, the distinct counts can use hash aggregation throughout.
-        counted = df.agg(*[F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)])
+        counted = df.agg(*distinct(F.count_distinct))
         stats = per_column(df.agg(*plain), *basic).join(per_column(counted, *number), "column_name")
     return stats.select("column_name", "rows", "nulls", "distinct_values", "min_value", "max_value")

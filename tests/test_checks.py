@@ -178,3 +178,18 @@ def test_catalog_keys_and_spec(spark):
          "a INTEGER NOT NULL DEFAULT 0, b VARCHAR(5) DEFAULT N'x', c DECIMAL(9,0) NOT NULL, CONSTRAINT T_pkey PRIMARY KEY (c, a)"),
         ("dbo", "U", 1, "a TEXT"),
     ]
+
+
+def test_rejected_records_read_back(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('id,v\n1,"p,q"\nx,"p,q"\ny,"say ""hi"""\nz,\n')
+    specs = [ColumnSpec("id", "int"), ColumnSpec("v", "nvarchar")]
+    found = rejects.split_rejects(spark, str(tmp_path / "t.csv"), specs)
+    assert [tuple(r) for r in found.good.collect()] == [(1, "p,q")]
+    assert sorted(r.record for r in found.rejects.collect()) == ['x,"p,q"', 'y,"say ""hi"""', "z,"]
+
+
+def test_statistics_tell_of_every_column(spark):
+    df = spark.createDataFrame([(1, b"a", [1], {"k": 1}, None), (2, None, None, None, (1,))], "i int, b binary, a array<int>, m map<string,int>, s struct<x:int>")
+    for approximate in (True, False):
+        got = {r.column_name: tuple(r)[1:] for r in column_stats(df, approximate).collect()}
+        assert got == {"i": (2, 0, 2, "1", "2"), **{c: (2, 1, None, None, None) for c in "bams"}}

@@ -51,7 +51,7 @@ def test_balanced_scan_splits_a_hot_key(spark, endpoint, people):
 def test_range_predicates_cover_everything():
     cells = [(0, 5), (1, 5), (2, 50), (5, 1), (6, 9)]
     parts = jdbc._range_predicates("K", 100, 10, cells, 12, None)
-    assert parts == ["K >= 100 AND K < 120", "K >= 120 AND K < 130", "K >= 150 AND K < 170"]
+    assert parts == ["K < 120", "K >= 120 AND K < 150", "K >= 150"]
     assert len(jdbc._range_predicates("K", 100, 10, cells, 12, "S")) == 2 + 5 + 1
 
 
@@ -186,3 +186,14 @@ def test_gpkg_write(spark, tmp_path):
     assert not [p for p in (tmp_path / "out").iterdir() if p.suffix == ".tmp"]
     with pytest.raises(Exception, match="cannot hold"):
         load_gpkg(spark.sql("SELECT array(1) AS a"), str(tmp_path / "no"), "t")
+
+
+def test_balanced_ranges_adjoin():
+    cells = [(2, 5), (3, 4), (9, 30), (10, 1)]
+    made = jdbc._range_predicates("K", 0, 10, cells, 10, None)
+    assert made == ["K < 90", "K >= 90 AND K < 100", "K >= 100"]
+    for key in range(-50, 300):
+        assert sum(eval(p.replace("K", str(key)).replace("AND", "and")) for p in made) == 1
+    salted = jdbc._range_predicates("K", 0, 10, cells, 10, "S")
+    assert len(salted) == 6 and all("MOD" not in p for p in salted)
+    assert jdbc._range_predicates("K", 0, 1, [(0, 3)], 10, None) == ["K IS NOT NULL"]

@@ -7,6 +7,7 @@ from pyspark.sql import Row, functions as F, types as T
 
 from tablelift.functions.render import lenient_cast
 from tablelift.functions.typemap import (
+    cast_to_schema,
     TARGET_TYPES,
     ColumnSpec,
     align_schema,
@@ -138,3 +139,13 @@ def test_defaults_peel_at_any_depth(spark):
     got = [r[0] for r in df.orderBy("i").select(default_clause(F.col("d"))).collect()]
     names = {"getdate()": "CURRENT_TIMESTAMP", "sysdatetime()": "CURRENT_TIMESTAMP", "newid()": "gen_random_uuid()"}
     assert got == [names.get(peel_default(t), peel_default(t)) for t in texts] + [None]
+
+
+def test_strict_hex_raises(spark):
+    df = spark.createDataFrame([("0aFF",), (None,)], "b string")
+    schema = T.StructType([T.StructField("b", T.BinaryType())])
+    assert [r.b for r in cast_to_schema(df, schema).collect()] == [bytearray(b"\x0a\xff"), None]
+    bad = spark.createDataFrame([("xyz",)], "b string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        cast_to_schema(bad, schema).collect()
+    assert cast_to_schema(bad, schema, strict=False).first().b is None
