@@ -2,7 +2,7 @@
 
 The tokenizer drops white space and never joins across it, so the ids of a text are the ids of its
 white-space separated words in order.  Words repeat, so each worker keeps the ids of words it has
-met.  The kept words are bounded: beyond ``MAX_WORDS`` all are forgotten, which costs time only.
+met.  The kept words are bounded: beyond ``MAX_WORDS`` the newer half is forgotten, which costs time only.
 """
 
 from __future__ import annotations
@@ -11,12 +11,12 @@ import operator
 import os
 import re
 from functools import lru_cache
-from itertools import chain
+from itertools import islice, repeat
 
 import numpy as np
 
 #: Kept words of one worker, about 200 bytes each, and the longest word that is kept.
-MAX_WORDS = 500_000
+MAX_WORDS = 300_000
 MAX_WORD_BYTES = 64
 #: ASCII punctuation that never joins a letter before it; no apostrophe, which starts endings like 's.
 CLOSING = b".,;:!?#%&*$|\")]"
@@ -26,8 +26,19 @@ CHUNK_WORDS = 1500
 PLAIN = re.compile("(?:[a-z]|\u00c3[\u009f-\u00b6\u00b8-\u00bf])+".encode("latin-1")).fullmatch
 
 
-#: Commas and full stops that follow neither white space nor what is surely a letter or digit.
-UNSURE = re.compile(b"(?:[^a-z0-9\\x20\\x09-\\x0d\x80-\xff]|\xc3[\x97\xb7]|(?<!\xc3)[\x80-\xff])[.,]").search
+def _kind(byte: int) -> int:
+    """What a byte is to the question whether a comma or full stop may be cut off behind it."""
+    char = chr(byte)
+    if char in ".,":
+        return ord(".")
+    if char in " \t\n\r\x0b\x0c" or "a" <= char <= "z" or "0" <= char <= "9":
+        return ord("a")
+    if byte == 0xC3:
+        return ord("c")  # with what follows a letter of Latin-1, or one of two signs
+    return ord("h") if 0x80 <= byte <= 0xBF and byte not in (0x97, 0xB7) else ord("!")
+
+
+KINDS = bytes(map(_kind, range(256)))
 
 
 def _prepared(text: bytes) -> bytes:
@@ -40,14 +51,17 @@ def _prepared(text: bytes) -> bytes:
     if b"<|" in text:
         return text
     text = text.lower()
-    return text if UNSURE(text) else text.replace(b",", b" ,").replace(b".", b" .")
+    kinds = text.translate(KINDS)
+    if b"!." in kinds or b".." in kinds or b"c." in kinds or kinds.count(b"h.") != kinds.count(b"ch."):
+        return text
+    return text.replace(b",", b" ,").replace(b".", b" .")
 
 
 class WordEncoder:
     """Encodes UTF-8 texts; the ids come back as little-endian unsigned 32-bit integers.
 
-    Only for tokenizers that lower-case, discard white space and split words from punctuation.  Strings that look like special tokens are handled
-    as the tokenizer file says, as they would be in the whole text.
+    Only for tokenizers that lower-case, discard white space and split words from punctuation.  Strings
+    that look like special tokens are handled as the tokenizer file says, as they would be in the whole text.
     """
 
     def __init__(self, path: str):
@@ -57,9 +71,8 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
         self.mark, self.mark_id = self._separator()
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+        self.whole = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.plain = normalizers.Sequence([]), pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
         vocabulary = self.tokenizer.get_vocab()
@@ -79,22 +92,26 @@ class WordEncoder:
         return np.array(ids, "<u4").tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
-        letters, mixed = [], []
+        letters, mixed, alone = [], [], []
         for word in words:
             if PLAIN(word):
                 letters.append(word)
             elif self.mark in word or b"<|" in word or len(word) > MAX_WORD_BYTES:
-                self.known[word] = self._alone(word)
+                alone.append(word)
             else:
                 mixed.append(word)
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.plain
         for i in range(0, len(letters), CHUNK_WORDS):
             self._learn_letters(letters[i : i + CHUNK_WORDS])
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.whole
         for i in range(0, len(mixed), CHUNK_WORDS):
             self._learn_joined(mixed[i : i + CHUNK_WORDS])
+        for word in alone:
+            self.known[word] = self._alone(word)
 
     def _learn_letters(self, words: list[bytes]) -> None:
         """Words of small letters are one unit each, and a unit's last token is marked as such."""
-        (found,) = self.plain.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)
+        (found,) = self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)
         ids = np.array(found.ids, "<u4")
         ends = 4 * (np.flatnonzero(self.closes[ids]) + 1)
         self._keep(words, ids.tobytes(), [0, *ends[:-1].tolist()], ends.tolist())
@@ -110,13 +127,15 @@ class WordEncoder:
         if len(ends) == len(words):
             self.known.update((word, ids[i:j]) for word, i, j in zip(words, starts, ends))
         else:  # a tokenizer of another kind: still right, only slow
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.whole
             self.known.update((word, self._alone(word)) for word in words)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text."""
         split = [_prepared(t).split() for t in texts]  # white space of ASCII only, which every tokenizer agrees on
         if len(self.known) > MAX_WORDS:
-            self.known = {}
+            # Frequent words were met early: the older half stays.
+            self.known = dict(islice(self.known.items(), MAX_WORDS // 2))
         known = self.known
         fresh = list(set().union(*split).difference(known))
         # In lower case, closing punctuation apart: the tokenizer separates both as well.  What might
@@ -149,19 +168,25 @@ def default_tokenizer() -> str:
 
 
 #: Bytes of text that are split into words at once.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 
 
 def encoded(batches, path: str):
-    """(batch, row, ids) of every row of Arrow batches with a binary column ``text``, in order."""
+    """(doc_id, its Arrow type, ids) of every row of Arrow batches with columns ``doc_id`` and ``text`` (binary), in order.
+
+    A batch is let go before the next one is read.
+    """
     encode = encoder(path).encode
     for batch in batches:
-        texts = batch.column("text")
-        start, size = 0, 0
-        for row in range(batch.num_rows):
+        texts, doc_ids = batch.column("text"), batch.column("doc_id")
+        del batch
+        rows, start, size = len(texts), 0, 0
+        for row in range(rows):
             size += len(texts[row].as_buffer() or b"")
-            if size >= GROUP_BYTES or row == batch.num_rows - 1:
+            if size >= GROUP_BYTES or row == rows - 1:
                 group = [t or b"" for t in texts.slice(start, row + 1 - start).to_pylist()]
-                for k, ids in enumerate(encode(group)):
-                    yield batch, start + k, ids
+                ids = encode(group)
+                del group
+                yield from zip(doc_ids.slice(start, row + 1 - start).to_pylist(), repeat(doc_ids.type), ids)
                 start, size = row + 1, 0
+        del texts, doc_ids

@@ -110,12 +110,11 @@ def _pack_rows(tokenizer: str, end_id: int, length: int, block: int, quadratic:
 
     def task(batches):
         packer, rows = _Packer(length, block, quadratic), None
-        for batch, k, ids in encoding.encoded(batches, tokenizer):
-            doc_id = batch.column("doc_id")
+        for doc_id, id_type, ids in encoding.encoded(batches, tokenizer):
             if rows is None:
                 names = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
-                rows = Rows(pa.schema([("doc_id", doc_id.type), *((n, pa.int64()) for n in names)]))
-            for piece in packer.add(doc_id[k].as_py(), ids + end):
+                rows = Rows(pa.schema([("doc_id", id_type), *((n, pa.int64()) for n in names)]))
+            for piece in packer.add(doc_id, ids + end):
                 rows.add(*piece)
                 if rows.full():
                     yield from rows.take()

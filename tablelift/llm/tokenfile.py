@@ -38,9 +38,8 @@ def _token_rows(tokenizer: str, end_id: int):
     def task(batches):
         part, at, size = TaskContext.get().partitionId(), 0, 0
         doc_ids, starts, own, id_type = [], [], [], None
-        for batch, k, ids in encoding.encoded(batches, tokenizer):
-            id_type = batch.column("doc_id").type
-            doc_ids.append(batch.column("doc_id")[k].as_py())
+        for doc_id, id_type, ids in encoding.encoded(batches, tokenizer):
+            doc_ids.append(doc_id)
             starts.append(at)
             own.append(ids + end)
             at += len(own[-1]) // 4
