@@ -49,7 +49,7 @@ BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 def words(text: Column) -> Column:
     """Words of ASCII letters in lower case, digits and all characters beyond ASCII."""
     # The Kelvin sign alone would become an ASCII letter in lower case.
-    return F.filter(F.split(F.lower(F.replace(text, F.lit("K"), F.lit("κ"))), BREAKS), lambda w: w != "")
+    return F.filter(F.split(F.lower(F.replace(text, F.lit("\u212a"), F.lit("\u03ba"))), BREAKS), lambda w: w != "")
 
 
 def _windows(w: Column) -> Column:

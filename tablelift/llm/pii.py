@@ -74,7 +74,7 @@ HOMOGLYPHS = dict(
         strict=True,
     )
 )
-INVISIBLE = set("​‌‍⁠﻿­")
+INVISIBLE = set("\u200b\u200c\u200d\u2060\ufeff\u00ad")
 DIGITS = {
     word: str(value % 10)
     for value, words in enumerate(
