@@ -166,9 +166,17 @@ def sized_text_types(specs: Sequence[ColumnSpec], overrides: Mapping[str, str] |
     return ", ".join(f"`{name}` {kind}" for name, kind in named if "(" in kind)
 
 
+def declared_text_types(schema: T.StructType) -> str:
+    """:func:`sized_text_types` from the metadata of :func:`spark_schema`, as loaded frames carry it."""
+    declared = [ColumnSpec(f.name, f.metadata["source_type"], f.metadata.get("max_length")) for f in schema.fields if "source_type" in f.metadata]
+    return sized_text_types(declared)
+
+
 def cast_to_schema(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
     """Cast text columns to the fields of ``schema``, by name, in schema order."""
-    return df.select(*[from_text(F.col(f"`{f.name}`"), f.dataType, strict).alias(f.name) for f in schema.fields])
+    return df.select(
+        *[from_text(F.col(f"`{f.name}`"), f.dataType, strict).alias(f.name, metadata=f.metadata) for f in schema.fields]
+    )
 
 
 def apply_types(

@@ -5,11 +5,11 @@ Each takes the catalog's own tables as DataFrames and answers for all tables at
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tablelift.functions.typemap import default_clause, sqlite_target_type, target_type_column
+from tablelift.functions.typemap import ColumnSpec, default_clause, sqlite_target_type, target_type_column
 
 _TABLE = ["table_schema", "table_name"]
 
@@ -55,6 +55,25 @@ def catalog_columns(columns: DataFrame, constraints: DataFrame, key_usage: DataF
     )
 
 
+def specs_from_catalog(columns: DataFrame, schema: str, tables: Sequence[str] = ()) -> dict[str, tuple[ColumnSpec, ...]]:
+    """The declared columns of each table of a schema (or of the named ``tables``), for a transfer plan.
+
+    ``columns``: as of :func:`catalog_columns`.  Only the columns' descriptions come to the driver.
+    """
+    wanted = columns.where(F.col("table_schema") == schema)
+    if tables:
+        wanted = wanted.where(F.col("table_name").isin(*tables))
+    found: dict[str, list[ColumnSpec]] = {}
+    for r in wanted.orderBy("table_name", "ordinal", "column_name").collect():
+        found.setdefault(r.table_name, []).append(
+            ColumnSpec(
+                r.column_name, r.data_type, max_length=r.max_length, precision=r.num_precision, scale=r.num_scale,
+                nullable=r.is_nullable, default=r.column_default, is_primary_key=r.is_primary_key,
+            )
+        )
+    return {name: tuple(specs) for name, specs in found.items()}
+
+
 def catalog_indexes(
     schemas: DataFrame, tables: DataFrame, columns: DataFrame, indexes: DataFrame, index_columns: DataFrame
 ) -> DataFrame:

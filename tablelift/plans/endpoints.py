@@ -13,6 +13,7 @@ from pathlib import PurePosixPath
 from pyspark.sql import DataFrame, SparkSession
 
 from tablelift.formats import FlatFormat
+from tablelift.functions.typemap import declared_text_types
 from tablelift.sinks.delimited import flat_file_path, write_delimited
 from tablelift.sinks.tables import analyze_table, load_gpkg, load_parquet, load_table
 from tablelift.sources.delimited import manifest_tables, path_exists, scan_delimited, scan_detected, scan_manifest
@@ -275,7 +276,7 @@ class JdbcTarget(Target):
     def write(self, df: DataFrame, table: str, if_exists: str) -> None:
         load_jdbc(
             df, self.endpoint, self._name(table), if_exists,
-            connections=self.connections, column_types=self.column_types.get(table),
+            connections=self.connections, column_types=self.column_types.get(table) or declared_text_types(df.schema) or None,
         )
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:

@@ -18,7 +18,7 @@ from tablelift.operators.chunk import DEFAULT_CHUNK_ROWS
 from tablelift.operators.reconcile import difference_summary, reconcile_rows
 from tablelift.operators.status import append_status
 from tablelift.plans.endpoints import Source, Target
-from tablelift.session import new_staging_dir
+from tablelift.session import new_staging_dir, remove_staged
 from tablelift.sinks.delimited import save_mode, staging_path, write_delimited
 from tablelift.sources.delimited import path_exists, scan_delimited
 
@@ -37,7 +37,8 @@ class TransferPlan:
     ``specs``: declared columns of a table; without them the source's own types are loaded.
     ``staged``: go through delimited files, counted on the way.  ``False`` loads the source straight
     into the target: half the work, and nothing is rendered as text; then ``flatfile_count`` is NULL.
-    ``staging``: root of the staged files; by default a new folder in the shared location.
+    ``staging``: root of the staged files; by default a new folder in the shared location, which is
+    removed when the run is over.
     ``if_exists``: ``replace``, ``skip`` (a SKIPPED job) or ``error`` (a FAILED job).
     ``chunk_rows``: staged files have this many rows at most.
     ``on_error``: ``relax`` loads columns with uncastable texts as text instead of failing.
@@ -175,8 +176,10 @@ def run_transfer(spark: SparkSession, plan: TransferPlan) -> DataFrame:
     save_mode(plan.if_exists)
     if plan.on_error == "relax" and not plan.staged:
         raise ValueError("types are relaxed on staged text only")
+    own_staging = None
     if plan.staging is None:
-        plan = replace(plan, staging=new_staging_dir(spark, "staged"))
+        own_staging = new_staging_dir(spark, "staged")
+        plan = replace(plan, staging=own_staging)
     names = plan.table_names(spark)
     if not names:
         raise ValueError("the plan selects no table")
@@ -195,6 +198,8 @@ def run_transfer(spark: SparkSession, plan: TransferPlan) -> DataFrame:
     result = spark.createDataFrame([tuple(job[c] for c in columns) for job in jobs], JOB_SCHEMA)
     if plan.status_path:
         append_status(result, plan.status_path)
+    if own_staging:  # the targets are loaded, nothing reads it any more
+        remove_staged(spark, own_staging)
     return result
 
 

@@ -7,7 +7,10 @@ the columns, so the catalog grows with the data.  The derivation is plain SQL, u
 from pyspark.sql import functions as F
 
 from tablelift.operators import catalog
+from tablelift.plans.endpoints import FrameSource, ParquetTarget
+from tablelift.plans.transfer import TransferPlan, run_transfer
 from tablelift.queries.common import table
+from tablelift.session import new_staging_dir
 
 _SCHEMA = "'s' || substr('' || {key}, 1, 1)"
 _COLUMN = "'c' || l_linenumber || '_' || l_partkey || '_' || l_suppkey || '_' || CAST(l_quantity AS INT)"
@@ -107,9 +110,27 @@ def column_clauses(spark, sf_dir):
     return clauses.select("table_schema", "table_name", "column_name", F.col("target_type"), "clause")
 
 
+def specs_roundtrip(spark, sf_dir):
+    # Orders as a text table, with the declared columns that a catalog has of it.
+    orders = table(spark, sf_dir, "orders")
+    kinds = {"bigint": "bigint", "string": "nvarchar", "double": "money", "timestamp_ntz": "datetime2"}
+    rows = [("dbo", "orders", i, name, kinds[kind], 15 if kind == "string" else None, None, None, name != "o_orderkey", None, name == "o_orderkey", None)
+            for i, (name, kind) in enumerate(orders.dtypes)]
+    described = spark.createDataFrame(
+        rows, "table_schema string, table_name string, ordinal int, column_name string, data_type string, max_length int, "
+        "num_precision int, num_scale int, is_nullable boolean, column_default string, is_primary_key boolean, key_ordinal int")
+    text = orders.select(*[F.col(c).cast("string").alias(c) for c in orders.columns])
+    target = ParquetTarget(new_staging_dir(spark, "target"))
+    plan = TransferPlan(
+        FrameSource({"orders": lambda _: text}), target, specs=catalog.specs_from_catalog(described, "dbo", ["orders"])
+    )
+    run_transfer(spark, plan)
+    return target.read(spark, "orders")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (catalog_columns, catalog_primary_key, catalog_indexes, catalog_foreign_keys, catalog_spec, column_clauses)
+    for f in (specs_roundtrip, catalog_columns, catalog_primary_key, catalog_indexes, catalog_foreign_keys, catalog_spec, column_clauses)
 }
 
 
@@ -138,6 +159,9 @@ _CLAUSE = f"""column_name || ' ' || {_TYPE} || CASE WHEN is_nullable THEN '' ELS
     WHEN '(newid())' THEN ' DEFAULT gen_random_uuid()' ELSE '' END"""
 
 ORACLES = {
+    "specs_roundtrip": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(19,4)) AS o_totalprice, o_orderdate, o_orderpriority
+        FROM orders""",
     "catalog_columns": _with("columns", "constraints", "key_usage") + _COLUMNS,
     "catalog_primary_key": _with("constraints", "key_usage")
     + """

@@ -6,6 +6,7 @@ Every intermediate table goes to a folder that all executors can reach.  On a cl
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -20,7 +21,7 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if _LOCAL_ROOT is None:
         _LOCAL_ROOT = tempfile.mkdtemp(prefix="tablelift-")
@@ -41,3 +42,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_staging_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_staged(spark: SparkSession, path: str) -> None:
+    """Delete a folder of staged data that no result reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Delete everything that this library has staged in the shared folder."""
+    remove_staged(spark, f"{shared_root(spark)}/tablelift")
