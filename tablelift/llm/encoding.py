@@ -14,6 +14,7 @@ from functools import lru_cache
 from itertools import islice, repeat
 
 import numpy as np
+import pyarrow as pa
 
 #: Kept words of one worker, about 200 bytes each, and the longest word that is kept.
 MAX_WORDS = 300_000
@@ -149,7 +150,7 @@ class WordEncoder:
         self._learn(list(new))
         known[b""] = b""
         known.update(zip(fresh, map(operator.add, map(known.__getitem__, stems), map(known.__getitem__, tails))))
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        out = [b"".join(operator.itemgetter(b"", *words, b"")(known)) for words in split]
         for word in [w for w in new.union(fresh) if len(w) > MAX_WORD_BYTES]:
             del known[word]
         return out
@@ -190,3 +191,4 @@ def encoded(batches, path: str):
                 yield from zip(doc_ids.slice(start, row + 1 - start).to_pylist(), repeat(doc_ids.type), ids)
                 start, size = row + 1, 0
         del texts, doc_ids
+        pa.default_memory_pool().release_unused()

@@ -82,6 +82,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
         .write.option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", "0.01")
         .option("orc.row.index.stride", "1000")
+        .option("compression", "none")  # run-length encoded ids hardly shrink further
         .orc(path)
     )
 
