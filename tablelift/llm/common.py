@@ -17,6 +17,11 @@ def utf8(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")
 
 
+def all_columns(df: DataFrame) -> list[Column]:
+    """Every column of ``df``, whatever its name."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def free_names(df: DataFrame, *wanted: str) -> list[str]:
     """Names for helper columns that no column of ``df`` has, whatever its case."""
     taken, found = {c.lower() for c in df.columns}, []

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tablelift.llm.common import free_names, utf8
+from tablelift.llm.common import all_columns, free_names, utf8
 
 WINDOW = 10
 #: UTF-8 bytes of benchmark text in one automaton; larger benchmarks take several, one after the other.
@@ -271,7 +271,7 @@ def remove_passages(
     null texts included.
     """
     row, cut = free_names(docs, "whole_row", "cut")
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), "text")
+    whole = docs.select(F.struct(*all_columns(docs)).alias(row), "text")
     found = hits(whole, benchmark, window, block_bytes, keep=(row,))
     n_hit = _n_hit()
     found = found.where(n_hit <= F.lit(max_coverage) * F.col("n_words")).withColumn(cut, n_hit > 0)

@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tablelift.llm.common import free_names, same
+from tablelift.llm.common import all_columns, free_names, same
 from tablelift.session import materialize
 
 MIN_WORDS = 50
@@ -202,7 +202,7 @@ def keep_good(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     own = {c: c for c in COUNTS}
     # Counts are written first: a filter on them would be pushed down and count anew for every word.
     sketch = materialize(sketches(materialize(measured(few, own).drop("text"), "quality"), own), "sketches")
-    return judged(measured(docs, names), names, sketch, failed, kept, min_group).where(F.col(kept)).select(*docs.columns)
+    return judged(measured(docs, names), names, sketch, failed, kept, min_group).where(F.col(kept)).select(*all_columns(docs))
 
 
 ORACLE = rf"""

@@ -17,7 +17,7 @@ from uuid import uuid4
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tablelift.llm.common import free_names, utf8
+from tablelift.llm.common import all_columns, free_names, utf8
 from tablelift.session import materialize
 
 KINDS = ("assign", "access", "hex")
@@ -340,10 +340,14 @@ def mask_secrets(docs: DataFrame, sample: int = SAMPLE, margin: float = MARGIN)
     ``n_chars``, if there, is counted anew for texts that changed.  Null texts stay null.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(labelled_sample(docs, sample))
-    (flag,) = free_names(docs, "changed")
-    typed = docs.withColumns({"text": F.col("text").cast("string"), flag: F.lit(False)})
-    out = typed.mapInArrow(_redact_rows(shipped, margin, flag), typed.schema)
-    if "n_chars" in docs.columns:
-        anew = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col(flag), anew).otherwise(F.col("n_chars")))
-    return out.drop(flag)
+    rest, flag, filler = free_names(docs, "rest", "changed", "filler")
+    others = [c for c, name in zip(all_columns(docs), docs.columns) if name != "text"]
+    packed = docs.select(F.struct(*others, F.lit(0).alias(filler)).alias(rest), F.col("text").cast("string").alias("text"), F.lit(False).alias(flag))
+    out = packed.mapInArrow(_redact_rows(shipped, margin, flag), packed.schema)
+    columns = []
+    for name in docs.columns:
+        value = F.col("text") if name == "text" else F.col(rest).getField(name)
+        if name == "n_chars":
+            value = F.when(F.col(flag), F.length("text").cast(docs.schema[name].dataType)).otherwise(value)
+        columns.append(value.alias(name))
+    return out.select(*columns)

@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tablelift.llm.common import free_names, utf8
+from tablelift.llm.common import all_columns, free_names, utf8
 from tablelift.session import materialize
 
 SHINGLE_WORDS = 4
@@ -238,4 +238,4 @@ def drop_near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame
     kept = best.select(_row_key("doc_id", F.col("row_hash")).alias(pick))
     rows = docs.withColumn(key, _row_key("doc_id", _text_hash()))
     # Rows equal in doc_id and text share a key; one of them is enough.
-    return rows.join(kept, F.col(key) == F.col(pick), "left_semi").dropDuplicates([key]).select(*docs.columns)
+    return rows.join(kept, F.col(key) == F.col(pick), "left_semi").dropDuplicates([key]).select(*all_columns(docs))
