@@ -7,6 +7,7 @@ by word; the state after a word tells the longest run that ends there.  Runs of
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from uuid import uuid4
 
@@ -155,8 +156,8 @@ def _automaton(key: str, shipped, window: int) -> Automaton:
     return _BUILT[key]
 
 
-def _hit_rows(shipped, window: int, schema: pa.Schema):
-    """Adds the hits of one automaton to columns n_words, spans (starts and ends in turn) and items."""
+def _hit_rows(shipped, window: int, schema: pa.Schema, cut: bool = False):
+    """Adds the hits of one automaton to columns n_words, spans (starts and ends in turn) and items; ``cut`` takes them out of the text."""
     key = uuid4().hex
 
     def task(batches):
@@ -176,27 +177,35 @@ def _hit_rows(shipped, window: int, schema: pa.Schema):
                 spans.append([x for s in merge(found + list(zip(flat[::2], flat[1::2]))) for x in s])
                 items.append(old_items.as_py() + sorted(seen, key=str))
             new = {"n_words": n_words, "spans": spans, "items": items}
+            if cut and any(spans):
+                new["text"] = [_cut(t or b"", own) if own else t for t, own in zip(batch.column("text").to_pylist(), spans)]
             arrays = [pa.array(new[f.name], f.type) if f.name in new else batch.column(f.name).cast(f.type) for f in schema]
+            batch = new = None  # let go before the next one is read
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+            arrays = None
+            pa.default_memory_pool().release_unused()
 
     return task
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple]]:
-    """The items in lists of about ``block_bytes``; one at a time is on the driver."""
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list[tuple], bool]]:
+    """The items in lists of about ``block_bytes`` (one at a time is on the driver), and whether it is the last."""
     rows = benchmark.select("item_id", utf8("text").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-total // block_bytes) or 1
     for k in range(count):
         part = rows if count == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
-        yield [(r.item_id, bytes(r.text)) for r in part.collect()]
+        yield [(r.item_id, bytes(r.text)) for r in part.collect()], k == count - 1
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def hits(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+    keep: tuple[str, ...] = ("doc_id",), cut: bool = False,
+) -> DataFrame:
     """The ``keep`` columns of every row, text (bytes), n_words, spans and items.
 
     ``spans`` are the starts and ends of hit stretches in word positions, in turn; ``items`` the ids of
-    the items with windows in the text.  The benchmark is a query set: it goes to the workers in blocks of
+    the items with windows in the text; ``cut`` takes the stretches out of it.  The benchmark is a query set: it goes to the workers in blocks of
     bounded size, each of which all documents are streamed through.  Nothing is shuffled.
     """
     id_type = benchmark.schema["item_id"].dataType
@@ -205,9 +214,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
         F.array().cast("array<int>").alias("spans"), F.array().cast(T.ArrayType(id_type)).alias("items"),
     )
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
-    for block in _blocks(benchmark, block_bytes):
+    for block, last in _blocks(benchmark, block_bytes):
         shipped = docs.sparkSession.sparkContext.broadcast(block)
-        rows = rows.mapInArrow(_hit_rows(shipped, window, to_arrow_schema(schema)), schema)
+        rows = rows.mapInArrow(_hit_rows(shipped, window, to_arrow_schema(schema), cut and last), schema)
     return rows
 
 
@@ -253,13 +262,6 @@ def _cut(text: bytes, spans: list[int]) -> bytes:
     return b" ".join(p for p in parts if p)
 
 
-def _clean_rows(batches):
-    for batch in batches:
-        texts = [_cut(t, s) if s else t for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())]
-        arrays = [pa.array([t.decode("utf-8", "replace") for t in texts], pa.string()) if n == "text" else batch.column(n) for n in batch.schema.names if n not in ("spans", "items")]
-        yield pa.RecordBatch.from_arrays(arrays, names=[n for n in batch.schema.names if n not in ("spans", "items")])
-
-
 def remove_passages(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = 0.5, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
@@ -270,19 +272,15 @@ def remove_passages(
     ``n_chars``, if there, is counted anew for texts that were cut.  Rows without hits stay as they are,
     null texts included.
     """
-    row, cut = free_names(docs, "whole_row", "cut")
-    whole = docs.select(F.struct(*all_columns(docs)).alias(row), "text")
-    found = hits(whole, benchmark, window, block_bytes, keep=(row,))
-    n_hit = _n_hit()
-    found = found.where(n_hit <= F.lit(max_coverage) * F.col("n_words")).withColumn(cut, n_hit > 0)
-    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType) for f in found.schema.fields if f.name not in ("spans", "items")])
-    clean = found.mapInArrow(_clean_rows, schema)
+    rest, absent = free_names(docs, "rest", "absent")
+    others = [c for c, name in zip(all_columns(docs), docs.columns) if name != "text"]
+    whole = docs.select(F.struct(*others, F.col("text").isNull().alias(absent)).alias(rest), "text")
+    found = hits(whole, benchmark, window, block_bytes, keep=(rest,), cut=True)
+    n_hit, text = _n_hit(), F.col("text").cast("string")
     columns = []
-    for c in docs.columns:
-        old = F.col(row).getField(c)
-        if c == "text":
-            old = F.when(F.col(cut), F.col("text")).otherwise(old)
-        elif c == "n_chars":
-            old = F.when(F.col(cut), F.length("text").cast(docs.schema[c].dataType)).otherwise(old)
-        columns.append(old.alias(c))
-    return clean.select(*columns)
+    for name in docs.columns:
+        value = F.col(rest).getField(name) if name != "text" else F.when(~F.col(rest).getField(absent), text)
+        if name == "n_chars":
+            value = F.when(n_hit > 0, F.length(text).cast(docs.schema[name].dataType)).otherwise(value)
+        columns.append(value.alias(name))
+    return found.where(n_hit <= F.lit(max_coverage) * F.col("n_words")).select(*columns)
