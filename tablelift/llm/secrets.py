@@ -3,8 +3,9 @@
 The plain patterns label credentials by their kind.  From a bounded sample of these each format gets a
 probabilistic automaton: the prefix tree of the sample, written in character classes, whose states are
 merged while their distributions of continuations are statistically compatible (Hoeffding's bound).
-Every candidate of a text is then scored by its likelihood per character under each format against that
-under the words of the same texts.
+Every run of credential characters is then scored, character by character, by its likelihood under each
+format against that as words, numbers and signs, where words follow the letter pairs of the same texts.
+The stretches of a run in which a format is likelier by the margin are found.
 """
 
 from __future__ import annotations
@@ -35,9 +36,18 @@ DEPTH = 64
 ALPHA = 0.05
 #: A candidate is a secret if its likelihood per character beats that of words by this factor (natural logarithm).
 MARGIN = 1.0
-#: Candidates: runs of credential characters with digits and letters mixed.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_=-]{16,}+(?![A-Za-z0-9+/_=-])")
-WORD = re.compile(r"[A-Za-z]{4,}+")
+#: Characters of a secret at least.
+LEAST = 16
+#: Candidates: runs of credential characters, segments joined by dots included.
+CANDIDATE = re.compile(rf"(?:[A-Za-z0-9+/_=-]|(?<=[A-Za-z0-9+/_=-])\.(?=[A-Za-z0-9+/_=-])){{{LEAST},}}+")
+#: Parts of a run as words, numbers and signs would make it up.
+PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+|.", re.DOTALL)
+#: Logarithms: a new word or number, a sign, going on with a number, a character as the one before.
+NEW_PART, NEW_SIGN, MORE_DIGITS, SAME = -4.5, -2.8, -0.2, -0.7
+#: Characters in each class.
+WIDTH = {"0": 10, "a": 6, "z": 20, "A": 26}
+#: Background words stand alone and are too short for a candidate, so that keys don't count as words.
+WORD = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z]{4,15}+(?![A-Za-z0-9+/_=-])")
 
 
 def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
@@ -159,55 +169,136 @@ class Automaton:
             [self.seen[p] for p in red], [self.moves[p] for p in red], [self.ends[p] for p in red],
         )
 
-    def score(self, string: str, alphabet: int = 12) -> float:
-        """Logarithm of the likelihood per character; unseen moves have a small share and start anew."""
-        if not string:
-            return -math.inf
-        total, state = 0.0, 0
+    def steps(self, string: str, alphabet: int = 12) -> list[float]:
+        """Logarithm of the likelihood of each character; unseen moves have a small share and start anew."""
+        out, state = [], 0
         for c in string:
-            total += math.log((self.moves[state].get(c, 0) + 0.05) / (self.seen[state] + 0.05 * alphabet))
+            out.append(math.log((self.moves[state].get(c, 0) + 0.05) / (self.seen[state] + 0.05 * alphabet)))
             state = self.step[state].get(c, 0)
-        return total / len(string)
+        return out
+
+    def score(self, string: str, alphabet: int = 12) -> float:
+        """Logarithm of the likelihood per character."""
+        return sum(self.steps(string, alphabet)) / len(string) if string else -math.inf
 
 
 def classes(value: str) -> str:
     return "".join(map(symbol, value))
 
 
+class Words:
+    """Likelihood of runs as words, numbers and signs; words by the pairs of letters in a sample."""
+
+    def __init__(self, words: list[str]):
+        self.pairs: dict[tuple[str, str], int] = {}
+        self.first: dict[str, int] = {}
+        for word in words:
+            low = word.lower()
+            for pair in zip(" " + low, low):
+                self.pairs[pair] = self.pairs.get(pair, 0) + 1
+                self.first[pair[0]] = self.first.get(pair[0], 0) + 1
+
+    def _letter(self, before: str, c: str) -> float:
+        return math.log((self.pairs.get((before, c), 0) + 0.5) / (self.first.get(before, 0) + 13))
+
+    def steps(self, value: str) -> list[float]:
+        """Logarithm of the likelihood of each character."""
+        out, last = [], ""
+        for part in PART.findall(value):
+            if part[0].isdigit():
+                own = [MORE_DIGITS - math.log(10)] * len(part)
+                own[0] += NEW_PART
+            elif part[0].isalpha():
+                low = part.lower()
+                own = [max(self._letter(b, c), SAME if b == c else -math.inf) for b, c in zip(" " + low, low)]
+                own[0] += NEW_PART
+            else:
+                own = [SAME if part == last else NEW_SIGN]
+            out += own
+            last = part
+        return out
+
+
 class Formats:
-    """One automaton for each credential format and one for words."""
+    """One automaton for each credential format, and the words they are told from."""
 
     def __init__(self, labelled: list[tuple[str, str]], alpha: float = ALPHA):
         own: dict[str, list[str]] = {}
         for kind, value in labelled:
-            own.setdefault(kind, []).append(classes(value))
-        words = own.pop("word", [])
-        self.formats = {k: Automaton.infer(v, alpha) for k, v in sorted(own.items())}
-        self.words = Automaton.infer(words, alpha) if words else None
+            own.setdefault(kind, []).append(value)
+        self.words = Words(own.pop("word", []))
+        self.formats = {k: Automaton.infer(map(classes, v), alpha) for k, v in sorted(own.items())}
+
+    def ratios(self, value: str) -> list[list[float]]:
+        """For each format how much likelier every character is under it than as words (logarithm)."""
+        form, words = classes(value), self.words.steps(value)
+        widths = [math.log(WIDTH.get(c, 1)) for c in form]
+        return [[f - w - p for f, w, p in zip(a.steps(form), widths, words)] for a in self.formats.values()]
 
     def likeness(self, value: str) -> float:
         """How much likelier ``value`` is as a credential than as words, per character (logarithm)."""
-        if not self.formats:
-            return -math.inf
-        form = classes(value)
-        best = max(a.score(form[: 4 * DEPTH]) for a in self.formats.values())
-        return best - (self.words.score(form[: 4 * DEPTH]) if self.words else -3.0)
+        return max((sum(r) / len(r) for r in self.ratios(value) if r), default=-math.inf)
+
+    def stretches(self, value: str, margin: float) -> list[tuple[int, int]]:
+        """Stretches of ``value`` that are likelier as a credential by the margin: all of it, or the best ones."""
+        found, todo = [], [(0, len(value))]
+        while todo:
+            start, end = todo.pop()
+            if end - start < LEAST:
+                continue
+            part = value[start:end]
+            ratios = self.ratios(part)
+            if any(sum(r) > margin * len(r) for r in ratios):
+                found.append((start, end))
+                continue
+            a, b = max((best_stretch(r, margin) for r in ratios), key=lambda s: s[2], default=(0, 0, 0.0))[:2]
+            while 0 < a < b and part[a - 1].isalnum():
+                a -= 1
+            while a < b < len(part) and part[b].isalnum():
+                b += 1
+            if b - a >= LEAST:
+                found.append((start + a, start + b))
+                todo += [(start, start + a), (start + b, end)]
+        return sorted(found)
+
+
+def best_stretch(ratios: list[float], margin: float) -> tuple[int, int, float]:
+    """(start, end, excess) of the stretch of ``LEAST`` or more whose sum exceeds the margin by most; empty if none does."""
+    total, sums, low, at, best = 0.0, [0.0], 0.0, 0, (0, 0, 0.0)
+    for i, r in enumerate(ratios, 1):
+        total += r - margin
+        sums.append(total)
+        if i >= LEAST:
+            if sums[i - LEAST] < low:
+                low, at = sums[i - LEAST], i - LEAST
+            if total - low > best[2]:
+                best = (at, i, total - low)
+    return best
 
 
 def mixed(value: str) -> bool:
-    """Whether letters and digits alternate: paths, names and numbers are left alone."""
+    """Whether letters and digits alternate.  The scan does not ask for it: the likelihood alone decides."""
     kinds = re.findall(r"[0-9]+|[A-Za-z]+", value)
     digits = sum(c.isdigit() for c in value)
     return len(kinds) >= 4 and digits * 8 >= len(value) and digits < len(value) - 2
 
 
 def added_spans(text: str, base: dict[str, list[tuple[int, int]]], formats: Formats, margin: float = MARGIN) -> list[tuple[int, int]]:
-    """Candidates that look like credentials and overlap no plain secret."""
+    """Stretches of candidates that look like credentials; plain secrets are cut out of the candidates first."""
     taken = sorted(s for spans in base.values() for s in spans)
-    found = []
+    found, k = [], 0
     for m in CANDIDATE.finditer(text):
-        if mixed(m.group()) and all(m.end() <= a or m.start() >= b for a, b in taken) and formats.likeness(m.group()) > margin:
-            found.append(m.span())
+        at, end = m.span()
+        while k < len(taken) and taken[k][1] <= at:
+            k += 1
+        i = k
+        while at < end:
+            while i < len(taken) and taken[i][1] <= at:
+                i += 1
+            stop = min(end, taken[i][0]) if i < len(taken) else end
+            if stop - at >= LEAST:
+                found += [(at + a, at + b) for a, b in formats.stretches(text[at:stop], margin)]
+            at = max(stop, taken[i][1]) if i < len(taken) else end
     return found
 
 

@@ -252,6 +252,31 @@ def test_inferred_formats_on_held_out_values():
     assert found >= 190 and wrong == 0
 
 
+def test_every_candidate_is_scored(spark):
+    r = random.Random(21)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    key = lambda n, alphabet=letters + "0123456789+/": "".join(r.choice(alphabet) for _ in range(n))
+    compound = lambda: " ".join(r.choice(prose(1, 99).split()).strip(",.") + r.choice(["ing", "ed", "s", "less", "ly", "man"]) for _ in range(20))
+    labels = [f'token = "{key(40)}" {compound()}' for _ in range(600)]
+    held_out = [key(n) for n in (20, 32, 40, 64) for _ in range(100)] + [key(32, letters) for _ in range(100)]
+    jwt = ".".join(["eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9", key(60, letters + "0123456789-_"), key(43, letters + "0123456789-_")])
+    hidden = "/the/quick/brown/fox" * 20 + "/" + key(40, letters + "0123456789")
+    plain = ["/".join(prose(i, 6).replace(",", "").replace(".", "").split()) for i in range(100)]
+    plain += ["-" * 40, "1234567890123456", "brownFoxJumpsOverLazyDog", "seven.wizards.hum.old.songs", "fires_and_rivers_2024_01"]
+    rows = [(i, t) for i, t in enumerate([*labels, *(f"see {v} there" for v in [*held_out, jwt, hidden, *plain])])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts_of, added = dict(rows), {}
+    for row in secrets.find(docs).collect():
+        spans = [s.split(":") for s in row.spans.split(",") if s.startswith("format")]
+        added[row.doc_id] = [texts_of[row.doc_id][int(a) : int(b)] for _, a, b in spans]
+    first = len(labels)
+    whole = [added[first + i] == [v] for i, v in enumerate(held_out)]
+    assert all(sum(whole[k : k + 100]) >= 97 for k in range(0, 500, 100)), [sum(whole[k : k + 100]) for k in range(0, 500, 100)]
+    first += len(held_out)
+    assert added[first] == [jwt] and added[first + 1] and added[first + 1][0].endswith(hidden[-40:]) and len(added[first + 1][0]) < 100
+    assert not any(added[first + 2 + i] for i in range(len(plain))), [added[first + 2 + i] for i in range(len(plain)) if added[first + 2 + i]]
+
+
 def test_automaton_merges_what_is_alike():
     r = random.Random(3)
     strings = ["".join(r.choice("ab") for _ in range(r.randint(1, 20))) for _ in range(2000)]
