@@ -198,7 +198,10 @@ def _disguised_emails(text: str):
 
 
 def added_spans(text: str, base: dict[str, list[tuple[int, int]]]) -> dict[str, list[tuple[int, int]]]:
-    """Identifiers that show only in the normal form, as spans of ``text``; none overlaps a plain one of its kind."""
+    """Identifiers that show only in the normal form, as spans of ``text``; none lies within a plain one of its kind.
+
+    A wider one stays beside the plain span that holds a part of it.
+    """
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     low = text.lower()
     suspect = not text.isascii() and SUSPECT.search(text)
@@ -218,9 +221,13 @@ def added_spans(text: str, base: dict[str, list[tuple[int, int]]]) -> dict[str,
                 found["ip"].append(normal.source(*m.span()))
     for kind, spans in found.items():
         kept: list[tuple[int, int]] = []
-        for span in sorted(set(spans)):
-            if all(span[1] <= a or span[0] >= b for a, b in [*base[kind], *kept[-1:]]):
-                kept.append(span)
+        plain, k = sorted(base[kind]), 0
+        for a, b in sorted(set(spans), key=lambda s: (s[0], -s[1])):
+            while k < len(plain) and plain[k][1] <= a:
+                k += 1
+            within_plain = k < len(plain) and plain[k][0] <= a and b <= plain[k][1]
+            if not within_plain and (not kept or b > kept[-1][1]):
+                kept.append((a, b))
         found[kind] = kept
     return found
 
@@ -278,12 +285,16 @@ def find(docs: DataFrame) -> DataFrame:
 def masked(text: str, mask: str = "[{kind}]") -> str:
     """``text`` with every identifier, plain or disguised, replaced by its kind."""
     base, added = scan(text)
-    spans = sorted((a, b, k) for found in (base, added) for k, own in found.items() for a, b in own)
-    parts, at = [], 0
+    spans = sorted(((a, b, k) for found in (base, added) for k, own in found.items() for a, b in own), key=lambda s: (s[0], -s[1]))
+    merged: list[tuple[int, int, str, int]] = []  # start, end, kind and length of the widest
     for a, b, kind in spans:
-        if a >= at:
-            parts += [text[at:a], mask.format(kind=kind.upper())]
-            at = b
+        if merged and a < merged[-1][1]:
+            start, end, widest, length = merged[-1]
+            merged[-1] = (start, max(end, b), *((kind, b - a) if b - a > length else (widest, length)))
         else:
-            at = max(at, b)
+            merged.append((a, b, kind, b - a))
+    parts, at = [], 0
+    for a, b, kind, _ in merged:
+        parts += [text[at:a], mask.format(kind=kind.upper())]
+        at = b
     return "".join([*parts, text[at:]])

@@ -195,6 +195,22 @@ def test_disguises(text, kind, found):
     assert spans == ([(kind, found)] if kind else [])
 
 
+@pytest.mark.parametrize(
+    "text, kind, found, rest",
+    [
+        ("x j\u043ehn@example.com y", "email", "j\u043ehn@example.com", "x [EMAIL] y"),
+        ("x john@example.c\u043em y", "email", "john@example.c\u043em", "x [EMAIL] y"),
+        ("x jo\u200bhn@example.com y", "email", "jo\u200bhn@example.com", "x [EMAIL] y"),
+        ("x +49 151 23456789\uff11\uff12 y", "phone", "+49 151 23456789\uff11\uff12", "x [PHONE] y"),
+        ("a@b.com j\u043ehn@example.com c@d.org", "email", "j\u043ehn@example.com", "[EMAIL] [EMAIL] [EMAIL]"),
+    ],
+)
+def test_disguise_around_a_plain_part(text, kind, found, rest):
+    base, added = pii.scan(text)
+    assert [(k, text[a:b]) for k, own in added.items() for a, b in own] == [(kind, found)]
+    assert base == slow_personal(text) and pii.masked(text) == rest
+
+
 def test_personal_data_rows(spark):
     got = pii.find(edge_docs(spark)).collect()
     want = []
