@@ -85,19 +85,22 @@ DIGITS = {
 }
 
 _SPELLED = "|".join(sorted(DIGITS, key=len, reverse=True))
-#: Three or more spelled digits in a row, with blanks, dashes or nothing but a case change between them.
-SPELLED_RUN = re.compile(rf"(?<!\w)(?:plus[ -]+)?(?:(?:{_SPELLED}|[0-9])[ ,-]{{1,2}}){{6,}}(?:{_SPELLED}|[0-9])(?!\w)", re.IGNORECASE)
-SPELLED = re.compile(rf"(?<!\w)(?:plus|{_SPELLED})(?!\w)", re.IGNORECASE)
+#: Spelled digits, groups of digits and plus signs.
+NUMBERS = re.compile(rf"(?<!\w)(?:plus|{_SPELLED})(?!\w)|\+?[0-9]+|\+", re.IGNORECASE)
 
 _AT = r"(?:\s{0,2}[\(\[\{<]\s{0,2}(?:at|ät|@|arroba|chez)\s{0,2}[\)\]\}>]\s{0,2}|\s{1,2}(?:at|AT|ät|arroba)\s{1,2}|\s{1,2}@\s{1,2}|\s{1,2}@|@\s{1,2}|_at_|-at-|@)"
 _DOT = r"(?:\s{0,2}[\(\[\{<]\s{0,2}(?:dot|punkt|punto|point|\.)\s{0,2}[\)\]\}>]\s{0,2}|\s{1,2}(?:dot|DOT|punkt|punto|point)\s{1,2}|_dot_|-dot-|\.)"
 _LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})"
+#: What may stand between the numbers of one identifier.
+GAP = re.compile(rf"[ ,.()-]{{0,8}}|{_DOT}", re.IGNORECASE)
+#: Digits of the shortest identifier.
+LEAST_DIGITS = 4
 #: A disguised address: local part, at, and labels of which the last has letters only.
 DISGUISED_EMAIL = re.compile(
     rf"(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9_%+-]{{1,64}}(?:{_DOT}[A-Za-z0-9_%+-]{{1,64}}){{0,3}}?)(?P<at>{_AT})(?P<domain>{_LABEL}(?P<dots>(?:{_DOT}{_LABEL}){{0,3}}{_DOT})(?P<top>[A-Za-z]{{2,24}}))(?![A-Za-z0-9])",
     re.IGNORECASE,
 )
-#: Addresses with a plain word for "at" must have a disguised dot too and end in a known top-level domain.
+#: Addresses with a disguised at and plain dots must end in one of these.
 TOPS = set("com org net edu gov io info biz de fr es uk eu us ca ch at it nl co dev app me example test".split())
 DISGUISED_IP = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:{_DOT}[0-9]{{1,3}}){{3}}(?![0-9])", re.IGNORECASE)
 #: Characters that can be hidden or look like ASCII; Latin letters and common punctuation are not among them.
@@ -114,8 +117,7 @@ def may_hide_signs(text: str, low: str) -> bool:
 
 
 def may_spell_digits(low: str) -> bool:
-    words = low.replace("-", " ").replace(",", " ").split()
-    return sum(map(DIGITS.__contains__, words)) >= 3
+    return not DIGITS.keys().isdisjoint(re.findall(r"\w+", low))
 
 
 class Rewriting:
@@ -170,17 +172,36 @@ def look_alikes(text: Rewriting) -> Rewriting:
 
 
 def spelled_digits(text: Rewriting) -> Rewriting:
-    """Second transducer: runs of seven or more digits of which some are spelled out."""
-    spans = []
-    for run in SPELLED_RUN.finditer(text.text):
-        if not SPELLED.search(run.group()):
-            continue
-        for m in re.finditer(r"plus[ -]+|[^\W_]+|,", run.group(), re.IGNORECASE):
-            word = m.group().lower()
-            new = "+" if word.startswith("plus") else "" if word == "," else DIGITS.get(word, word)
-            if new != m.group():
-                spans.append((run.start() + m.start(), run.start() + m.end(), new))
-    return text.replaced(spans)
+    """Second transducer: spelled digits beside others, groups of digits, plus signs and words for dots.
+
+    Single digits of which one is spelled are joined; the detectors decide what they make.
+    """
+    spans: list[tuple[int, int, str]] = []
+    run: list[re.Match] = []
+
+    def rewrite():
+        names = [m.group().lower() for m in run]
+        if not any(n in DIGITS for n in names) or sum(1 if n in DIGITS else sum(c.isdigit() for c in n) for n in names) < LEAST_DIGITS:
+            return
+        for i, (m, name) in enumerate(zip(run, names)):
+            if i:
+                a, b = run[i - 1].end(), m.start()
+                between, single = text.text[a:b], [n in DIGITS or len(n) == 1 and n.isdigit() for n in names[i - 1 : i + 1]]
+                if names[i - 1] in ("plus", "+") or all(single) and (names[i - 1] in DIGITS or name in DIGITS) and not between.strip(" ,-"):
+                    spans.append((a, b, ""))
+                elif "," in between:
+                    spans.append((a, b, between.replace(",", "")))
+            if name == "plus" or name in DIGITS:
+                spans.append((*m.span(), "+" if name == "plus" else DIGITS[name]))
+
+    for m in NUMBERS.finditer(text.text):
+        starts_anew = m.group().startswith("+") or m.group().lower() == "plus"
+        if run and (starts_anew or m.start() - run[-1].end() > 20 or not GAP.fullmatch(text.text, run[-1].end(), m.start())):
+            rewrite()
+            run.clear()
+        run.append(m)
+    rewrite()
+    return text.replaced([s for s in spans if s[0] < s[1]])
 
 
 def _disguised_emails(text: str):
@@ -190,9 +211,9 @@ def _disguised_emails(text: str):
         if plain_at and plain_dots and re.fullmatch(r"[A-Za-z0-9._%+-]+", m["local"]):
             continue  # a plain address
         spoken = re.fullmatch(r"\s+[^\W\d_]+\s+", at) is not None
-        if spoken and (top not in TOPS or plain_dots and not re.search(r"[0-9._]", m["local"])):
+        if spoken and plain_dots and (top not in TOPS or not re.search(r"[0-9._]", m["local"])):
             continue  # "meet at noon.Then" and "see it at example.com": ordinary words
-        if at.strip() == "@" and at != "@" and top not in TOPS:
+        if at.strip() == "@" and at != "@" and plain_dots and top not in TOPS:
             continue
         yield m.start("local"), m.end("domain")
 
@@ -208,14 +229,18 @@ def added_spans(text: str, base: dict[str, list[tuple[int, int]]]) -> dict[str,
     normal = look_alikes(Rewriting(text)) if suspect else Rewriting(text)
     if normal.text is not text:
         low = normal.text.lower()
-    if may_spell_digits(low):
-        normal = spelled_digits(normal)
     hint = may_hide_signs(normal.text, low)
+    signs = [normal]  # an address may end in a spelled digit or hold one
+    if may_spell_digits(low):
+        spelled = spelled_digits(normal)
+        if spelled is not normal:
+            normal = spelled
+            signs.append(normal)
     if normal.text is not text:
         for kind, spans in base_spans(normal.text).items():
             found[kind] += [normal.source(*s) for s in spans]
     if hint:
-        found["email"] += [normal.source(*s) for s in _disguised_emails(normal.text)]
+        found["email"] += [form.source(*s) for form in signs for s in _disguised_emails(form.text)]
         for m in DISGUISED_IP.finditer(normal.text):
             if re.search(r"[^0-9.]", m.group()) and all(_at_most_255(p) for p in re.findall("[0-9]+", m.group())):
                 found["ip"].append(normal.source(*m.span()))

@@ -195,6 +195,25 @@ def test_disguises(text, kind, found):
     assert spans == ([(kind, found)] if kind else [])
 
 
+@pytest.mark.parametrize(
+    "text, kind, found",
+    [
+        ("pay 4111 1111 1111 one one one one now", "card", "4111 1111 1111 one one one one"),
+        ("pay 4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 one now", "card", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 one"),
+        ("call +49 151 two three four five six please", "phone", "+49 151 two three four five six"),
+        ("call plus four nine 151 2345 six please", "phone", "plus four nine 151 2345 six"),
+        ("host one nine two dot one six eight dot one dot one up", "ip", "one nine two dot one six eight dot one dot one"),
+        ("host 10 dot zero dot 0 dot 7 up", "ip", "10 dot zero dot 0 dot 7"),
+        ("jane at mail dot example dot berlin today", "email", "jane at mail dot example dot berlin"),
+        ("jane at example dot one", "email", "jane at example dot one"),
+        ("one of two, three or four things, then 5 more", None, None),
+    ],
+)
+def test_spelled_digits_in_groups(text, kind, found):
+    _, added = pii.scan(text)
+    assert [(k, text[a:b]) for k, own in added.items() for a, b in own] == ([(kind, found)] if kind else [])
+
+
 @pytest.mark.parametrize(
     "text, kind, found, rest",
     [
