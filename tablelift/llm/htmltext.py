@@ -3,7 +3,8 @@
 Parser events of the standard library cut a page into lines, one for each block of text.  The ratio of
 text to tags of the lines, smoothed with a Gaussian, is split at a threshold into content and the rest.
 Content decides which region of the page is the article; of that region every line stays, except those in
-parts that are never article text (menus, forms, adverts, comments and the like).
+parts that are never article text (menus, adverts, comments and the like).  Names and forms mark such parts
+only as long as they do not hold the article or most of the content.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from tablelift.llm.common import Rows, utf8
 # Elements of HTML by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = set(
-    "head title script style noscript template iframe object svg math canvas audio video nav aside footer form button select "
+    "head title script style noscript template iframe object svg math canvas audio video nav aside footer button select "
     "textarea menu dialog".split()
 )
 BLOCKS = set(
@@ -32,11 +33,13 @@ MAIN = set("article main".split())
 CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|breadcrumbs?|comments?|comment-?list|consent|cookies?|copyright|disclaimer|"
+    r"(?:^|[\s_-])(ads?|advert\w*|adsense|banner|breadcrumbs?|comments?|comment-?list|consent|cookies?|copyright|disclaimer|"
     r"disqus|footer|gdpr|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promo\w*|"
-    r"related|replies|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|toolbar|widget)(?:$|[\s_-])",
+    r"related|replies|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|toolbar|widget)(?=$|[\s_-])",
     re.IGNORECASE,
 )
+#: Names of what a page has or lacks, such as has-sidebar.
+ABOUT = re.compile(r"(?i)\b(?:has|no|with)-\S+")
 HEADER = re.compile(r"(?:^|[\s_-])(?:header|topbar|site-?title)(?:$|[\s_-])", re.IGNORECASE)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
@@ -45,16 +48,18 @@ SIGMA = 1.0
 REACH = 3
 #: Share of the content that the chosen region must hold.
 SHARE = 0.8
+#: A part is not excluded by its name if it holds more than this share of the content.
+MOST = 0.5
 
 
 class Line:
-    """A block of text: its words, the tags inside it, the regions around it, and whether it can be content."""
+    """A block of text: its words, the tags inside it, the regions and named parts around it, and whether it can be content."""
 
-    __slots__ = ("parts", "tags", "regions", "never")
+    __slots__ = ("parts", "tags", "regions", "never", "named")
 
-    def __init__(self, regions: tuple[int, ...], never: bool):
+    def __init__(self, regions: tuple[int, ...], never: bool, named: tuple[int, ...]):
         self.parts: list[str] = []
-        self.tags, self.regions, self.never = 1, regions, never
+        self.tags, self.regions, self.never, self.named = 1, regions, never, named
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
@@ -63,13 +68,15 @@ class Line:
 class _Page(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, tuple[int, ...]]] = []  # tag, whether never content, regions
+        self.open: list[tuple[str, bool, tuple[int, ...], tuple[int, ...]]] = []  # tag, whether never content, regions, named parts
+        self.names: list[set[str]] = []  # of each named part the words that speak against it
         self.main: dict[int, bool] = {}
+        self.outside: dict[int, tuple[int, ...]] = {}  # of each article without such words itself the named parts around it
         self.lines: list[Line] = []
         self.line: Line | None = None
 
-    def _state(self) -> tuple[bool, tuple[int, ...]]:
-        return (self.open[-1][1], self.open[-1][2]) if self.open else (False, ())
+    def _state(self) -> tuple[bool, tuple[int, ...], tuple[int, ...]]:
+        return self.open[-1][1:] if self.open else (False, (), ())
 
     def _never(self, tag: str, attrs: dict[str, str | None]) -> bool:
         if tag in NEVER or "hidden" in attrs or attrs.get("aria-hidden") == "true" or HIDDEN.search(attrs.get("style") or ""):
@@ -78,9 +85,18 @@ class _Page(HTMLParser):
         names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
         if tag == "header" or HEADER.search(names):
             return not inside_main
-        if tag in ("body", "html") or tag in MAIN and not BOILERPLATE.search(re.sub(r"(?i)\b(?:has|no|with)-\S+", "", names)):
-            return False
-        return (attrs.get("role") or "").lower() in ROLES or bool(names.strip() and BOILERPLATE.search(names))
+        return tag not in ("body", "html", "article", "main", "form") and (attrs.get("role") or "").lower() in ROLES - {"form"}
+
+    def _words(self, tag: str, attrs: dict[str, str | None]) -> set[str]:
+        """The words for which a part may be no content."""
+        if tag in ("body", "html"):
+            return set()
+        names = ABOUT.sub("", f"{attrs.get('class') or ''} {attrs.get('id') or ''}")
+        words = {w.lower() for w in BOILERPLATE.findall(names)}
+        if tag in MAIN and not words:
+            return set()
+        role = (attrs.get("role") or "").lower()
+        return words | ({"form"} if tag == "form" or role == "form" else set()) | ({role} if role in ROLES else set())
 
     def _close_to(self, names: set[str], stop: set[str]) -> None:
         for k in range(len(self.open) - 1, -1, -1):
@@ -102,12 +118,18 @@ class _Page(HTMLParser):
             self.line.tags += 1
         if tag in VOID:
             return
-        never, regions = self._state()
+        never, regions, named = self._state()
         values = dict(attrs)
+        own = self._never(tag, values)
+        if words := self._words(tag, values):
+            named = (*named, len(self.names))
+            self.names.append(words)
         if tag in REGIONS:
             regions = (*regions, len(self.main))
             self.main[regions[-1]] = tag in MAIN or (values.get("role") or "").lower() == "main"
-        self.open.append((tag, never or self._never(tag, values), regions))
+            if self.main[regions[-1]] and not words:
+                self.outside[regions[-1]] = named
+        self.open.append((tag, never or own, regions, named))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -122,17 +144,17 @@ class _Page(HTMLParser):
         self._close_to({tag}, set() if tag in BLOCKS and tag != "p" else BLOCKS - {tag})
 
     def handle_data(self, data):
-        never, regions = self._state()
-        if self.line is not None and (self.line.never != never or self.line.regions != regions):
+        never, regions, named = self._state()
+        if self.line is not None and (self.line.never != never or self.line.regions != regions or self.line.named != named):
             if not data.strip():
                 return
-            if never:  # a never part inside a line: the line goes on after it
+            if never or len(named) > len(self.line.named):  # such a part inside a line: the line goes on after it
                 return
             self.line = None
         if self.line is None:
             if not data.strip() or never and self.open and self.open[-1][0] in ("script", "style", "title"):
                 return
-            self.line = Line(regions, never)
+            self.line = Line(regions, never, named)
             self.lines.append(self.line)
         self.line.parts.append(data)
 
@@ -161,12 +183,42 @@ def threshold(values: list[float]) -> float:
     return cut
 
 
+def exclude_named(page: _Page, lines: list[tuple[Line, str]]) -> None:
+    """Mark the lines of parts whose names speak against them, unless they hold the article or most of the content."""
+    if not any(line.named for line, _ in lines):
+        return
+    ratios = smoothed([0.0 if line.never else len(text) / line.tags for line, text in lines])
+    cut = threshold(ratios)
+    content = [(line, len(text)) for (line, text), ratio in zip(lines, ratios) if not line.never and ratio > cut]
+    in_main = [(line, n) for line, n in content if any(page.main[r] for r in line.regions)]
+    around = {r: line for line, _ in in_main for r in line.regions if page.main[r]}
+    allowed: set[int] = set()
+    if any(not line.named for line, _ in in_main):
+        content = in_main  # what is outside the article, such as long comments, cannot outweigh it
+    else:  # every article is in a named part; names of the article itself count
+        for r in around:
+            allowed.update(page.outside.get(r, ()))
+    total = sum(n for _, n in content)
+    mass: dict[int, int] = {}
+    by_word: dict[str, int] = {}
+    for line, n in content:
+        for part in line.named:
+            mass[part] = mass.get(part, 0) + n
+        for word in {w for part in line.named for w in page.names[part]}:
+            by_word[word] = by_word.get(word, 0) + n
+    allowed.update(part for part, n in mass.items() if n > MOST * total)
+    common = set() if allowed else {w for w, n in by_word.items() if n > MOST * total}  # of the blocks of a page builder
+    for line, _ in lines:
+        line.never = line.never or any(part not in allowed and page.names[part] - common for part in line.named)
+
+
 def extract(html: str | None) -> str:
     """Main text of a page: blocks joined by two line feeds."""
     page = _Page()
     page.feed(html or "")
     page.close()
     lines = [(line, text) for line in page.lines if (text := line.text())]
+    exclude_named(page, lines)
     usable = [(line, text) for line, text in lines if not line.never]
     if not usable:
         return ""

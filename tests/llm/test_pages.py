@@ -39,6 +39,31 @@ def test_article_without_the_rest(open_, close):
     assert htmltext.extract(page(body)) == want
 
 
+@pytest.mark.parametrize(
+    "open_, close",
+    [
+        ("<div class='layout with-sidebar'>", "</div>"), ("<div class='no-sidebar'><article>", "</article></div>"), ("<div class='widget'><main>", "</main></div>"),
+        ("<form action='./page.aspx'><div>", "</div></form>"), ("<div class='page-widget'><div>", "</div></div>"),
+    ],
+)
+def test_wrappers_do_not_hide_the_article(open_, close):
+    body = open_ + "".join(f"<p>{FILLER}Part {i}.</p>" for i in range(12)) + close
+    want = "\n\n".join(f"{FILLER}Part {i}." for i in range(12))
+    assert htmltext.extract(page(body)) == want
+
+
+def test_blocks_of_a_page_builder():
+    body = "".join(f"<div class='elementor-element elementor-widget'><p>{FILLER}Part {i}.</p></div>" for i in range(12))
+    share = "<div class='elementor-widget elementor-widget-share'><p>Share</p></div>"
+    want = "\n\n".join(f"{FILLER}Part {i}." for i in range(12))
+    assert htmltext.extract(page(f"<div>{body}{share}</div>")) == want
+
+
+def test_long_comments_do_not_outweigh_the_article():
+    comments = "<div id='comments'>" + f"<article class='comment'><p>{FILLER}</p></article>" * 20 + "</div>"
+    assert htmltext.extract(page(f"<article><p>{FILLER}One.</p><p>{FILLER}Two.</p></article>{comments}")) == f"{FILLER}One.\n\n{FILLER}Two."
+
+
 def test_smoothing_and_threshold():
     assert htmltext.smoothed([3.0, 3.0, 3.0]) == pytest.approx([3.0] * 3)
     values = htmltext.smoothed([0, 0, 0, 100, 90, 0, 80, 0, 0, 0])
