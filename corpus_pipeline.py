@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablelift.llm import decontaminate, packing, quality, secrets, shingles
+from tablelift.llm import decontaminate, packing, quality, secrets, simhash
 from tablelift.llm.common import table
 from tablelift.session import materialize
 
@@ -19,8 +19,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (0.8 of the 5-word shingles), that with the smallest id."""
-    return shingles.drop_near_duplicates(docs)
+    """One document of each group linked by 4 or fewer differing bits of the 4-word SimHash, that with the smallest id."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: MinHash bands and inferred automata are not for SQL; the tests compare every stage with a plain version.
+#: Fingerprints and inferred automata are not for SQL; the tests compare every stage with a plain version.
 ORACLE_SQL = None
 
 
