@@ -38,6 +38,23 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+#: A key counts as hot if it has more than one in ``HOT_KEYS`` of all rows, so there are fewer hot keys than that.
+HOT_KEYS = 1000
+
+
+def lookup(rows: DataFrame, values: DataFrame, key: str, count: str) -> DataFrame:
+    """Inner join of ``rows`` with ``values``, which has one row per ``key`` and in ``count`` how many rows have it.
+
+    The rows of hot keys meet their values by a broadcast of fewer than ``HOT_KEYS`` rows, where they are; all
+    others are shuffled.  Both frames are read more than once, so they should be written tables.
+    """
+    total = values.agg(F.sum(count)).first()[0] or 0
+    hot = F.col(count) > total // HOT_KEYS + HOT_KEYS
+    few = F.broadcast(values.where(hot))
+    rest = rows.join(F.broadcast(values.where(hot).select(key)), key, "left_anti").join(values.where(~hot), key)
+    return rows.join(few, key).unionByName(rest)
+
+
 class Rows:
     """Collects output rows and hands them on as Arrow batches of bounded size."""
 
