@@ -1,7 +1,8 @@
 """Where tables come from and where they go.
 
 A source answers ``tables``, ``read`` and ``count``; a target answers ``exists``, ``write`` and
-``read``.  Anything with these methods can be used in a transfer.
+``read``.  Anything with these methods can be used in a transfer.  A target that can load beside a
+table answers ``stage`` as well, and its tables are replaced only by loads that are complete.
 """
 
 from __future__ import annotations
@@ -12,9 +13,11 @@ from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablelift import storage
 from tablelift.formats import FlatFormat
 from tablelift.functions.typemap import declared_text_types
-from tablelift.sinks.delimited import flat_file_path, write_delimited
+from tablelift.sinks.delimited import flat_file_path, save_mode, write_delimited
+from tablelift.sinks.replace import FolderSwap, Pending, TableSwap, Versions
 from tablelift.sinks.tables import analyze_table, load_gpkg, load_parquet, load_table
 from tablelift.sources.delimited import manifest_tables, path_exists, scan_delimited, scan_detected, scan_manifest
 from tablelift.sources.jdbc import (
@@ -51,6 +54,13 @@ class Target:
     def write(self, df: DataFrame, table: str, if_exists: str) -> None:
         raise NotImplementedError
 
+    def stage(self, spark: SparkSession, table: str) -> Pending | None:
+        """A load beside the table that can replace it; None if the target has no such thing."""
+        return None
+
+    def discard(self, spark: SparkSession, place: str) -> None:
+        """Remove what a load beside a table left when its run ended."""
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         raise NotImplementedError
 
@@ -221,10 +231,51 @@ class ParquetTarget(Target):
     def write(self, df: DataFrame, table: str, if_exists: str) -> None:
         load_parquet(df, self._path(table), if_exists)
 
+    def stage(self, spark: SparkSession, table: str) -> Pending:
+        return FolderSwap(spark, self._path(table), lambda df, name: self.write(df, name.removesuffix(".parquet"), "error"))
+
+    def discard(self, spark: SparkSession, place: str) -> None:
+        storage.remove(spark, place)
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(self._path(table))
 
 
+@dataclass(frozen=True)
+class VersionedTarget(Target):
+    """A folder of versions per table, of which the last committed one is the table (:class:`Versions`)."""
+
+    path: str
+    keep: int = 2
+
+    def versions(self, table: str) -> Versions:
+        return Versions(f"{self.path}/{table}", self.keep)
+
+    def exists(self, spark: SparkSession, table: str) -> bool:
+        return self.versions(table).current(spark) is not None
+
+    def write(self, df: DataFrame, table: str, if_exists: str) -> None:
+        save_mode(if_exists)
+        if if_exists != "replace" and self.exists(df.sparkSession, table):
+            if if_exists == "error":
+                raise FileExistsError(f"{self.path}/{table}")
+            return
+        load = self.stage(df.sparkSession, table)
+        load.write(df)
+        load.commit()
+
+    def stage(self, spark: SparkSession, table: str) -> Pending:
+        return self.versions(table).stage(spark)
+
+    def discard(self, spark: SparkSession, place: str) -> None:
+        path, _, load = place.rpartition("/data/")
+        if load not in Versions(path, self.keep).versions(spark).values():  # else it was committed in time
+            storage.remove(spark, place)
+
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        return self.versions(table).read(spark)
+
+
 @dataclass(frozen=True)
 class DelimitedTarget(Target):
     """A folder ``<schema>.<table>.<format>`` per table."""
@@ -253,6 +304,12 @@ class CatalogTarget(Target):
     def write(self, df: DataFrame, table: str, if_exists: str) -> None:
         load_table(df, f"{self.database}.{table}", if_exists)
 
+    def stage(self, spark: SparkSession, table: str) -> Pending:
+        return TableSwap(spark, f"{self.database}.{table}")
+
+    def discard(self, spark: SparkSession, place: str) -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {place}")
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.table(f"{self.database}.{table}")
 

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.util import inheritable_thread_target
 
 from tablelift.formats import FlatFormat
@@ -16,10 +16,12 @@ from tablelift.functions.text import map_strings, null_marker, strip_control_all
 from tablelift.functions.typemap import ColumnSpec, align_schema, relaxed_schema, spark_schema
 from tablelift.operators.chunk import DEFAULT_CHUNK_ROWS
 from tablelift.operators.reconcile import difference_summary, reconcile_rows
-from tablelift.operators.status import append_status
+from tablelift.operators.status import COUNTS, append_status
 from tablelift.plans.endpoints import Source, Target
+from tablelift.plans.journal import COMMITTED, EXPORTED, FINISHED, LOADING, STARTED, Journal
 from tablelift.session import new_staging_dir, remove_staged
 from tablelift.sinks.delimited import save_mode, staging_path, write_delimited
+from tablelift.sinks.replace import Pending
 from tablelift.sources.delimited import path_exists, scan_delimited
 
 JOB_SCHEMA = (
@@ -43,6 +45,9 @@ class TransferPlan:
     ``chunk_rows``: staged files have this many rows at most.
     ``on_error``: ``relax`` loads columns with uncastable texts as text instead of failing.
     ``verify``: ``counts``, or ``rows`` to compare every row by ``keys`` as well.
+    ``replace_unproven``: what ``replace`` does with a load whose counts or rows differ from the source.  By default
+    the load is dropped and the table keeps its old rows (if it had any); ``True`` replaces it all the same.
+    ``journal``: where a run writes what it has done, for :func:`run_transfer` with ``resume``.
     ``status_path``: where counts are kept between runs; a table whose staged files were written from
     the same rows in the same format is not exported again (set ``staging`` as well).
     """
@@ -63,6 +68,8 @@ class TransferPlan:
     chunk_rows: int = DEFAULT_CHUNK_ROWS
     on_error: str = "fail"
     verify: str = "counts"
+    replace_unproven: bool = False
+    journal: str | None = None
     status_path: str | None = None
     parallel_tables: int = 1
 
@@ -70,16 +77,28 @@ class TransferPlan:
         names = list(self.tables) or self.source.tables(spark)
         return [n for n in names if n not in self.exclude]
 
+    def about(self) -> str:
+        """What a run has to have in common with the one that it resumes."""
+        parts = (
+            self.target, self.database, self.schema, self.tables, self.exclude, self.staged, self.staging, self.fmt, self.if_exists,
+            sorted((t, tuple(s)) for t, s in self.specs.items()), sorted(self.type_overrides.items()),
+        )
+        return hashlib.sha256(repr(parts).encode()).hexdigest()
 
-def transfer_table(spark: SparkSession, plan: TransferPlan, table: str) -> dict:
+
+def transfer_table(spark: SparkSession, plan: TransferPlan, table: str, journal: Journal | None = None) -> dict:
     """Move one table; the outcome is a job row, whatever happens."""
     started = datetime.now(timezone.utc).replace(tzinfo=None)
     job = _job(plan, table, started)
     try:
-        job["status"], job["error"] = _move(spark, plan, table, job)
+        if journal:
+            journal.note(table, STARTED)
+        job["status"], job["error"] = _move(spark, plan, table, job, journal)
     except Exception as error:  # one table's failure must not stop the others
         job["status"], job["error"] = "FAILED", str(error)
     job["duration"] = (datetime.now(timezone.utc).replace(tzinfo=None) - started).total_seconds()
+    if journal:
+        journal.note(table, FINISHED, **job | {"run_at": started.isoformat()})
     return job
 
 
@@ -96,46 +115,94 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: seen.get["rows"]
 
 
-def _move(spark: SparkSession, plan: TransferPlan, table: str, job: dict) -> tuple[str, str | None]:
-    if plan.if_exists != "replace" and plan.target.exists(spark, table):  # before anything is exported
+class _InPlace(Pending):
+    """A load straight into the table, for targets that cannot load beside it."""
+
+    def __init__(self, spark: SparkSession, plan: TransferPlan, table: str):
+        self.spark, self.plan, self.table, self.place = spark, plan, table, None
+
+    def write(self, df: DataFrame) -> None:
+        self.plan.target.write(df, self.table, self.plan.if_exists)
+
+    def read(self) -> DataFrame:
+        return self.plan.target.read(self.spark, self.table)
+
+    def commit(self) -> None:
+        pass
+
+    def abort(self) -> None:
+        pass
+
+
+def _move(spark: SparkSession, plan: TransferPlan, table: str, job: dict, journal: Journal | None) -> tuple[str, str | None]:
+    if journal and (before := journal.found(table, COMMITTED)):  # the run ended after the table was in place
+        job.update(before["counts"])
+        return before["status"], before["error"]
+    there = plan.target.exists(spark, table)
+    if plan.if_exists != "replace" and there:  # before anything is exported
         job["input_count"] = plan.source.count(spark, table)
         return ("SKIPPED" if plan.if_exists == "skip" else "FAILED"), "Table already exists"
     source = strip_control_all(plan.source.read(spark, table))
     if plan.staged:
-        loaded, rows = _counted(_staged(spark, plan, table, source, job))
-        plan.target.write(loaded, table, plan.if_exists)
-        job["flatfile_count"] = rows()
+        loaded, rows = _counted(_staged(spark, plan, table, source, job, journal))
+        count = "flatfile_count"
     else:
         counted, rows = _counted(source)
-        typed = align_schema(counted, plan.specs[table], plan.type_overrides) if table in plan.specs else counted
-        plan.target.write(typed, table, plan.if_exists)
-        job["input_count"] = rows()
-    job["output_count"] = plan.target.count(spark, table)
-
+        loaded = align_schema(counted, plan.specs[table], plan.type_overrides) if table in plan.specs else counted
+        count = "input_count"
+    load = plan.target.stage(spark, table) or _InPlace(spark, plan, table)
+    if journal:
+        journal.note(table, LOADING, place=load.place)
+    try:
+        load.write(loaded)
+        job[count] = rows()
+        in_place = isinstance(load, _InPlace)
+        job["output_count"] = plan.target.count(spark, table) if in_place else load.read().count()
+        problem = _difference(plan, table, source, load, job)
+        if problem and there and not in_place and not plan.replace_unproven:
+            problem += "; the table keeps its old rows"
+            load.abort()
+        else:
+            load.commit()
+    except Exception:
+        load.abort()
+        raise
+    status = "WARNING" if problem else "SUCCESS"
+    if journal:
+        journal.note(table, COMMITTED, status=status, error=problem, counts={c: job[c] for c in COUNTS})
+    if not problem:
+        plan.target.analyze(spark, table)
+    return status, problem
+
+
+def _difference(plan: TransferPlan, table: str, source: DataFrame, load: Pending, job: dict) -> str | None:
+    """What a load lacks compared with its source, or None."""
     if job["input_count"] != job["output_count"]:
-        return "WARNING", f"Row count mismatch: {job['input_count']} vs {job['output_count']}"
-    plan.target.analyze(spark, table)
+        return f"Row count mismatch: {job['input_count']} vs {job['output_count']}"
     if plan.verify == "rows":
         keys = list(plan.keys.get(table, source.columns))
         # An empty text that the files do not tell from NULL is loaded as NULL by design.
         expected = map_strings(source, null_marker) if plan.staged and plan.fmt.collapse_empty else source
-        found = difference_summary(reconcile_rows(expected, plan.target.read(spark, table), keys)).first()
+        found = difference_summary(reconcile_rows(expected, load.read(), keys)).first()
         if any(found):
-            return "WARNING", f"Rows differ: missing {found.missing}, extra {found.extra}, changed {found.changed}"
-    return "SUCCESS", None
+            return f"Rows differ: missing {found.missing}, extra {found.extra}, changed {found.changed}"
+    return None
 
 
-def _fingerprint(plan: TransferPlan, source: DataFrame) -> tuple[int, str]:
-    """(rows, what the staged files depend on): the format, the columns and a digest of all rows."""
+def _digest(source: DataFrame) -> list[Column]:
+    """Number of rows and a sum over all of them, as aggregates."""
     columns = [
         F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType)) else F.col(f"`{f.name}`")
         for f in source.schema.fields
     ]
-    rows, total = source.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(20,0)")), F.lit(0))
-    ).first()
+    total = F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(20,0)")), F.lit(0))
+    return [F.count(F.lit(1)).alias("rows"), total.cast("string").alias("total")]
+
+
+def _fingerprint(plan: TransferPlan, source: DataFrame, rows: int, total: str) -> str:
+    """What staged files depend on: the format, the columns and a digest of all rows."""
     made_by = repr((plan.fmt, plan.chunk_rows, [(f.name, f.dataType.simpleString()) for f in source.schema.fields]))
-    return rows, f"{hashlib.sha256(made_by.encode()).hexdigest()}:{rows}:{total}"
+    return f"{hashlib.sha256(made_by.encode()).hexdigest()}:{rows}:{total}"
 
 
 def _read_mark(spark: SparkSession, path: str) -> str | None:
@@ -146,20 +213,32 @@ def _write_mark(spark: SparkSession, path: str, mark: str) -> None:
     spark.createDataFrame([(mark,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def _staged(spark: SparkSession, plan: TransferPlan, table: str, source: DataFrame, job: dict) -> DataFrame:
+def _staged(
+    spark: SparkSession, plan: TransferPlan, table: str, source: DataFrame, job: dict, journal: Journal | None
+) -> DataFrame:
     """Export to the staged files, unless they are still right, and read them back typed."""
     staged = staging_path(plan.staging, plan.database, plan.schema, table)
-    mark_path, mark = f"{staged}.fingerprint", None
-    if plan.status_path:
-        job["input_count"], mark = _fingerprint(plan, source)
-    if mark is None or not path_exists(spark, staged) or _read_mark(spark, mark_path) != mark:
-        if mark:
-            _write_mark(spark, mark_path, "being written")
-        counted, rows = _counted(source)
-        write_delimited(counted, staged, plan.fmt, "replace", max_rows_per_file=plan.chunk_rows)
-        job["input_count"] = rows()
-        if mark:
-            _write_mark(spark, mark_path, mark)
+    mark_path = f"{staged}.fingerprint"
+    there = path_exists(spark, staged)
+    before = journal and journal.found(table, EXPORTED)
+    if before and there:  # by the same run, before it ended
+        job["input_count"] = before["input_count"]
+    else:
+        old = _read_mark(spark, mark_path) if plan.status_path and there else None
+        if old:
+            found = source.agg(*_digest(source)).first()
+            job["input_count"] = found.rows
+        if not old or old != _fingerprint(plan, source, *found):
+            if plan.status_path:
+                _write_mark(spark, mark_path, "being written")
+            # What is exported is summed on the way, so the digest is that of the staged rows.
+            seen = Observation()
+            write_delimited(source.observe(seen, *_digest(source)), staged, plan.fmt, "replace", max_rows_per_file=plan.chunk_rows)
+            job["input_count"] = seen.get["rows"]
+            if plan.status_path:
+                _write_mark(spark, mark_path, _fingerprint(plan, source, seen.get["rows"], seen.get["total"]))
+        if journal:
+            journal.note(table, EXPORTED, input_count=job["input_count"])
     schema = spark_schema(plan.specs[table], plan.type_overrides) if table in plan.specs else source.schema
     if plan.on_error == "relax":
         text_schema = T.StructType([T.StructField(n, T.StringType()) for n in source.columns])
@@ -167,16 +246,22 @@ def _staged(spark: SparkSession, plan: TransferPlan, table: str, source: DataFra
     return scan_delimited(spark, staged, plan.fmt, schema)
 
 
-def run_transfer(spark: SparkSession, plan: TransferPlan) -> DataFrame:
+def run_transfer(spark: SparkSession, plan: TransferPlan, resume: bool = False) -> DataFrame:
     """Move all tables of the plan and return one row per table (``JOB_SCHEMA``).
 
+    With a ``journal`` every step is written down before and after it.  ``resume`` goes on with the last run if
+    it has not come to its end: tables that are done keep their job rows, files that it staged are loaded without
+    another export (if ``staging`` is named), what an unfinished load left is removed, and the rest is moved.
+
     Tables are independent: one that fails is a FAILED row, and so is one that the source does not
     have, before anything is read.  A plan that selects nothing is an error.  Only job rows pass the driver.
     """
     save_mode(plan.if_exists)
+    if resume and not plan.journal:
+        raise ValueError("a run without a journal cannot be resumed")
     if plan.on_error == "relax" and not plan.staged:
         raise ValueError("types are relaxed on staged text only")
-    own_staging = None
+    own_staging, about = None, plan.about()
     if plan.staging is None:
         own_staging = new_staging_dir(spark, "staged")
         plan = replace(plan, staging=own_staging)
@@ -186,8 +271,14 @@ def run_transfer(spark: SparkSession, plan: TransferPlan) -> DataFrame:
     known = {n for n in names if not plan.tables or plan.source.has(spark, n)}
     missing = _job(plan, "", datetime.now(timezone.utc).replace(tzinfo=None)) | {"status": "FAILED", "error": "Table is not in the source"}
 
+    journal = Journal.open(spark, plan.journal, names, about, resume) if plan.journal else None
+
     def one(table: str) -> dict:
-        return transfer_table(spark, plan, table) if table in known else missing | {"table_name": table}
+        if journal and (done := journal.finished(table)):
+            return done
+        if journal and (left := journal.found(table, LOADING)) and left["place"]:
+            plan.target.discard(spark, left["place"])
+        return transfer_table(spark, plan, table, journal) if table in known else missing | {"table_name": table}
 
     if plan.parallel_tables > 1:
         with ThreadPoolExecutor(plan.parallel_tables) as pool:
@@ -198,6 +289,8 @@ def run_transfer(spark: SparkSession, plan: TransferPlan) -> DataFrame:
     result = spark.createDataFrame([tuple(job[c] for c in columns) for job in jobs], JOB_SCHEMA)
     if plan.status_path:
         append_status(result, plan.status_path)
+    if journal:
+        journal.close()
     if own_staging:  # the targets are loaded, nothing reads it any more
         remove_staged(spark, own_staging)
     return result

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tablelift.formats import FlatFormat
 from tablelift.operators import status
-from tablelift.plans.endpoints import FrameSource, ParquetSource, ParquetTarget
+from tablelift.plans.endpoints import FrameSource, ParquetSource, ParquetTarget, VersionedTarget
 from tablelift.plans.transfer import TransferPlan, run_batch, run_transfer as _run_transfer
 from tablelift.queries.common import table
-from tablelift.session import new_staging_dir
+from tablelift.session import materialize, new_staging_dir
 from tablelift.sinks.tables import load_parquet
 from tablelift.sources import listing
 
@@ -66,6 +66,66 @@ def transfer_again(spark, sf_dir):
     return target.read(spark, "orders")
 
 
+def replace_safe(spark, sf_dir):
+    """What a reader finds after each load: half of the orders; the same, as the load fails midway; all."""
+    orders = table(spark, sf_dir, "orders")
+    half = orders.where(F.col("o_orderkey") % 2 == 0)
+    broken = orders.withColumn(
+        "o_totalprice", F.when(F.col("o_orderstatus") == "P", F.raise_error(F.lit("midway")).cast("double")).otherwise(F.col("o_totalprice"))
+    )
+    out = None
+    for kind, target in (
+        ("swapped", ParquetTarget(new_staging_dir(spark, "target"))), ("versioned", VersionedTarget(new_staging_dir(spark, "target")))
+    ):
+        for step, df in (("half", half), ("broken", broken), ("all", orders)):
+            source = FrameSource({"orders": lambda _, df=df: df})
+            job = _run_transfer(spark, TransferPlan(source, target, staged=False)).first()
+            found = target.read(spark, "orders")
+            seen = materialize(
+                found.groupBy("o_orderstatus").agg(F.count("*").alias("orders"), F.sum("o_custkey").alias("customers"))
+                .withColumns({"target": F.lit(kind), "step": F.lit(step), "job": F.lit(job.status)}),
+                "seen",
+            )
+            out = seen if out is None else out.unionByName(seen)
+    return out
+
+
+class _Killed(BaseException):
+    """Ends a run as the loss of its driver would: nothing of the run catches it."""
+
+
+def transfer_resumed(spark, sf_dir):
+    """A run of four tables that ends in the third goes on with two, whose names and rows ``moved`` tells."""
+    moved = []
+
+    def reader(name, ends):
+        def read(session):
+            moved.append(name)
+            if name in ends:
+                raise _Killed
+            return table(session, sf_dir, name)
+
+        return read
+
+    path = new_staging_dir(spark, "resumed")
+    target = VersionedTarget(f"{path}/target")
+
+    def run(ends, resume):
+        source = FrameSource({name: reader(name, ends) for name in TRANSFERRED})
+        return _run_transfer(
+            spark, TransferPlan(source, target, tables=TRANSFERRED, staging=f"{path}/staged", journal=f"{path}/journal"), resume
+        )
+
+    try:
+        run({TRANSFERRED[2]}, False)
+    except _Killed:
+        pass
+    moved.clear()
+    jobs = run(set(), True)
+    again = F.col("table_name").isin(moved).alias("moved_again")
+    return jobs.select("table_name", "status", "input_count", "flatfile_count", "output_count", again)
+
+
 def _load_twice(spark, sf_dir, if_exists):
     path = new_staging_dir(spark, "loaded")
     customers = table(spark, sf_dir, "customer")
@@ -171,7 +231,7 @@ def report_lines(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        transfer_run, transfer_direct, transfer_batch, transfer_again, load_mode_skip, load_mode_replace, list_tables, select_tables, validate_tables, status_latest,
+        transfer_run, transfer_direct, transfer_batch, transfer_again, load_mode_skip, load_mode_replace, replace_safe, transfer_resumed, list_tables, select_tables, validate_tables, status_latest,
         skip_unchanged, report_summary, report_lines,
     )
 }
@@ -192,6 +252,16 @@ _LATEST = """
     FROM orders GROUP BY 1, 2"""
 
 ORACLES = {
+    "replace_safe": """
+        SELECT o_orderstatus, count(*) AS orders, CAST(sum(o_custkey) AS BIGINT) AS customers, target, step,
+               CASE WHEN step = 'broken' THEN 'FAILED' ELSE 'SUCCESS' END AS job
+        FROM orders, (VALUES ('swapped'), ('versioned')) t(target), (VALUES ('half'), ('broken'), ('all')) s(step)
+        WHERE step = 'all' OR o_orderkey % 2 = 0 GROUP BY ALL""",
+    "transfer_resumed": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'SUCCESS' AS status, count(*) AS input_count, count(*) AS flatfile_count, "
+        f"count(*) AS output_count, {str(i > 1).lower()} AS moved_again FROM {t}"
+        for i, t in enumerate(TRANSFERRED)
+    ),
     "transfer_run": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS input_count, count(*) AS flatfile_count, count(*) AS output_count, "
         f"'SUCCESS' AS status FROM {t}"
