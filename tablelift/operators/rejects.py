@@ -76,7 +76,7 @@ def classify_records(
     return checked.select(*[F.col(f"`{c}`") for c in raw.columns], reason.alias("reason"), bad_columns.alias("bad_columns"))
 
 
-def _as_record(fields: list[Column], fmt: FlatFormat) -> Column:
+def as_record(fields: list[Column], fmt: FlatFormat) -> Column:
     """Fields as a record that reads back the same: quoted where the format needs it, NULL as its marker."""
     special = [fmt.separator, "\n", "\r", *([fmt.quote] if fmt.quote else [])]
 
@@ -99,7 +99,7 @@ def split_rejects(
     """Typed good rows, and the rejected records with the reason and the columns at fault."""
     records = classify_records(spark, path, specs, fmt)
     good = cast_to_schema(records.where("reason IS NULL"), spark_schema(specs), strict=False)
-    whole = F.coalesce(F.col(_RECORD), _as_record([F.col(f"`{s.name}`") for s in specs], fmt))
+    whole = F.coalesce(F.col(_RECORD), as_record([F.col(f"`{s.name}`") for s in specs], fmt))
     rejects = records.where("reason IS NOT NULL").select(whole.alias("record"), "reason", "bad_columns")
     return SplitLoad(good, rejects)
 

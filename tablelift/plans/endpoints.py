@@ -119,6 +119,10 @@ class ManifestSource(Source):
     def tables(self, spark: SparkSession) -> list[str]:
         return list(scan_manifest(spark, self.entries, self.fmt))
 
+    def files(self, table: str) -> tuple[str, FlatFormat]:
+        """Where a table's files are, and their format."""
+        return dict(manifest_tables(self.entries))[table], self.fmt
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         path = dict(manifest_tables(self.entries))[table]
         scan = scan_delimited_parallel if self.large_files else scan_delimited

@@ -17,11 +17,12 @@ from tablelift.functions.typemap import ColumnSpec, align_schema, relaxed_schema
 from tablelift.operators.chunk import DEFAULT_CHUNK_ROWS
 from tablelift.operators.reconcile import difference_summary, reconcile_rows
 from tablelift.operators.status import COUNTS, append_status
-from tablelift.plans.endpoints import Source, Target
+from tablelift.plans.checked import write_checked
+from tablelift.plans.endpoints import Source, Target, VersionedTarget
 from tablelift.plans.journal import COMMITTED, EXPORTED, FINISHED, LOADING, STARTED, Journal
 from tablelift.session import new_staging_dir, remove_staged
 from tablelift.sinks.delimited import save_mode, staging_path, write_delimited
-from tablelift.sinks.replace import Pending
+from tablelift.sinks.replace import Pending, Version, accepted_rows, rejected_records
 from tablelift.sources.delimited import path_exists, scan_delimited
 
 JOB_SCHEMA = (
@@ -45,6 +46,10 @@ class TransferPlan:
     ``chunk_rows``: staged files have this many rows at most.
     ``on_error``: ``relax`` loads columns with uncastable texts as text instead of failing.
     ``verify``: ``counts``, or ``rows`` to compare every row by ``keys`` as well.
+    ``checked``: files are loaded with every rule of ``specs`` checked in the one pass that writes them; good rows go to
+    the target, other records to :func:`rejects_of`, and a job with rejects is a WARNING.  More than
+    ``max_rejects`` fail the table before it is replaced.  ``extra_fields``: ``reject`` or ``truncate`` records
+    with more fields than columns.
     ``replace_unproven``: what ``replace`` does with a load whose counts or rows differ from the source.  By default
     the load is dropped and the table keeps its old rows (if it had any); ``True`` replaces it all the same.
     ``journal``: where a run writes what it has done, for :func:`run_transfer` with ``resume``.
@@ -68,6 +73,9 @@ class TransferPlan:
     chunk_rows: int = DEFAULT_CHUNK_ROWS
     on_error: str = "fail"
     verify: str = "counts"
+    checked: bool = False
+    max_rejects: int | None = None
+    extra_fields: str = "reject"
     replace_unproven: bool = False
     journal: str | None = None
     status_path: str | None = None
@@ -142,6 +150,8 @@ def _move(spark: SparkSession, plan: TransferPlan, table: str, job: dict, journa
     if plan.if_exists != "replace" and there:  # before anything is exported
         job["input_count"] = plan.source.count(spark, table)
         return ("SKIPPED" if plan.if_exists == "skip" else "FAILED"), "Table already exists"
+    if plan.checked:
+        return _move_checked(spark, plan, table, job, journal, there)
     source = strip_control_all(plan.source.read(spark, table))
     if plan.staged:
         loaded, rows = _counted(_staged(spark, plan, table, source, job, journal))
@@ -175,6 +185,53 @@ def _move(spark: SparkSession, plan: TransferPlan, table: str, job: dict, journa
     return status, problem
 
 
+def _checked_place(plan: TransferPlan, table: str) -> str:
+    return f"{plan.staging}/checked/{plan.database}/{plan.schema}/{table}"
+
+
+def rejects_of(spark: SparkSession, plan: TransferPlan, table: str) -> DataFrame:
+    """(record, reason, bad_columns) of a table's last checked load; needs a versioned target or a named ``staging``."""
+    if isinstance(plan.target, VersionedTarget):
+        return plan.target.versions(table).rejects(spark)
+    return rejected_records(spark, _checked_place(plan, table))
+
+
+def _move_checked(
+    spark: SparkSession, plan: TransferPlan, table: str, job: dict, journal: Journal | None, there: bool
+) -> tuple[str, str | None]:
+    """Files to rows and rejects in one pass; a versioned target takes what it wrote as it is."""
+    path, fmt = plan.source.files(table)
+    load = plan.target.stage(spark, table) or _InPlace(spark, plan, table)
+    own = isinstance(load, Version)
+    place = load.place if own else _checked_place(plan, table)
+    if journal:
+        journal.note(table, LOADING, place=load.place)
+    try:
+        if not own:
+            remove_staged(spark, place)
+        checks = write_checked(spark, path, plan.specs[table], place, fmt, plan.extra_fields)
+        job["input_count"], job["flatfile_count"] = checks.records, checks.accepted
+        if plan.max_rejects is not None and checks.rejected > plan.max_rejects:
+            load.abort()
+            return "FAILED", f"{checks.message()}; at most {plan.max_rejects} may be"
+        if not own:
+            load.write(accepted_rows(spark, place))
+        job["output_count"] = load.read().count()
+        problem = None if checks.accepted == job["output_count"] else f"Row count mismatch: {checks.accepted} vs {job['output_count']}"
+        if problem and there and not plan.replace_unproven:
+            load.abort()
+            return "WARNING", f"{problem}; the table keeps its old rows"
+        load.commit()
+    except Exception:
+        load.abort()
+        raise
+    problem = problem or checks.message()
+    status = "WARNING" if problem else "SUCCESS"
+    if journal:
+        journal.note(table, COMMITTED, status=status, error=problem, counts={c: job[c] for c in COUNTS})
+    return status, problem
+
+
 def _difference(plan: TransferPlan, table: str, source: DataFrame, load: Pending, job: dict) -> str | None:
     """What a load lacks compared with its source, or None."""
     if job["input_count"] != job["output_count"]:
@@ -259,6 +316,8 @@ def run_transfer(spark: SparkSession, plan: TransferPlan, resume: bool = False)
     save_mode(plan.if_exists)
     if resume and not plan.journal:
         raise ValueError("a run without a journal cannot be resumed")
+    if plan.checked and not hasattr(plan.source, "files"):
+        raise ValueError("only files can be checked while they are loaded")
     if plan.on_error == "relax" and not plan.staged:
         raise ValueError("types are relaxed on staged text only")
     own_staging, about = None, plan.about()

@@ -6,9 +6,11 @@ Names of tables are made from keys of the given tables, so their number grows wi
 from pyspark.sql import functions as F
 
 from tablelift.formats import FlatFormat
+from tablelift.functions.typemap import ColumnSpec
 from tablelift.operators import status
-from tablelift.plans.endpoints import FrameSource, ParquetSource, ParquetTarget, VersionedTarget
-from tablelift.plans.transfer import TransferPlan, run_batch, run_transfer as _run_transfer
+from tablelift.plans.checked import write_checked
+from tablelift.plans.endpoints import FrameSource, ManifestSource, ParquetSource, ParquetTarget, VersionedTarget
+from tablelift.plans.transfer import TransferPlan, rejects_of, run_batch, run_transfer as _run_transfer
 from tablelift.queries.common import table
 from tablelift.session import materialize, new_staging_dir
 from tablelift.sinks.tables import load_parquet
@@ -90,6 +92,55 @@ def replace_safe(spark, sf_dir):
     return out
 
 
+def _order_records(spark, sf_dir):
+    """Orders as a quoted file with every kind of fault: see ``_FAULT``, the same rule in SQL."""
+    orders = table(spark, sf_dir, "orders")
+    is_, low = lambda status: F.col("o_orderstatus") == status, F.col("o_orderpriority").startswith("1")
+    fault = (
+        F.when(low & is_("O"), "more").when(low & is_("F"), "price").when(low, "less")
+        .when(F.col("o_orderpriority").startswith("5") & is_("F"), "long").when(F.col("o_custkey") % 50 == 0, "none")
+    )
+    status = F.when(fault == "long", F.concat("o_orderstatus", F.lit("\n,\"\"x"))).otherwise(F.col("o_orderstatus"))
+    price = F.when(fault == "price", F.concat(F.lit("n/a "), "o_orderkey")).otherwise(F.col("o_totalprice").cast("decimal(15,2)").cast("string"))
+    customer = F.when(fault == "none", "").otherwise(F.col("o_custkey").cast("string"))
+    head = F.concat(F.col("o_orderkey").cast("string"), F.lit(","), customer, F.lit(',"'), status, F.lit('",'), price)
+    line = F.when(fault == "less", head).otherwise(
+        F.concat(head, F.lit(","), F.col("o_orderdate").cast("date").cast("string"), F.lit(',"'), "o_orderpriority", F.lit('"'))
+    )
+    path = new_staging_dir(spark, "records")
+    orders.select(F.concat(line, F.when(fault == "more", ',"more, than"').otherwise("")).alias("value")).write.text(path)
+    return path
+
+
+_ORDER_SPECS = (
+    ColumnSpec("o_orderkey", "bigint", nullable=False), ColumnSpec("o_custkey", "int", nullable=False),
+    ColumnSpec("o_orderstatus", "nvarchar", max_length=1), ColumnSpec("o_totalprice", "decimal", precision=15, scale=2),
+    ColumnSpec("o_orderdate", "date"), ColumnSpec("o_orderpriority", "nvarchar"),
+)
+
+
+def transfer_checked(spark, sf_dir):
+    """Rows and rejects of one pass over a file with faults, beside the counts of the job."""
+    source = ManifestSource(((_order_records(spark, sf_dir), "orders"),), FlatFormat(header=False))
+    plan = TransferPlan(
+        source, VersionedTarget(new_staging_dir(spark, "target")), specs={"orders": _ORDER_SPECS}, checked=True
+    )
+    job = _run_transfer(spark, plan).first()
+    counts = {"status": F.lit(job.status)} | {c: F.lit(job[c]).cast("long") for c in ("input_count", "flatfile_count", "output_count")}
+    rows = plan.target.read(spark, "orders")
+    rejects = rejects_of(spark, plan, "orders").withColumn("bad_columns", F.array_join("bad_columns", ","))
+    return rows.unionByName(rejects, allowMissingColumns=True).withColumns(counts)
+
+
+def checked_rules(spark, sf_dir):
+    """How many records break each rule of each column, as metrics of the write."""
+    place = new_staging_dir(spark, "checked")
+    checks = write_checked(spark, _order_records(spark, sf_dir), _ORDER_SPECS, place, FlatFormat(header=False), "truncate")
+    rows = [*checks.columns, *[("", reason, n) for reason, n in checks.reasons.items()]]
+    rows += [("", "records", checks.records), ("", "accepted", checks.accepted), ("", "truncated", checks.truncated)]
+    return spark.createDataFrame(rows, "column_name string, rule string, records long")
+
+
 class _Killed(BaseException):
     """Ends a run as the loss of its driver would: nothing of the run catches it."""
 
@@ -231,7 +282,7 @@ def report_lines(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        transfer_run, transfer_direct, transfer_batch, transfer_again, load_mode_skip, load_mode_replace, replace_safe, transfer_resumed, list_tables, select_tables, validate_tables, status_latest,
+        transfer_run, transfer_direct, transfer_batch, transfer_again, load_mode_skip, load_mode_replace, replace_safe, transfer_resumed, transfer_checked, checked_rules, list_tables, select_tables, validate_tables, status_latest,
         skip_unchanged, report_summary, report_lines,
     )
 }
@@ -251,7 +302,46 @@ _LATEST = """
            max(o_orderkey) AS rows
     FROM orders GROUP BY 1, 2"""
 
+# Records: what is wrong with an order's record, and the record itself.
+_FAULT = """
+    SELECT *, CASE WHEN fault IN ('more', 'less') THEN 'syntax' WHEN fault = 'price' THEN 'conversion' WHEN fault = 'long' THEN 'length'
+                   WHEN fault = 'none' THEN 'null' END AS reason,
+           o_orderkey || ',' || CASE WHEN fault = 'none' THEN '' ELSE o_custkey::VARCHAR END || ',"' || o_orderstatus ||
+           CASE WHEN fault = 'long' THEN chr(10) || ',""x' ELSE '' END || '",' ||
+           CASE WHEN fault = 'price' THEN 'n/a ' || o_orderkey ELSE CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) END ||
+           CASE WHEN fault = 'less' THEN '' ELSE ',' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ',"' || o_orderpriority || '"' END ||
+           CASE WHEN fault = 'more' THEN ',"more, than"' ELSE '' END AS own_record
+    FROM (SELECT *, coalesce(CASE WHEN o_orderpriority LIKE '1%' AND o_orderstatus = 'O' THEN 'more'
+                         WHEN o_orderpriority LIKE '1%' AND o_orderstatus = 'F' THEN 'price' WHEN o_orderpriority LIKE '1%' THEN 'less'
+                         WHEN o_orderpriority LIKE '5%' AND o_orderstatus = 'F' THEN 'long' WHEN o_custkey % 50 = 0 THEN 'none' END, 'ok') AS fault
+          FROM orders)"""
+
 ORACLES = {
+    "transfer_checked": f"""
+        WITH judged AS ({_FAULT})
+        SELECT CASE WHEN reason IS NULL THEN o_orderkey END AS o_orderkey, CAST(CASE WHEN reason IS NULL THEN o_custkey END AS INTEGER) AS o_custkey,
+               CASE WHEN reason IS NULL THEN o_orderstatus END AS o_orderstatus,
+               CASE WHEN reason IS NULL THEN CAST(o_totalprice AS DECIMAL(15,2)) END AS o_totalprice,
+               CASE WHEN reason IS NULL THEN CAST(o_orderdate AS DATE) END AS o_orderdate,
+               CASE WHEN reason IS NULL THEN o_orderpriority END AS o_orderpriority,
+               CASE WHEN reason IS NOT NULL THEN own_record END AS record, reason,
+               CASE reason WHEN 'syntax' THEN '' WHEN 'conversion' THEN 'o_totalprice' WHEN 'length' THEN 'o_orderstatus'
+                           WHEN 'null' THEN 'o_custkey' END AS bad_columns,
+               'WARNING' AS status, count(*) OVER () AS input_count, count(*) FILTER (reason IS NULL) OVER () AS flatfile_count,
+               count(*) FILTER (reason IS NULL) OVER () AS output_count
+        FROM judged""",
+    "checked_rules": f"""
+        WITH judged AS ({_FAULT})
+        SELECT column_name, rule, CASE rule
+            WHEN 'records' THEN (SELECT count(*) FROM judged) WHEN 'accepted' THEN (SELECT count(*) FROM judged WHERE fault IN ('ok', 'more'))
+            WHEN 'truncated' THEN (SELECT count(*) FROM judged WHERE fault = 'more')
+            WHEN 'syntax' THEN (SELECT count(*) FROM judged WHERE fault = 'less')
+            ELSE (SELECT count(*) FROM judged WHERE reason = rule AND (column_name = '' OR column_name = bad)) END AS records
+        FROM (SELECT *, CASE rule WHEN 'conversion' THEN 'o_totalprice' WHEN 'length' THEN 'o_orderstatus' ELSE 'o_custkey' END AS bad
+              FROM (VALUES ('o_orderkey', 'conversion'), ('o_orderkey', 'null'), ('o_custkey', 'conversion'), ('o_custkey', 'null'),
+                ('o_orderstatus', 'length'), ('o_totalprice', 'conversion'), ('o_orderdate', 'conversion'),
+                ('', 'syntax'), ('', 'conversion'), ('', 'length'), ('', 'null'), ('', 'records'), ('', 'accepted'), ('', 'truncated')
+              ) r(column_name, rule))""",
     "replace_safe": """
         SELECT o_orderstatus, count(*) AS orders, CAST(sum(o_custkey) AS BIGINT) AS customers, target, step,
                CASE WHEN step = 'broken' THEN 'FAILED' ELSE 'SUCCESS' END AS job

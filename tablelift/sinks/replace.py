@@ -14,11 +14,27 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablelift import storage
 
 
+#: Folders of a checked load, and the columns that only its rejected records have.
+ACCEPTED, REJECTED = "accepted=true", "accepted=false"
+RECORD, REASON, BAD_COLUMNS = "__record", "__reason", "__bad_columns"
+
+
+def accepted_rows(spark: SparkSession, place: str) -> DataFrame:
+    """The loaded rows of a checked load."""
+    return spark.read.parquet(f"{place}/{ACCEPTED}").drop(RECORD, REASON, BAD_COLUMNS)
+
+
+def rejected_records(spark: SparkSession, place: str) -> DataFrame:
+    """(record, reason, bad_columns) of a checked load."""
+    found = spark.read.parquet(f"{place}/{REJECTED}")
+    return found.select(F.col(RECORD).alias("record"), F.col(REASON).alias("reason"), F.col(BAD_COLUMNS).alias("bad_columns"))
+
+
 class Pending:
     """A load that is not the table yet."""
 
@@ -121,6 +137,9 @@ class Versions:
     def folder(self, load: str) -> str:
         return f"{self.path}/data/{load}"
 
+    def _rows(self, spark: SparkSession, place: str) -> DataFrame:
+        return accepted_rows(spark, place) if storage.exists(spark, f"{place}/{ACCEPTED}") else spark.read.parquet(place)
+
     def versions(self, spark: SparkSession) -> dict[int, str]:
         """Number -> load, in order.  A file without text is a commit that never happened."""
         found = {}
@@ -139,7 +158,11 @@ class Versions:
         now = self.current(spark)
         if now is None:
             raise FileNotFoundError(f"{self.path} has no committed version")
-        return spark.read.parquet(now)
+        return self._rows(spark, now)
+
+    def rejects(self, spark: SparkSession) -> DataFrame:
+        """The records that the current version's load rejected; only for checked loads."""
+        return rejected_records(spark, self.current(spark))
 
     def stage(self, spark: SparkSession) -> Version:
         return Version(spark, self)
@@ -184,7 +207,7 @@ class Version(Pending):
         df.write.parquet(self.place)
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.place)
+        return self.versions._rows(self.spark, self.place)
 
     def commit(self) -> None:
         self.versions.commit(self.spark, self.load)
