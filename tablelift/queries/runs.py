@@ -13,6 +13,7 @@ from tablelift.plans.endpoints import FrameSource, ManifestSource, ParquetSource
 from tablelift.plans.transfer import TransferPlan, rejects_of, run_batch, run_transfer as _run_transfer
 from tablelift.queries.common import table
 from tablelift.session import materialize, new_staging_dir
+from tablelift.sinks.ranged import RangedTable
 from tablelift.sinks.tables import load_parquet
 from tablelift.sources import listing
 
@@ -92,6 +93,22 @@ def replace_safe(spark, sf_dir):
     return out
 
 
+def _changed_lines(lines):
+    """One order of the table that gets another price for its lines."""
+    one = lines.agg(F.max("l_orderkey").alias("one"))
+    price = F.when(F.col("l_orderkey") == F.col("one"), F.col("l_extendedprice") + 1).otherwise(F.col("l_extendedprice"))
+    return lines.join(F.broadcast(one)).withColumn("l_extendedprice", price).drop("one")
+
+
+def reload_changed(spark, sf_dir):
+    """The target after a reload, and in how many key ranges it exported rows."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate")
+    target = RangedTable(new_staging_dir(spark, "ranged"), ("l_orderkey",), ranges=64)
+    target.load(lines)
+    done = target.load(_changed_lines(lines))
+    return target.read(spark).withColumn("ranges_exported", F.lit(done.changed))
+
+
 def _order_records(spark, sf_dir):
     """Orders as a quoted file with every kind of fault: see ``_FAULT``, the same rule in SQL."""
     orders = table(spark, sf_dir, "orders")
@@ -282,7 +299,7 @@ def report_lines(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        transfer_run, transfer_direct, transfer_batch, transfer_again, load_mode_skip, load_mode_replace, replace_safe, transfer_resumed, transfer_checked, checked_rules, list_tables, select_tables, validate_tables, status_latest,
+        transfer_run, transfer_direct, transfer_batch, transfer_again, load_mode_skip, load_mode_replace, replace_safe, transfer_resumed, transfer_checked, checked_rules, reload_changed, list_tables, select_tables, validate_tables, status_latest,
         skip_unchanged, report_summary, report_lines,
     )
 }
@@ -317,6 +334,10 @@ _FAULT = """
           FROM orders)"""
 
 ORACLES = {
+    "reload_changed": """
+        SELECT l_orderkey, l_linenumber, l_partkey,
+               CASE WHEN l_orderkey = (SELECT max(l_orderkey) FROM lineitem) THEN l_extendedprice + 1 ELSE l_extendedprice END AS l_extendedprice,
+               l_shipdate, 1 AS ranges_exported FROM lineitem""",
     "transfer_checked": f"""
         WITH judged AS ({_FAULT})
         SELECT CASE WHEN reason IS NULL THEN o_orderkey END AS o_orderkey, CAST(CASE WHEN reason IS NULL THEN o_custkey END AS INTEGER) AS o_custkey,

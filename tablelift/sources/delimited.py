@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from functools import reduce
 from pathlib import PurePosixPath
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.util import inheritable_thread_target
 
+from tablelift import storage
 from tablelift.formats import FlatFormat
 from tablelift.functions.structure import (
     field_count,
@@ -20,6 +23,9 @@ from tablelift.functions.structure import (
 from tablelift.functions.text import is_blank, latin1_to_cp1252, map_strings, null_marker
 from tablelift.functions.typemap import cast_to_schema
 
+#: Files whose heads are read one by one: so many lines come to the driver at most.
+_HEADS = 10_000
+
 # Bytes windows-1252 leaves unused, as latin-1 characters.
 _UNUSED_IN_CP1252 = "[\x81\x8d\x8f\x90\x9d]"
 
@@ -61,14 +67,8 @@ def scan_delimited(
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Is there a file or folder at ``path``?  Only the listing is looked at, no content."""
-    try:
-        spark.read.format("binaryFile").load(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    """Is there a file or folder at ``path``, which may be a pattern?  No content is looked at."""
+    return storage.matches(spark, path)
 
 
 def manifest_tables(entries: Iterable[tuple[str, str | None]]) -> list[tuple[str, str]]:
@@ -114,9 +114,9 @@ def per_file(spark: SparkSession, path: str | list[str], found: DataFrame, **mis
     Files without a line do not show up in a scan, and a scan skips empty files, so the names come from
     the listing that the driver makes of any source.
     """
-    names = spark.read.format("binaryFile").load(path).inputFiles()
     # Local names come with one slash or three.
-    files = spark.createDataFrame([(n,) for n in names], "name string").distinct().withColumn("key", _one_slash("name"))
+    names = {re.sub("^file:/+", "file:/", n): n for n in spark.read.text(path).inputFiles()}
+    files = spark.createDataFrame(sorted(names.items()), "key string, name string")
     joined = files.join(found.withColumn("key", _one_slash("file")), "key", "left")
     rest = [c for c in found.columns if c != "file"]
     return joined.select(F.coalesce("file", "name").alias("file"), *rest).fillna(missing)
@@ -189,14 +189,22 @@ def truncate_fields(lines: DataFrame, delimiter: str, keep: int, column: str = "
 
 
 def first_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The first line of every file: (file, value).
+    """The first line of every file: (file, value); files without a line have none.
 
-    Only lines of a file's first split take part, and each task sends one candidate per file, so
-    nothing but those candidates is shuffled.
+    Up to ``_HEADS`` files are opened one by one and read up to their first line feed, so what is read does not depend
+    on their size.  (A scan cannot stop so early: its tasks read their files to the end, whatever is taken of them.)
+    Beyond that number the lines of all files' first splits are scanned, and each task sends one candidate per file.
     """
-    lines = spark.read.option("lineSep", "\n").text(path)
+    source = spark.read.option("lineSep", "\n").text(path)
+    names = source.inputFiles()
+    if len(names) <= _HEADS:
+        with ThreadPoolExecutor(16) as pool:
+            heads = pool.map(inheritable_thread_target(spark)(lambda n: storage.first_line(spark, n)), names)
+            found = [(n, bytearray(line)) for n, line in zip(names, heads) if line is not None]
+        heads = spark.createDataFrame(found, "file string, value binary")
+        return heads.select("file", F.col("value").cast("string").alias("value"))
     return (
-        lines.where(F.col("_metadata.file_block_start") == 0)
+        source.where(F.col("_metadata.file_block_start") == 0)
         .select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("position"))
         .groupBy("file")
         .agg(F.min_by("value", "position").alias("value"))

@@ -17,6 +17,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Does a path or pattern name anything?"""
+    files, where = _at(spark, pattern)
+    return bool(files.globStatus(where))
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, sorted; none if it is not there."""
     files, where = _at(spark, path)
@@ -46,6 +52,25 @@ def read(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_line(spark: SparkSession, name: str, block: int = 1 << 16) -> bytes | None:
+    """The bytes of a file (a URI, as listings have it) before its first line feed, decompressed; None if it is empty."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+    settings = spark._jsc.hadoopConfiguration()
+    stream = where.getFileSystem(settings).open(where)
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings).getCodec(where)
+    try:
+        stream = codec.createInputStream(stream) if codec else stream
+        found = b""
+        while b"\n" not in found[-block:]:
+            more = bytes(stream.readNBytes(block))
+            found += more
+            if not more:
+                break
+        return found.partition(b"\n")[0] if found else None
+    finally:
+        stream.close()
+
+
 def move(spark: SparkSession, source: str, to: str) -> None:
     """Rename a file or folder to a name that is free."""
     files, where = _at(spark, source)

@@ -1,5 +1,6 @@
 """Files: manifests, counts, structure checks, headers, encodings."""
 
+import gzip
 import random
 
 import pytest
@@ -239,3 +240,32 @@ def test_parallel_reader_equals_the_plain_one(spark, tmp_path):
 def test_parallel_reader_on_random_texts(spark, tmp_path):
     r = random.Random(5)
     same_rows(spark, tmp_path, ["".join(r.choice('ab,,""\n\n\r ') if k else "x" for k in range(r.randint(1, 24))).encode() for _ in range(12)])
+
+
+def test_first_lines_stop_reading(spark, tmp_path, monkeypatch):
+    for i in range(3):
+        with open(tmp_path / f"{i}.csv", "w") as f:
+            f.write(f"head{i},b\n")
+            for _ in range(40):
+                f.write("0123456789,abcdefghij\n" * 40_000)
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "one.csv").write_text("no line end")
+
+    def bytes_read():
+        pid = spark.sparkContext._jvm.java.lang.ProcessHandle.current().pid()
+        with open(f"/proc/{pid}/io") as f:
+            return int(f.readline().split()[1])
+
+    before = bytes_read()
+    found = {r.file.rsplit("/", 1)[1]: r.value for r in delimited.first_lines(spark, str(tmp_path)).collect()}
+    assert found == {"0.csv": "head0,b", "1.csv": "head1,b", "2.csv": "head2,b", "one.csv": "no line end"}
+    assert bytes_read() - before < 15 << 20  # of 105 MB
+    monkeypatch.setattr(delimited, "_HEADS", 2)  # beyond it by a scan, with the same result
+    assert {r.file.rsplit("/", 1)[1]: r.value for r in delimited.first_lines(spark, str(tmp_path)).collect()} == found
+    monkeypatch.undo()
+    packed = tmp_path / "packed.csv.gz"
+    packed.write_bytes(gzip.compress(b"x,\xff\r\n" + b"1,2\n" * 100_000))
+    (row,) = delimited.first_lines(spark, str(packed)).selectExpr("hex(value) AS value").collect()
+    assert row.value == "782CFF0D"
+    heads = {r.file.rsplit("/", 1)[1]: r.has_header for r in delimited.header_detect(spark, str(tmp_path), ",").collect()}
+    assert heads["empty.csv"] is False and len(heads) == 6
