@@ -1,9 +1,11 @@
 """Quality rules whose limits follow the data: quantile sketches per language and source.
 
-Each feature of a text is a whole number (a share in thousandths, or the mean word length on a scale of
-sixteenths between powers of two).  The sketch of a group is the number of its texts per number: it has at
-most about a thousand entries per feature, merging two is adding them, and its quantiles are right to the
-width of a bin.  Sketches are kept per (language, source) and merged into those of the language and of all.
+Each feature of a text is a whole number (a share in thousandths, that of symbols in steps of five, or the mean
+word length on a scale of sixteenths between powers of two).  The sketch of a group is the number of its texts per
+number: it has at most about a thousand entries per feature, merging two is adding them, and its quantiles are
+right to the width of a bin.  Sketches are kept per (language, source) and merged into those of the language and
+of all.  A limit is an outer quantile of the group, drawn towards that of its language (and this one towards that
+of all texts) as if these had added ``WEIGHT`` texts, and widened by ``MARGIN`` bins.  There are no fixed cutoffs.
 
 Only DataFrame functions are used.
 """
@@ -18,13 +20,15 @@ from tablelift.llm.common import all_columns, free_names, same
 from tablelift.session import materialize
 
 MIN_WORDS = 50
-#: Groups with fewer texts than this take the limits of their language, or else those of all texts.
-MIN_GROUP = 100
-#: A text is an outlier beyond this many quartile ranges from a quartile ...
-RANGES = 3
-#: ... but not within these distances, so that very even groups do not reject ordinary texts.
-LEAST = {"symbols": 50, "lines": 400, "repeats": 300, "length": 10}
-FEATURES = tuple(LEAST)
+#: A group's limits are drawn to those of its language as by so many texts.
+WEIGHT = 100
+#: Thousandths of a group's texts that may lie beyond its quantile.  Ordinary texts repeat lines and words now and
+#: then, so only the far tails of these are cut; most texts of a group have hardly any symbols.
+TAILS = {"symbols": 250, "lines": 5, "repeats": 5, "length": 5}
+#: Bins between the quantile and the limit, so that very even groups do not reject ordinary texts.
+MARGIN = 2
+SYMBOL_STEP = 5
+FEATURES = tuple(TAILS)
 #: Only the word length has a lower limit too: none of the others can be too small.
 TWO_SIDED = ("length",)
 #: Rows of limits that are broadcast at most; more are joined by a shuffle.
@@ -93,7 +97,7 @@ def bins(names: dict[str, str]) -> dict[str, Column]:
     tenths = f"greatest((10 * {n['word_chars']}) div greatest({n['n_words']}, 1), 1)"
     power = f"(length(bin({tenths})) - 1)"
     return {
-        "symbols": _share(n["n_symbols"], n["word_chars"]),
+        "symbols": F.expr(f"(1000 * {n['n_symbols']}) div ({SYMBOL_STEP} * greatest({n['word_chars']}, 1))"),
         "lines": _share(n["n_dup_lines"], n["n_lines"]),
         "repeats": _share(n["n_repeat_words"], n["n_words"]),
         "length": F.expr(f"cast(16 * {power} + (16 * {tenths}) div shiftleft(1L, {power}) - 16 as bigint)"),
@@ -121,52 +125,49 @@ def merged(sketch: DataFrame, *keys: str) -> DataFrame:
     return sketch.groupBy(*keys, "feature", "bin").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketch: DataFrame, *keys: str) -> DataFrame:
-    """keys, feature, total, q1, q3: the smallest bins with a quarter and three quarters of the texts up to them."""
+def quantiles(sketch: DataFrame, *keys: str) -> DataFrame:
+    """keys, feature, total, low, high: the bins at which the tail of the feature begins at either end."""
     group = Window.partitionBy(*keys, "feature")
     rows = sketch.select(
         *keys, "feature", "bin", F.sum("n").over(group).alias("total"),
         F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
     )
+    tail = reduce(lambda c, kv: c.when(F.col("feature") == kv[0], kv[1]), TAILS.items(), F.when(F.lit(False), 0))
     return rows.groupBy(*keys, "feature").agg(
         F.max("total").alias("total"),
-        F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("bin"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("bin"))).alias("q3"),
+        F.min(F.when(1000 * F.col("upto") >= tail * F.col("total"), F.col("bin"))).alias("low"),
+        F.min(F.when(1000 * F.col("upto") >= (1000 - tail) * F.col("total"), F.col("bin"))).alias("high"),
     )
 
 
-def limits(sketch: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+def limits(sketch: DataFrame, weight: int = WEIGHT) -> DataFrame:
     """lang, source and ``<feature>_low``, ``<feature>_high`` for every group."""
     def named(df, suffix, *keys):
         return df.select(
             *[F.col(k).alias(f"{k}{suffix}") for k in keys], F.col("feature").alias(f"feature{suffix}"),
-            *[F.col(c).alias(f"{c}{suffix}") for c in ("total", "q1", "q3")],
+            *[F.col(c).alias(f"{c}{suffix}") for c in ("total", "low", "high")],
         )
 
-    own = quartiles(sketch, "lang", "source")
-    lang = named(quartiles(merged(sketch, "lang"), "lang"), "_l", "lang")
-    everyone = named(quartiles(merged(sketch)), "_a")
+    own = quantiles(sketch, "lang", "source")
+    lang = named(quantiles(merged(sketch, "lang"), "lang"), "_l", "lang")
+    everyone = named(quantiles(merged(sketch)), "_a")
     rows = own.join(lang, same(F.col("lang"), F.col("lang_l")) & (F.col("feature") == F.col("feature_l")))
     rows = rows.join(everyone, F.col("feature") == F.col("feature_a"))
 
-    def pick(column):
-        return F.when(F.col("total") >= min_group, F.col(column)).when(
-            F.col("total_l") >= min_group, F.col(f"{column}_l")
-        ).otherwise(F.col(f"{column}_a"))
+    def drawn(end):
+        of_lang = f"((total_l * {end}_l + {weight} * {end}_a) div (total_l + {weight}))"
+        return F.expr(f"(total * {end} + {weight} * {of_lang}) div (total + {weight})")
 
-    least = reduce(lambda c, kv: c.when(F.col("feature") == kv[0], kv[1]), LEAST.items(), F.when(F.lit(False), 0))
-    rows = rows.select("lang", "source", "feature", pick("q1").alias("q1"), pick("q3").alias("q3"), least.alias("least"))
-    reach = F.greatest(F.col("least"), RANGES * (F.col("q3") - F.col("q1")))
-    high, low = F.col("q3") + reach, F.col("q1") - reach
+    high, low = drawn("high") + MARGIN, drawn("low") - MARGIN
     return rows.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("feature") == f, high)).alias(f"{f}_high") for f in FEATURES],
         *[F.max(F.when(F.col("feature") == f, low)).alias(f"{f}_low") for f in TWO_SIDED],
     )
 
 
-def judged(rows: DataFrame, names: dict[str, str], sketch: DataFrame, failed: str, kept: str, min_group: int = MIN_GROUP) -> DataFrame:
+def judged(rows: DataFrame, names: dict[str, str], sketch: DataFrame, failed: str, kept: str, weight: int = WEIGHT) -> DataFrame:
     """``rows`` (with the counts under ``names``) with the columns ``failed`` and ``kept``."""
-    found = materialize(limits(sketch, min_group), "limits")
+    found = materialize(limits(sketch, weight), "limits")
     columns = [c for c in found.columns]
     new = free_names(rows, *[f"limit_{c}" for c in columns])
     at = dict(zip(columns, new))
@@ -181,7 +182,7 @@ def judged(rows: DataFrame, names: dict[str, str], sketch: DataFrame, failed: st
     ).withColumn(kept, F.coalesce(F.col(kept), F.lit(False))).drop(*new)
 
 
-def rules(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+def rules(docs: DataFrame, weight: int = WEIGHT) -> DataFrame:
     """doc_id, the counts, base_failed and kept of every row of ``docs``.
 
     Null and empty texts have no words and fail the base rules.  Null languages and sources are groups of
@@ -190,11 +191,11 @@ def rules(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """
     names = {c: c for c in COUNTS}
     rows = materialize(measured(docs.select("doc_id", "lang", "source", "text"), names).drop("text"), "quality")
-    out = judged(rows, names, sketches(rows, names), "base_failed", "kept", min_group)
+    out = judged(rows, names, sketches(rows, names), "base_failed", "kept", weight)
     return out.select("doc_id", *[c for c in COUNTS if c != "n_lines"], "base_failed", "kept")
 
 
-def keep_good(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+def keep_good(docs: DataFrame, weight: int = WEIGHT) -> DataFrame:
     """The rows of ``docs`` that ``rules`` keeps, with all their columns, whatever these are called."""
     names = dict(zip(COUNTS, free_names(docs, *COUNTS)))
     failed, kept = free_names(docs, "base_failed", "kept")
@@ -202,7 +203,7 @@ def keep_good(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     own = {c: c for c in COUNTS}
     # Counts are written first: a filter on them would be pushed down and count anew for every word.
     sketch = materialize(sketches(materialize(measured(few, own).drop("text"), "quality"), own), "sketches")
-    return judged(measured(docs, names), names, sketch, failed, kept, min_group).where(F.col(kept)).select(*all_columns(docs))
+    return judged(measured(docs, names), names, sketch, failed, kept, weight).where(F.col(kept)).select(*all_columns(docs))
 
 
 ORACLE = rf"""
@@ -225,7 +226,7 @@ m AS (
 x AS (SELECT *, greatest((10 * word_chars) // greatest(n_words, 1), 1) AS tenths,
              n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
 b AS (
-    SELECT *, (1000 * n_symbols) // greatest(word_chars, 1) AS symbols, (1000 * n_dup_lines) // greatest(n_lines, 1) AS lines,
+    SELECT *, (1000 * n_symbols) // ({SYMBOL_STEP} * greatest(word_chars, 1)) AS symbols, (1000 * n_dup_lines) // greatest(n_lines, 1) AS lines,
            (1000 * n_repeat_words) // greatest(n_words, 1) AS repeats,
            16 * (length(bin(tenths)) - 1) + (16 * tenths) // (1::BIGINT << (length(bin(tenths)) - 1)::INTEGER) - 16 AS length
     FROM x),
@@ -238,17 +239,18 @@ q AS (
     SELECT 1 AS level, lang, source, feature, count(*) AS total, list_sort(list(bin)) AS s FROM u GROUP BY ALL
     UNION ALL SELECT 2, lang, NULL, feature, count(*), list_sort(list(bin)) FROM u GROUP BY lang, feature
     UNION ALL SELECT 3, NULL, NULL, feature, count(*), list_sort(list(bin)) FROM u GROUP BY feature),
-z AS (SELECT level, lang, source, feature, total, s[(total + 3) // 4] AS q1, s[(3 * total + 3) // 4] AS q3 FROM q),
+a AS (SELECT *, CASE feature {' '.join(f"WHEN '{k}' THEN {v}" for k, v in TAILS.items())} END AS tail FROM q),
+z AS (SELECT level, lang, source, feature, total, s[greatest((tail * total + 999) // 1000, 1)] AS low,
+             s[((1000 - tail) * total + 999) // 1000] AS high FROM a),
 y AS (
-    SELECT a.lang, a.source, a.feature,
-           CASE WHEN a.total >= {MIN_GROUP} THEN a.q1 WHEN l.total >= {MIN_GROUP} THEN l.q1 ELSE e.q1 END AS q1,
-           CASE WHEN a.total >= {MIN_GROUP} THEN a.q3 WHEN l.total >= {MIN_GROUP} THEN l.q3 ELSE e.q3 END AS q3,
-           CASE a.feature {' '.join(f"WHEN '{k}' THEN {v}" for k, v in LEAST.items())} END AS least
-    FROM z a JOIN z l ON l.level = 2 AND l.feature = a.feature AND l.lang IS NOT DISTINCT FROM a.lang
-    JOIN z e ON e.level = 3 AND e.feature = a.feature WHERE a.level = 1),
+    SELECT g.lang, g.source, g.feature,
+           (g.total * g.low + {WEIGHT} * ((l.total * l.low + {WEIGHT} * e.low) // (l.total + {WEIGHT}))) // (g.total + {WEIGHT}) - {MARGIN} AS low,
+           (g.total * g.high + {WEIGHT} * ((l.total * l.high + {WEIGHT} * e.high) // (l.total + {WEIGHT}))) // (g.total + {WEIGHT}) + {MARGIN} AS high
+    FROM z g JOIN z l ON l.level = 2 AND l.feature = g.feature AND l.lang IS NOT DISTINCT FROM g.lang
+    JOIN z e ON e.level = 3 AND e.feature = g.feature WHERE g.level = 1),
 h AS (
-    SELECT lang, source, {', '.join(f"max(CASE WHEN feature = '{f}' THEN q3 + greatest(least, {RANGES} * (q3 - q1)) END) AS {f}_high" for f in FEATURES)},
-           max(CASE WHEN feature = 'length' THEN q1 - greatest(least, {RANGES} * (q3 - q1)) END) AS length_low
+    SELECT lang, source, {', '.join(f"max(CASE WHEN feature = '{f}' THEN high END) AS {f}_high" for f in FEATURES)},
+           max(CASE WHEN feature = 'length' THEN low END) AS length_low
     FROM y GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        coalesce(NOT base_failed AND {' AND '.join(f'b.{f} <= {f}_high' for f in FEATURES)} AND b.length >= length_low, false) AS kept
