@@ -31,6 +31,9 @@ BLOCKS = set(
 REGIONS = set("article body div main section td".split())
 MAIN = set("article main".split())
 CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+KEEPS_OPEN = set("ul ol dl table select article section div body".split())
+#: Words that page builders give to every block.
+BUILDER = {"widget"}
 ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(ads?|advert\w*|adsense|banner|breadcrumbs?|comments?|comment-?list|consent|cookies?|copyright|disclaimer|"
@@ -48,40 +51,81 @@ SIGMA = 1.0
 REACH = 3
 #: Share of the content that the chosen region must hold.
 SHARE = 0.8
+#: Constructs left open that are searched to the end of a page.
+CUT_OFF = 50
 #: A part is not excluded by its name if it holds more than this share of the content.
 MOST = 0.5
 
 
 class Line:
-    """A block of text: its words, the tags inside it, the regions and named parts around it, and whether it can be content."""
+    """A block of text: its words, the tags inside it, the innermost region and named part, and whether it can be content."""
 
-    __slots__ = ("parts", "tags", "regions", "never", "named")
+    __slots__ = ("parts", "tags", "region", "never", "named")
 
-    def __init__(self, regions: tuple[int, ...], never: bool, named: tuple[int, ...]):
+    def __init__(self, region: int, never: bool, named: int):
         self.parts: list[str] = []
-        self.tags, self.regions, self.never, self.named = 1, regions, never, named
+        self.tags, self.region, self.never, self.named = 1, region, never, named
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
 class _Page(HTMLParser):
+    """Lines of a page.  Regions and named parts point to the one around them (-1: none), numbered as they open."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, tuple[int, ...], tuple[int, ...]]] = []  # tag, whether never content, regions, named parts
+        self.open: list[tuple[str, bool, int, int]] = []  # tag, whether never content, region, named part
+        self.at: dict[str, list[int]] = {}  # where in ``open`` each tag stands
+        self.blocks: list[int] = []  # where in ``open`` blocks stand
         self.names: list[set[str]] = []  # of each named part the words that speak against it
-        self.main: dict[int, bool] = {}
-        self.outside: dict[int, tuple[int, ...]] = {}  # of each article without such words itself the named parts around it
+        self.part_of: list[int] = []  # of each named part the one around it
+        self.depth: list[int] = []  # of each named part how many are around it
+        self.main: list[bool] = []
+        self.region_of: list[int] = []  # of each region the one around it
+        self.in_main: list[bool] = []  # of each region whether it or one around it is main
+        self.outside: dict[int, int] = {}  # of each article without such words itself the named part around it
         self.lines: list[Line] = []
         self.line: Line | None = None
+        self.cut_off = 0
+
+    def _scan(self, parse, i: int) -> int:
+        """Constructs that the page never closes make the parser search to its end; after ``CUT_OFF`` of them they are text."""
+        if self.cut_off >= CUT_OFF:
+            return -1
+        k = parse(i)
+        self.cut_off += k < 0
+        return k
+
+    def parse_starttag(self, i):
+        return self._scan(super().parse_starttag, i)
+
+    def parse_endtag(self, i):
+        return self._scan(super().parse_endtag, i)
+
+    def parse_html_declaration(self, i):
+        return self._scan(super().parse_html_declaration, i)
 
-    def _state(self) -> tuple[bool, tuple[int, ...], tuple[int, ...]]:
-        return self.open[-1][1:] if self.open else (False, (), ())
+    def parse_comment(self, i, report=1):
+        return self._scan(super().parse_comment, i)
+
+    def parse_pi(self, i):
+        return self._scan(super().parse_pi, i)
+
+    def _state(self) -> tuple[bool, int, int]:
+        return self.open[-1][1:] if self.open else (False, -1, -1)
+
+    def _push(self, tag: str, never: bool, region: int, named: int) -> None:
+        self.at.setdefault(tag, []).append(len(self.open))
+        if tag in BLOCKS:
+            self.blocks.append(len(self.open))
+        self.open.append((tag, never, region, named))
 
     def _never(self, tag: str, attrs: dict[str, str | None]) -> bool:
         if tag in NEVER or "hidden" in attrs or attrs.get("aria-hidden") == "true" or HIDDEN.search(attrs.get("style") or ""):
             return True
-        inside_main = any(self.main.get(r) for r in self._state()[1])
+        region = self._state()[1]
+        inside_main = region >= 0 and self.in_main[region]
         names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
         if tag == "header" or HEADER.search(names):
             return not inside_main
@@ -98,38 +142,52 @@ class _Page(HTMLParser):
         role = (attrs.get("role") or "").lower()
         return words | ({"form"} if tag == "form" or role == "form" else set()) | ({role} if role in ROLES else set())
 
-    def _close_to(self, names: set[str], stop: set[str]) -> None:
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] in names:
-                del self.open[k:]
-                return
-            if self.open[k][0] in stop:
-                return
+    def _last(self, tags) -> int:
+        """Where the innermost open one of ``tags`` stands, or -1."""
+        return max((places[-1] for t in tags if (places := self.at.get(t))), default=-1)
+
+    def _last_block(self, but: str) -> int:
+        return next((k for k in reversed(self.blocks) if self.open[k][0] != but), -1)
+
+    def _close_to(self, found: int, stop: int) -> None:
+        """Close all that is open from ``found`` on, unless ``stop`` stands inside it."""
+        if found < 0 or stop > found:
+            return
+        for tag, *_ in reversed(self.open[found:]):
+            self.at[tag].pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
+        del self.open[found:]
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
             self.line = None
-            self._close_to({"p"}, BLOCKS - {"p"})
+            self._close_to(self._last(("p",)), self._last_block("p"))
         if tag in CLOSES_ITSELF:
-            self._close_to(CLOSES_ITSELF[tag], {"ul", "ol", "dl", "table", "select", "article", "section", "div", "body"} - CLOSES_ITSELF[tag])
+            self._close_to(self._last(CLOSES_ITSELF[tag]), self._last(KEEPS_OPEN - CLOSES_ITSELF[tag]))
         if tag == "br":
             self.handle_data("\n")
         if self.line:
             self.line.tags += 1
         if tag in VOID:
             return
-        never, regions, named = self._state()
+        never, region, named = self._state()
         values = dict(attrs)
         own = self._never(tag, values)
         if words := self._words(tag, values):
-            named = (*named, len(self.names))
+            self.part_of.append(named)
+            self.depth.append(self.depth[named] + 1 if named >= 0 else 1)
+            named = len(self.names)
             self.names.append(words)
         if tag in REGIONS:
-            regions = (*regions, len(self.main))
-            self.main[regions[-1]] = tag in MAIN or (values.get("role") or "").lower() == "main"
-            if self.main[regions[-1]] and not words:
-                self.outside[regions[-1]] = named
-        self.open.append((tag, never or own, regions, named))
+            main = tag in MAIN or (values.get("role") or "").lower() == "main"
+            self.region_of.append(region)
+            self.in_main.append(main or region >= 0 and self.in_main[region])
+            region = len(self.main)
+            self.main.append(main)
+            if main and not words:
+                self.outside[region] = named
+        self._push(tag, never or own, region, named)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -141,23 +199,26 @@ class _Page(HTMLParser):
             self.line = None
         elif self.line:
             self.line.tags += 1
-        self._close_to({tag}, set() if tag in BLOCKS and tag != "p" else BLOCKS - {tag})
+        self._close_to(self._last((tag,)), -1 if tag in BLOCKS and tag != "p" else self._last_block(tag))
 
     def handle_data(self, data):
-        never, regions, named = self._state()
-        if self.line is not None and (self.line.never != never or self.line.regions != regions or self.line.named != named):
+        never, region, named = self._state()
+        if self.line is not None and (self.line.never != never or self.line.region != region or self.line.named != named):
             if not data.strip():
                 return
-            if never or len(named) > len(self.line.named):  # such a part inside a line: the line goes on after it
+            if never or self._depth(named) > self._depth(self.line.named):  # such a part inside a line: the line goes on after it
                 return
             self.line = None
         if self.line is None:
             if not data.strip() or never and self.open and self.open[-1][0] in ("script", "style", "title"):
                 return
-            self.line = Line(regions, never, named)
+            self.line = Line(region, never, named)
             self.lines.append(self.line)
         self.line.parts.append(data)
 
+    def _depth(self, named: int) -> int:
+        return self.depth[named] if named >= 0 else 0
+
 
 def smoothed(values: list[float], sigma: float = SIGMA, reach: int = REACH) -> list[float]:
     """Gaussian average of each value and its neighbours."""
@@ -170,12 +231,18 @@ def smoothed(values: list[float], sigma: float = SIGMA, reach: int = REACH) -> l
 
 
 def threshold(values: list[float]) -> float:
-    """Where two clusters of the values part: halfway between their means, settled from the overall mean."""
+    """Where two clusters of the values part: halfway between their means, settled from the overall mean.
+
+    Content is what lies above it.  Values that are all alike are one cluster, and all of them lie above.
+    """
+    least, most = min(values), max(values)
+    if most - least <= 1e-6 * abs(most):
+        return least - 1
     cut = sum(values) / len(values)
     for _ in range(50):
         low, high = [v for v in values if v <= cut], [v for v in values if v > cut]
         if not low or not high:
-            return min(values) - 1 if not low else cut
+            return least - 1 if not low else cut
         new = (sum(low) / len(low) + sum(high) / len(high)) / 2
         if abs(new - cut) < 1e-9:
             break
@@ -183,33 +250,74 @@ def threshold(values: list[float]) -> float:
     return cut
 
 
+def _content(lines: list[tuple[Line, str]]) -> list[bool]:
+    """Which lines are content by their smoothed text-to-tag ratios."""
+    ratios = smoothed([0.0 if line.never else len(text) / line.tags for line, text in lines])
+    usable = [r for r, (line, _) in zip(ratios, lines) if not line.never]
+    # Lines that cannot be content are the lower cluster where there are any; alone, the usable ones may be all alike.
+    cut = threshold(ratios)
+    if usable and not any(r > cut for r in usable):
+        cut = threshold(usable)
+    return [not line.never and r > cut for r, (line, _) in zip(ratios, lines)]
+
+
+def _upward(sums: dict[int, int], parents: list[int]) -> list[int]:
+    """What each part holds with all parts inside it, from what it holds itself; parts open after those around them."""
+    out = [0] * len(parents)
+    for part, n in sums.items():
+        if part >= 0:
+            out[part] += n
+    for part in range(len(parents) - 1, -1, -1):
+        if parents[part] >= 0:
+            out[parents[part]] += out[part]
+    return out
+
+
+def _sums(pairs) -> dict[int, int]:
+    out: dict[int, int] = {}
+    for part, n in pairs:
+        out[part] = out.get(part, 0) + n
+    return out
+
+
+def _downward(own: list, parents: list[int], join) -> list:
+    """Of each part what ``join`` makes of its own value and that of the part around it."""
+    out = list(own)
+    for part, parent in enumerate(parents):
+        if parent >= 0:
+            out[part] = join(out[part], out[parent])
+    return out
+
+
 def exclude_named(page: _Page, lines: list[tuple[Line, str]]) -> None:
     """Mark the lines of parts whose names speak against them, unless they hold the article or most of the content."""
-    if not any(line.named for line, _ in lines):
+    if not any(line.named >= 0 for line, _ in lines):
         return
-    ratios = smoothed([0.0 if line.never else len(text) / line.tags for line, text in lines])
-    cut = threshold(ratios)
-    content = [(line, len(text)) for (line, text), ratio in zip(lines, ratios) if not line.never and ratio > cut]
-    in_main = [(line, n) for line, n in content if any(page.main[r] for r in line.regions)]
-    around = {r: line for line, _ in in_main for r in line.regions if page.main[r]}
-    allowed: set[int] = set()
-    if any(not line.named for line, _ in in_main):
+    content = [(line, len(text)) for (line, text), yes in zip(lines, _content(lines)) if yes]
+    in_main = [(line, n) for line, n in content if line.region >= 0 and page.in_main[line.region]]
+    allowed = [False] * len(page.names)
+    if any(line.named < 0 for line, _ in in_main):
         content = in_main  # what is outside the article, such as long comments, cannot outweigh it
     else:  # every article is in a named part; names of the article itself count
-        for r in around:
-            allowed.update(page.outside.get(r, ()))
+        held = _upward(_sums((line.region, n) for line, n in in_main), page.region_of)
+        for region, named in page.outside.items():
+            if held[region]:
+                while named >= 0 and not allowed[named]:
+                    allowed[named], named = True, page.part_of[named]
     total = sum(n for _, n in content)
-    mass: dict[int, int] = {}
+    mass = _upward(_sums((line.named, n) for line, n in content), page.part_of)
+    allowed = [a or n > MOST * total for a, n in zip(allowed, mass)]
+    # Words of the blocks of a page builder: most of the content is in parts with that word.
     by_word: dict[str, int] = {}
+    words = _downward([frozenset(w) for w in page.names], page.part_of, lambda own, around: own if own <= around else own | around)
     for line, n in content:
-        for part in line.named:
-            mass[part] = mass.get(part, 0) + n
-        for word in {w for part in line.named for w in page.names[part]}:
+        for word in words[line.named] if line.named >= 0 else ():
             by_word[word] = by_word.get(word, 0) + n
-    allowed.update(part for part, n in mass.items() if n > MOST * total)
-    common = set() if allowed else {w for w, n in by_word.items() if n > MOST * total}  # of the blocks of a page builder
+    common = {w for w, n in by_word.items() if n > MOST * total and (w in BUILDER or not any(allowed))}
+    against = [not a and bool(w - common) for a, w in zip(allowed, page.names)]
+    against = _downward(against, page.part_of, lambda own, around: own or around)
     for line, _ in lines:
-        line.never = line.never or any(part not in allowed and page.names[part] - common for part in line.named)
+        line.never = line.never or line.named >= 0 and against[line.named]
 
 
 def extract(html: str | None) -> str:
@@ -222,23 +330,22 @@ def extract(html: str | None) -> str:
     usable = [(line, text) for line, text in lines if not line.never]
     if not usable:
         return ""
-    ratios = smoothed([0.0 if line.never else len(text) / line.tags for line, text in lines])
-    cut = threshold(ratios)
-    mass: dict[int, int] = {}
-    total = 0
-    for (line, text), ratio in zip(lines, ratios):
-        if line.never or ratio <= cut:
-            continue
-        total += len(text)
-        for region in line.regions:
-            mass[region] = mass.get(region, 0) + len(text)
-    article = {r for r, main in page.main.items() if main and mass.get(r)}
-    if not article and (mains := [r for r, main in page.main.items() if main]):
-        article = {r for r in mains if any(r in line.regions for line, _ in usable)}
-    if not article and mass:
-        enough = [r for r, m in mass.items() if m >= SHARE * total]
-        article = {max(enough)} if enough else set()  # the innermost: regions are numbered as they open
-    return "\n\n".join(text for line, text in usable if not article or article.intersection(line.regions))
+    content = [(line, len(text)) for (line, text), yes in zip(lines, _content(lines)) if yes]
+    if any(page.in_main[line.region] for line, _ in usable if line.region >= 0):
+        # All articles of the page: those that hold content, and those beside them.
+        return "\n\n".join(text for line, text in usable if line.region >= 0 and page.in_main[line.region])
+    held = _upward(_sums((line.region, n) for line, n in content), page.region_of)
+    total = sum(n for _, n in content)
+    enough = [r for r, n in enumerate(held) if n and n >= SHARE * total]
+    if not enough:
+        return "\n\n".join(text for _, text in usable)
+    region = enough[-1]  # the innermost: regions are numbered as they open
+    lines_in = _upward(_sums((line.region, 1) for line, _ in usable), page.region_of)
+    while lines_in[region] == 1 and page.region_of[region] >= 0:  # a block of its own, not what holds the article's blocks
+        region = page.region_of[region]
+    inside = [r == region for r in range(len(held))]
+    inside = _downward(inside, page.region_of, lambda own, around: own or around)
+    return "\n\n".join(text for line, text in usable if line.region >= 0 and inside[line.region])
 
 
 def _text_rows(batches):

@@ -82,3 +82,93 @@ def test_rows(spark):
     )
     assert all(len(r.text) == r.n_chars for r in got)
     assert htmltext.main_text(df.where("false")).count() == 0
+
+
+THREE = "<p>The same paragraph of a page that is long enough to be read.</p>" * 3
+THREE_TEXT = "\n\n".join(["The same paragraph of a page that is long enough to be read."] * 3)
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<body><form>{THREE}</form></body>", THREE_TEXT), ("<body><form><p>One paragraph.</p></form></body>", "One paragraph."),
+        (f"<div class='elementor-widget'>{THREE}</div>", THREE_TEXT), (f"<div class='share-page'>{THREE}</div>", THREE_TEXT),
+        (f"<div role=main class=social>{THREE}</div>", THREE_TEXT),
+        (f"<article><p>{FILLER * 4}</p></article><article><p>Short one.</p><p>Shorter.</p></article>", f"{(FILLER * 4).strip()}\n\nShort one.\n\nShorter."),
+        (f"<div><div class='elementor-widget'><p>{FILLER * 5}</p></div><div class='elementor-widget'><p>{FILLER}</p></div></div>", f"{(FILLER * 5).strip()}\n\n{FILLER.strip()}"),
+        (f"<nav><a>x</a></nav>{THREE}<footer>f</footer>", THREE_TEXT),
+    ],
+)
+def test_content_of_equal_or_several_parts(html, text):
+    assert htmltext.extract(html) == text
+
+
+@pytest.mark.parametrize("html", [
+    "<div>" * 20_000 + "deep", "<div class=widget>" * 20_000 + "deep", '<a href="' * 20_000, "<!--" * 20_000, "</" * 20_000, "<b>" * 20_000 + "</i>" * 20_000 + "x",
+    "<b>" * 20_000 + "<p>x" * 2_000, "<div><p>t</p>" * 20_000, "<article class=comment><p>t</p>" * 10_000, "<!x " * 20_000, "<? " * 20_000,
+])
+def test_broken_and_deep_pages_cost_little(html):
+    import time
+    import tracemalloc
+
+    start = time.process_time()
+    htmltext.extract(html)
+    assert time.process_time() - start < 8  # a second on a machine that is not busy
+    tracemalloc.start()
+    htmltext.extract(html[: len(html) // 4])
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
+def slow_lines(tree):
+    """Text of a tree of (tag, children) without any markup that names a part: every block is a line."""
+    out = [[]]
+
+    def walk(node):
+        if isinstance(node, str):
+            out[-1].append(node)
+            return
+        tag, children = node
+        block = tag in htmltext.BLOCKS
+        if block:
+            out.append([])
+        for child in children if tag not in htmltext.NEVER else ():
+            walk(child)
+        if block:
+            out.append([])
+
+    walk(tree)
+    return [t for t in (" ".join("".join(x).split()) for x in out) if t]
+
+
+def test_random_trees_keep_every_line():
+    """Against a plain walk over trees of blocks and inline tags in one article, menus and forms inside left out."""
+    import random
+
+    r = random.Random(8)
+
+    def tree(depth):
+        children = []
+        for _ in range(r.randint(1, 4)):
+            if depth == 0 or r.random() < 0.4:
+                children.append(f"w{r.randint(0, 99)} " * r.randint(1, 30))
+            else:
+                children.append((r.choice(["div", "section", "b", "i", "span", "ul", "blockquote", "nav", "script"]), tree(depth - 1)))
+        return children
+
+    def html(node):
+        return node if isinstance(node, str) else f"<{node[0]}>" + "".join(map(html, node[1])) + f"</{node[0]}>"
+
+    def fits(node, inline=False):
+        """No blocks inside inline tags: there the end tags of the page decide."""
+        if isinstance(node, str):
+            return True
+        own = node[0] in ("b", "i", "span")
+        return not (inline and not own) and all(fits(c, inline or own) for c in node[1]) and not (node[0] == "script" and any(not isinstance(c, str) for c in node[1]))
+
+    seen = 0
+    while seen < 150:
+        node = ("article", tree(4))
+        if fits(node):
+            seen += 1
+            assert htmltext.extract("<body>" + html(node) + "</body>") == "\n\n".join(slow_lines(node))
