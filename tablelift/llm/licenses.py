@@ -2,8 +2,9 @@
 
 Hashes of all windows of ``GRAM`` words of a text are joined to the positions of the same hashes in the
 templates.  Matches of one statement lie on one diagonal (place in the text minus place in the template),
-or on neighbouring ones where a word is missing or added.  Diagonals that are close are merged, and what
-covers enough of its template, close enough together, is a find.
+or on neighbouring ones where a word is missing or added.  Votes are summed by diagonal for each stretch of the
+text, stretches that go on on a neighbouring diagonal are merged, and a span that covers enough words of its
+template, the license's name among them, is a find.
 
 Only DataFrame functions are used.
 """
@@ -17,11 +18,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tablelift.llm.common import free_names
 from tablelift.session import materialize
 
-GRAM = 4
-#: Diagonals of one statement are at most this far apart.
+GRAM = 2
+#: Diagonals of one statement are at most this far apart, and its windows so many words.
 DRIFT = 2
-#: Share of a template's windows that must be found.
-COVERAGE = 0.75
+GAP = 4
+#: Hundredths of a template's words that must be covered by its windows.
+COVERAGE = 60
+#: Words of a template at most: the covered ones are bits of a number.
+MAX_TEMPLATE = 62
 
 # Phrases and statements of common licenses, in words.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -60,13 +64,23 @@ def _windows(w: Column) -> Column:
     )
 
 
+def _key_bits(label: str, own: list[str]) -> int:
+    """The words of a template that are parts of its label: without them it would be another license."""
+    return sum(1 << i for i, word in enumerate(own) if word in label.split("-"))
+
+
 def templates(spark: SparkSession, texts=TEMPLATES) -> DataFrame:
-    """h, template, label, place and n (windows of the template); as many rows as the templates have windows."""
-    rows = [(i, label, text) for i, (label, text) in enumerate(texts)]
-    df = spark.createDataFrame(rows, "template int, label string, text string").withColumn("w", words(F.col("text")))
+    """h, template, label, place, n (words of the template) and key (bits of its name); a row for each window."""
+    rows = []
+    for i, (label, text) in enumerate(texts):
+        own = [w for w in re.split(BREAKS, text.lower()) if w]
+        if len(own) > MAX_TEMPLATE:
+            raise ValueError(f"a template has {MAX_TEMPLATE} words at most; cut it into several")
+        rows.append((i, label, text, len(own), _key_bits(label, own)))
+    df = spark.createDataFrame(rows, "template int, label string, text string, n int, key long").withColumn("w", words(F.col("text")))
     df = df.where(F.size("w") >= GRAM).withColumn("s", _windows(F.col("w")))
-    return df.select("template", "label", F.size("s").alias("n"), F.explode("s").alias("p")).select(
-        F.col("p.h").alias("h"), "template", "label", F.col("p.at").alias("place"), "n"
+    return df.select("template", "label", "n", "key", F.explode("s").alias("p")).select(
+        F.col("p.h").alias("h"), "template", "label", F.col("p.at").alias("place"), "n", "key"
     )
 
 
@@ -91,29 +105,36 @@ def finds(matches: DataFrame, known: DataFrame) -> DataFrame:
     """row, label, coverage of verified statements, from the windows (row, at, h) of texts."""
     votes = (
         matches.join(F.broadcast(known), "h")
-        .select("row", "template", "label", "n", "place", "at", (F.col("at") - F.col("place")).alias("diagonal"))
+        .select("row", "template", "label", "n", "key", "place", "at", (F.col("at") - F.col("place")).alias("diagonal"))
     )
     key = ["row", "template"]
-    diagonals = votes.groupBy(*key, "diagonal").agg(F.count("*").alias("votes"))
-    order = Window.partitionBy(*key).orderBy("diagonal")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > DRIFT, F.lit(True))
-    diagonals = diagonals.withColumn("new", apart.cast("int"))
-    diagonals = diagonals.select(*key, "diagonal", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("band"))
-    places = votes.join(diagonals, [*key, "diagonal"]).groupBy(*key, "band", "label", "n", "place").agg(
-        F.min("at").alias("low"), F.max("at").alias("high")
+    running = lambda w: F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    along = Window.partitionBy(*key, "diagonal").orderBy("at")
+    apart = F.coalesce(F.col("at") - F.lag("at").over(along) > GAP, F.lit(True))
+    stretches = (
+        votes.withColumn("new", apart.cast("int")).withColumn("stretch", running(along))
+        .groupBy(*key, "label", "n", "key", "diagonal", "stretch")
+        .agg(F.min("at").alias("low"), F.max("at").alias("high"), F.bit_or(F.expr("shiftleft(3L, place)")).alias("covered"))
     )
-    bands = places.groupBy(*key, "band", "label", "n").agg(
-        F.count("*").alias("found"), F.min("low").alias("low"), F.max("high").alias("high")
+    order = Window.partitionBy(*key).orderBy("low", "diagonal")
+    before = {c: F.lag(c).over(order) for c in ("high", "diagonal")}
+    near = (F.abs(F.col("diagonal") - before["diagonal"]) <= DRIFT) & (F.abs(F.col("low") - before["high"]) <= GAP)
+    bands = (
+        stretches.withColumn("new", (~F.coalesce(near, F.lit(False))).cast("int")).withColumn("band", running(order))
+        .groupBy(*key, "label", "n", "key", "band")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.bit_or("covered").alias("covered"))
     )
-    coverage = F.col("found") / F.col("n")
-    close = F.col("high") - F.col("low") < 2 * F.col("n")
-    return bands.where((coverage >= COVERAGE) & close).groupBy("row", "label").agg(F.max(coverage).alias("coverage"))
+    length, found = F.col("high") - F.col("low") + GRAM, F.bit_count("covered")
+    named = F.col("covered").bitwiseAND(F.col("key")) == F.col("key")
+    sure = bands.where((100 * found >= COVERAGE * F.col("n")) & named & (length < 2 * F.col("n")))
+    return sure.groupBy("row", "label").agg(F.max(found / F.greatest(F.col("n"), length)).alias("coverage"))
 
 
 def scan(docs: DataFrame, texts=TEMPLATES) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score of every row of ``docs``.
 
-    score is 1 where a phrase stands, else the best coverage of a template, else 0.
+    score is 1 where a phrase stands, else the best share of a template's words (of the text's, where these are
+    more) in a find, else 0.
 
     Null and empty texts have no words and no labels (empty text).  A null ``doc_id`` is carried along,
     repeated rows get a row each, an empty table gives no rows, other columns are not read.
@@ -131,6 +152,12 @@ def scan(docs: DataFrame, texts=TEMPLATES) -> DataFrame:
         F.when(may, _phrases(F.col(w))).otherwise(none).alias(base),
         F.when(F.size(w) >= GRAM, F.filter(_windows(F.col(w)), lambda s: s["h"].isin(hashes))).alias("windows"),
     )
+    # A find has several windows close together; one that stands alone votes for nothing.
+    def beside(x, i):
+        close = lambda j: F.coalesce(F.abs(F.get("windows", j)["at"] - x["at"]) <= GAP, F.lit(False))
+        return close(i - 1) | close(i + 1)
+
+    slim = slim.withColumn("windows", F.filter("windows", beside))
     slim = materialize(slim, "license-words")  # fixes the row numbers; texts are not in it
     matches = slim.select("row", F.explode("windows").alias("s")).select("row", F.col("s.at").alias("at"), F.col("s.h").alias("h"))
     found = finds(matches, known).groupBy("row").agg(
@@ -152,7 +179,7 @@ def _template_sql() -> str:
     for i, (label, text) in enumerate(TEMPLATES):
         own = re.findall("[0-9a-z]+", text)
         grams = [" ".join(own[k : k + GRAM]) for k in range(len(own) - GRAM + 1)]
-        rows += [f"({i}, '{label}', '{g}', {k}, {len(grams)})" for k, g in enumerate(grams)]
+        rows += [f"({i}, '{label}', '{g}', {k}, {len(own)}, {_key_bits(label, own)})" for k, g in enumerate(grams)]
     return ", ".join(rows)
 
 
@@ -175,14 +202,18 @@ b AS ({_phrase_sql()}),
 bb AS (SELECT k, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word,
               string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY k),
 g AS (SELECT k, i - 1 AS spot, array_to_string(w[i:i + {GRAM - 1}], ' ') AS g FROM p WHERE i + {GRAM - 1} <= len(w)),
-m(template, label, g, place, n) AS (VALUES {_template_sql()}),
-v AS (SELECT k, template, label, n, place, spot, spot - place AS diagonal FROM g JOIN m USING (g)),
-d AS (SELECT k, template, diagonal, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY k, template ORDER BY diagonal) <= {DRIFT} THEN 0 ELSE 1 END AS new
-      FROM (SELECT DISTINCT k, template, diagonal FROM v)),
-e AS (SELECT k, template, diagonal, sum(new) OVER (PARTITION BY k, template ORDER BY diagonal) AS band FROM d),
-f AS (SELECT k, template, band, label, n, count(DISTINCT place) AS found, min(spot) AS low, max(spot) AS high
-      FROM v JOIN e USING (k, template, diagonal) GROUP BY ALL),
-o AS (SELECT k, label, found / n AS coverage FROM f WHERE found / n >= {COVERAGE} AND high - low < 2 * n),
+m(template, label, g, place, n, key) AS (VALUES {_template_sql()}),
+v AS (SELECT k, template, label, n, key, place, spot, spot - place AS diagonal FROM g JOIN m USING (g)),
+d AS (SELECT *, CASE WHEN spot - lag(spot) OVER (PARTITION BY k, template, diagonal ORDER BY spot) <= {GAP} THEN 0 ELSE 1 END AS new FROM v),
+e AS (SELECT *, sum(new) OVER (PARTITION BY k, template, diagonal ORDER BY spot ROWS UNBOUNDED PRECEDING) AS stretch FROM d),
+s AS (SELECT k, template, label, n, key, diagonal, stretch, min(spot) AS low, max(spot) AS high, bit_or(3::BIGINT << place) AS covered
+      FROM e GROUP BY ALL),
+f AS (SELECT *, CASE WHEN abs(diagonal - lag(diagonal) OVER w) <= {DRIFT} AND abs(low - lag(high) OVER w) <= {GAP} THEN 0 ELSE 1 END AS new
+      FROM s WINDOW w AS (PARTITION BY k, template ORDER BY low, diagonal)),
+h AS (SELECT *, sum(new) OVER (PARTITION BY k, template ORDER BY low, diagonal ROWS UNBOUNDED PRECEDING) AS band FROM f),
+j AS (SELECT k, template, label, n, key, band, min(low) AS low, max(high) AS high, bit_or(covered) AS covered FROM h GROUP BY ALL),
+o AS (SELECT k, label, bit_count(covered)::BIGINT / greatest(n, high - low + {GRAM}) AS coverage FROM j
+      WHERE 100 * bit_count(covered)::BIGINT >= {COVERAGE} * n AND covered & key = key AND high - low + {GRAM} < 2 * n),
 l AS (SELECT k, max(coverage) AS coverage FROM o GROUP BY k),
 a AS (SELECT k, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT k, label FROM b UNION SELECT k, label FROM o) GROUP BY k)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,

@@ -386,3 +386,32 @@ def test_license_sql(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert differences(licenses.scan(docs), connect(sf_dir), licenses.ORACLE) == []
+
+
+def test_license_edits(spark):
+    """One word inserted, deleted or changed at every place of every template; the license's name stays."""
+    rows, want = [], {}
+    for label, text in licenses.TEMPLATES:
+        own = text.split()
+        name = {i for i, w in enumerate(own) if w in label.split("-")}
+        edits = [("insert", [*own[:i], "verily", *own[i:]]) for i in range(1, len(own))]
+        edits += [("delete", own[:i] + own[i + 1 :]) for i in range(len(own)) if i not in name]
+        edits += [("change", [*own[:i], "verily", *own[i + 1 :]]) for i in range(len(own)) if i not in name]
+        for kind, edited in edits:
+            want[len(rows)] = (kind, label)
+            rows.append((len(rows), "some words before " + " ".join(edited) + " and after it"))
+    found = {r.doc_id: r.labels.split(",") for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for kind in ("insert", "delete", "change"):
+        hits = [label in found[i] for i, (k, label) in want.items() if k == kind]
+        assert sum(hits) >= 0.97 * len(hits), kind
+    for label, text in licenses.TEMPLATES:
+        hits = [label in found[i] for i, (_, mine) in want.items() if mine == label]
+        assert sum(hits) >= 0.9 * len(hits), label
+
+
+def test_other_names_are_other_licenses(spark):
+    texts_ = ["licensed under the acme license", "released under the great license", "licensed under cc by nc 4 0", "of the license under the terms of the mit " * 30]
+    got = [r.labels for r in licenses.scan(spark.createDataFrame(enumerate(texts_), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got[:2] == ["", ""] and got[2] == "cc-by,cc-by-nc" and got[3] == ""
+    with pytest.raises(ValueError):
+        licenses.templates(spark, [("x", "word " * 63)])
