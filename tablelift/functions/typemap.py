@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -275,40 +275,58 @@ def default_expression(spec: ColumnSpec, overrides: Mapping[str, str] | None = N
     raise ValueError(f"column {spec.name}: default {spec.default!r} is not a literal or a known function")
 
 
+def _named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` takes it: the array of one binds it to a name."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _peeled(default: Column) -> Column:
     """:func:`peel_default` as one expression, at any depth.
 
     The text is cut into its leading parentheses, a core and its closing ones.  As many pairs are
     outer ones as both ends have and as the core never closes.
     """
-    text = F.btrim(default, F.lit(WHITESPACE))
-    lead = F.regexp_extract(text, r"^[\s(]*", 0)
-    tail = F.regexp_extract(F.substring(text, F.length(lead) + 1, F.length(text)), r"[\s)]*$", 0)
-    core = F.substring(text, F.length(lead) + 1, F.length(text) - F.length(lead) - F.length(tail))
-    opened, closed = F.regexp_count(lead, F.lit(r"\(")), F.regexp_count(tail, F.lit(r"\)"))
-    start = F.struct(opened.alias("depth"), opened.alias("least"))
-
     def walk(state, char):
         depth = state["depth"] + F.when(char == "(", 1).when(char == ")", -1).otherwise(0)
         return F.struct(depth.alias("depth"), F.least(state["least"], depth).alias("least"))
 
-    walked = F.aggregate(F.split(core, ""), start, walk)
-    pairs = F.when(walked["depth"] == closed, F.least(closed, walked["least"])).otherwise(0)  # nothing unless all pair up
-    pattern = F.concat(F.lit(r"^(?:\s*\("), F.lit("){"), pairs.cast("string"), F.lit(r"}\s*"))
-    ending = F.concat(F.lit(r"\s*(?:\)"), F.lit(r"\s*){"), pairs.cast("string"), F.lit("}$"))
-    inner = F.regexp_replace(F.regexp_replace(text, pattern, F.lit("")), ending, F.lit(""))
-    return F.when(pairs > 0, inner).otherwise(text)
+    def cut(text, lead):
+        tail = F.regexp_extract(F.substring(text, F.length(lead) + 1, F.length(text)), r"[\s)]*$", 0)
+        return _named(tail, lambda tail: peel(text, lead, tail))
+
+    def peel(text, lead, tail):
+        core = F.substring(text, F.length(lead) + 1, F.length(text) - F.length(lead) - F.length(tail))
+        opened = F.regexp_count(lead, F.lit(r"\("))
+        walked = F.aggregate(F.split(core, ""), F.struct(opened.alias("depth"), opened.alias("least")), walk)
+        return _named(F.struct(walked.alias("w"), F.regexp_count(tail, F.lit(r"\)")).alias("closed")), lambda s: strip(text, s["w"], s["closed"]))
+
+    def strip(text, walked, closed):
+        pairs = F.when(walked["depth"] == closed, F.least(closed, walked["least"])).otherwise(0)  # nothing unless all pair up
+        return _named(pairs, lambda n: F.when(n > 0, inner(text, n.cast("string"))).otherwise(text))
+
+    def inner(text, pairs):
+        pattern = F.concat(F.lit(r"^(?:\s*\("), F.lit("){"), pairs, F.lit(r"}\s*"))
+        ending = F.concat(F.lit(r"\s*(?:\)"), F.lit(r"\s*){"), pairs, F.lit("}$"))
+        return F.regexp_replace(F.regexp_replace(text, pattern, F.lit("")), ending, F.lit(""))
+
+    def whole(text):
+        peeled = _named(F.regexp_extract(text, r"^[\s(]*", 0), lambda lead: cut(text, lead))
+        return F.when(text.startswith("("), peeled).otherwise(text)
+
+    return _named(F.btrim(default, F.lit(WHITESPACE)), whole)
 
 
 def default_clause(default: Column) -> Column:
     """Target DEFAULT text of a catalog default (NULL when there is none)."""
-    peeled = _peeled(default)
-    lowered = F.lower(peeled)
-    return (
-        F.when(lowered.isin(*NOW_FUNCTIONS), F.lit("CURRENT_TIMESTAMP"))
-        .when(lowered == "newid()", F.lit("gen_random_uuid()"))
-        .otherwise(peeled)
-    )
+    def clause(peeled):
+        lowered = F.lower(peeled)
+        return (
+            F.when(lowered.isin(*NOW_FUNCTIONS), F.lit("CURRENT_TIMESTAMP"))
+            .when(lowered == "newid()", F.lit("gen_random_uuid()"))
+            .otherwise(peeled)
+        )
+
+    return _named(_peeled(default), clause)
 
 
 def align_schema(

@@ -15,6 +15,7 @@ from tablelift.formats import FlatFormat
 from tablelift.functions.text import map_strings, null_marker, strip_control_all
 from tablelift.functions.typemap import ColumnSpec, align_schema, relaxed_schema, spark_schema
 from tablelift.operators.chunk import DEFAULT_CHUNK_ROWS
+from tablelift.operators.load_order import levels, load_order
 from tablelift.operators.reconcile import difference_summary, reconcile_rows
 from tablelift.operators.status import COUNTS, append_status
 from tablelift.plans.checked import write_checked
@@ -50,6 +51,8 @@ class TransferPlan:
     the target, other records to :func:`rejects_of`, and a job with rejects is a WARNING.  More than
     ``max_rejects`` fail the table before it is replaced.  ``extra_fields``: ``reject`` or ``truncate`` records
     with more fields than columns.
+    ``foreign_keys``: pairs (table, table it refers to).  Parents are loaded before their children, and
+    ``parallel_tables`` are those of one level; tables that refer to each other in a circle share a level.
     ``replace_unproven``: what ``replace`` does with a load whose counts or rows differ from the source.  By default
     the load is dropped and the table keeps its old rows (if it had any); ``True`` replaces it all the same.
     ``journal``: where a run writes what it has done, for :func:`run_transfer` with ``resume``.
@@ -80,6 +83,7 @@ class TransferPlan:
     journal: str | None = None
     status_path: str | None = None
     parallel_tables: int = 1
+    foreign_keys: tuple[tuple[str, str], ...] = ()
 
     def table_names(self, spark: SparkSession) -> list[str]:
         names = list(self.tables) or self.source.tables(spark)
@@ -339,11 +343,17 @@ def run_transfer(spark: SparkSession, plan: TransferPlan, resume: bool = False)
             plan.target.discard(spark, left["place"])
         return transfer_table(spark, plan, table, journal) if table in known else missing | {"table_name": table}
 
-    if plan.parallel_tables > 1:
-        with ThreadPoolExecutor(plan.parallel_tables) as pool:
-            jobs = list(pool.map(inheritable_thread_target(spark)(one), names))
-    else:
-        jobs = [one(name) for name in names]
+    order = [names]
+    if plan.foreign_keys:
+        listed = spark.createDataFrame([(n,) for n in names], "table_name string")
+        order = levels(load_order(listed, spark.createDataFrame(list(plan.foreign_keys), "table_name string, ref_table string")))
+    jobs = []
+    for together in order:
+        if plan.parallel_tables > 1:
+            with ThreadPoolExecutor(plan.parallel_tables) as pool:
+                jobs += pool.map(inheritable_thread_target(spark)(one), together)
+        else:
+            jobs += [one(name) for name in together]
     columns = [c.split()[0] for c in JOB_SCHEMA.split(", ")]
     result = spark.createDataFrame([tuple(job[c] for c in columns) for job in jobs], JOB_SCHEMA)
     if plan.status_path:

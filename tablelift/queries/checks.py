@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tablelift.formats import FlatFormat
 from tablelift.functions.typemap import ColumnSpec
-from tablelift.operators import constraints, reconcile, rejects
+from tablelift.operators import constraints, infer, load_order as order, reconcile, rejects
 from tablelift.queries.common import table
 from tablelift.queries.texts import ORDER_COLUMNS
 from tablelift.session import new_staging_dir
@@ -16,6 +16,41 @@ ALL_TABLES = (
 )
 
 
+# Orders as texts: whole numbers, decimals, dates, codes, times, NULLs and mixed columns.
+_INFERRED = {
+    "o_orderkey": "CAST(o_orderkey AS STRING)",
+    "big": "CAST(o_orderkey + 30000000000 AS STRING)",
+    "price": "CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS STRING)",
+    "day": "CAST(CAST(o_orderdate AS DATE) AS STRING)",
+    "mixed_day": "CASE WHEN o_orderkey % 1000 = 1 THEN '2024-13-01' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END",
+    "moment": "CASE WHEN o_orderkey % 2 = 0 THEN '2024-02-29' ELSE '2024-02-29 10:11:12.5' END",
+    "status": "o_orderstatus",
+    "truth": "CASE WHEN o_orderstatus = 'F' THEN 'TRUE' WHEN o_orderstatus = 'O' THEN 'false' END",
+    "code": "CASE WHEN o_orderstatus = 'F' THEN '007' ELSE '12' END",
+    "ratio": "CASE WHEN o_orderstatus = 'F' THEN '1e-3' ELSE '.5' END",
+    "nothing": "CASE WHEN o_orderstatus = 'F' THEN '' END",
+    "wide": "CONCAT('1234567890123456789012345678', CAST(o_orderkey % 10 AS STRING))",
+}
+
+
+def infer_types(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    texts = orders.select(*[F.expr(v).alias(k) for k, v in _INFERRED.items()], "o_orderpriority")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    parts = [infer.column_states(texts.where(part).drop("o_orderpriority")) for part in (urgent, ~urgent)]
+    return infer.inferred_types(infer.merged_states(*parts))
+
+
+# Parts as tables: each refers to the part of half its number, and the first few in a circle.
+def load_order(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    name = lambda c: F.concat(F.lit("t"), c.cast("string"))
+    key = F.col("p_partkey")
+    up = part.select(name(key).alias("table_name"), name(F.expr("p_partkey div 2")).alias("ref_table"))
+    ring = part.where(key.between(5, 8)).select(name(key).alias("table_name"), name(F.when(key == 8, 5).otherwise(key + 1)).alias("ref_table"))
+    return order.load_order(part.select(name(key).alias("table_name")), up.unionByName(ring))
+
+
 def row_counts(spark, sf_dir):
     counts = None
     for name in ALL_TABLES:
@@ -184,7 +219,7 @@ QUERIES = {
     for f in (
         row_counts, check_not_null, check_length, check_castable, check_columns, check_primary_key, check_unique,
         check_foreign_key, orphan_rows, split_rejects, rejected_records, reject_reasons, reconcile_rows,
-        reconcile_summary, reconcile_counts, row_digest, column_stats,
+        reconcile_summary, reconcile_counts, row_digest, column_stats, infer_types, load_order,
     )
 }
 
@@ -206,7 +241,40 @@ _BAD = """CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'O' THEN 's
     WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN 'conversion'
     WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN 'length' ELSE 'ok' END"""
 
+def _inferred(name, text):
+    text = f"nullif(CAST({text.replace('STRING', 'VARCHAR')} AS VARCHAR), '')"
+    whole, point, real = r"[+-]?[0-9]+", r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)", r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?"
+    return rf"""
+        SELECT '{name}' AS column_name, count(*) AS n, count(t) AS filled, bool_and(lower(t) IN ('true', 'false')) AS truth,
+               bool_and(regexp_full_match(t, '{whole}')) AS whole, bool_and(regexp_full_match(t, '{point}')) AS point,
+               bool_and(regexp_full_match(t, '{real}')) AS real_, coalesce(bool_or(regexp_matches(t, '^[+-]?0[0-9]')), false) AS code,
+               bool_and(length(t) = 10 AND try_cast(t AS DATE) IS NOT NULL) AS day, bool_and(try_cast(t AS TIMESTAMP) IS NOT NULL) AS moment,
+               coalesce(max(CASE WHEN regexp_full_match(t, '{point}') THEN length(regexp_extract(t, '^[+-]?0*([0-9]*)', 1)) END), 0) AS digits,
+               coalesce(max(CASE WHEN regexp_full_match(t, '{point}') THEN length(regexp_extract(t, '\.([0-9]*)$', 1)) END), 0) AS scale,
+               CAST(coalesce(max(length(t)), 0) AS BIGINT) AS width
+        FROM (SELECT {text} AS t FROM orders)"""
+
+
 ORACLES = {
+    "infer_types": f"""
+        SELECT column_name, CASE WHEN filled = 0 THEN 'string' WHEN truth THEN 'boolean' WHEN whole AND NOT code AND digits <= 9 THEN 'int'
+                   WHEN whole AND NOT code AND digits <= 18 THEN 'bigint'
+                   WHEN point AND NOT code AND digits + scale <= 38 THEN 'decimal(' || greatest(digits + scale, 1) || ',' || scale || ')'
+                   WHEN real_ AND NOT point AND NOT code THEN 'double' WHEN day THEN 'date' WHEN moment THEN 'timestamp_ntz' ELSE 'string' END AS data_type,
+               filled < n AS nullable, width
+        FROM ({" UNION ALL ".join(_inferred(k, v) for k, v in _INFERRED.items())})""",
+    "load_order": """
+        WITH RECURSIVE nodes AS (SELECT DISTINCT p_partkey AS k FROM part),
+        edges AS (
+            SELECT k AS a, k // 2 AS b FROM nodes WHERE k // 2 IN (SELECT k FROM nodes) AND k <> k // 2
+            UNION SELECT k, CASE WHEN k = 8 THEN 5 ELSE k + 1 END FROM nodes WHERE k BETWEEN 5 AND 8),
+        reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b),
+        circle AS (SELECT r.a AS k, min('t' || r.b) AS cycle FROM reach r JOIN reach s ON s.a = r.b AND s.b = r.a GROUP BY r.a),
+        knot AS (SELECT n.k, CASE WHEN c.cycle IS NOT NULL THEN least(c.cycle, 't' || n.k) END AS cycle FROM nodes n LEFT JOIN circle c ON c.k = n.k),
+        named AS (SELECT k, cycle, coalesce(cycle, 't' || k) AS knot FROM knot),
+        up AS (SELECT DISTINCT x.knot AS a, y.knot AS b FROM edges JOIN named x ON x.k = edges.a JOIN named y ON y.k = edges.b WHERE x.knot <> y.knot),
+        depth AS (SELECT DISTINCT knot, 0 AS level FROM named UNION SELECT up.a, d.level + 1 FROM depth d JOIN up ON up.b = d.knot)
+        SELECT 't' || k AS table_name, CAST(max(level) AS INTEGER) AS level, cycle FROM named JOIN depth USING (knot) GROUP BY k, cycle""",
     "row_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in ALL_TABLES),
     "check_not_null": """
         SELECT 'event_id' AS column_name, 'not_null' AS "check", count(*) FILTER (event_id IS NULL) AS violations FROM events
