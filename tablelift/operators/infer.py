@@ -34,11 +34,12 @@ def column_states(df: DataFrame) -> DataFrame:
         return df.sparkSession.createDataFrame([], "column_name string, " + ", ".join(f"{c} long" for c in (*COUNTS, *MAXIMA)))
     found = []
     for i, name in enumerate(names):
-        text = F.nullif(F.col(f"`{name}`"), F.lit(""))
+        quoted = f"`{name.replace('`', '``')}`"
+        text = F.nullif(F.col(quoted), F.lit(""))
         number = F.when(text.rlike(_DECIMAL), text)
         digits = F.length(F.regexp_extract(number, r"^[+-]?0*([0-9]*)", 1))
         scale = F.length(F.regexp_extract(number, r"\.([0-9]*)$", 1))
-        real = lambda kind: F.expr(f"try_cast(`{name.replace('`', '``')}` AS {kind})").isNotNull()  # noqa: B023, E731
+        real = lambda kind: F.expr(f"try_cast({quoted} AS {kind})").isNotNull()  # noqa: B023, E731
         values = {
             "rows": F.count(F.lit(1)), "filled": F.count(text), "wholes": F.count_if(text.rlike(_WHOLE)), "decimals": F.count(number),
             "floats": F.count_if(text.rlike(_FLOAT)), "codes": F.count_if(text.rlike(_CODE)), "truths": F.count_if(F.lower(text).isin("true", "false")),
