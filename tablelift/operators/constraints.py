@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablelift.functions.render import from_text
 from tablelift.functions.typemap import ColumnSpec, spark_type
+from tablelift.session import materialize
+
+#: Keys that are broadcast at most.
+BROADCAST_KEYS = 100_000
 
 
 def _columns(names: Sequence[str]) -> list[Column]:
@@ -103,6 +107,12 @@ def check_foreign_key(
 
 
 def orphan_rows(child: DataFrame, columns: Sequence[str], parent: DataFrame, parent_columns: Sequence[str]) -> DataFrame:
-    """The child rows themselves that :func:`check_foreign_key` counts."""
-    orphans = check_foreign_key(child, columns, parent, parent_columns).drop("orphan_rows")
-    return child.join(orphans, list(columns), "left_semi").select(*_columns(child.columns))
+    """The child rows themselves that :func:`check_foreign_key` counts.
+
+    The keys without a parent are written once.  Up to ``BROADCAST_KEYS`` of them go to the child rows, which then stay
+    where they are, however many share a key; only beyond that number the rows are shuffled by key.
+    """
+    orphans = materialize(check_foreign_key(child, columns, parent, parent_columns).drop("orphan_rows"), "orphans")
+    few = orphans.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    keys = F.broadcast(orphans) if few else orphans
+    return child.join(keys, list(columns), "left_semi").select(*_columns(child.columns))

@@ -134,8 +134,8 @@ def gpkg_schema(path: str, table: str) -> StructType:
 def _table_of(path: str, table: str | None) -> str:
     names = gpkg_tables(path)
     if table is None:
-        if not names:
-            raise ValueError(f"{path} registers no table")
+        if len(names) != 1:
+            raise ValueError(f"{path} registers {len(names)} tables: name the one to read")
         return names[0]
     if table not in names:
         raise ValueError(f"{path} registers no table {table}")
@@ -191,11 +191,13 @@ class GpkgReader(DataSourceReader):
                 continue
             table = _table_of(file, self.table)
             with _open(file) as connection:
-                low, high = connection.execute(f"SELECT min(rowid), max(rowid) FROM {_quote(table)}").fetchone()
+                low, high, rows = connection.execute(f"SELECT min(rowid), max(rowid), count(*) FROM {_quote(table)}").fetchone()
             if low is None:
                 continue
-            for first in range(low, high + 1, self.rows_per_partition):
-                ranges.append(RowRange(file, table, first, min(first + self.rows_per_partition - 1, high)))
+            # As many ranges as the rows need, however far apart their ids are.
+            step = -(-(high + 1 - low) // -(-rows // self.rows_per_partition))
+            for first in range(low, high + 1, step):
+                ranges.append(RowRange(file, table, first, min(first + step - 1, high)))
         return ranges
 
     def read(self, partition: RowRange):
@@ -210,6 +212,10 @@ class GpkgReader(DataSourceReader):
             bounds = (partition.first, partition.last)
         stem = os.path.splitext(os.path.basename(partition.file))[0]
         with _open(partition.file) as connection:
+            # A name that is no column would be read as a text by the database.
+            have = {row[1].lower() for row in connection.execute(f"PRAGMA table_info({_quote(table)})")}
+            if absent := [f.name for f in stored if f.name.lower() not in have]:
+                raise ValueError(f"{partition.file}: table {table} has no columns {absent}")
             cursor = connection.execute(query, bounds)
             while rows := cursor.fetchmany(BATCH_ROWS):
                 columns = dict(zip((f.name for f in stored), zip(*rows)))

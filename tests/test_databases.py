@@ -197,3 +197,20 @@ def test_balanced_ranges_adjoin():
     salted = jdbc._range_predicates("K", 0, 10, cells, 10, "S")
     assert len(salted) == 6 and all("MOD" not in p for p in salted)
     assert jdbc._range_predicates("K", 0, 1, [(0, 3)], 10, None) == ["K IS NOT NULL"]
+
+
+def test_files_of_another_layout_are_an_error(spark, tmp_path):
+    from tablelift.sources.gpkg import register_gpkg
+
+    register_gpkg(spark)
+    folder = tmp_path / "files"
+    for name, df in (("a", spark.range(3)), ("b", spark.range(3).withColumnRenamed("id", "other"))):
+        df.coalesce(1).write.format("gpkg").mode("append").option("table", "t").save(str(folder / name))
+    one, two = (next((folder / n).glob("*.gpkg")) for n in "ab")
+    mixed = tmp_path / "mixed"
+    mixed.mkdir()
+    (mixed / "1.gpkg").write_bytes(one.read_bytes())
+    assert spark.read.format("gpkg").option("table", "t").load(str(mixed)).count() == 3
+    (mixed / "2.gpkg").write_bytes(two.read_bytes())
+    with pytest.raises(Exception, match="has no columns"):
+        spark.read.format("gpkg").option("table", "t").load(str(mixed)).collect()
