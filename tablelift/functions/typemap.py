@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -230,6 +230,19 @@ def relaxed_schema(df: DataFrame, schema: T.StructType) -> T.StructType:
     )
 
 
+def relaxed_specs(
+    df: DataFrame, specs: Sequence[ColumnSpec], overrides: Mapping[str, str] | None = None
+) -> list[ColumnSpec]:
+    """``specs`` with every column as text whose texts in ``df`` do not all cast; columns that are no text stay."""
+    texts = {f.name.lower(): f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    given = [s for s in specs if s.name.lower() in texts]
+    if not given:
+        return list(specs)
+    schema = spark_schema([replace(s, name=texts[s.name.lower()]) for s in given], overrides)
+    failing = {r.column_name.lower() for r in cast_failures(df, schema).where("failures > 0").collect()}
+    return [ColumnSpec(s.name, "nvarchar", nullable=s.nullable) if s.name.lower() in failing else s for s in specs]
+
+
 # What catalogs call the current time.
 NOW_FUNCTIONS = ("getdate()", "sysdatetime()", "current_timestamp")
 

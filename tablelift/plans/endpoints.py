@@ -8,7 +8,7 @@ table answers ``stage`` as well, and its tables are replaced only by loads that
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +46,10 @@ class Source:
     def count(self, spark: SparkSession, table: str) -> int:
         return self.read(spark, table).count()
 
+    def relaxed(self) -> Source:
+        """The source as a load reads it that may depart from what is declared."""
+        return self
+
 
 class Target:
     def exists(self, spark: SparkSession, table: str) -> bool:
@@ -108,13 +112,15 @@ class ManifestSource(Source):
     """Delimited files, each named as a table or by its stem; a missing file rejects the set.
 
     ``large_files`` reads a file in parallel even where records have line breaks, instead of in one task.
-    ``detect_encoding`` goes by the bytes of each file instead of the format's encoding.
+    ``detect_encoding`` goes by the bytes of each file instead of the format's encoding; ``keep_fitting`` does so only
+    for files that do not fit the format's encoding.
     """
 
     entries: tuple[tuple[str, str | None], ...]
     fmt: FlatFormat = FlatFormat()
     large_files: bool = False
     detect_encoding: bool = False
+    keep_fitting: bool = False
 
     def tables(self, spark: SparkSession) -> list[str]:
         return list(scan_manifest(spark, self.entries, self.fmt))
@@ -126,7 +132,12 @@ class ManifestSource(Source):
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         path = dict(manifest_tables(self.entries))[table]
         scan = scan_delimited_parallel if self.large_files else scan_delimited
-        return scan_detected(spark, path, self.fmt, scan=scan) if self.detect_encoding else scan(spark, path, self.fmt)
+        if self.detect_encoding or self.keep_fitting:
+            return scan_detected(spark, path, self.fmt, scan=scan, keep_fitting=not self.detect_encoding)
+        return scan(spark, path, self.fmt)
+
+    def relaxed(self) -> Source:
+        return replace(self, keep_fitting=True)
 
 
 @dataclass(frozen=True)

@@ -13,7 +13,7 @@ from pyspark.util import inheritable_thread_target
 
 from tablelift.formats import FlatFormat
 from tablelift.functions.text import map_strings, null_marker, strip_control_all
-from tablelift.functions.typemap import ColumnSpec, align_schema, relaxed_schema, spark_schema
+from tablelift.functions.typemap import ColumnSpec, align_schema, relaxed_schema, relaxed_specs, spark_schema
 from tablelift.operators.chunk import DEFAULT_CHUNK_ROWS
 from tablelift.operators.load_order import levels, load_order
 from tablelift.operators.reconcile import difference_summary, reconcile_rows
@@ -45,7 +45,8 @@ class TransferPlan:
     removed when the run is over.
     ``if_exists``: ``replace``, ``skip`` (a SKIPPED job) or ``error`` (a FAILED job).
     ``chunk_rows``: staged files have this many rows at most.
-    ``on_error``: ``relax`` loads columns with uncastable texts as text instead of failing.
+    ``on_error``: ``relax`` reads files that do not fit the declared encoding in the one that their bytes show, and loads
+    columns with uncastable texts as text instead of failing.  Both are decided by a pass over the data beforehand.
     ``verify``: ``counts``, or ``rows`` to compare every row by ``keys`` as well.
     ``checked``: files are loaded with every rule of ``specs`` checked in the one pass that writes them; good rows go to
     the target, other records to :func:`rejects_of`, and a job with rejects is a WARNING.  More than
@@ -156,13 +157,17 @@ def _move(spark: SparkSession, plan: TransferPlan, table: str, job: dict, journa
         return ("SKIPPED" if plan.if_exists == "skip" else "FAILED"), "Table already exists"
     if plan.checked:
         return _move_checked(spark, plan, table, job, journal, there)
-    source = strip_control_all(plan.source.read(spark, table))
+    relax = plan.on_error == "relax"
+    source = strip_control_all((plan.source.relaxed() if relax else plan.source).read(spark, table))
     if plan.staged:
         loaded, rows = _counted(_staged(spark, plan, table, source, job, journal))
         count = "flatfile_count"
     else:
         counted, rows = _counted(source)
-        loaded = align_schema(counted, plan.specs[table], plan.type_overrides) if table in plan.specs else counted
+        specs = plan.specs.get(table)
+        if specs and relax:
+            specs = relaxed_specs(source, specs, plan.type_overrides)
+        loaded = align_schema(counted, specs, plan.type_overrides) if specs else counted
         count = "input_count"
     load = plan.target.stage(spark, table) or _InPlace(spark, plan, table)
     if journal:
@@ -322,8 +327,10 @@ def run_transfer(spark: SparkSession, plan: TransferPlan, resume: bool = False)
         raise ValueError("a run without a journal cannot be resumed")
     if plan.checked and not hasattr(plan.source, "files"):
         raise ValueError("only files can be checked while they are loaded")
-    if plan.on_error == "relax" and not plan.staged:
-        raise ValueError("types are relaxed on staged text only")
+    if plan.on_error not in ("fail", "relax"):
+        raise ValueError("on_error is 'fail' or 'relax'")
+    if plan.on_error == "relax" and plan.checked:
+        raise ValueError("a checked load rejects records and relaxes nothing")
     own_staging, about = None, plan.about()
     if plan.staging is None:
         own_staging = new_staging_dir(spark, "staged")

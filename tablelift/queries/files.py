@@ -177,7 +177,7 @@ QUERIES = {
 }
 
 _SPACED = "CASE WHEN lang = 'en' THEN text || chr(10) || ' ' || chr(10) || chr(10) || text ELSE text END"
-_CP1252 = r"[^\x00-\x7f\x{a0}-\x{ff}€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]"
+NOT_CP1252 = r"[^\x00-\x7f\x{a0}-\x{ff}€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]"
 
 ORACLES = {
     "scan_csv": "SELECT * FROM documents",
@@ -186,7 +186,7 @@ ORACLES = {
     "scan_pipe": "SELECT * FROM customer",
     "scan_parallel": "SELECT * FROM documents",
     "scan_cp1252": f"""
-        SELECT doc_id, regexp_replace(text, '{_CP1252}', '?', 'g') AS text, lang, source, n_chars FROM documents""",
+        SELECT doc_id, regexp_replace(text, '{NOT_CP1252}', '?', 'g') AS text, lang, source, n_chars FROM documents""",
     "scan_headerless": """
         SELECT CAST(c_custkey AS VARCHAR) AS column_1, c_name AS column_2, CAST(c_nationkey AS VARCHAR) AS column_3,
                CAST(c_acctbal AS VARCHAR) AS column_4, c_mktsegment AS column_5
@@ -204,7 +204,7 @@ ORACLES = {
                     THEN 'cp1252' ELSE 'utf-8' END
         FROM documents GROUP BY lang""",
     "scan_mixed_encodings": rf"""
-        SELECT doc_id, CASE lang WHEN 'fr' THEN text WHEN 'de' THEN regexp_replace(text, '{_CP1252}', '?', 'g')
+        SELECT doc_id, CASE lang WHEN 'fr' THEN text WHEN 'de' THEN regexp_replace(text, '{NOT_CP1252}', '?', 'g')
                        ELSE regexp_replace(text, '[^\x00-\xff]', '?', 'g') END AS text,
                lang, source, n_chars FROM documents""",
     "truncate_fields": """

@@ -12,7 +12,9 @@ from tablelift.plans.checked import write_checked
 from tablelift.plans.endpoints import FrameSource, ManifestSource, ParquetSource, ParquetTarget, VersionedTarget
 from tablelift.plans.transfer import TransferPlan, rejects_of, run_batch, run_transfer as _run_transfer
 from tablelift.queries.common import table
+from tablelift.queries.files import NOT_CP1252
 from tablelift.session import materialize, new_staging_dir
+from tablelift.sinks.delimited import write_delimited
 from tablelift.sinks.ranged import RangedTable
 from tablelift.sinks.tables import load_parquet
 from tablelift.sources import listing
@@ -149,6 +151,23 @@ def transfer_checked(spark, sf_dir):
     return rows.unionByName(rejects, allowMissingColumns=True).withColumns(counts)
 
 
+def transfer_ladder(spark, sf_dir):
+    """Files in three encodings declared as UTF-8, one column with texts that are no numbers."""
+    docs = table(spark, sf_dir, "documents")
+    size = F.when(F.col("n_chars") % 10 == 0, F.concat(F.lit("n/a "), "doc_id")).otherwise(F.col("n_chars").cast("string"))
+    lines = docs.select("doc_id", "text", "lang", size.alias("n_chars"))
+    root = new_staging_dir(spark, "ladder")
+    for encoding, test in (("utf-8", "lang = 'fr'"), ("cp1252", "lang = 'de'"), ("latin1", "lang NOT IN ('fr', 'de')")):
+        write_delimited(lines.where(test), f"{root}/{encoding}", FlatFormat(encoding=encoding))
+    specs = [ColumnSpec("doc_id", "bigint"), ColumnSpec("text", "nvarchar"), ColumnSpec("lang", "nvarchar"), ColumnSpec("n_chars", "int")]
+    plan = TransferPlan(
+        ManifestSource(((f"{root}/*", "documents"),)), ParquetTarget(new_staging_dir(spark, "target")),
+        specs={"documents": specs}, staged=False, on_error="relax",
+    )
+    job = _run_transfer(spark, plan).first()
+    return plan.target.read(spark, "documents").withColumn("status", F.lit(job.status))
+
+
 def checked_rules(spark, sf_dir):
     """How many records break each rule of each column, as metrics of the write."""
     place = new_staging_dir(spark, "checked")
@@ -299,7 +318,7 @@ def report_lines(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        transfer_run, transfer_direct, transfer_batch, transfer_again, load_mode_skip, load_mode_replace, replace_safe, transfer_resumed, transfer_checked, checked_rules, reload_changed, list_tables, select_tables, validate_tables, status_latest,
+        transfer_run, transfer_direct, transfer_batch, transfer_again, load_mode_skip, load_mode_replace, replace_safe, transfer_resumed, transfer_checked, transfer_ladder, checked_rules, reload_changed, list_tables, select_tables, validate_tables, status_latest,
         skip_unchanged, report_summary, report_lines,
     )
 }
@@ -334,6 +353,11 @@ _FAULT = """
           FROM orders)"""
 
 ORACLES = {
+    "transfer_ladder": rf"""
+        SELECT doc_id, CASE lang WHEN 'fr' THEN text WHEN 'de' THEN regexp_replace(text, '{NOT_CP1252}', '?', 'g')
+                       ELSE regexp_replace(text, '[^\x00-\xff]', '?', 'g') END AS text,
+               lang, CASE WHEN n_chars % 10 = 0 THEN 'n/a ' || doc_id ELSE CAST(n_chars AS VARCHAR) END AS n_chars,
+               'SUCCESS' AS status FROM documents""",
     "reload_changed": """
         SELECT l_orderkey, l_linenumber, l_partkey,
                CASE WHEN l_orderkey = (SELECT max(l_orderkey) FROM lineitem) THEN l_extendedprice + 1 ELSE l_extendedprice END AS l_extendedprice,

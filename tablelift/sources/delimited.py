@@ -247,10 +247,25 @@ def encoding_detect(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return per_file(spark, path, found, encoding="utf-8", lines=0, bad_utf8_lines=0)
 
 
-def files_by_encoding(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
-    """The files of ``path`` by their encoding.  Only names come to the driver."""
+def encoding_fit(spark: SparkSession, path: str | list[str], fmt: FlatFormat) -> DataFrame:
+    """The encoding each file is to be read in: (file, encoding).
+
+    That of ``fmt`` (UTF-8 or cp1252) if the file's bytes fit it, else the detected one.  UTF-8 does not fit invalid
+    sequences, cp1252 not the five bytes that it does not use.
+    """
+    if not fmt.is_cp1252:
+        return encoding_detect(spark, path).select("file", "encoding")
+    unused = F.decode(F.col("value").cast("binary"), "iso-8859-1").rlike(_UNUSED_IN_CP1252)
+    fits = scan_lines(spark, path).groupBy("file").agg((~F.max(unused)).alias("fits"))
+    chosen = encoding_detect(spark, path).join(per_file(spark, path, fits, fits=True), "file")
+    return chosen.select("file", F.when(F.col("fits"), F.lit(fmt.encoding)).otherwise(F.col("encoding")).alias("encoding"))
+
+
+def files_by_encoding(spark: SparkSession, path: str | list[str], declared: FlatFormat | None = None) -> dict[str, list[str]]:
+    """The files of ``path`` by their encoding, or by :func:`encoding_fit` to a declared one.  Only names come to the driver."""
     plain = F.try_url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))
-    found = encoding_detect(spark, path).groupBy("encoding").agg(F.array_sort(F.collect_list(plain)).alias("files"))
+    judged = encoding_fit(spark, path, declared) if declared else encoding_detect(spark, path)
+    found = judged.groupBy("encoding").agg(F.array_sort(F.collect_list(plain)).alias("files"))
     return {r.encoding: r.files for r in found.orderBy("encoding").collect()}
 
 
@@ -272,9 +287,16 @@ def scan_detected(
     schema: T.StructType | None = None,
     strict: bool = True,
     scan: Callable[..., DataFrame] = scan_delimited,
+    keep_fitting: bool = False,
 ) -> DataFrame:
-    """:func:`scan_delimited` (or another ``scan``) with every file read in the encoding that it has."""
-    parts = [scan(spark, files, replace(fmt, encoding=e), schema, strict) for e, files in files_by_encoding(spark, path).items()]
+    """:func:`scan_delimited` (or another ``scan``) with every file read in the encoding that it has.
+
+    ``keep_fitting`` reads files that fit the encoding of ``fmt`` in that one; any but UTF-8 and cp1252 fits every file.
+    """
+    if keep_fitting and not fmt.is_cp1252 and fmt.file_encoding != "utf-8":
+        return scan(spark, path, fmt, schema, strict)
+    found = files_by_encoding(spark, path, fmt if keep_fitting else None)
+    parts = [scan(spark, files, replace(fmt, encoding=e), schema, strict) for e, files in found.items()]
     if not parts:
         return scan(spark, path, fmt, schema, strict)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablelift import ColumnSpec, FlatFormat, TransferPlan, run_batch, run_transfer
+from tablelift.functions.text import strip_control_all
 from tablelift.operators.status import report_lines, report_summary
 from tablelift.plans.endpoints import (
     CatalogSource,
@@ -52,8 +53,9 @@ def test_direct_load(spark, tmp_path, people):
     assert not (tmp_path / "s").exists()
     assert sorted(tuple(r) for r in target.read(spark, "t").collect()) == [(1, "a,b", True), (2, None, True), (3, "l1\nl2", True)]
     assert "flat:0" in report_lines(jobs).first().line
-    with pytest.raises(ValueError):
-        run_transfer(spark, TransferPlan(frames(t=people), target, staged=False, on_error="relax"))
+    for wrong in ({"on_error": "ignore"}, {"on_error": "relax", "checked": True}):
+        with pytest.raises(ValueError):
+            run_transfer(spark, TransferPlan(frames(t=people), target, **wrong))
 
 
 def test_compressed_staging(spark, tmp_path, people):
@@ -115,6 +117,34 @@ def test_declared_types_and_relaxation(spark, tmp_path):
     assert dict(spark.read.parquet(str(tmp_path / "r/t.parquet")).dtypes) == {"a": "string", "b": "decimal(19,4)"}
 
 
+@pytest.mark.parametrize("staged", [True, False])
+@pytest.mark.parametrize(
+    "declared, expected",
+    [
+        ("utf-8", {"1": "caf\u00e9", "x": "\u20ac", "3": "\x81\u00e9", "4": "plain"}),
+        ("cp1252", {"1": "caf\u00c3\u00a9", "x": "\u20ac", "3": "\x81\u00e9", "4": "plain"}),
+        ("latin1", {"1": "caf\u00c3\u00a9", "x": "\x80", "3": "\x81\u00e9", "4": "plain"}),
+    ],
+)
+def test_ladder_of_encodings_and_types(spark, tmp_path, staged, declared, expected):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, line in (("u", b"1,caf\xc3\xa9"), ("w", b"x,\x80"), ("l", b"3,\x81\xe9"), ("p", b"4,plain")):
+        (folder / f"{name} +.csv").write_bytes(b"a,b\n" + line + b"\n")
+    (folder / "empty.csv").write_bytes(b"a,b\n")
+    source = ManifestSource(((str(folder), "t"),), FlatFormat(encoding=declared))
+    specs = {"t": [ColumnSpec("A", "int"), ColumnSpec("b", "nvarchar"), ColumnSpec("c", "int", default="((7))")][: 2 if staged else 3]}
+    specs = {"t": [ColumnSpec("a", "int"), *specs["t"][1:]]} if staged else specs
+    target = ParquetTarget(str(tmp_path / "out"))
+    plan = TransferPlan(source, target, specs=specs, staged=staged, on_error="relax")
+    job = run_transfer(spark, plan).first()
+    assert (job.status, job.output_count, job.error) == ("SUCCESS", 4, None)
+    # Control characters are stripped on the way.
+    found = {tuple(r)[0]: tuple(r)[1] for r in target.read(spark, "t").collect()}
+    cleaned = spark.createDataFrame(list(expected.items()), "a string, b string")
+    assert found == {r.a: r.b for r in strip_control_all(cleaned).collect()}
+
+
 def test_unchanged_tables_are_not_exported_again(spark, tmp_path, people):
     staging, store = str(tmp_path / "staging"), str(tmp_path / "status")
 
