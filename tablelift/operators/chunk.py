@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from tablelift.formats import FlatFormat
 from tablelift.session import materialize
-from tablelift.sinks.delimited import write_delimited
+from tablelift.sinks.delimited import file_columns, write_delimited
 from tablelift.sources.delimited import scan_delimited
 
 # The transfer's defaults for large tables.
@@ -16,6 +16,10 @@ DEFAULT_CHUNK_THRESHOLD = 50_000_000
 # Rows that one task may hold to find a page.
 _TOP_K = 100_000
 
+# Rows whose bytes are summed together before chunks are cut by bytes.
+_BLOCK_ROWS = 4096
+
+_SIZE = "__size"
 _PARTITION, _POSITION, _COPY, _HASH, _HASH2 = "__partition", "__position", "__copy", "__hash", "__hash2"
 
 
@@ -29,6 +33,30 @@ def _row_hashes(df: DataFrame) -> list[Column]:
     return [F.xxhash64(*rest), F.xxhash64(F.lit(1), *rest)]
 
 
+def _placed(
+    df: DataFrame, order_by: list[str], unique: bool, ranges: int | None, extra: dict[str, Column] | None = None
+) -> DataFrame:
+    """The rows in ranges of the order, sorted and written once, with the range and the place in it (and ``extra`` columns)."""
+    extra = extra or {}
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys, rows = _columns(order_by), df
+    if not unique:
+        first, second = _row_hashes(df)
+        rows = df.withColumns({_HASH: first, _HASH2: second, _COPY: F.monotonically_increasing_id()})
+        keys = [*keys, F.col(_HASH), F.col(_HASH2), F.col(_COPY)]
+    sorted_rows = rows.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    # High bits of the id: partition; low 33 bits: position in it.
+    row_id = F.monotonically_increasing_id()
+    added = [column.alias(name) for name, column in extra.items()]
+    placed = sorted_rows.select(*_columns(df.columns), *added, row_id.alias(_POSITION))
+    return materialize(placed, "numbered").select(
+        *_columns(df.columns),
+        *_columns(extra),
+        F.shiftright(_POSITION, 33).alias(_PARTITION),
+        F.col(_POSITION).bitwiseAND(F.lit((1 << 33) - 1)).alias(_POSITION),
+    )
+
+
 def number_rows(
     df: DataFrame, order_by: list[str], name: str = "rn", unique: bool = False, ranges: int | None = None
 ) -> DataFrame:
@@ -44,22 +72,7 @@ def number_rows(
     are, so they too are spread, and every row comes out as it went in.  ``unique=True`` says that
     ``order_by`` is unique, so nothing has to be hashed.
     """
-    spark = df.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys, rows = _columns(order_by), df
-    if not unique:
-        first, second = _row_hashes(df)
-        rows = df.withColumns({_HASH: first, _HASH2: second, _COPY: F.monotonically_increasing_id()})
-        keys = [*keys, F.col(_HASH), F.col(_HASH2), F.col(_COPY)]
-    sorted_rows = rows.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
-    # High bits of the id: partition; low 33 bits: position in it.
-    row_id = F.monotonically_increasing_id()
-    placed = sorted_rows.select(*_columns(df.columns), row_id.alias(_POSITION))
-    staged = materialize(placed, "numbered").select(
-        *_columns(df.columns),
-        F.shiftright(_POSITION, 33).alias(_PARTITION),
-        F.col(_POSITION).bitwiseAND(F.lit((1 << 33) - 1)).alias(_POSITION),
-    )
+    staged = _placed(df, order_by, unique, ranges)
     # One row per range partition: bounded by `ranges`, whatever the size of the table.
     counts = staged.groupBy(_PARTITION).agg(F.count("*").alias("__rows"))
     before = Window.orderBy(_PARTITION).rowsBetween(Window.unboundedPreceding, -1)
@@ -90,14 +103,14 @@ def write_chunked(
     order_by: list[str] | None = None,
     fmt: FlatFormat = FlatFormat(),
     unique: bool = False,
-    one_file: bool = True,
+    one_file: bool = False,
     if_exists: str = "error",
 ) -> None:
     """Export in ``ceil(rows / chunk_rows)`` folders ``chunk=<n>``, each file with a header.
 
     Without ``order_by`` rows go by their hash: any order, but the same for the same rows.
-    ``one_file`` shuffles by chunk so that a chunk is exactly one file.  Without it the sorted
-    rows are written where they are: no second shuffle, a chunk may be two or three files.
+    The sorted rows are written where they are: no second shuffle, a chunk may be two or three files.
+    ``one_file`` shuffles by chunk so that a chunk is exactly one file.
     """
     chunked = assign_chunks(df, chunk_rows, order_by or [], unique=unique and bool(order_by))
     if one_file:
@@ -106,6 +119,98 @@ def write_chunked(
     write_delimited(chunked, path, fmt, if_exists=if_exists, partition_by=["chunk"])
 
 
+def assign_byte_chunks(
+    df: DataFrame,
+    chunk_bytes: int,
+    order_by: list[str],
+    fmt: FlatFormat = FlatFormat(),
+    unique: bool = False,
+    name: str = "chunk",
+    ranges: int | None = None,
+) -> DataFrame:
+    """Add a chunk number by size: a row before which the order has ``b`` bytes is in chunk ``b div chunk_bytes``.
+
+    Sizes are those of the records in a file of this format, line end included and header left out, so the records of a
+    chunk take ``chunk_bytes`` but for one record at either end.  A record longer than that leaves numbers unused.
+
+    The rows are shuffled once, into the ranges of their order.  Bytes are summed by block of rows, blocks are prefix
+    sums of their range, and only blocks in which a chunk ends are looked at row by row.  What comes back to the rows is
+    one list per range: from which place on which chunk.
+    """
+    return _byte_chunks(df, chunk_bytes, order_by, fmt, unique, name, ranges).drop(_PARTITION, _POSITION)
+
+
+def _byte_chunks(df, chunk_bytes, order_by, fmt, unique, name, ranges):
+    if chunk_bytes < 1:
+        raise ValueError("chunk_bytes must be positive")
+    chunk_bytes = int(chunk_bytes)
+    placed = _placed(df, order_by, unique, ranges, {_SIZE: record_bytes(df, fmt)})
+    sizes = placed.select(_PARTITION, _POSITION, F.expr(f"{_POSITION} div {_BLOCK_ROWS}").alias("__block"), _SIZE)
+    blocks = sizes.groupBy(_PARTITION, "__block").agg(F.sum(_SIZE).alias("__bytes"))
+    in_range = Window.partitionBy(_PARTITION).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range partition: bounded by `ranges`.
+    before = Window.orderBy(_PARTITION).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.groupBy(_PARTITION).agg(F.sum("__bytes").alias("__all")).select(
+        _PARTITION, F.coalesce(F.sum("__all").over(before), F.lit(0)).alias("__offset")
+    )
+    starts = blocks.withColumn("__in_range", F.coalesce(F.sum("__bytes").over(in_range), F.lit(0)))
+    starts = starts.join(F.broadcast(offsets), _PARTITION).select(
+        _PARTITION, "__block", (F.col("__offset") + F.col("__in_range")).alias("__start"), "__bytes"
+    )
+    # A row per 4,096 rows of the table, used twice.
+    starts = materialize(starts, "blocks").withColumns({
+        "__first": F.expr(f"__start div {chunk_bytes}"), "__last": F.expr(f"(__start + __bytes - 1) div {chunk_bytes}")
+    })
+    whole = starts.where("__first = __last").select(
+        _PARTITION, (F.col("__block") * _BLOCK_ROWS).alias(_POSITION), F.col("__first").alias(name)
+    )
+    cut = starts.where("__first < __last").select(_PARTITION, "__block", "__start")
+    in_block = Window.partitionBy(_PARTITION, "__block").orderBy(_POSITION).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("__start") + F.coalesce(F.sum(_SIZE).over(in_block), F.lit(0))
+    split = _broadcast_few(cut).join(sizes, [_PARTITION, "__block"]).select(
+        _PARTITION, _POSITION, F.floor(start / chunk_bytes).cast("bigint").alias(name)
+    )
+    places = whole.union(split).groupBy(_PARTITION, name).agg(F.min(_POSITION).alias("__from"))
+    lists = places.groupBy(_PARTITION).agg(F.sort_array(F.collect_list(F.struct("__from", F.col(f"`{name}`").alias("__chunk")))).alias("__cuts"))
+    lists = materialize(lists, "cuts")
+    chunk = F.element_at(F.filter("__cuts", lambda c: c["__from"] <= F.col(_POSITION)), -1)["__chunk"]
+    return placed.join(_broadcast_few(lists, "size(__cuts)"), _PARTITION).select(
+        *_columns(df.columns), chunk.alias(name), _PARTITION, _POSITION
+    )
+
+
+def _broadcast_few(df: DataFrame, entries: str = "1") -> DataFrame:
+    """Broadcast up to ``_TOP_K`` entries; beyond that the join is left to Spark."""
+    return F.broadcast(df) if (df.agg(F.expr(f"sum({entries})")).first()[0] or 0) <= _TOP_K else df
+
+
+def record_bytes(df: DataFrame, fmt: FlatFormat = FlatFormat()) -> Column:
+    """Bytes of a row in a delimited file of this format, with its line end."""
+    fields = [c.alias(f"c{i}") for i, c in enumerate(file_columns(df, fmt))]
+    record = F.to_csv(F.struct(*fields), fmt.write_options())
+    if fmt.file_encoding not in ("utf-8", "utf8"):
+        record = F.encode(record, fmt.file_encoding)
+    return (F.octet_length(record) + len((fmt.row_delimiter or "\n").encode())).cast("bigint")
+
+
+def write_byte_chunks(
+    df: DataFrame,
+    path: str,
+    chunk_bytes: int,
+    order_by: list[str] | None = None,
+    fmt: FlatFormat = FlatFormat(),
+    unique: bool = False,
+    if_exists: str = "error",
+) -> None:
+    """Export in folders ``chunk=<n>`` of ``chunk_bytes`` each, by the sizes of :func:`assign_byte_chunks`.
+
+    Rows are written where the one shuffle has put them, in order; a chunk that spans ranges is a file for each.
+    """
+    chunked = _byte_chunks(df, chunk_bytes, order_by or [], fmt, unique and bool(order_by), "chunk", None)
+    chunked = chunked.sortWithinPartitions("chunk", _PARTITION, _POSITION).drop(_PARTITION, _POSITION)
+    write_delimited(chunked, path, fmt, if_exists=if_exists, partition_by=["chunk"])
+
+
 def merge_chunks(
     spark: SparkSession,
     path: str,

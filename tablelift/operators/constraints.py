@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablelift.functions.render import from_text
 from tablelift.functions.typemap import ColumnSpec, spark_type
+from tablelift.operators.membership import FILTER_BYTES, filter_bytes, with_possible_keys
 from tablelift.session import materialize
 
 #: Keys that are broadcast at most.
@@ -95,13 +96,13 @@ def check_foreign_key(
     """Key values of the child without a parent, and how many child rows have them.
 
     Child keys are counted first, so each key takes part in the join once.  A key with a NULL
-    part refers to nothing and passes.
+    part refers to nothing and passes.  Repeated parents are combined before they are shuffled.
     """
     if len(columns) != len(parent_columns):
         raise ValueError("a foreign key has as many columns as the key it refers to")
     complete = child.where(~_any([c.isNull() for c in _columns(columns)]))
     used = complete.groupBy(*_columns(columns)).agg(F.count("*").alias("orphan_rows"))
-    known = parent.select(*[F.col(f"`{p}`").alias(f"__parent_{i}") for i, p in enumerate(parent_columns)])
+    known = parent.select(*[F.col(f"`{p}`").alias(f"__parent_{i}") for i, p in enumerate(parent_columns)]).distinct()
     same = [F.col(f"`{c}`") == F.col(f"__parent_{i}") for i, c in enumerate(columns)]
     return used.join(known, same, "left_anti")
 
@@ -110,9 +111,16 @@ def orphan_rows(child: DataFrame, columns: Sequence[str], parent: DataFrame, par
     """The child rows themselves that :func:`check_foreign_key` counts.
 
     The keys without a parent are written once.  Up to ``BROADCAST_KEYS`` of them go to the child rows, which then stay
-    where they are, however many share a key; only beyond that number the rows are shuffled by key.
+    where they are, however many share a key.  Of more keys a Bloom filter goes to the child rows, as long as it has
+    ``FILTER_BYTES`` at most: rows that it rules out have a parent and are gone, the others are shuffled by key and
+    looked at exactly.  Beyond that size the rows are shuffled as they are.
     """
     orphans = materialize(check_foreign_key(child, columns, parent, parent_columns).drop("orphan_rows"), "orphans")
-    few = orphans.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    keys = F.broadcast(orphans) if few else orphans
-    return child.join(keys, list(columns), "left_semi").select(*_columns(child.columns))
+    count = orphans.count()
+    if count <= BROADCAST_KEYS:
+        suspects, keys = child, F.broadcast(orphans)
+    else:
+        fits = filter_bytes(count) <= FILTER_BYTES
+        suspects = with_possible_keys(child, columns, orphans, columns, count) if fits else child
+        keys = orphans
+    return suspects.join(keys, list(columns), "left_semi").select(*_columns(child.columns))

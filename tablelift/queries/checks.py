@@ -8,7 +8,7 @@ from tablelift.operators import constraints, infer, load_order as order, reconci
 from tablelift.queries.common import table
 from tablelift.queries.texts import ORDER_COLUMNS
 from tablelift.session import new_staging_dir
-from tablelift.sinks import tables as sinks
+from tablelift.sinks import stats, tables as sinks
 
 ALL_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -207,11 +207,35 @@ def row_digest(spark, sf_dir):
 
 
 def column_stats(spark, sf_dir):
-    stats = None
+    told = None
     for name in ("orders", "customer"):
         one = sinks.column_stats(table(spark, sf_dir, name), approximate=False).select(F.lit(name).alias("table_name"), "*")
-        stats = one if stats is None else stats.union(one)
-    return stats
+        told = one if told is None else told.union(one)
+    return told
+
+
+def stats_merged(spark, sf_dir):
+    # Statistics by year; one year is loaded again.  Estimates are held against the table.
+    path = new_staging_dir(spark, "stats")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_quantity", F.nullif("l_returnflag", F.lit("N")).alias("l_returnflag"),
+        F.col("l_shipdate").cast("date").alias("l_shipdate"),
+    )
+    year = F.year("l_shipdate")
+    stats.store_stats(lines.where((year != 1996) | (F.col("l_quantity") < 10)), path, year)
+    stats.store_stats(lines.where(year == 1996), path, year)
+    merged = stats.merged_stats(spark, path)
+    exact = sinks.column_stats(lines, approximate=False).select("column_name", F.col("distinct_values").alias("truth"))
+    middle = merged.where("column_name = 'l_quantity'").first()["quartiles"][1]
+    # The rows below and up to the estimated median bracket half of all.
+    quantity = F.col("l_quantity")
+    below, upto = lines.agg(F.avg((quantity < middle).cast("int")), F.avg((quantity <= middle).cast("int"))).first()
+    return merged.join(F.broadcast(exact), "column_name").select(
+        "column_name", "rows", "nulls", "min_value", "max_value",
+        # Four standard errors.
+        (F.abs(F.col("distinct_values") - F.col("truth")) <= 4 * 1.04 / 64 * F.col("truth") + 1).alias("distinct_close"),
+        F.lit(below <= 0.5 + 0.0165 and upto >= 0.5 - 0.0165).alias("median_close"),
+    )
 
 
 QUERIES = {
@@ -219,7 +243,7 @@ QUERIES = {
     for f in (
         row_counts, check_not_null, check_length, check_castable, check_columns, check_primary_key, check_unique,
         check_foreign_key, orphan_rows, split_rejects, rejected_records, reject_reasons, reconcile_rows,
-        reconcile_summary, reconcile_counts, row_digest, column_stats, infer_types, load_order,
+        reconcile_summary, reconcile_counts, row_digest, column_stats, stats_merged, infer_types, load_order,
     )
 }
 
@@ -368,6 +392,12 @@ ORACLES = {
             CASE WHEN o_orderpriority = '5-LOW' THEN '-' ELSE length(o_orderpriority) || ':' || o_orderpriority END || '|' ||
             length(CAST(o_orderdate AS VARCHAR)) || ':' || CAST(o_orderdate AS VARCHAR)) AS digest
         FROM orders""",
+    "stats_merged": f"""
+        SELECT column_name, rows, nulls, min_value, max_value, true AS distinct_close, true AS median_close
+        FROM (WITH lines AS (
+                  SELECT * REPLACE (nullif(l_returnflag, 'N') AS l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate)
+                  FROM lineitem)
+              {_stats("lines", "l_orderkey", "l_suppkey", "l_quantity", "l_returnflag", "l_shipdate")})""",
     "column_stats": _stats(
         "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     )

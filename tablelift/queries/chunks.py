@@ -27,7 +27,7 @@ def chunk_counts(spark, sf_dir):
 def chunk_export(spark, sf_dir):
     path = new_staging_dir(spark, "chunks")
     orders = table(spark, sf_dir, "orders")
-    chunk.write_chunked(orders, path, 1000, ["o_orderkey"], unique=True)
+    chunk.write_chunked(orders, path, 1000, ["o_orderkey"], unique=True, one_file=True)
     files = chunk.merge_chunks(spark, path, schema=orders.schema, keep_chunk=True)
     return files.groupBy("chunk").agg(
         F.count_distinct(F.col("_metadata.file_path")).alias("files"),
@@ -40,10 +40,24 @@ def chunk_export(spark, sf_dir):
 def chunk_merge(spark, sf_dir):
     path = new_staging_dir(spark, "chunks")
     orders = table(spark, sf_dir, "orders")
-    chunk.write_chunked(orders, path, 1000, ["o_orderkey"], unique=True, one_file=False)
+    chunk.write_chunked(orders, path, 1000, ["o_orderkey"], unique=True)
     return chunk.merge_chunks(spark, path, schema=orders.schema)
 
 
+def chunk_bytes(spark, sf_dir):
+    # Order lines by few ship dates, in files of 20,000 bytes: what the files hold.
+    path = new_staging_dir(spark, "chunks")
+    day = F.col("l_shipdate").cast("date").alias("l_shipdate")
+    lines = table(spark, sf_dir, "lineitem").select(day, "l_orderkey", "l_linenumber", "l_returnflag")
+    chunk.write_byte_chunks(lines, path, 20_000, ["l_shipdate", "l_orderkey", "l_linenumber", "l_returnflag"])
+    records = spark.read.schema("value string, chunk bigint").text(path).where("value NOT LIKE 'l_shipdate%'")
+    return records.groupBy("chunk").agg(
+        F.count("*").alias("rows"),
+        F.sum(F.octet_length("value") + 1).alias("bytes"),
+        F.min("value").alias("first_record"),
+    )
+
+
 def plan_chunks(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     name = F.concat(F.lit("supplier_"), F.col("l_suppkey").cast("string"))
@@ -64,7 +78,7 @@ def page_deep(spark, sf_dir):
 
 
 QUERIES = {
-    f.__name__: f for f in (chunk_assign, row_numbers, chunk_counts, chunk_export, chunk_merge, plan_chunks, page, page_deep)
+    f.__name__: f for f in (chunk_assign, row_numbers, chunk_counts, chunk_export, chunk_merge, chunk_bytes, plan_chunks, page, page_deep)
 }
 
 ORACLES = {
@@ -82,6 +96,18 @@ ORACLES = {
         FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS chunk FROM orders)
         GROUP BY chunk""",
     "chunk_merge": "SELECT * FROM orders",
+    "chunk_bytes": """
+        WITH records AS (
+            SELECT l_shipdate, l_orderkey, l_linenumber, l_returnflag,
+                   concat_ws(',', l_shipdate, l_orderkey, l_linenumber, l_returnflag) AS value
+            FROM (SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem)),
+        placed AS (
+            SELECT value, length(value) + 1 AS bytes, sum(length(value) + 1) OVER (
+                ORDER BY l_shipdate, l_orderkey, l_linenumber, l_returnflag, value ROWS UNBOUNDED PRECEDING) AS upto
+            FROM records)
+        SELECT CAST((upto - bytes) // 20000 AS BIGINT) AS chunk, count(*) AS rows, CAST(sum(bytes) AS BIGINT) AS bytes,
+               min(value) AS first_record
+        FROM placed GROUP BY 1""",
     "plan_chunks": """
         SELECT table_name, rows, rows > 600 AS chunked,
                CAST(CASE WHEN rows > 600 THEN (rows + 249) // 250 ELSE 1 END AS BIGINT) AS chunks,

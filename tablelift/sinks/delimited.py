@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablelift.formats import FlatFormat
 from tablelift.functions.render import as_text
-from tablelift.functions.text import cp1252_to_latin1, map_strings, string_columns, to_charset
+from tablelift.functions.text import cp1252_to_latin1, string_columns, to_charset
 
 # What to do when the target is already there -> Spark save mode.
 SAVE_MODES = {"replace": "overwrite", "skip": "ignore", "error": "errorifexists"}
@@ -33,16 +33,24 @@ def _plain(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.BinaryType, T.ArrayType, T.MapType, T.StructType))
 
 
+def file_columns(df: DataFrame, fmt: FlatFormat) -> list[Column]:
+    """The columns as a file of this format holds them (hex, JSON, charset), under their names."""
+    columns = []
+    for field in df.schema.fields:
+        column, plain = F.col(f"`{field.name}`"), _plain(field.dataType)
+        column = column if plain else as_text(column, field.dataType)
+        if not plain or isinstance(field.dataType, T.StringType):
+            if fmt.is_cp1252:
+                column = cp1252_to_latin1(to_charset(column, "cp1252"))
+            elif fmt.file_encoding == "iso-8859-1":
+                column = to_charset(column, "latin1")
+        columns.append(column.alias(field.name))
+    return columns
+
+
 def as_file_columns(df: DataFrame, fmt: FlatFormat) -> DataFrame:
-    """The columns as a file of this format holds them (hex, JSON, charset), in one projection."""
-    columns = [F.col(f"`{f.name}`") if _plain(f.dataType) else as_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
-               for f in df.schema.fields]
-    out = df.select(*columns)
-    if fmt.is_cp1252:
-        return map_strings(out, lambda c: cp1252_to_latin1(to_charset(c, "cp1252")))
-    if fmt.file_encoding == "iso-8859-1":
-        return map_strings(out, lambda c: to_charset(c, "latin1"))
-    return out
+    """The table as a file of this format holds it, in one projection."""
+    return df.select(*file_columns(df, fmt))
 
 
 def write_delimited(

@@ -119,3 +119,49 @@ def test_pages_fit_together_at_every_depth(spark):
     deep = chunk.page(df, ["k"], 100_000, 100_000)
     assert shallow.union(deep).distinct().count() == 200_000
     assert [r.id for r in chunk.page(df, ["k"], 99_990, 10).collect()] == [r.id for r in chunk.page(df, ["k"], 99_990, 20).orderBy(F.xxhash64("k", "id")).limit(10).collect()]
+
+
+def sizes_of(path, end=b"\n"):
+    """Bytes of the records of each chunk folder, headers left out."""
+    return {
+        int(p.name[6:]): sum(len(f.read_bytes()) - f.read_bytes().index(end) - len(end) for f in p.glob("*.csv"))
+        for p in path.glob("chunk=*")
+    }
+
+
+@pytest.mark.parametrize("fmt", [FlatFormat(), FlatFormat("tsv", encoding="cp1252", row_delimiter="\n"), FlatFormat("pipe", null_text="NULL")])
+@pytest.mark.parametrize("target", [700, 100_000])
+def test_chunks_by_bytes(spark, tmp_path, fmt, target):
+    rng = random.Random(target)
+    words = ["", None, "plain", "quo\"te", "a,b|c\td", "two\nlines", "héllo €", "x" * 300, " space "]
+    rows = [(k if rng.random() < 0.6 else 7, rng.choice(words), bytes([k % 256])) for k in range(9000)]
+    df = spark.createDataFrame(rows, "k int, `v.1` string, b binary").repartition(5)
+    path = tmp_path / "c"
+    chunk.write_byte_chunks(df, str(path), target, ["k"], fmt)
+    sizes = sizes_of(path)
+    assert sorted(sizes) == list(range(len(sizes))) and len(sizes) > 3
+    assert all(abs(size - target) <= 320 for n, size in sizes.items() if n + 1 < len(sizes))
+    merged = chunk.merge_chunks(spark, str(path), fmt, df.schema, keep_chunk=True)
+    assert merged.count() == 9000
+    # Keys go up from chunk to chunk.
+    spans = merged.groupBy("chunk").agg(F.min("k").alias("low"), F.max("k").alias("high")).orderBy("chunk").collect()
+    assert all(a.high <= b.low for a, b in zip(spans, spans[1:]))
+
+
+def test_records_longer_than_a_chunk(spark):
+    df = spark.createDataFrame([(k, "x" * (10 if k % 2 else 100)) for k in range(6)], "k int, v string")
+    got = chunk.assign_byte_chunks(df, 40, ["k"], unique=True)
+    before, want = 0, {}
+    for k in range(6):
+        want[k] = before // 40
+        before += 3 + (10 if k % 2 else 100)
+    assert {r.k: r.chunk for r in got.collect()} == want and got.columns == ["k", "v", "chunk"]
+    assert chunk.assign_byte_chunks(df.where("k < 0"), 40, ["k"]).count() == 0
+    with pytest.raises(ValueError):
+        chunk.assign_byte_chunks(df, 0, ["k"])
+
+
+def test_chunks_by_bytes_shuffle_rows_once(spark):
+    df = spark.range(20_000).repartition(4)
+    plan = chunk.assign_byte_chunks(df, 5_000, ["id"], unique=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
