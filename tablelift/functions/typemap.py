@@ -148,6 +148,12 @@ def sqlite_target_type(declared: str) -> str:
     return SQLITE_TARGET_TYPES.get(declared.upper(), declared)
 
 
+def sqlite_target_type_column(declared: Column) -> Column:
+    """:func:`sqlite_target_type` as one expression, for the columns of any number of files."""
+    lookup = F.create_map(*[F.lit(v) for pair in SQLITE_TARGET_TYPES.items() for v in pair])
+    return F.coalesce(F.try_element_at(lookup, F.upper(declared)), declared)
+
+
 def spark_schema(specs: Sequence[ColumnSpec], overrides: Mapping[str, str] | None = None) -> T.StructType:
     """The typed schema; the declared source type and length travel in the field metadata."""
     fields = []

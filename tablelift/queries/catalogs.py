@@ -6,6 +6,7 @@ the columns, so the catalog grows with the data.  The derivation is plain SQL, u
 
 from pyspark.sql import functions as F
 
+from tablelift.functions.typemap import sqlite_target_type_column
 from tablelift.operators import catalog
 from tablelift.plans.endpoints import FrameSource, ParquetTarget
 from tablelift.plans.transfer import TransferPlan, run_transfer
@@ -17,6 +18,17 @@ _COLUMN = "'c' || l_linenumber || '_' || l_partkey || '_' || l_suppkey || '_' ||
 _COLUMN_ID = "l_partkey * 10 + l_linenumber"
 _INDEX_ID = "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END"
 
+# The declared types of the columns of a table, as SQL for both sides.
+_KINDS = (
+    "INTEGER", "real", "Text", "BLOB", "numeric", "Boolean", "DATE", "DateTime", "GEOMETRY", "Point", "LINESTRING", "polygon",
+    "MultiPoint", "MULTILINESTRING", "multipolygon", "MEDIUMINT", "TEXT(40)", "jsonb",
+)
+_DECLARED = (
+    "SELECT 'layer_' || l_orderkey AS table_name, l_linenumber AS ordinal, CASE l_partkey % 20 "
+    + " ".join(f"WHEN {i} THEN '{kind}'" for i, kind in enumerate(_KINDS))
+    + " WHEN 18 THEN '' END AS declared FROM {lines}"
+)
+
 META = {
     "columns": f"""
         SELECT {_SCHEMA.format(key='l_orderkey')} AS table_schema, 't' || l_orderkey AS table_name,
@@ -110,6 +122,12 @@ def column_clauses(spark, sf_dir):
     return clauses.select("table_schema", "table_name", "column_name", F.col("target_type"), "clause")
 
 
+def sqlite_types(spark, sf_dir):
+    # Lines as the columns of GeoPackage tables, declared in any case, some with a type nobody knows.
+    declared = spark.sql(_DECLARED, lines=table(spark, sf_dir, "lineitem"))
+    return declared.select("table_name", "ordinal", "declared", sqlite_target_type_column(F.col("declared")).alias("target_type"))
+
+
 def specs_roundtrip(spark, sf_dir):
     # Orders as a text table, with the declared columns that a catalog has of it.
     orders = table(spark, sf_dir, "orders")
@@ -130,7 +148,7 @@ def specs_roundtrip(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (specs_roundtrip, catalog_columns, catalog_primary_key, catalog_indexes, catalog_foreign_keys, catalog_spec, column_clauses)
+    for f in (specs_roundtrip, sqlite_types, catalog_columns, catalog_primary_key, catalog_indexes, catalog_foreign_keys, catalog_spec, column_clauses)
 }
 
 
@@ -159,6 +177,18 @@ _CLAUSE = f"""column_name || ' ' || {_TYPE} || CASE WHEN is_nullable THEN '' ELS
     WHEN '(newid())' THEN ' DEFAULT gen_random_uuid()' ELSE '' END"""
 
 ORACLES = {
+    "sqlite_types": f"""
+        SELECT table_name, ordinal, declared,
+               CASE upper(declared)
+                   WHEN 'REAL' THEN 'DOUBLE PRECISION' WHEN 'BLOB' THEN 'BYTEA' WHEN 'DATETIME' THEN 'TIMESTAMP'
+                   WHEN 'POINT' THEN 'GEOMETRY(POINT)' WHEN 'LINESTRING' THEN 'GEOMETRY(LINESTRING)'
+                   WHEN 'POLYGON' THEN 'GEOMETRY(POLYGON)' WHEN 'MULTIPOINT' THEN 'GEOMETRY(MULTIPOINT)'
+                   WHEN 'MULTILINESTRING' THEN 'GEOMETRY(MULTILINESTRING)'
+                   WHEN 'MULTIPOLYGON' THEN 'GEOMETRY(MULTIPOLYGON)'
+                   WHEN 'INTEGER' THEN 'INTEGER' WHEN 'TEXT' THEN 'TEXT' WHEN 'NUMERIC' THEN 'NUMERIC'
+                   WHEN 'BOOLEAN' THEN 'BOOLEAN' WHEN 'DATE' THEN 'DATE' WHEN 'GEOMETRY' THEN 'GEOMETRY'
+                   ELSE declared END AS target_type
+        FROM ({_DECLARED.format(lines="lineitem")})""",
     "specs_roundtrip": """
         SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(19,4)) AS o_totalprice, o_orderdate, o_orderpriority
         FROM orders""",

@@ -8,6 +8,7 @@ from pyspark.sql import Row, functions as F, types as T
 from tablelift.functions.render import lenient_cast
 from tablelift.functions.typemap import (
     cast_to_schema,
+    SQLITE_TARGET_TYPES,
     TARGET_TYPES,
     ColumnSpec,
     align_schema,
@@ -19,6 +20,7 @@ from tablelift.functions.typemap import (
     spark_schema,
     spark_type,
     sqlite_target_type,
+    sqlite_target_type_column,
     target_type,
     target_type_column,
 )
@@ -149,3 +151,11 @@ def test_strict_hex_raises(spark):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         cast_to_schema(bad, schema).collect()
     assert cast_to_schema(bad, schema, strict=False).first().b is None
+
+
+def test_sqlite_types_as_an_expression(spark):
+    names = [*SQLITE_TARGET_TYPES, "real", "Point", "MEDIUMINT", "", None]
+    df = spark.createDataFrame([(n,) for n in names], "declared string")
+    got = [r[0] for r in df.coalesce(1).select(sqlite_target_type_column(F.col("declared"))).collect()]
+    assert got == [n if n is None else sqlite_target_type(n) for n in names]
+    assert got[-5:] == ["DOUBLE PRECISION", "GEOMETRY(POINT)", "MEDIUMINT", "", None]
