@@ -1,6 +1,7 @@
 """Load order of tables and types of text columns."""
 
 import random
+import sys
 
 from tablelift import TransferPlan, run_transfer
 from tablelift.operators.infer import column_states, infer_types, inferred_types, merged_states
@@ -47,6 +48,25 @@ def test_load_order(spark):
     assert [tuple(x) for x in alone.collect()] == [("a", 0, None)]
 
 
+def test_no_step_keeps_all_pairs_of_a_circle(spark, monkeypatch):
+    kept = []
+    module = sys.modules[load_order.__module__]
+    keep = module.materialize
+
+    def counted(df, name):
+        written = keep(df, name)
+        kept.append(written.count())
+        return written
+
+    monkeypatch.setattr(module, "materialize", counted)
+    names = [f"t{i:02d}" for i in range(32)]
+    keys = [(a, b) for a, b in zip(names, names[1:] + names[:1])] + [("over", "t07"), ("t09", "under")]
+    made = load_order(spark.createDataFrame([(t,) for t in [*names, "over", "under"]], "table_name string"), spark.createDataFrame(keys, "table_name string, ref_table string"))
+    got = {r.table_name: (r.level, r.cycle) for r in made.collect()}
+    assert got == {t: (1, "t00") for t in names} | {"over": (2, None), "under": (0, None)}
+    assert max(kept) <= len(names) + 2
+
+
 def test_parents_are_loaded_first(spark, tmp_path):
     read = []
     source = FrameSource({n: (lambda s, n=n: (read.append(n), s.range(2))[1]) for n in ("child", "grandchild", "parent")})
