@@ -108,42 +108,45 @@ def catalog_foreign_keys(
     ``foreign_keys``: fk_id, fk_name, parent_object_id, ref_object_id.
     ``foreign_key_columns``: fk_id, position, parent_column_id, ref_column_id.
     """
-    pairs = foreign_key_columns.join(foreign_keys, "fk_id")
-    child = columns.select(
-        F.col("object_id").alias("parent_object_id"),
-        F.col("column_id").alias("parent_column_id"),
-        F.col("column_name").alias("__child"),
+    keys = ["fk_id", "fk_name", "parent_object_id", "ref_object_id"]
+    pairs = foreign_key_columns.join(foreign_keys, "fk_id").groupBy(*keys).agg(
+        F.collect_list(F.struct("position", "parent_column_id", "ref_column_id")).alias("__pairs")
     )
-    parent = columns.select(
-        F.col("object_id").alias("ref_object_id"),
-        F.col("column_id").alias("ref_column_id"),
-        F.col("column_name").alias("__parent"),
+    # A row for each object with its columns, which are as many as a table can have.
+    listed = columns.select("object_id", "column_id", "column_name").repartition("object_id")
+    listed = listed.groupBy("object_id").agg(F.collect_list(F.struct("column_id", "column_name")).alias("__columns"))
+    objects = tables.join(schemas, "schema_id").select("object_id", "schema_name", "table_name").join(listed, "object_id")
+    owner = objects.select(
+        F.col("object_id").alias("parent_object_id"), F.col("schema_name").alias("table_schema"), "table_name", "__columns"
     )
-    listed = (
-        pairs.join(child, ["parent_object_id", "parent_column_id"])
-        .join(parent, ["ref_object_id", "ref_column_id"])
-        .groupBy("fk_id", "fk_name", "parent_object_id", "ref_object_id")
-        .agg(
-            _ordered_list("__child", "position", "__child").alias("columns"),
-            _ordered_list("__parent", "position", "__parent").alias("ref_columns"),
-        )
+    target = objects.select(
+        F.col("object_id").alias("ref_object_id"), F.col("schema_name").alias("ref_schema"),
+        F.col("table_name").alias("ref_table"), "__columns",
     )
-    named = tables.join(schemas, "schema_id")
-    owner = named.select(
-        F.col("object_id").alias("parent_object_id"), F.col("schema_name").alias("table_schema"), "table_name"
+    # A pair becomes one for each two columns that have its numbers, and none if there are no two.
+    child = pairs.join(owner, "parent_object_id").select(
+        "ref_object_id", *_TABLE, "fk_name", _matched("parent_column_id", "p.ref_column_id", "c.column_name AS child")
     )
-    target = named.select(
-        F.col("object_id").alias("ref_object_id"),
-        F.col("schema_name").alias("ref_schema"),
-        F.col("table_name").alias("ref_table"),
+    both = child.join(target, "ref_object_id").select(
+        *_TABLE, "fk_name", "ref_schema", "ref_table", _matched("ref_column_id", "p.child", "c.column_name AS parent")
     )
-    return (
-        listed.join(owner, "parent_object_id")
-        .join(target, "ref_object_id")
-        .select(*_TABLE, "fk_name", "columns", "ref_schema", "ref_table", "ref_columns")
+    return both.where("size(__pairs) > 0").select(
+        *_TABLE, "fk_name", _pair_list("child").alias("columns"), "ref_schema", "ref_table", _pair_list("parent").alias("ref_columns")
     )
 
 
+def _matched(number: str, *fields: str) -> Column:
+    """``__pairs`` with each pair ``p`` once for every ``c`` of ``__columns`` that has its ``number``."""
+    columns = f"filter(__columns, c -> c.column_id = p.{number})"
+    return F.expr(f"flatten(transform(__pairs, p -> transform({columns}, c -> struct(p.position, {', '.join(fields)}))))").alias("__pairs")
+
+
+def _pair_list(side: str) -> Column:
+    """The names of one side of ``__pairs`` joined by ', ' in order, as by :func:`_ordered_list`: NULL if none is known."""
+    names = f"transform(sort_array(transform(__pairs, p -> struct(p.position, p.{side}))), p -> p.{side})"
+    return F.expr(f"CASE WHEN exists(__pairs, p -> p.{side} IS NOT NULL) THEN array_join({names}, ', ') END")
+
+
 def column_clauses(columns: DataFrame, overrides: Mapping[str, str] | None = None) -> DataFrame:
     """The target clause of every column: ``name TYPE [NOT NULL] [DEFAULT d]``.
 
