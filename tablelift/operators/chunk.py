@@ -19,6 +19,9 @@ _TOP_K = 100_000
 # Rows whose bytes are summed together before chunks are cut by bytes.
 _BLOCK_ROWS = 4096
 
+# Places at which chunks by bytes begin that are broadcast, some 40 bytes each.
+_PLACES = 1_000_000
+
 _SIZE = "__size"
 _PARTITION, _POSITION, _COPY, _HASH, _HASH2 = "__partition", "__position", "__copy", "__hash", "__hash2"
 
@@ -33,6 +36,13 @@ def _row_hashes(df: DataFrame) -> list[Column]:
     return [F.xxhash64(*rest), F.xxhash64(F.lit(1), *rest)]
 
 
+def _equal_if_tied(df: DataFrame, order_by: list[str]) -> bool:
+    """Whether rows that tie in ``order_by`` are equal: it has every column, and each orders as it compares (0.0 ties with -0.0)."""
+    exact = (T.IntegralType, T.DecimalType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return set(types) <= set(order_by) and all(isinstance(t, exact) or t == T.StringType() for t in types.values())
+
+
 def _placed(
     df: DataFrame, order_by: list[str], unique: bool, ranges: int | None, extra: dict[str, Column] | None = None
 ) -> DataFrame:
@@ -41,9 +51,9 @@ def _placed(
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys, rows = _columns(order_by), df
     if not unique:
-        first, second = _row_hashes(df)
-        rows = df.withColumns({_HASH: first, _HASH2: second, _COPY: F.monotonically_increasing_id()})
-        keys = [*keys, F.col(_HASH), F.col(_HASH2), F.col(_COPY)]
+        hashes = {} if _equal_if_tied(df, order_by) else dict(zip((_HASH, _HASH2), _row_hashes(df)))
+        rows = df.withColumns({**hashes, _COPY: F.monotonically_increasing_id()})
+        keys = [*keys, *_columns(hashes), F.col(_COPY)]
     sorted_rows = rows.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
     # High bits of the id: partition; low 33 bits: position in it.
     row_id = F.monotonically_increasing_id()
@@ -135,7 +145,8 @@ def assign_byte_chunks(
 
     The rows are shuffled once, into the ranges of their order.  Bytes are summed by block of rows, blocks are prefix
     sums of their range, and only blocks in which a chunk ends are looked at row by row.  What comes back to the rows is
-    one list per range: from which place on which chunk.
+    a list per stretch of a range: from which place on which chunk.  A stretch is one block or about as many as make a
+    chunk, so a row looks through a few places, however many chunks a range has.
     """
     return _byte_chunks(df, chunk_bytes, order_by, fmt, unique, name, ranges).drop(_PARTITION, _POSITION)
 
@@ -170,18 +181,24 @@ def _byte_chunks(df, chunk_bytes, order_by, fmt, unique, name, ranges):
     split = _broadcast_few(cut).join(sizes, [_PARTITION, "__block"]).select(
         _PARTITION, _POSITION, F.floor(start / chunk_bytes).cast("bigint").alias(name)
     )
-    places = whole.union(split).groupBy(_PARTITION, name).agg(F.min(_POSITION).alias("__from"))
-    lists = places.groupBy(_PARTITION).agg(F.sort_array(F.collect_list(F.struct("__from", F.col(f"`{name}`").alias("__chunk")))).alias("__cuts"))
+    # Blocks to a chunk: there are no more stretches than chunks, but for one in each range.
+    blocks, all_bytes = starts.agg(F.count("*"), F.sum("__bytes")).first()
+    stretch_rows = _BLOCK_ROWS * max(1, min(blocks, blocks * chunk_bytes // (all_bytes or 1)))
+    stretch = F.expr(f"{_POSITION} div {stretch_rows}").alias("__stretch")
+    places = whole.union(split).groupBy(_PARTITION, stretch, name).agg(F.min(_POSITION).alias("__from"))
+    place = F.struct("__from", F.col(f"`{name}`").alias("__chunk"))
+    lists = places.groupBy(_PARTITION, "__stretch").agg(F.sort_array(F.collect_list(place)).alias("__cuts"))
     lists = materialize(lists, "cuts")
     chunk = F.element_at(F.filter("__cuts", lambda c: c["__from"] <= F.col(_POSITION)), -1)["__chunk"]
-    return placed.join(_broadcast_few(lists, "size(__cuts)"), _PARTITION).select(
+    rows = placed.withColumn("__stretch", stretch)
+    return rows.join(_broadcast_few(lists, "size(__cuts)", _PLACES), [_PARTITION, "__stretch"]).select(
         *_columns(df.columns), chunk.alias(name), _PARTITION, _POSITION
     )
 
 
-def _broadcast_few(df: DataFrame, entries: str = "1") -> DataFrame:
-    """Broadcast up to ``_TOP_K`` entries; beyond that the join is left to Spark."""
-    return F.broadcast(df) if (df.agg(F.expr(f"sum({entries})")).first()[0] or 0) <= _TOP_K else df
+def _broadcast_few(df: DataFrame, entries: str = "1", most: int = _TOP_K) -> DataFrame:
+    """Broadcast up to ``most`` entries; beyond that the join is left to Spark."""
+    return F.broadcast(df) if (df.agg(F.expr(f"sum({entries})")).first()[0] or 0) <= most else df
 
 
 def record_bytes(df: DataFrame, fmt: FlatFormat = FlatFormat()) -> Column:

@@ -165,3 +165,40 @@ def test_chunks_by_bytes_shuffle_rows_once(spark):
     df = spark.range(20_000).repartition(4)
     plan = chunk.assign_byte_chunks(df, 5_000, ["id"], unique=True)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("ranges", [1, 3])
+@pytest.mark.parametrize("target", [60, 6_000, 200_000, 10**18])
+def test_chunks_by_bytes_at_any_size(spark, ranges, target):
+    df = spark.range(12_000).selectExpr("id", "repeat('x', int(id % 50)) as v")
+    got = chunk.assign_byte_chunks(df, target, ["id"], ranges=ranges)
+    before, want = 0, []
+    for k in range(12_000):
+        want.append((k, before // target))
+        before += len(str(k)) + 2 + (k % 50 or 2)  # empty text is quoted
+    assert sorted((r.id, r.chunk) for r in got.collect()) == want
+
+
+def test_chunks_of_a_range_are_not_searched_by_row(spark, monkeypatch):
+    longest, kept = [], chunk.materialize
+
+    def watched(df, name):
+        df = kept(df, name)
+        if name == "cuts":
+            longest.append(df.agg(F.max(F.size("__cuts"))).first()[0])
+        return df
+
+    monkeypatch.setattr(chunk, "materialize", watched)
+    for rows in (50_000, 200_000):
+        assert chunk.assign_byte_chunks(spark.range(rows), 5_000, ["id"], ranges=1).agg(F.max("chunk")).first()[0] > 50
+    # A block of 4,096 rows has six or seven chunks, one range has some 60 and 270.
+    assert max(longest) <= 8
+
+
+def test_order_by_all_columns_hashes_nothing(spark):
+    df = spark.createDataFrame([(k % 3, "ab"[k % 2]) for k in range(60)], "k int, v string")
+    assert chunk._equal_if_tied(df, ["v", "k"]) and not chunk._equal_if_tied(df, ["k"])
+    # 0.0 and -0.0 tie and are not equal.
+    assert not chunk._equal_if_tied(df.selectExpr("double(k) as k"), ["k"])
+    got = [(r.v, r.k) for r in chunk.number_rows(df, ["v", "k"], ranges=4).orderBy("rn").collect()]
+    assert got == sorted(("ab"[k % 2], k % 3) for k in range(60))
