@@ -32,6 +32,8 @@ def names(spark: SparkSession, path: str) -> list[str]:
 def create(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small file unless it is there: False then.  Its text is seen as a whole or not at all."""
     files, where = _at(spark, path)
+    if files.getUri().getScheme() == "file":
+        return _create_local(spark, where, text)
     try:
         stream = files.create(where, False)
     except (Py4JJavaError, PySparkException):
@@ -43,6 +45,27 @@ def create(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def _create_local(spark: SparkSession, where, text: str) -> bool:
+    """As :func:`create`.  Hadoop's local files look for a file before they open it, so two writers could both succeed.
+
+    The name is taken first, empty; the text then replaces it in one rename, without checksums beside it.
+    """
+    files = spark._jvm.org.apache.hadoop.fs.FileSystem.getLocal(spark._jsc.hadoopConfiguration())
+    files.mkdirs(where.getParent())
+    if not files.pathToFile(where).createNewFile():
+        return False
+    files.getRaw().delete(files.getChecksumFile(where), False)  # left by a file that was here before
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(where.getParent(), f".{where.getName()}.new.crc")  # listings leave such names out
+    stream = spark._jvm.java.io.FileOutputStream(files.pathToFile(hidden))
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    if not files.getRaw().rename(hidden, where):
+        raise OSError(f"{hidden} could not be renamed to {where}")
+    return True
+
+
 def read(spark: SparkSession, path: str) -> str:
     files, where = _at(spark, path)
     stream = files.open(where)

@@ -108,6 +108,32 @@ def test_two_loads_at_once_are_two_versions(spark, tmp_path):
     assert sorted(got) == [1, 2, 3, 4] and len(set(versions.versions(spark).values())) == 4
 
 
+def test_a_file_is_created_once(spark, tmp_path):
+    """Of many writers of one name one succeeds, and readers see its text or none."""
+    start, seen = threading.Barrier(8, timeout=60), []
+
+    def writer(n, tries=40):
+        for k in range(tries):
+            path = f"{tmp_path}/made/{k:03d}"
+            start.wait()
+            won = storage.create(spark, path, f"{n} " * 5000)
+            seen.append((k, n, won, storage.read(spark, path)))
+
+    threads = [threading.Thread(target=writer, args=(n,)) for n in range(8)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    winners = {k: n for k, n, won, _ in seen if won}
+    assert len(seen) == 8 * 40 and sum(won for _, _, won, _ in seen) == len(winners) == 40
+    assert all(text == f"{winners[k]} " * 5000 or not (won or text) for k, _, won, text in seen)
+    assert storage.names(spark, f"{tmp_path}/made") == [f"{k:03d}" for k in range(40)]
+    # nothing is left beside the files, and what an older file has left there is not read
+    assert sorted(f.name for f in (tmp_path / "made").iterdir()) == storage.names(spark, f"{tmp_path}/made")
+    (tmp_path / "made/.new.crc").write_bytes(b"crc\0\0\0\2\0\1\2\3\4")
+    assert storage.create(spark, f"{tmp_path}/made/new", "text") and storage.read(spark, f"{tmp_path}/made/new") == "text"
+
+
 def test_second_rename_fails(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t.parquet")
     spark.range(3).write.parquet(path)
