@@ -22,3 +22,16 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(autouse=True)
+def no_views_left():
+    """Temporary views that a test makes go with it: the session is one for all, and every listing of tables has them."""
+    def views(session):
+        return {t.name for t in session.catalog.listTables() if t.isTemporary} if session else set()
+
+    before = views(SparkSession.getActiveSession())
+    yield
+    session = SparkSession.getActiveSession()
+    for name in views(session) - before:
+        session.catalog.dropTempView(name)
