@@ -141,10 +141,10 @@ class Versions:
         return accepted_rows(spark, place) if storage.exists(spark, f"{place}/{ACCEPTED}") else spark.read.parquet(place)
 
     def versions(self, spark: SparkSession) -> dict[int, str]:
-        """Number -> load, in order.  A file without text is a commit that never happened."""
+        """Number -> load, in order.  A file without text is a commit that never happened; one that goes meanwhile is an old version."""
         found = {}
         for name in storage.names(spark, f"{self.path}/committed"):
-            load = storage.read(spark, f"{self.path}/committed/{name}")
+            load = storage.read_if_there(spark, f"{self.path}/committed/{name}")
             if load:
                 found[int(name)] = load
         return found

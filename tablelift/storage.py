@@ -75,6 +75,16 @@ def read(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def read_if_there(spark: SparkSession, path: str) -> str | None:
+    """As :func:`read`; None if the file is not there, or was removed since it was listed."""
+    try:
+        return read(spark, path)
+    except (Py4JJavaError, PySparkException):
+        if exists(spark, path):
+            raise
+        return None
+
+
 def first_line(spark: SparkSession, name: str, block: int = 1 << 16) -> bytes | None:
     """The bytes of a file (a URI, as listings have it) before its first line feed, decompressed; None if it is empty."""
     where = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))

@@ -108,6 +108,13 @@ def test_two_loads_at_once_are_two_versions(spark, tmp_path):
     assert sorted(got) == [1, 2, 3, 4] and len(set(versions.versions(spark).values())) == 4
 
 
+def test_a_version_that_goes_while_they_are_listed(spark, tmp_path, monkeypatch):
+    versions, names = Versions(str(tmp_path / "v")), storage.names
+    versions.stage(spark).commit()
+    monkeypatch.setattr(storage, "names", lambda session, path: ["0000000000", *names(session, path)])
+    assert versions.commit(spark, "second") == 2 and list(versions.versions(spark)) == [1, 2]
+
+
 def test_a_file_is_created_once(spark, tmp_path):
     """Of many writers of one name one succeeds, and readers see its text or none."""
     start, seen = threading.Barrier(8, timeout=60), []
